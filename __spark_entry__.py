@@ -6,7 +6,6 @@ import datetime as dt
 import os
 import sys
 from collections.abc import Callable
-from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,7 +62,7 @@ def _earlier(src: Sources) -> Sources:
         "order_purchase_timestamp",
         F.when(F.col("order_status") == "canceled", bought - F.expr("interval 40 days")).otherwise(bought),
     )
-    return replace(src, orders=orders, order_items=src.order_items.withColumn("price", F.col("price") + 1))
+    return src.replace(orders=orders, order_items=src.order_items.withColumn("price", F.col("price") + 1))
 
 
 def _load_twice(spark: SparkSession, sf_dir: str) -> pipeline.Warehouse:
@@ -97,9 +96,8 @@ def _schema_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("max_installments", F.col("max_installments").cast("int"))
     )
     table = PublishedTable(spark, work_dir(spark, "payments"))
-    table.replace(old)
-    upsert(table, summary.filter("max_installments >= 4"), "order_id")
-    return table.read()
+    first = table.replace(old)
+    return upsert(table, first, summary.filter("max_installments >= 4"), "order_id").read()
 
 
 def _scd2_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,8 +117,8 @@ def _scd2_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
         }
     )
     table = history_table(spark, work_dir(spark, "sellers"))
-    pipeline.snapshot_sellers(replace(src, sellers=first), table, _at(oracle.HISTORY_1))
-    pipeline.snapshot_sellers(replace(src, sellers=second), table, _at(oracle.HISTORY_2))
+    pipeline.snapshot_sellers(src.replace(sellers=first), table, _at(oracle.HISTORY_1))
+    pipeline.snapshot_sellers(src.replace(sellers=second), table, _at(oracle.HISTORY_2))
     return table.read()
 
 

@@ -29,5 +29,5 @@ class Settings:
 
     # A join key is hot when it holds at least this many rows and this share of
     # all rows. Hot keys are split into salts of about `hot_key_min_rows` rows.
-    hot_key_min_rows: int = 500_000
+    hot_key_min_rows: int = 1_000_000
     hot_key_share: float = 0.001

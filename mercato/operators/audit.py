@@ -8,20 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.operators.upsert import sync_schema
-from mercato.sources.published import PublishedTable
+from mercato.sources.published import Version
 from mercato.sources.schemas import RUN_LOG
 
 
 def append_run(
-    table: PublishedTable,
+    version: Version,
     log_path: str,
     model_name: str,
     started_at: dt.datetime,
     finished_at: dt.datetime | None = None,
     run_by: str | None = None,
 ) -> None:
-    """Log a run of the model in `table`. The row count is that of the whole table."""
-    rows = table.read().agg(F.count("*").alias("rows_affected"))
+    """Log a run that left `version`. The row count is that of the whole table."""
+    rows = version.read().agg(F.count("*").alias("rows_affected"))
     finished = F.current_timestamp() if finished_at is None else F.lit(finished_at.isoformat(sep=" "))
     entry = rows.select(
         F.lit(model_name).alias("model_name"),

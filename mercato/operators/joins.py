@@ -57,8 +57,6 @@ def hot_keys(df: DataFrame, columns: Iterable[str], settings: Settings) -> dict[
     A column has at most 1 / hot_key_share hot values, so collecting them is safe.
     """
     columns = list(columns)
-    if not columns:
-        return {}
     sketches = (
         df.groupBy(F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)))
         .agg(
@@ -116,19 +114,28 @@ def _salted_join(left: DataFrame, lookup: Lookup, hot: DataFrame) -> DataFrame:
     return left.join(right, [key, _SALT], lookup.how).drop(_SALT)
 
 
-def enrich(base: DataFrame, lookups: Iterable[Lookup], settings: Settings) -> DataFrame:
+def enrich(
+    base: DataFrame,
+    lookups: Iterable[Lookup],
+    settings: Settings,
+    sized_by: DataFrame | None = None,
+) -> DataFrame:
     """Join every lookup onto `base` (how: left, inner, left_semi or left_anti).
 
     Broadcast lookups go first, as they need no shuffle; row-reducing ones lead.
     The others follow in the given order, so list those that add few columns first.
     `base` should read stored tables directly: the spreading numbers are taken
-    from it, and must come out the same when a lost task runs again.
+    from it, and must come out the same when a lost task runs again. `sized_by` is
+    a frame with at least its rows that is cheaper to count, such as the raw table.
     """
     small, large = [], []
     for x in lookups:
         is_small = fits_broadcast(x.sized_by or x.frame, settings) if x.small is None else x.small
         (small if is_small else large).append(x)
-    hot = hot_keys(base, dict.fromkeys(x.on for x in large), settings)
+    hot = {}
+    # In a small table no key can be hot.
+    if large and (sized_by or base).count() >= settings.hot_key_min_rows:
+        hot = hot_keys(base, dict.fromkeys(x.on for x in large), settings)
     if hot:
         base = base.withColumn(_SPREAD, F.xxhash64(F.monotonically_increasing_id()))
     for x in sorted(small, key=lambda x: x.how == "left"):

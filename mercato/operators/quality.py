@@ -78,7 +78,10 @@ def relationships(
     """Child rows whose value is in no parent row."""
     known = parent.select(F.col(field).alias(column))
     return enrich(
-        child.filter(F.col(column).isNotNull()), [Lookup(known, column, how="left_anti")], settings
+        child.filter(F.col(column).isNotNull()),
+        [Lookup(known, column, how="left_anti")],
+        settings,
+        sized_by=child,
     )
 
 

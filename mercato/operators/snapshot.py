@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from mercato.functions import ntz
 from mercato.operators.upsert import require_unique, sync_schema
-from mercato.sources.published import PublishedTable
+from mercato.sources.published import PublishedTable, Version
 
 HISTORY_PARTITION = "state"
 CURRENT, CLOSED = "current", "closed"
@@ -22,7 +22,7 @@ def history_table(spark, path: str) -> PublishedTable:
 
 def snapshot(
     table: PublishedTable, source: DataFrame, key: str, check: Sequence[str], now: dt.datetime
-) -> int:
+) -> Version:
     """Publish a version of the history that reflects `source` as seen at `now`.
 
     A key opens a version when it is new or one of its `check` columns differs
@@ -49,11 +49,12 @@ def snapshot(
         F.lit(None).cast("timestamp_ntz").alias("valid_to"),
     )
     after = source.select(F.col(key).alias("key"), F.struct(*source.columns).alias("new"))
-    if not table.exists():
+    base = table.latest()
+    if base is None:
         rows = after.select(opened.alias("row"))
     else:
         layout = after.select(opened.alias("row")).select("row.*").schema
-        current = sync_schema(table.read([CURRENT]), layout)
+        current = sync_schema(base.read([CURRENT]), layout)
         before = current.select(F.col(key).alias("key"), F.struct(*current.columns).alias("old"))
         same = F.lit(True)
         for c in check:
@@ -70,4 +71,4 @@ def snapshot(
         HISTORY_PARTITION, F.when(F.col("valid_to").isNull(), CURRENT).otherwise(CLOSED)
     )
     staged = table.stage(versions)
-    return table.commit([staged], staged.schema, keep=[CLOSED])
+    return table.commit(base, [staged], staged.schema, keep=[CLOSED])

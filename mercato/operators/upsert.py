@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mercato.sources.published import PublishedTable
+from mercato.sources.published import PublishedTable, Version
 
 
 class DuplicateKeyError(ValueError):
@@ -35,8 +35,8 @@ def sync_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
-def upsert(table: PublishedTable, batch: DataFrame, key: str) -> int:
-    """Publish a version in which the rows of `batch` replace those with the same key.
+def upsert(table: PublishedTable, base: Version | None, batch: DataFrame, key: str) -> Version:
+    """Publish a version in which the rows of `batch` replace those of `base` with the same key.
 
     Rows whose key is not in the batch stay, also if their source is gone. The
     table takes on the batch's columns. The batch is written once; of the old
@@ -45,29 +45,26 @@ def upsert(table: PublishedTable, batch: DataFrame, key: str) -> int:
     have moved to another partition.
     """
     column = table.partition_column
-    old = table.schema()
     staged = table.stage(batch)
     new_rows = staged.read()
     require_unique(new_rows, key)
-    if old is None:
-        return table.commit([staged], staged.schema)
+    if base is None:
+        return table.commit(base, [staged], staged.schema)
 
-    everything = table.partitions()
-    types = {f.name: f.dataType for f in old.fields}
+    everything = base.partitions()
+    types = {f.name: f.dataType for f in base.schema.fields}
     retyped = any(types.get(f.name, f.dataType) != f.dataType for f in staged.schema.fields)
     keys = new_rows.select(key)
-    if retyped:
-        touched = everything
-    elif column:
-        replaced = table.read(with_partition=True).select(key, column).join(keys, key, "left_semi")
-        touched = [r[0] for r in replaced.select(column).distinct().collect()]
+    if column and not retyped:
+        replaced = base.read(with_partition=True).select(key, column).join(keys, key, "left_semi")
+        touched = {r[0] for r in replaced.select(column).distinct().collect()}
     else:
-        touched = everything
+        touched = set(everything)
 
     batches = [staged]
     if touched:
-        rest = table.read(touched, with_partition=True).join(keys, key, "left_anti")
+        rest = base.read(touched, with_partition=True).join(keys, key, "left_anti")
         batches.append(table.stage(sync_schema(rest, batch.schema)))
     return table.commit(
-        batches, staged.schema, keep=[p for p in everything if p not in set(touched)]
+        base, batches, staged.schema, keep=[p for p in everything if p not in touched]
     )

@@ -110,7 +110,7 @@ def fct_orders(
         if few_orders is not None:
             people = only_keys_of(people, few_orders, "customer_id")
         by_customer = Lookup(people, "customer_id", small=True if few_orders is not None else None)
-        orders = enrich(orders, [by_customer], settings).withColumn(
+        orders = enrich(orders, [by_customer], settings, sized_by=src.orders).withColumn(
             "customer_key", _key_of("customer_unique_id")
         )
     if "order_date_key" in want:

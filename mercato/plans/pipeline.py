@@ -15,7 +15,7 @@ from mercato.operators.snapshot import history_table, snapshot
 from mercato.operators.upsert import require_unique, upsert
 from mercato.plans import dimensions, facts, intermediate, staging
 from mercato.plans.checks import CHECKS
-from mercato.sources.published import PublishedTable
+from mercato.sources.published import PublishedTable, Version
 from mercato.sources.raw import Sources
 from mercato.sources.seeds import exchange_rates
 
@@ -64,12 +64,12 @@ def partition_by_period(orders: DataFrame, settings: Settings) -> DataFrame:
     return orders.withColumn(ORDER_PARTITION, period)
 
 
-def watermark(table: PublishedTable, settings: Settings) -> dt.datetime | None:
+def watermark(version: Version, settings: Settings) -> dt.datetime | None:
     """Start of the late-arrival window. Only the newest partition is read for it."""
-    periods = table.partitions()
+    periods = version.partitions()
     if not periods:
         return None
-    newest = table.read([periods[-1]]).agg(F.max("ordered_at")).first()[0]
+    newest = version.read([periods[-1]]).agg(F.max("ordered_at")).first()[0]
     return newest - dt.timedelta(days=settings.lookback_days)
 
 
@@ -90,23 +90,23 @@ def load_orders(
     refresh.
     """
     started_at = started_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    rebuild = full_refresh or not table.exists()
-    since = None if rebuild else watermark(table, settings)
+    version = table.latest()
+    rebuild = full_refresh or version is None
+    since = None if rebuild else watermark(version, settings)
     if not rebuild and since is None:
         rebuild = settings.empty_target == "full"
         if not rebuild:
             log.warning("the order fact is empty, so there is no watermark and nothing is loaded")
 
     if rebuild:
-        fact = partition_by_period(facts.fct_orders(src, settings), settings)
-        staged = table.stage(fact)
+        staged = table.stage(partition_by_period(facts.fct_orders(src, settings), settings))
         require_unique(staged.read(), facts.FCT_ORDERS_KEY)
-        table.commit([staged], staged.schema)
+        version = table.commit(version, [staged], staged.schema)
     elif since is not None:
-        fact = partition_by_period(facts.fct_orders(src, settings, since=since), settings)
-        upsert(table, fact, facts.FCT_ORDERS_KEY)
+        fact = facts.fct_orders(src, settings, since=since)
+        version = upsert(table, version, partition_by_period(fact, settings), facts.FCT_ORDERS_KEY)
     if run_log_path:
-        audit.append_run(table, run_log_path, "fct_orders", started_at, finished_at, run_by)
+        audit.append_run(version, run_log_path, "fct_orders", started_at, finished_at, run_by)
 
 
 def snapshot_sellers(src: Sources, table: PublishedTable, now: dt.datetime) -> None:

@@ -30,150 +30,142 @@ _CARRIER = f"{_PURCHASE} + 24 * (o_orderkey % 7)"
 _CUSTOMER = f"{_CARRIER} + 24 * (o_orderkey % 31)"
 
 
-def _as_money(column: str) -> str:
-    return f"cast(cast({column} as decimal(18,2)) as string)"
-
-
 # A line is told apart by its values, not by its place within the order:
 # numbering the lines of an order would sort each order in one task.
-_LINE_HASH = (
-    "md5(concat_ws('|', cast(l_linenumber as string), cast(l_partkey as string),"
-    " cast(l_suppkey as string), cast(cast(l_shipdate as date) as string), "
-    + ", ".join(map(_as_money, ["l_extendedprice", "l_quantity", "l_discount", "l_tax"]))
-    + "))"
-)
-_HASH_TO_BIGINT = {
-    "spark": f"cast(conv(substr({_LINE_HASH}, 1, 15), 16, 10) as bigint)",
-    "duckdb": f"cast('0x' || substr({_LINE_HASH}, 1, 15) as bigint)",
+_LINE_ID = "0"
+for _part, _range in [
+    ("cast(round(l_extendedprice * 100) as bigint)", 1),
+    ("l_linenumber", 10),
+    ("cast(round(l_quantity) as bigint)", 100),
+    ("cast(round(l_discount * 100) as bigint)", 100),
+    ("cast(round(l_tax * 100) as bigint)", 10),
+    ("l_partkey % 10000", 10000),
+]:
+    _LINE_ID = f"({_LINE_ID}) * {_range} + {_part}"
+
+
+RAW_COLUMNS: dict[str, dict[str, str]] = {
+    "customers": {
+        "customer_id": "'c' || cast(o_orderkey as string)",
+        "customer_unique_id": "'u' || cast(o_custkey as string)",
+        "customer_city": "'são josé ' || cast(o_orderkey % 50 as string)",
+        "customer_state": "substr(o_orderpriority, 3, 2)",
+        "customer_zip_code_prefix": "cast(o_orderkey % 100000 as string)",
+    },
+    "orders": {
+        "order_id": "case when o_orderkey % 97 = 0 then 'x' else '' end || cast(o_orderkey as string)",
+        "customer_id": "'c' || cast(o_orderkey as string)",
+        "order_status": (
+            "case when o_orderstatus = 'F' then 'delivered'"
+            " when o_orderstatus = 'O' then 'shipped'"
+            " when o_orderkey % 2 = 0 then 'canceled' else 'processing' end"
+        ),
+        "order_purchase_timestamp": _after(_PURCHASE),
+        "order_approved_at": (
+            f"case when o_orderkey % 53 <> 0 then {_after(_PURCHASE + ' + o_orderkey % 5')} end"
+        ),
+        "order_delivered_carrier_date": f"case when o_orderstatus <> 'P' then {_after(_CARRIER)} end",
+        "order_delivered_customer_date": f"case when o_orderstatus = 'F' then {_after(_CUSTOMER)} end",
+        "order_estimated_delivery_date": (
+            f"case when o_orderkey % 101 <> 0 then {_DAY} + interval '20' day end"
+        ),
+        "_loaded_at": _after(_PURCHASE + " + 24"),
+    },
+    "order_items": {
+        "order_id": "cast(l_orderkey as string)",
+        "order_item_id": _LINE_ID,
+        "product_id": "case when l_partkey % 67 = 0 then 'p' else '' end || cast(l_partkey as string)",
+        "seller_id": "case when l_suppkey % 71 = 0 then 's' else '' end || cast(l_suppkey as string)",
+        "shipping_limit_date": (
+            "l_shipdate + interval '20' year + interval '1' hour * (l_partkey % 24)"
+        ),
+        "price": "l_extendedprice",
+        "freight_value": "l_quantity - 2",
+    },
+    "products": {
+        "product_id": "cast(p_partkey as string)",
+        "product_category_name": "case when p_partkey % 40 <> 0 then lower(p_type) end",
+        "product_name_lenght": "length(p_name)",
+        "product_description_lenght": "10 * length(p_name)",
+        "product_photos_qty": "p_partkey % 6",
+        "product_weight_g": "p_size * 100",
+        "product_length_cm": "case when p_partkey % 37 <> 0 then p_size * 100 end",
+        "product_height_cm": "1000 * (p_partkey % 30 + 1)",
+        "product_width_cm": "1000 * (p_partkey % 20 + 1)",
+    },
+    "payments": {
+        "order_id": "case when o_orderkey % 89 = 0 then 'y' else '' end || cast(o_orderkey as string)",
+        "payment_sequential": "n",
+        "payment_type": (
+            "case (o_orderkey + n) % 5 when 0 then 'credit_card' when 1 then 'boleto'"
+            " when 2 then 'voucher' when 3 then 'debit_card' else 'not_defined' end"
+        ),
+        "payment_installments": "(o_orderkey + 3 * n) % 6",
+        "payment_value": "case when n = 1 then o_totalprice else n * cast(10.25 as double) end",
+    },
+    "sellers": {
+        "seller_id": "cast(s_suppkey as string)",
+        "seller_city": "lower(s_name)",
+        "seller_state": "'N' || cast(s_nationkey as string)",
+        "seller_zip_code_prefix": "cast(s_suppkey as string)",
+    },
+    "reviews": {
+        "review_id": "'r' || cast(o_orderkey - o_orderkey % 2 as string)",
+        "order_id": "cast(o_orderkey as string)",
+        "review_score": (
+            "case when o_orderkey % 59 = 0 then null when o_orderkey % 83 = 0 then 6"
+            " else 1 + (o_orderkey * 7) % 5 end"
+        ),
+        "review_comment_title": "cast(null as string)",
+        "review_comment_message": "o_orderpriority",
+        "review_creation_date": f"{_DAY} + interval '30' day",
+        "review_answer_timestamp": f"{_DAY} + interval '32' day",
+    },
+    "geolocation": {
+        "geolocation_zip_code_prefix": "cast(c_custkey % 50 as string)",
+        "geolocation_lat": "c_nationkey * cast(1.5 as double) - 20",
+        "geolocation_lng": "c_nationkey * cast(2.5 as double) - 60",
+        "geolocation_city": "'são paulo ' || cast(c_nationkey as string)",
+        "geolocation_state": "substr(c_mktsegment, 1, 2)",
+    },
+    # LARGE gets no translation, so its original name stands in.
+    "category_translation": {
+        "product_category_name": "lower(p_type)",
+        "product_category_name_english": (
+            "upper(substr(p_type, 1, 1)) || lower(substr(p_type, 2)) || ' EN'"
+        ),
+    },
 }
 
 
-def raw_columns(engine: str) -> dict[str, dict[str, str]]:
-    """Column expressions of every raw table for `engine` ("spark" or "duckdb")."""
-    return {
-        "customers": {
-            "customer_id": "'c' || cast(o_orderkey as string)",
-            "customer_unique_id": "'u' || cast(o_custkey as string)",
-            "customer_city": "'são josé ' || cast(o_orderkey % 50 as string)",
-            "customer_state": "substr(o_orderpriority, 3, 2)",
-            "customer_zip_code_prefix": "cast(o_orderkey % 100000 as string)",
-        },
-        "orders": {
-            "order_id": "case when o_orderkey % 97 = 0 then 'x' else '' end || cast(o_orderkey as string)",
-            "customer_id": "'c' || cast(o_orderkey as string)",
-            "order_status": (
-                "case when o_orderstatus = 'F' then 'delivered'"
-                " when o_orderstatus = 'O' then 'shipped'"
-                " when o_orderkey % 2 = 0 then 'canceled' else 'processing' end"
-            ),
-            "order_purchase_timestamp": _after(_PURCHASE),
-            "order_approved_at": (
-                f"case when o_orderkey % 53 <> 0 then {_after(_PURCHASE + ' + o_orderkey % 5')} end"
-            ),
-            "order_delivered_carrier_date": f"case when o_orderstatus <> 'P' then {_after(_CARRIER)} end",
-            "order_delivered_customer_date": f"case when o_orderstatus = 'F' then {_after(_CUSTOMER)} end",
-            "order_estimated_delivery_date": (
-                f"case when o_orderkey % 101 <> 0 then {_DAY} + interval '20' day end"
-            ),
-            "_loaded_at": _after(_PURCHASE + " + 24"),
-        },
-        "order_items": {
-            "order_id": "cast(l_orderkey as string)",
-            "order_item_id": _HASH_TO_BIGINT[engine],
-            "product_id": "case when l_partkey % 67 = 0 then 'p' else '' end || cast(l_partkey as string)",
-            "seller_id": "case when l_suppkey % 71 = 0 then 's' else '' end || cast(l_suppkey as string)",
-            "shipping_limit_date": (
-                "l_shipdate + interval '20' year + interval '1' hour * (l_partkey % 24)"
-            ),
-            "price": "l_extendedprice",
-            "freight_value": "l_quantity - 2",
-        },
-        "products": {
-            "product_id": "cast(p_partkey as string)",
-            "product_category_name": "case when p_partkey % 40 <> 0 then lower(p_type) end",
-            "product_name_lenght": "length(p_name)",
-            "product_description_lenght": "10 * length(p_name)",
-            "product_photos_qty": "p_partkey % 6",
-            "product_weight_g": "p_size * 100",
-            "product_length_cm": "case when p_partkey % 37 <> 0 then p_size * 100 end",
-            "product_height_cm": "1000 * (p_partkey % 30 + 1)",
-            "product_width_cm": "1000 * (p_partkey % 20 + 1)",
-        },
-        "payments": {
-            "order_id": "case when o_orderkey % 89 = 0 then 'y' else '' end || cast(o_orderkey as string)",
-            "payment_sequential": "n",
-            "payment_type": (
-                "case (o_orderkey + n) % 5 when 0 then 'credit_card' when 1 then 'boleto'"
-                " when 2 then 'voucher' when 3 then 'debit_card' else 'not_defined' end"
-            ),
-            "payment_installments": "(o_orderkey + 3 * n) % 6",
-            "payment_value": "case when n = 1 then o_totalprice else n * cast(10.25 as double) end",
-        },
-        "sellers": {
-            "seller_id": "cast(s_suppkey as string)",
-            "seller_city": "lower(s_name)",
-            "seller_state": "'N' || cast(s_nationkey as string)",
-            "seller_zip_code_prefix": "cast(s_suppkey as string)",
-        },
-        "reviews": {
-            "review_id": "'r' || cast(o_orderkey - o_orderkey % 2 as string)",
-            "order_id": "cast(o_orderkey as string)",
-            "review_score": (
-                "case when o_orderkey % 59 = 0 then null when o_orderkey % 83 = 0 then 6"
-                " else 1 + (o_orderkey * 7) % 5 end"
-            ),
-            "review_comment_title": "cast(null as string)",
-            "review_comment_message": "o_orderpriority",
-            "review_creation_date": f"{_DAY} + interval '30' day",
-            "review_answer_timestamp": f"{_DAY} + interval '32' day",
-        },
-        "geolocation": {
-            "geolocation_zip_code_prefix": "cast(c_custkey % 50 as string)",
-            "geolocation_lat": "c_nationkey * cast(1.5 as double) - 20",
-            "geolocation_lng": "c_nationkey * cast(2.5 as double) - 60",
-            "geolocation_city": "'são paulo ' || cast(c_nationkey as string)",
-            "geolocation_state": "substr(c_mktsegment, 1, 2)",
-        },
-        # LARGE gets no translation, so its original name stands in.
-        "category_translation": {
-            "product_category_name": "lower(p_type)",
-            "product_category_name_english": (
-                "upper(substr(p_type, 1, 1)) || lower(substr(p_type, 2)) || ' EN'"
-            ),
-        },
-    }
-
-
 def driver_sources(spark: SparkSession, sf_dir: str) -> Sources:
     """Raw tables over the parquet files in `sf_dir`."""
 
     def given(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-    orders, part = given("orders"), given("part")
-    # One to three payments per order, numbered by n.
-    numbers = F.sequence(F.lit(1), (1 + F.col("o_orderkey") % 3).cast("int"))
-    base = {
-        "customers": orders,
-        "orders": orders,
-        "order_items": given("lineitem"),
-        "products": part,
-        "payments": orders.withColumn("n", F.explode(numbers)),
-        "sellers": given("supplier"),
-        "reviews": orders,
-        "geolocation": given("customer"),
-        "category_translation": part.filter("p_type <> 'LARGE'").select("p_type").distinct(),
-    }
-    return Sources(
-        **{
-            table: conform(
-                base[table].selectExpr(*[f"{e} as {c}" for c, e in columns.items()]),
-                RAW_TABLES[table],
-                table,
-            )
-            for table, columns in raw_columns("spark").items()
-        }
-    )
+    def base(table: str) -> DataFrame:
+        if table == "order_items":
+            return given("lineitem")
+        if table == "products":
+            return given("part")
+        if table == "sellers":
+            return given("supplier")
+        if table == "geolocation":
+            return given("customer")
+        if table == "category_translation":
+            return given("part").filter("p_type <> 'LARGE'").select("p_type").distinct()
+        if table == "payments":
+            # one to three payments per order, numbered by n
+            numbers = F.sequence(F.lit(1), (1 + F.col("o_orderkey") % 3).cast("int"))
+            return given("orders").withColumn("n", F.explode(numbers))
+        return given("orders")
+
+    def load(table: str) -> DataFrame:
+        columns = [f"{e} as {c}" for c, e in RAW_COLUMNS[table].items()]
+        return conform(base(table).selectExpr(*columns), RAW_TABLES[table], table)
+
+    return Sources(load)
 
 
 def duckdb_raw_tables() -> dict[str, str]:
@@ -190,7 +182,7 @@ def duckdb_raw_tables() -> dict[str, str]:
         "category_translation": "(select distinct p_type from part where p_type <> 'LARGE') types",
     }
     texts = {}
-    for table, columns in raw_columns("duckdb").items():
+    for table, columns in RAW_COLUMNS.items():
         types = {f.name: f.dataType.simpleString() for f in RAW_TABLES[table].fields}
         items = [
             f"cast({e} as {types[c].replace('timestamp_ntz', 'timestamp')}) as {c}"

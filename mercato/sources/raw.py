@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,19 +25,25 @@ RAW_NAMES = {
 }
 
 
-@dataclass(frozen=True)
 class Sources:
-    """The raw tables, as lazy DataFrames."""
+    """The raw tables, as lazy DataFrames. A table is opened when it is first asked for."""
 
-    customers: DataFrame
-    orders: DataFrame
-    order_items: DataFrame
-    products: DataFrame
-    payments: DataFrame
-    sellers: DataFrame
-    reviews: DataFrame
-    geolocation: DataFrame
-    category_translation: DataFrame
+    def __init__(self, load: Callable[[str], DataFrame]):
+        self._load = load
+
+    customers: DataFrame = cached_property(lambda self: self._load("customers"))
+    orders: DataFrame = cached_property(lambda self: self._load("orders"))
+    order_items: DataFrame = cached_property(lambda self: self._load("order_items"))
+    products: DataFrame = cached_property(lambda self: self._load("products"))
+    payments: DataFrame = cached_property(lambda self: self._load("payments"))
+    sellers: DataFrame = cached_property(lambda self: self._load("sellers"))
+    reviews: DataFrame = cached_property(lambda self: self._load("reviews"))
+    geolocation: DataFrame = cached_property(lambda self: self._load("geolocation"))
+    category_translation: DataFrame = cached_property(lambda self: self._load("category_translation"))
+
+    def replace(self, **frames: DataFrame) -> Sources:
+        """The same sources with some tables exchanged."""
+        return Sources(lambda table: frames[table] if table in frames else getattr(self, table))
 
 
 def conform(df: DataFrame, schema: T.StructType, name: str) -> DataFrame:
@@ -68,11 +75,12 @@ def read_sources(
     """
     if fmt == "csv":
         options = {"header": True, "escape": '"', **options}
-    frames = {}
-    for table, schema in RAW_TABLES.items():
+
+    def load(table: str) -> DataFrame:
         if fmt == "table":
             df = spark.table(f"{location}.{names[table]}")
         else:
             df = spark.read.format(fmt).options(**options).load(f"{location}/{names[table]}")
-        frames[table] = conform(df, schema, table)
-    return Sources(**frames)
+        return conform(df, RAW_TABLES[table], table)
+
+    return Sources(load)
