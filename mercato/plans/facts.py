@@ -12,7 +12,7 @@ from mercato.config import Settings
 from mercato.functions import ntz, surrogate_key
 from mercato.operators.joins import Lookup, enrich, fits_broadcast, only_keys_of
 from mercato.plans import dimensions, intermediate, staging
-from mercato.plans.intermediate import DELIVERY_METRICS, PAYMENT_METRICS, SLA_METRICS
+from mercato.plans.intermediate import DELIVERY_METRICS, ORDER_TIMES, PAYMENT_METRICS, SLA_METRICS
 from mercato.sources.raw import Sources
 
 FCT_ORDERS_KEY = "order_item_key"
@@ -26,11 +26,7 @@ FCT_ORDERS_COLUMNS = [
     "product_key",
     "order_date_key",
     "order_status",
-    "ordered_at",
-    "approved_at",
-    "shipped_at",
-    "delivered_at",
-    "estimated_delivery_at",
+    *ORDER_TIMES,
     "price",
     "freight_value",
     "item_total_value",

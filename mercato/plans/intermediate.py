@@ -44,6 +44,8 @@ DELIVERY_METRICS = [
     "seller_processing_days",
 ]
 
+ORDER_TIMES = ["ordered_at", "approved_at", "shipped_at", "delivered_at", "estimated_delivery_at"]
+
 DELIVERY_COLUMNS = [
     "order_id",
     "order_status",
@@ -61,11 +63,7 @@ ORDERS_JOINED_COLUMNS = [
     "customer_id",
     "customer_unique_id",
     "order_status",
-    "ordered_at",
-    "approved_at",
-    "shipped_at",
-    "delivered_at",
-    "estimated_delivery_at",
+    *ORDER_TIMES,
     "product_id",
     "seller_id",
     "price",
@@ -175,40 +173,37 @@ def products_with_category(src: Sources, settings: Settings) -> DataFrame:
     ).drop("translated")
 
 
-def orders_joined(src: Sources, settings: Settings) -> DataFrame:
+def orders_joined(
+    src: Sources, settings: Settings, columns: Collection[str] = tuple(ORDERS_JOINED_COLUMNS)
+) -> DataFrame:
     """The wide order-item frame. Every item is kept, also without order, product or seller.
 
     Order columns are put together at order grain and product columns at product
     grain, so the items are shuffled at most once per lookup.
     """
-    orders = enrich(
-        staging.orders(src),
-        [Lookup(staging.customers(src).select("customer_id", "customer_unique_id"), "customer_id")],
-        settings,
-    )
-    products = products_with_category(src, settings).select(
-        "product_id",
-        "product_category_name",
-        "product_category_name_english",
-        "product_weight_g",
-        "product_length_cm",
-        "product_height_cm",
-        "product_width_cm",
-    )
-    sellers = staging.sellers(src).select("seller_id", "seller_city", "seller_state")
-    return enrich(
-        staging.order_items(src),
-        [
-            Lookup(sellers, "seller_id"),
-            Lookup(products, "product_id", sized_by=src.products),
-            Lookup(orders, "order_id", sized_by=src.orders),
-        ],
-        settings,
-    ).select(
-        *[
-            (F.col("price") + F.col("freight_value")).alias(c) if c == "item_total_value" else c
-            for c in ORDERS_JOINED_COLUMNS
-        ]
+    want = set(columns)
+    lookups = []
+    of_seller = [c for c in ("seller_city", "seller_state") if c in want]
+    if of_seller:
+        lookups.append(Lookup(staging.sellers(src).select("seller_id", *of_seller), "seller_id"))
+    of_product = [c for c in ORDERS_JOINED_COLUMNS if c.startswith("product_") and c in want - {"product_id"}]
+    if of_product:
+        products = products_with_category(src, settings).select("product_id", *of_product)
+        lookups.append(Lookup(products, "product_id", sized_by=src.products))
+    of_order = [
+        c for c in ("customer_id", "order_status", *ORDER_TIMES, "customer_unique_id") if c in want
+    ]
+    if of_order:
+        orders = staging.orders(src)
+        if "customer_unique_id" in want:
+            people = staging.customers(src).select("customer_id", "customer_unique_id")
+            orders = enrich(orders, [Lookup(people, "customer_id")], settings)
+        lookups.append(
+            Lookup(orders.select("order_id", *of_order), "order_id", sized_by=src.orders)
+        )
+    total = F.col("price") + F.col("freight_value")
+    return enrich(staging.order_items(src), lookups, settings).select(
+        *[total.alias(c) if c == "item_total_value" else c for c in columns]
     )
 
 
