@@ -21,10 +21,9 @@ _SPREAD = "__spread"
 _SALT = "__salt"
 _SALTS = "__salts"
 
-# The sketch tracks this many keys per column. Its counts are off by at most
-# 3.5 / 4096 of all rows, below the default `hot_key_share`.
-_TRACKED_KEYS = 4096
-_SKETCH_GROUPS = 512
+# Key values are first counted in this many hash buckets per column, far more
+# than there can be hot keys (at most 1 / hot_key_share).
+_BUCKETS = 8192
 
 
 @dataclass(frozen=True)
@@ -49,45 +48,38 @@ def only_keys_of(rows: DataFrame, few: DataFrame, column: str) -> DataFrame:
     return rows.join(F.broadcast(few.select(column)), column, "left_semi")
 
 
-def hot_keys(df: DataFrame, columns: Iterable[str], settings: Settings) -> dict[str, DataFrame]:
+def hot_keys(
+    df: DataFrame, columns: Iterable[str], rows: int, settings: Settings
+) -> dict[str, DataFrame]:
     """For each column that has hot values: a frame (column, number of salts).
 
-    One pass over the key columns. Heavy hitters come from mergeable sketches;
-    these are merged in groups first, so that no task receives all of them.
-    A column has at most 1 / hot_key_share hot values, so collecting them is safe.
+    `rows` is the size of `df`, or more. Counting all keys would shuffle as much
+    as the join itself. So rows are counted per hash bucket in one pass, map-side
+    first, and only the keys of buckets heavy enough to hold a hot key are
+    counted one by one; mostly there are none. At most 1 / hot_key_share buckets
+    and keys of a column can be that heavy, so collecting them is safe.
     """
-    columns = list(columns)
-    sketches = (
-        df.groupBy(F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)))
-        .agg(
-            F.count("*").alias("n"),
-            *[F.expr(f"approx_top_k_accumulate({c}, {_TRACKED_KEYS}) as {c}") for c in columns],
-        )
-        .agg(
-            F.sum("n").alias("n"),
-            *[
-                F.expr(
-                    f"approx_top_k_estimate(approx_top_k_combine({c}, {_TRACKED_KEYS}), {_TRACKED_KEYS})"
-                    f" as {c}"
-                )
-                for c in columns
-            ],
-        )
-        .first()
-    )
-    least = max(settings.hot_key_min_rows, int((sketches["n"] or 0) * settings.hot_key_share))
+    least = max(settings.hot_key_min_rows, int(rows * settings.hot_key_share))
+
+    def bucket(column: str):
+        return F.pmod(F.xxhash64(column), F.lit(_BUCKETS))
+
+    keys = [F.struct(F.lit(c).alias("column"), bucket(c).alias("bucket")) for c in columns]
+    heavy: dict[str, list[int]] = {}
+    counted = df.select(F.inline(F.array(*keys))).groupBy("column", "bucket").count()
+    for row in counted.filter(F.col("count") >= least).collect():
+        heavy.setdefault(row["column"], []).append(row["bucket"])
+
     found = {}
-    for c in columns:
+    for column, buckets in heavy.items():
+        counted = df.filter(bucket(column).isin(buckets)).groupBy(column).count()
         hot = [
-            (row["item"], -(-row["count"] // settings.hot_key_min_rows))
-            for row in sketches[c] or []
-            if row["count"] >= least
+            (row[column], -(-row["count"] // settings.hot_key_min_rows))
+            for row in counted.filter(F.col("count") >= least).collect()
         ]
         if hot:
-            key = df.schema[c]
-            found[c] = df.sparkSession.createDataFrame(
-                hot, f"{key.name} {key.dataType.simpleString()}, {_SALTS} int"
-            )
+            kind = df.schema[column].dataType.simpleString()
+            found[column] = df.sparkSession.createDataFrame(hot, f"{column} {kind}, {_SALTS} int")
     return found
 
 
@@ -132,10 +124,11 @@ def enrich(
     for x in lookups:
         is_small = fits_broadcast(x.sized_by or x.frame, settings) if x.small is None else x.small
         (small if is_small else large).append(x)
-    hot = {}
-    # In a small table no key can be hot.
-    if large and (sized_by or base).count() >= settings.hot_key_min_rows:
-        hot = hot_keys(base, dict.fromkeys(x.on for x in large), settings)
+    rows = (sized_by or base).count() if large else 0
+    if rows >= settings.hot_key_min_rows:
+        hot = hot_keys(base, dict.fromkeys(x.on for x in large), rows, settings)
+    else:  # no key can be hot
+        hot = {}
     if hot:
         base = base.withColumn(_SPREAD, F.xxhash64(F.monotonically_increasing_id()))
     for x in sorted(small, key=lambda x: x.how == "left"):
