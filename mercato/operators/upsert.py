@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,8 +16,17 @@ class DuplicateKeyError(ValueError):
 
 
 def require_unique(df: DataFrame, key: str) -> None:
-    """Raise if a key occurs more than once. Keys are counted map-side first."""
-    repeated = df.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1").first()
+    """Raise if a key occurs more than once.
+
+    Hashes of 8 bytes are shuffled instead of the keys. Only keys whose hash
+    repeats, normally none, are then compared themselves.
+    """
+    hashed = df.select(F.xxhash64(key).alias("hash"))
+    suspects = hashed.groupBy("hash").count().filter("count > 1").select("hash")
+    if suspects.isEmpty():
+        return
+    keys = df.select(key, F.xxhash64(key).alias("hash")).join(suspects, "hash", "left_semi")
+    repeated = keys.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1").first()
     if repeated is not None:
         raise DuplicateKeyError(f"{key} = {repeated[0]!r} occurs {repeated['n']} times")
 
@@ -35,14 +46,21 @@ def sync_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
-def upsert(table: PublishedTable, base: Version | None, batch: DataFrame, key: str) -> Version:
+def upsert(
+    table: PublishedTable,
+    base: Version | None,
+    batch: DataFrame,
+    key: str,
+    search: Iterable[str] | None = None,
+) -> Version:
     """Publish a version in which the rows of `batch` replace those of `base` with the same key.
 
     Rows whose key is not in the batch stay, also if their source is gone. The
     table takes on the batch's columns. The batch is written once; of the old
     table only partitions that hold replaced rows are rewritten. They are found
     by looking for the batch's keys in the whole table's key column, as a row may
-    have moved to another partition.
+    have moved to another partition. `search` names the partitions to look in,
+    where it is known that others cannot hold any.
     """
     column = table.partition_column
     staged = table.stage(batch)
@@ -56,7 +74,8 @@ def upsert(table: PublishedTable, base: Version | None, batch: DataFrame, key: s
     retyped = any(types.get(f.name, f.dataType) != f.dataType for f in staged.schema.fields)
     keys = new_rows.select(key)
     if column and not retyped:
-        replaced = base.read(with_partition=True).select(key, column).join(keys, key, "left_semi")
+        candidates = base.read(search, with_partition=True).select(key, column)
+        replaced = candidates.join(keys, key, "left_semi")
         touched = {r[0] for r in replaced.select(column).distinct().collect()}
     else:
         touched = set(everything)

@@ -23,7 +23,8 @@ from mercato.sources.seeds import exchange_rates
 log = logging.getLogger(__name__)
 
 ORDER_PARTITION = "order_period"
-_PERIOD_FORMAT = {"month": "yyyy-MM", "day": "yyyy-MM-dd"}
+_PERIOD = {"month": "%Y-%m", "day": "%Y-%m-%d"}
+_SPARK_PERIOD = {"month": "yyyy-MM", "day": "yyyy-MM-dd"}
 
 # Columns of a seller whose change opens a new version in the seller history.
 SELLER_CHECK_COLUMNS = ("seller_city", "seller_state")
@@ -64,7 +65,7 @@ class Warehouse:
 
 def partition_by_period(orders: DataFrame, settings: Settings) -> DataFrame:
     """Add the partition column, whose values sort by time. It is not a column of the model."""
-    period = F.date_format("ordered_at", _PERIOD_FORMAT[settings.fact_partition])
+    period = F.date_format("ordered_at", _SPARK_PERIOD[settings.fact_partition])
     return orders.withColumn(ORDER_PARTITION, period)
 
 
@@ -107,8 +108,10 @@ def load_orders(
         require_unique(staged.read(), facts.FCT_ORDERS_KEY)
         version = table.commit(version, [staged], staged.schema)
     elif since is not None:
-        fact = facts.fct_orders(src, settings, since=since)
-        version = upsert(table, version, partition_by_period(fact, settings), facts.FCT_ORDERS_KEY)
+        fact = partition_by_period(facts.fct_orders(src, settings, since=since), settings)
+        recent = [p for p in version.partitions() if p >= since.strftime(_PERIOD[settings.fact_partition])]
+        search = recent if settings.fixed_order_times else None
+        version = upsert(table, version, fact, facts.FCT_ORDERS_KEY, search)
     if run_log_path:
         audit.append_run(version, run_log_path, "fct_orders", started_at, finished_at, run_by)
 

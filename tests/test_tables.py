@@ -211,11 +211,19 @@ def test_duplicate_items_are_refused(warehouse, settings, make_sources, order, i
     assert warehouse.fct_orders.latest() is None
 
 
-@pytest.mark.parametrize("broadcast", [0, 100_000])
-def test_incremental_plans_agree(warehouse, settings, shop, broadcast):
+@pytest.mark.parametrize(
+    "options", [{"broadcast_max_rows": 0}, {"fixed_order_times": True}, {"fact_partition": "day"}]
+)
+def test_incremental_plans_agree(warehouse, settings, shop, options):
+    settings = replace(settings, **options)
     load(warehouse, shop(), settings)
-    shuffled = replace(settings, broadcast_max_rows=broadcast)
-    assert set(load(warehouse, shop(days={"o4": "2018-01-23"}), shuffled)) == {"o1", "o2", "o3", "o4"}
+    loaded = load(warehouse, shop(o3={"order_status": "canceled"}, days={"o4": "2018-02-03"}), settings)
+    assert {k: r.order_status for k, r in loaded.items()} == {
+        "o1": "delivered",
+        "o2": "delivered",
+        "o3": "canceled",
+        "o4": "delivered",
+    }
 
 
 def test_run_log_counts_the_whole_table(warehouse, settings, shop):
