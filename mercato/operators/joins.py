@@ -9,7 +9,7 @@ other here, because unmatched NULL rows are shuffled too.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -31,16 +31,13 @@ class Lookup:
     frame: DataFrame
     on: str
     how: str = "left"
-    # A cheaper frame with at least as many rows as `frame`, counted instead of it.
-    sized_by: DataFrame | None = None
-    # Whether `frame` fits a broadcast, where the caller has counted already.
-    small: bool | None = None
+    # Returns the row count of `frame`, or a bound that is cheaper to get.
+    size: Callable[[], int] | None = None
 
 
-def fits_broadcast(df: DataFrame, settings: Settings) -> bool:
-    """Whether `df` is small enough to broadcast. Counting a stored table reads footers only."""
-    limit = settings.broadcast_max_rows
-    return limit > 0 and df.count() <= limit
+def fits_broadcast(size: Callable[[], int], settings: Settings) -> bool:
+    """Whether a frame is small enough to broadcast. Counting a stored table reads footers only."""
+    return settings.broadcast_max_rows > 0 and size() <= settings.broadcast_max_rows
 
 
 def only_keys_of(rows: DataFrame, few: DataFrame, column: str) -> DataFrame:
@@ -110,21 +107,20 @@ def enrich(
     base: DataFrame,
     lookups: Iterable[Lookup],
     settings: Settings,
-    sized_by: DataFrame | None = None,
+    size: Callable[[], int] | None = None,
 ) -> DataFrame:
     """Join every lookup onto `base` (how: left, inner, left_semi or left_anti).
 
     Broadcast lookups go first, as they need no shuffle; row-reducing ones lead.
     The others follow in the given order, so list those that add few columns first.
     `base` should read stored tables directly: the spreading numbers are taken
-    from it, and must come out the same when a lost task runs again. `sized_by` is
-    a frame with at least its rows that is cheaper to count, such as the raw table.
+    from it, and must come out the same when a lost task runs again. `size` returns
+    its row count, or a bound that is cheaper to get.
     """
     small, large = [], []
     for x in lookups:
-        is_small = fits_broadcast(x.sized_by or x.frame, settings) if x.small is None else x.small
-        (small if is_small else large).append(x)
-    rows = (sized_by or base).count() if large else 0
+        (small if fits_broadcast(x.size or x.frame.count, settings) else large).append(x)
+    rows = (size or base.count)() if large else 0
     if rows >= settings.hot_key_min_rows:
         hot = hot_keys(base, dict.fromkeys(x.on for x in large), rows, settings)
     else:  # no key can be hot

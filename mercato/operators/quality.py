@@ -81,7 +81,7 @@ def relationships(
         child.filter(F.col(column).isNotNull()),
         [Lookup(known, column, how="left_anti")],
         settings,
-        sized_by=child,
+        size=child.count,
     )
 
 

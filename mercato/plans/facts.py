@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Collection
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -96,17 +97,18 @@ def fct_orders(
         raise ValueError(f"fct_orders has no columns {sorted(unknown)}")
 
     placed = staging.orders(src).filter(F.col("ordered_at") >= ntz(since or settings.start_date))
-    few = fits_broadcast(placed, settings)
-    # A full build needs (nearly) all rows of the other tables anyway.
-    few_orders = placed if few and since else None
+    # A full build needs (nearly) all rows of the tables, an incremental one few.
+    placed_size = cache(placed.count) if since else src.size("orders")
+    few_orders = placed if since and fits_broadcast(placed_size, settings) else None
 
     orders = placed
     if "customer_key" in want:
         people = staging.customers(src).select("customer_id", "customer_unique_id")
+        people_size = src.size("customers")
         if few_orders is not None:
-            people = only_keys_of(people, few_orders, "customer_id")
-        by_customer = Lookup(people, "customer_id", small=True if few_orders is not None else None)
-        orders = enrich(orders, [by_customer], settings, sized_by=src.orders).withColumn(
+            people, people_size = only_keys_of(people, few_orders, "customer_id"), placed_size
+        by_customer = Lookup(people, "customer_id", size=people_size)
+        orders = enrich(orders, [by_customer], settings, size=placed_size).withColumn(
             "customer_key", _key_of("customer_unique_id")
         )
     if "order_date_key" in want:
@@ -124,21 +126,21 @@ def fct_orders(
         "order_id", *[c for c in columns if c in orders.columns and c not in {"order_id", *item_columns}]
     )
 
-    by_order = Lookup(orders, "order_id", how="inner", small=few)
+    by_order = Lookup(orders, "order_id", how="inner", size=placed_size)
     lookups = []
     if "seller_key" in want:
         known = staging.sellers(src).select("seller_id", surrogate_key("seller_id").alias("seller_key"))
-        lookups.append(Lookup(known, "seller_id"))
+        lookups.append(Lookup(known, "seller_id", size=src.size("sellers")))
     if "product_key" in want:
         known = staging.products(src).select(
             "product_id", surrogate_key("product_id").alias("product_key")
         )
-        lookups.append(Lookup(known, "product_id"))
+        lookups.append(Lookup(known, "product_id", size=src.size("products")))
     # A full build shuffles narrow item rows by seller and product before they
     # get their order columns; an incremental one cuts the items down first.
     lookups = [by_order, *lookups] if since else [*lookups, by_order]
 
-    items = enrich(staging.order_items(src), lookups, settings)
+    items = enrich(staging.order_items(src), lookups, settings, size=src.size("order_items"))
     derived = {
         "order_item_key": surrogate_key("order_id", "order_item_id"),
         "item_total_value": F.col("price") + F.col("freight_value"),
@@ -156,7 +158,8 @@ def fct_reviews(
         delivery = intermediate.delivery_performance(
             src, ["order_id", "delivery_delay_days", "is_on_time_delivery"]
         )
-        reviews = enrich(reviews, [Lookup(delivery, "order_id", sized_by=src.orders)], settings)
+        by_order = Lookup(delivery, "order_id", size=src.size("orders"))
+        reviews = enrich(reviews, [by_order], settings, size=src.size("reviews"))
     if "review_date_key" in want:
         reviews = _with_date_key(reviews, src, settings, "review_created_at", "review_date_key")
 

@@ -164,9 +164,11 @@ def products_with_category(src: Sources, settings: Settings) -> DataFrame:
                     "product_category_name_english", "translated"
                 ),
                 "product_category_name",
+                size=src.size("category_translation"),
             )
         ],
         settings,
+        size=src.size("products"),
     )
     return joined.withColumn(
         "product_category_name_english", F.coalesce("translated", "product_category_name")
@@ -185,11 +187,12 @@ def orders_joined(
     lookups = []
     of_seller = [c for c in ("seller_city", "seller_state") if c in want]
     if of_seller:
-        lookups.append(Lookup(staging.sellers(src).select("seller_id", *of_seller), "seller_id"))
+        sellers = staging.sellers(src).select("seller_id", *of_seller)
+        lookups.append(Lookup(sellers, "seller_id", size=src.size("sellers")))
     of_product = [c for c in ORDERS_JOINED_COLUMNS if c.startswith("product_") and c in want - {"product_id"}]
     if of_product:
         products = products_with_category(src, settings).select("product_id", *of_product)
-        lookups.append(Lookup(products, "product_id", sized_by=src.products))
+        lookups.append(Lookup(products, "product_id", size=src.size("products")))
     of_order = [
         c for c in ("customer_id", "order_status", *ORDER_TIMES, "customer_unique_id") if c in want
     ]
@@ -197,12 +200,14 @@ def orders_joined(
         orders = staging.orders(src)
         if "customer_unique_id" in want:
             people = staging.customers(src).select("customer_id", "customer_unique_id")
-            orders = enrich(orders, [Lookup(people, "customer_id")], settings)
+            by_customer = Lookup(people, "customer_id", size=src.size("customers"))
+            orders = enrich(orders, [by_customer], settings, size=src.size("orders"))
         lookups.append(
-            Lookup(orders.select("order_id", *of_order), "order_id", sized_by=src.orders)
+            Lookup(orders.select("order_id", *of_order), "order_id", size=src.size("orders"))
         )
     total = F.col("price") + F.col("freight_value")
-    return enrich(staging.order_items(src), lookups, settings).select(
+    items = enrich(staging.order_items(src), lookups, settings, size=src.size("order_items"))
+    return items.select(
         *[total.alias(c) if c == "item_total_value" else c for c in columns]
     )
 

@@ -10,6 +10,8 @@ by giving some rows other values, never by dropping rows.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -141,6 +143,7 @@ RAW_COLUMNS: dict[str, dict[str, str]] = {
 def driver_sources(spark: SparkSession, sf_dir: str) -> Sources:
     """Raw tables over the parquet files in `sf_dir`."""
 
+    @cache
     def given(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -30,6 +30,7 @@ class Sources:
 
     def __init__(self, load: Callable[[str], DataFrame]):
         self._load = load
+        self._counts: dict[str, int] = {}
 
     customers: DataFrame = cached_property(lambda self: self._load("customers"))
     orders: DataFrame = cached_property(lambda self: self._load("orders"))
@@ -41,6 +42,16 @@ class Sources:
     geolocation: DataFrame = cached_property(lambda self: self._load("geolocation"))
     category_translation: DataFrame = cached_property(lambda self: self._load("category_translation"))
 
+    def size(self, table: str) -> Callable[[], int]:
+        """A function that returns the row count of a table, counted once."""
+
+        def count() -> int:
+            if table not in self._counts:
+                self._counts[table] = getattr(self, table).count()
+            return self._counts[table]
+
+        return count
+
     def replace(self, **frames: DataFrame) -> Sources:
         """The same sources with some tables exchanged."""
         return Sources(lambda table: frames[table] if table in frames else getattr(self, table))
