@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Collection
 from functools import cache
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.config import Settings
@@ -65,11 +65,6 @@ def _with_date_key(rows: DataFrame, src: Sources, settings: Settings, time: str,
     )
 
 
-def _key_of(id_column: str) -> Column:
-    """Surrogate key of an id that was looked up; NULL where the lookup failed."""
-    return F.when(F.col(id_column).isNotNull(), surrogate_key(id_column))
-
-
 def fct_orders(
     src: Sources,
     settings: Settings,
@@ -109,10 +104,9 @@ def fct_orders(
             people, people_size = only_keys_of(people, few_orders, "customer_id"), placed_size
         by_customer = Lookup(people, "customer_id", size=people_size)
         orders = enrich(orders, [by_customer], settings, size=placed_size).withColumn(
-            "customer_key", _key_of("customer_unique_id")
+            "customer_key",
+            F.when(F.col("customer_unique_id").isNotNull(), surrogate_key("customer_unique_id")),
         )
-    if "order_date_key" in want:
-        orders = _with_date_key(orders, src, settings, "ordered_at", "order_date_key")
     if want & set(PAYMENT_METRICS):
         orders = orders.join(
             intermediate.order_payments_summary(src, few_orders), "order_id", "left"
@@ -121,28 +115,27 @@ def fct_orders(
         orders = orders.join(intermediate.shipping_deadlines(src, few_orders), "order_id", "left")
     orders = intermediate.with_delivery_metrics(orders, want)
 
-    item_columns = ["order_item_id", "price", "freight_value"]
-    orders = orders.select(
-        "order_id", *[c for c in columns if c in orders.columns and c not in {"order_id", *item_columns}]
-    )
+    needed = want | {"order_id"} | ({"ordered_at"} if "order_date_key" in want else set())
+    orders = orders.select(*[c for c in orders.columns if c in needed])
 
     by_order = Lookup(orders, "order_id", how="inner", size=placed_size)
     lookups = []
-    if "seller_key" in want:
-        known = staging.sellers(src).select("seller_id", surrogate_key("seller_id").alias("seller_key"))
-        lookups.append(Lookup(known, "seller_id", size=src.size("sellers")))
-    if "product_key" in want:
-        known = staging.products(src).select(
-            "product_id", surrogate_key("product_id").alias("product_key")
-        )
-        lookups.append(Lookup(known, "product_id", size=src.size("products")))
+    for name, ids in (("seller", staging.sellers(src)), ("product", staging.products(src))):
+        if f"{name}_key" in want:
+            known = ids.select(f"{name}_id", F.lit(True).alias(f"{name}_known"))
+            lookups.append(Lookup(known, f"{name}_id", size=src.size(f"{name}s")))
     # A full build shuffles narrow item rows by seller and product before they
     # get their order columns; an incremental one cuts the items down first.
     lookups = [by_order, *lookups] if since else [*lookups, by_order]
 
     items = enrich(staging.order_items(src), lookups, settings, size=src.size("order_items"))
+    if "order_date_key" in want:
+        items = _with_date_key(items, src, settings, "ordered_at", "order_date_key")
+    # Keys are hashed last, so that their 32 characters are not shuffled.
     derived = {
         "order_item_key": surrogate_key("order_id", "order_item_id"),
+        "seller_key": F.when(F.col("seller_known"), surrogate_key("seller_id")),
+        "product_key": F.when(F.col("product_known"), surrogate_key("product_id")),
         "item_total_value": F.col("price") + F.col("freight_value"),
     }
     return items.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in columns])
