@@ -30,7 +30,9 @@ class Settings:
     empty_target: str = "none"
 
     # A lookup with at most this many rows is broadcast; a larger one is shuffled.
+    # The second limit is for frames of bare ids, which filter other tables.
     broadcast_max_rows: int = 100_000
+    broadcast_max_ids: int = 1_000_000
 
     # A join key is hot when it holds at least this many rows and this share of
     # all rows. Hot keys are split into salts of about `hot_key_min_rows` rows.

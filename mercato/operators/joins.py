@@ -35,13 +35,13 @@ class Lookup:
     size: Callable[[], int] | None = None
 
 
-def fits_broadcast(size: Callable[[], int], settings: Settings) -> bool:
+def fits_broadcast(size: Callable[[], int], limit: int) -> bool:
     """Whether a frame is small enough to broadcast. Counting a stored table reads footers only."""
-    return settings.broadcast_max_rows > 0 and size() <= settings.broadcast_max_rows
+    return limit > 0 and size() <= limit
 
 
 def only_keys_of(rows: DataFrame, few: DataFrame, column: str) -> DataFrame:
-    """The rows whose `column` occurs in `few`, a frame that fits a broadcast. No shuffle."""
+    """The rows whose `column` occurs in `few`, whose size was checked. No shuffle."""
     return rows.join(F.broadcast(few.select(column)), column, "left_semi")
 
 
@@ -119,7 +119,8 @@ def enrich(
     """
     small, large = [], []
     for x in lookups:
-        (small if fits_broadcast(x.size or x.frame.count, settings) else large).append(x)
+        is_small = fits_broadcast(x.size or x.frame.count, settings.broadcast_max_rows)
+        (small if is_small else large).append(x)
     rows = (size or base.count)() if large else 0
     if rows >= settings.hot_key_min_rows:
         hot = hot_keys(base, dict.fromkeys(x.on for x in large), rows, settings)

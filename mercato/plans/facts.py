@@ -94,7 +94,7 @@ def fct_orders(
     placed = staging.orders(src).filter(F.col("ordered_at") >= ntz(since or settings.start_date))
     # A full build needs (nearly) all rows of the tables, an incremental one few.
     placed_size = cache(placed.count) if since else src.size("orders")
-    few_orders = placed if since and fits_broadcast(placed_size, settings) else None
+    few_orders = placed if since and fits_broadcast(placed_size, settings.broadcast_max_ids) else None
 
     orders = placed
     if "customer_key" in want:
@@ -128,7 +128,10 @@ def fct_orders(
     # get their order columns; an incremental one cuts the items down first.
     lookups = [by_order, *lookups] if since else [*lookups, by_order]
 
-    items = enrich(staging.order_items(src), lookups, settings, size=src.size("order_items"))
+    items = staging.order_items(src)
+    if few_orders is not None and not fits_broadcast(placed_size, settings.broadcast_max_rows):
+        items = only_keys_of(items, few_orders, "order_id")
+    items = enrich(items, lookups, settings, size=src.size("order_items"))
     if "order_date_key" in want:
         items = _with_date_key(items, src, settings, "ordered_at", "order_date_key")
     # Keys are hashed last, so that their 32 characters are not shuffled.

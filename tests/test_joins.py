@@ -69,8 +69,8 @@ def test_hot_rows_are_spread(spark):
 
 
 def test_size_is_checked(spark):
-    assert fits_broadcast(spark.range(10).count, Settings(broadcast_max_rows=10))
-    assert not fits_broadcast(spark.range(11).count, Settings(broadcast_max_rows=10))
+    assert fits_broadcast(spark.range(10).count, 10)
+    assert not fits_broadcast(spark.range(11).count, 10)
     large = enrich(skewed(spark), [Lookup(lookup(spark), "k")], SHUFFLED)
     assert "__salt" in large._jdf.queryExecution().toString()
     small = enrich(skewed(spark), [Lookup(lookup(spark), "k")], Settings())

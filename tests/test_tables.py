@@ -212,7 +212,13 @@ def test_duplicate_items_are_refused(warehouse, settings, make_sources, order, i
 
 
 @pytest.mark.parametrize(
-    "options", [{"broadcast_max_rows": 0}, {"fixed_order_times": True}, {"fact_partition": "day"}]
+    "options",
+    [
+        {"broadcast_max_rows": 0, "broadcast_max_ids": 0},
+        {"broadcast_max_rows": 1},
+        {"fixed_order_times": True},
+        {"fact_partition": "day"},
+    ],
 )
 def test_incremental_plans_agree(warehouse, settings, shop, options):
     settings = replace(settings, **options)
