@@ -35,6 +35,6 @@ class Settings:
     broadcast_max_ids: int = 1_000_000
 
     # A join key is hot when it holds at least this many rows and this share of
-    # all rows. Hot keys are split into salts of about `hot_key_min_rows` rows.
+    # all rows. It is split into salts of about a quarter of `hot_key_min_rows`.
     hot_key_min_rows: int = 1_000_000
     hot_key_share: float = 0.001

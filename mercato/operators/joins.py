@@ -57,6 +57,8 @@ def hot_keys(
     and keys of a column can be that heavy, so collecting them is safe.
     """
     least = max(settings.hot_key_min_rows, int(rows * settings.hot_key_share))
+    # Small portions, as several may end up in the same task.
+    rows_per_salt = max(1, settings.hot_key_min_rows // 4)
 
     def bucket(column: str):
         return F.pmod(F.xxhash64(column), F.lit(_BUCKETS))
@@ -71,7 +73,7 @@ def hot_keys(
     for column, buckets in heavy.items():
         counted = df.filter(bucket(column).isin(buckets)).groupBy(column).count()
         hot = [
-            (row[column], -(-row["count"] // settings.hot_key_min_rows))
+            (row[column], -(-row["count"] // rows_per_salt))
             for row in counted.filter(F.col("count") >= least).collect()
         ]
         if hot:

@@ -11,7 +11,7 @@ from mercato.sources.schemas import RAW_TABLES
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8, "tests")
+    session = local_session(4, "tests")
     yield session
     session.stop()
 
