@@ -1,19 +1,25 @@
 from mercato.functions.scalars import (
+    cents,
     cents_to_currency,
     current_timestamp_utc,
     day_diff,
+    from_cents,
     money,
     ntz,
     safe_divide,
+    sum_money,
     surrogate_key,
 )
 
 __all__ = [
+    "cents",
     "cents_to_currency",
     "current_timestamp_utc",
     "day_diff",
+    "from_cents",
     "money",
     "ntz",
     "safe_divide",
+    "sum_money",
     "surrogate_key",
 ]

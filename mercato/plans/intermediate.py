@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.config import Settings
-from mercato.functions import day_diff, money
+from mercato.functions import cents, day_diff, from_cents
 from mercato.operators.joins import Lookup, enrich, only_keys_of
 from mercato.plans import staging
 from mercato.sources.raw import Sources
@@ -92,16 +92,16 @@ def _of_orders(rows: DataFrame, few_orders: DataFrame | None) -> DataFrame:
 
 def order_payments_summary(src: Sources, few_orders: DataFrame | None = None) -> DataFrame:
     """Payments, one row per order."""
-    paid = money("payment_value")
+    paid = cents("payment_value")
     by_type = [
-        F.sum(F.when(F.col("payment_type") == kind, paid).otherwise(F.lit(0))).alias(column)
+        from_cents(F.sum(F.when(F.col("payment_type") == kind, paid).otherwise(0))).alias(column)
         for kind, column in PAYMENT_TYPE_COLUMNS.items()
     ]
     return (
         _of_orders(staging.payments(src), few_orders)
         .groupBy("order_id")
         .agg(
-            F.sum(paid).alias("total_payment_value"),
+            from_cents(F.sum(paid)).alias("total_payment_value"),
             F.max("payment_installments").alias("max_installments"),
             F.sum(F.when(F.col("payment_installments") > 1, 1).otherwise(0)).alias(
                 "installment_payment_count"

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercato.config import Settings
-from mercato.functions import money, safe_divide
+from mercato.functions import money, safe_divide, sum_money
 from mercato.plans.intermediate import PAYMENT_TYPE_COLUMNS
 
 GMV_COLUMNS = ["item_total_value"]
@@ -46,7 +46,7 @@ def gmv(orders: DataFrame) -> DataFrame:
 
 def average_order_value(orders: DataFrame) -> DataFrame:
     """Summed per order first, which also makes the order count a plain count."""
-    per_order = orders.groupBy("order_id").agg(F.sum(money("item_total_value")).alias("amount"))
+    per_order = orders.groupBy("order_id").agg(sum_money("item_total_value").alias("amount"))
     return per_order.agg(
         _total(F.col("amount")).alias("gmv"), F.count("order_id").alias("order_count")
     ).select("gmv", "order_count", safe_divide(F.col("gmv").cast("double"), "order_count").alias("aov"))
@@ -135,7 +135,7 @@ def top_categories(orders: DataFrame, products: DataFrame, n: int = 10) -> DataF
 
     Items are summed per product before they meet the product dimension.
     """
-    per_product = orders.groupBy("product_key").agg(F.sum(money("price")).alias("revenue"))
+    per_product = orders.groupBy("product_key").agg(sum_money("price").alias("revenue"))
     names = products.select("product_key", "product_category_name_english")
     return (
         per_product.join(names, "product_key", "left")

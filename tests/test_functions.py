@@ -6,7 +6,14 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from mercato.functions import cents_to_currency, current_timestamp_utc, day_diff, safe_divide, surrogate_key
+from mercato.functions import (
+    cents_to_currency,
+    current_timestamp_utc,
+    day_diff,
+    safe_divide,
+    sum_money,
+    surrogate_key,
+)
 from mercato.sources.seeds import exchange_rates
 
 
@@ -44,6 +51,12 @@ def test_cents_to_currency(spark, cents, amount):
     assert value(spark, cents_to_currency(F.lit(cents), "USD")) == Decimal(amount)
 
 
+def test_sum_money(spark):
+    amounts = spark.createDataFrame([(0.1,), (0.2,), (1.005,), (None,)], "x double")
+    assert amounts.agg(sum_money("x").alias("x")).first().x == Decimal("1.31")
+    assert amounts.filter("x is null").agg(sum_money("x").alias("x")).first().x is None
+
+
 def test_day_diff_counts_midnights(spark):
     start, end = (F.lit(t).cast("timestamp_ntz") for t in ("2018-01-01 23:30:00", "2018-01-02 00:30:00"))
     assert value(spark, day_diff(start, end)) == 1
