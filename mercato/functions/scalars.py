@@ -62,9 +62,10 @@ def cents(amount: Column | str) -> Column:
     return (money(amount) * 100).cast("bigint")
 
 
-def from_cents(total: Column) -> Column:
-    """The decimal amount of a sum of cents."""
-    return (total.cast("decimal(20,0)") * F.lit("0.01").cast("decimal(2,2)")).cast("decimal(28,2)")
+def from_cents(total: Column, precision: int = 18) -> Column:
+    """The decimal amount of a sum of cents. Up to 18 digits it is stored in 8 bytes."""
+    cent = F.lit("0.01").cast("decimal(2,2)")
+    return (total.cast("decimal(20,0)") * cent).cast(f"decimal({precision},2)")
 
 
 def sum_money(amount: Column | str) -> Column:
@@ -72,7 +73,7 @@ def sum_money(amount: Column | str) -> Column:
 
     A group may hold up to 9 * 10^16 currency units; more is an error in ANSI mode.
     """
-    return from_cents(F.sum(cents(amount)))
+    return from_cents(F.sum(cents(amount)), precision=28)
 
 
 def ntz(value: dt.datetime) -> Column:

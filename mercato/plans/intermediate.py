@@ -223,7 +223,7 @@ def fan_out_report(src: Sources) -> DataFrame:
     per_order = items.join(order_payments_summary(src), "order_id", "left")
     count = F.col("items").cast("decimal(15,0)")
     copies = F.coalesce(F.col("payment_record_count"), F.lit(1)).cast("decimal(15,0)")
-    payment = F.col("total_payment_value").cast("decimal(18,2)")
+    payment = F.col("total_payment_value")
     return per_order.agg(
         F.sum("items").alias("joined_rows"),
         F.sum(count * copies).cast("decimal(38,0)").alias("naive_rows"),

@@ -55,7 +55,7 @@ _STAGING = {
 }
 
 _PAYMENT_TYPE_SUMS = ", ".join(
-    f"cast(coalesce(sum({_cents('payment_value')}) filter (payment_type = '{t}'), 0) as decimal(28,2))"
+    f"cast(coalesce(sum({_cents('payment_value')}) filter (payment_type = '{t}'), 0) as decimal(18,2))"
     f" {t}_value"
     for t in ("credit_card", "boleto", "voucher", "debit_card")
 )
@@ -64,7 +64,7 @@ _PAYMENT_TYPE_SUMS = ", ".join(
 def _payments_summary(payments: str) -> str:
     return f"""
     select order_id,
-      cast(sum({_cents("payment_value")}) as decimal(28,2)) total_payment_value,
+      cast(sum({_cents("payment_value")}) as decimal(18,2)) total_payment_value,
       max(payment_installments) max_installments,
       count(*) filter (payment_installments > 1) installment_payment_count,
       {_PAYMENT_TYPE_SUMS},
@@ -283,7 +283,7 @@ _QUERIES = {
     select * from late
     union all by name
     select * exclude (payment_record_count, voucher_value), cast(null as bigint) payment_record_count,
-      cast(null as decimal(28,2)) voucher_value
+      cast(null as decimal(18,2)) voucher_value
     from order_payments_summary anti join late using (order_id)""",
     "audit_run_log": f"""
     select 'fct_orders' model_name, timestamp '{RUN_1[0]}' run_started_at,
