@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -30,6 +31,16 @@ from mercato.sources.driver_tables import driver_sources  # noqa: E402
 from mercato.sources.published import PublishedTable  # noqa: E402
 from mercato.sources.seeds import exchange_rates  # noqa: E402
 
+# The training-data operators are an optional part; an error inside them still shows.
+HAS_LLM = bool(importlib.util.find_spec("mercato.llm")) and bool(
+    importlib.util.find_spec("mercato.llm.registry")
+)
+if HAS_LLM:
+    from mercato.llm import registry as llm  # noqa: E402
+HAS_PIPELINE = HAS_LLM and importlib.util.find_spec("corpus_pipeline") is not None
+if HAS_PIPELINE:
+    import corpus_pipeline  # noqa: E402
+
 SETTINGS = Settings()
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -269,8 +280,15 @@ def queries() -> dict[str, Query]:
         "kpi_gmv_usd": lambda spark, sf_dir: kpis.gmv_usd(
             orders_with(kpis.GMV_COLUMNS)(driver_sources(spark, sf_dir)), exchange_rates(spark), SETTINGS
         ),
+        **(llm.QUERIES if HAS_LLM else {}),
+        **({"pipeline": corpus_pipeline.run} if HAS_PIPELINE else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.oracle_texts()
+    texts = oracle.oracle_texts()
+    if HAS_LLM:
+        texts |= llm.ORACLE_SQL
+    if HAS_PIPELINE and corpus_pipeline.ORACLE_SQL is not None:
+        texts["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return texts
