@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -59,3 +60,26 @@ def _batch(schema: pa.Schema, block: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
     )
+
+
+def salted_lookup(rows: DataFrame, lookup: DataFrame, key: str, spread: Column, salts: int = 8) -> DataFrame:
+    """`rows` left-joined with `lookup` (one row per key), every key's rows spread over `salts` partitions.
+
+    For lookups that hold only keys of several rows, so that repeating them is cheap. `spread`
+    tells rows of one key apart.
+    """
+    left = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    right = lookup.withColumn("_salt", F.explode(F.array(*(F.lit(i) for i in range(salts)))))
+    return left.join(right, [key, "_salt"], "left").drop("_salt")
+
+
+def workers_import_package(spark: SparkSession) -> None:
+    """Let Python workers of a local session import this package, whatever folder it was started in.
+
+    On a cluster the package is installed, or sent with --py-files.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])

@@ -2,15 +2,33 @@
 
 from __future__ import annotations
 
+from mercato.llm.common import workers_import_package
 from mercato.llm.op1_license_scan import op1_license_scan
 from mercato.llm.op7_sharding import ORACLE as ORACLE_7
 from mercato.llm.op7_sharding import op7_sharding
+from mercato.llm.op9_warc import ORACLE as ORACLE_9
+from mercato.llm.op9_warc import op9_warc
+from mercato.llm.op10_language_id import op10_language_id
 
-QUERIES = {
+_QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op7_sharding": op7_sharding,
+    "op9_warc": op9_warc,
+    "op10_language_id": op10_language_id,
 }
 
+
+def _with_package(query):
+    def run(spark, sf_dir):
+        workers_import_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+QUERIES = {name: _with_package(query) for name, query in _QUERIES.items()}
+
 ORACLE_SQL = {
     "op7_sharding": ORACLE_7,
+    "op9_warc": ORACLE_9,
 }
