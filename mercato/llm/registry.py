@@ -7,6 +7,8 @@ from mercato.llm.op1_license_scan import op1_license_scan
 from mercato.llm.op6_bpe import op6_bpe
 from mercato.llm.op7_sharding import ORACLE as ORACLE_7
 from mercato.llm.op7_sharding import op7_sharding
+from mercato.llm.op8_fingerprints import ORACLE as ORACLE_8
+from mercato.llm.op8_fingerprints import op8_fingerprints
 from mercato.llm.op9_warc import ORACLE as ORACLE_9
 from mercato.llm.op9_warc import op9_warc
 from mercato.llm.op10_language_id import op10_language_id
@@ -15,6 +17,7 @@ _QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op6_bpe": op6_bpe,
     "op7_sharding": op7_sharding,
+    "op8_fingerprints": op8_fingerprints,
     "op9_warc": op9_warc,
     "op10_language_id": op10_language_id,
 }
@@ -32,5 +35,6 @@ QUERIES = {name: _with_package(query) for name, query in _QUERIES.items()}
 
 ORACLE_SQL = {
     "op7_sharding": ORACLE_7,
+    "op8_fingerprints": ORACLE_8,
     "op9_warc": ORACLE_9,
 }
