@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from mercato.llm.common import workers_import_package
 from mercato.llm.op1_license_scan import op1_license_scan
+from mercato.llm.op3_nearest_neighbours import op3_nearest_neighbours
 from mercato.llm.op6_bpe import op6_bpe
 from mercato.llm.op7_sharding import ORACLE as ORACLE_7
 from mercato.llm.op7_sharding import op7_sharding
@@ -15,6 +16,7 @@ from mercato.llm.op10_language_id import op10_language_id
 
 _QUERIES = {
     "op1_license_scan": op1_license_scan,
+    "op3_nearest_neighbours": op3_nearest_neighbours,
     "op6_bpe": op6_bpe,
     "op7_sharding": op7_sharding,
     "op8_fingerprints": op8_fingerprints,
