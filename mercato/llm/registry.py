@@ -5,6 +5,8 @@ from __future__ import annotations
 from mercato.llm.common import workers_import_package
 from mercato.llm.op1_license_scan import op1_license_scan
 from mercato.llm.op3_nearest_neighbours import op3_nearest_neighbours
+from mercato.llm.op5_ngram_join import ORACLE as ORACLE_5
+from mercato.llm.op5_ngram_join import op5_ngram_join
 from mercato.llm.op6_bpe import op6_bpe
 from mercato.llm.op7_sharding import ORACLE as ORACLE_7
 from mercato.llm.op7_sharding import op7_sharding
@@ -17,6 +19,7 @@ from mercato.llm.op10_language_id import op10_language_id
 _QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op3_nearest_neighbours": op3_nearest_neighbours,
+    "op5_ngram_join": op5_ngram_join,
     "op6_bpe": op6_bpe,
     "op7_sharding": op7_sharding,
     "op8_fingerprints": op8_fingerprints,
@@ -36,6 +39,7 @@ def _with_package(query):
 QUERIES = {name: _with_package(query) for name, query in _QUERIES.items()}
 
 ORACLE_SQL = {
+    "op5_ngram_join": ORACLE_5,
     "op7_sharding": ORACLE_7,
     "op8_fingerprints": ORACLE_8,
     "op9_warc": ORACLE_9,
