@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from mercato.llm.common import workers_import_package
 from mercato.llm.op1_license_scan import op1_license_scan
+from mercato.llm.op2_source_mixing import ORACLE as ORACLE_2
+from mercato.llm.op2_source_mixing import op2_source_mixing
 from mercato.llm.op3_nearest_neighbours import op3_nearest_neighbours
 from mercato.llm.op5_ngram_join import ORACLE as ORACLE_5
 from mercato.llm.op5_ngram_join import op5_ngram_join
@@ -18,6 +20,7 @@ from mercato.llm.op10_language_id import op10_language_id
 
 _QUERIES = {
     "op1_license_scan": op1_license_scan,
+    "op2_source_mixing": op2_source_mixing,
     "op3_nearest_neighbours": op3_nearest_neighbours,
     "op5_ngram_join": op5_ngram_join,
     "op6_bpe": op6_bpe,
@@ -39,6 +42,7 @@ def _with_package(query):
 QUERIES = {name: _with_package(query) for name, query in _QUERIES.items()}
 
 ORACLE_SQL = {
+    "op2_source_mixing": ORACLE_2,
     "op5_ngram_join": ORACLE_5,
     "op7_sharding": ORACLE_7,
     "op8_fingerprints": ORACLE_8,
