@@ -185,18 +185,24 @@ def train(labelled: DataFrame, fit: Fit | None = None) -> Model:
     return Model(languages, tables)
 
 
-def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """`docs` with `lang_pred` and `score`; the other columns pass through as they are."""
+def identify(
+    docs: DataFrame, model: Model, text: str = "text", to: tuple[str, str] = ("lang_pred", "score")
+) -> DataFrame:
+    """`docs` with the predicted language and its score; the other columns pass through as they are."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = f"{_ddl(docs)}, lang_pred string, score double"
+    schema = f"{_ddl(docs)}, {to[0]} string, {to[1]} double"
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = Scores(shared.value)
         for part in parts:
             found = [predict_text(t, scores) for t in part.column(text).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*part.columns, pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
-                names=[*part.schema.names, "lang_pred", "score"],
+                [
+                    *part.columns,
+                    pa.array([x[0] for x in found], pa.string()),
+                    pa.array([x[1] for x in found], pa.float64()),
+                ],
+                names=[*part.schema.names, *to],
             )
 
     return docs.mapInArrow(run, schema)

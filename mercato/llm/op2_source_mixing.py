@@ -108,7 +108,9 @@ def _first(sources: DataFrame, budget: int, mix: Mix, holds, none: int) -> int:
 
 
 def exponent(sources: DataFrame, count: int, budget: int, mix: Mix) -> int:
-    chosen = GRID if mix.entropy is None else 0
+    """The least tempered weights that have the entropy; without one, the most tempered ones that the
+    limit of repeats allows. The limit comes first; without either, weights are as they are."""
+    chosen = GRID if mix.entropy is None and mix.max_repeats is None else 0
     if mix.entropy is not None:
         least = mix.entropy * math.log(count)
         # The last that has the entropy is the one before the first that hasn't.

@@ -26,10 +26,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm.common import id_text, salted_lookup, stored, table
+from mercato.llm.common import id_text, salted_lookup, stored, table, whole_text
 from mercato.llm.components import components
 from mercato.llm.shingles import MinHash, WordHashes, bands_for, shingles, words_of
 
@@ -48,7 +48,10 @@ def set_key(grams: np.ndarray) -> str:
 
 
 def signatures(docs: DataFrame, join: Join) -> DataFrame:
-    """(doc_id, key, n_grams, bands) of each row of `docs` (doc_id, text); key is NULL without words."""
+    """(doc_id, digest, key, n_grams, bands) of each row of `docs` (doc_id, text).
+
+    `digest` is the text's md5; the key of its set of n-grams is NULL without words.
+    """
     bands, rows = bands_for(join.threshold, join.recall)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -63,19 +66,25 @@ def signatures(docs: DataFrame, join: Join) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id"),
+                    part.column("digest"),
                     pa.array(keys, pa.string()),
                     pa.array(sizes, pa.int64()),
                     pa.array(found, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "key", "n_grams", "bands"],
+                names=["doc_id", "digest", "key", "n_grams", "bands"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, key string, n_grams bigint, bands array<bigint>"
+    return docs.select("doc_id", text_digest().alias("digest"), "text").mapInArrow(
+        run, f"doc_id {kind}, digest string, key string, n_grams bigint, bands array<bigint>"
     )
 
 
+def text_digest() -> Column:
+    """What tells apart rows that share an id; NULL is as the empty text."""
+    return F.md5(whole_text())
+
+
 def common_counts(sets: list[np.ndarray]) -> np.ndarray:
     """Sizes of all pairwise intersections of sorted sets."""
     n = len(sets)
@@ -188,9 +197,10 @@ def _linked(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def near_duplicates(docs: DataFrame, join: Join | None = None) -> DataFrame:
-    """(doc_id, class_id, n_links, n_equal, n_grams) of each row of `docs` (doc_id, text).
+    """(doc_id, digest, class_id, first_digest, n_links, n_equal, n_grams) of each row of `docs` (doc_id, text).
 
-    `n_links` counts the other documents with a similarity of at least the threshold, equal ones
+    The first document of a class is that with the smallest id (of equal ids, the smallest
+    digest): its id is `class_id`, its digest `first_digest`. `n_links` counts the other documents with a similarity of at least the threshold, equal ones
     included; `n_equal` those with the same set of n-grams, the document itself included.
     """
     join = join or Join()
@@ -198,10 +208,14 @@ def near_duplicates(docs: DataFrame, join: Join | None = None) -> DataFrame:
     classes = stored(
         signed.filter("key is not null")
         .groupBy("key")
-        .agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.any_value("bands").alias("bands")),
+        .agg(
+            F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")).alias("first"),
+            F.count("*").alias("copies"),
+            F.any_value("bands").alias("bands"),
+        ),
         "classes",
     )
-    placed = classes.select("key", "first_id", "copies", "bands", F.posexplode("bands").alias("band", "hash"))
+    placed = classes.select("key", "first", "copies", "bands", F.posexplode("bands").alias("band", "hash"))
     buckets = (
         placed.groupBy("band", "hash")
         .agg(
@@ -220,7 +234,7 @@ def near_duplicates(docs: DataFrame, join: Join | None = None) -> DataFrame:
         .withColumn("own", block)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
-        .select(*GROUP, "own", "key", "bands", "copies", id_text("first_id").alias("_doc")),
+        .select(*GROUP, "own", "key", "bands", "copies", id_text("first.doc_id").alias("_doc")),
         "members",
     )
     asked = members.select("_doc").distinct()
@@ -238,27 +252,30 @@ def near_duplicates(docs: DataFrame, join: Join | None = None) -> DataFrame:
         "linked",
     )
     roots = components(linked.select(F.col("key").alias("a"), F.col("root").alias("b")))
-    rooted = roots.withColumnRenamed("node", "key").join(classes.select("key", "first_id"), "key")
-    named = rooted.groupBy("root").agg(F.min("first_id").alias("class_id"))
+    rooted = roots.withColumnRenamed("node", "key").join(classes.select("key", "first"), "key")
+    named = rooted.groupBy("root").agg(F.min("first").alias("class_first"))
     counts = linked.groupBy("key").agg(F.sum("links").alias("links"))
     # Classes of a single document without links need no lookup.
     known = (
-        classes.select("key", "first_id", "copies")
+        classes.select("key", "first", "copies")
         .join(counts, "key", "left")
         .filter("copies > 1 or links is not null")
         .join(rooted.select("key", "root"), "key", "left")
         .join(named, "root", "left")
         .select(
             "key",
-            F.coalesce("class_id", "first_id").alias("_class"),
+            F.coalesce("class_first", "first").alias("_class"),
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("_links"),
             F.col("copies").alias("_copies"),
         )
     )
-    rows = signed.select("doc_id", "key", "n_grams")
+    rows = signed.select("doc_id", "digest", "key", "n_grams")
+    alone = F.col("_copies").isNull()
     return salted_lookup(rows, known, "key", F.col("doc_id")).select(
         "doc_id",
-        F.when(F.col("_copies").isNull(), F.col("doc_id")).otherwise(F.col("_class")).alias("class_id"),
+        "digest",
+        F.when(alone, F.col("doc_id")).otherwise(F.col("_class.doc_id")).alias("class_id"),
+        F.when(alone, F.col("digest")).otherwise(F.col("_class.digest")).alias("first_digest"),
         F.coalesce("_links", F.lit(0)).alias("n_links"),
         F.coalesce("_copies", F.lit(1)).alias("n_equal"),
         "n_grams",
@@ -266,7 +283,33 @@ def near_duplicates(docs: DataFrame, join: Join | None = None) -> DataFrame:
 
 
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "class_id", "n_links", "n_equal", "n_grams")
+
+
+def one_of_each_class(docs: DataFrame, join: Join | None = None) -> DataFrame:
+    """The rows of `docs` (doc_id, text, ...) without those that a near duplicate stands for.
+
+    Rows without words all stay. Of rows that repeat the first document of a class, one stays.
+    """
+    join = join or Join()
+    found = stored(near_duplicates(docs.select("doc_id", "text"), join), "near")
+    first = F.expr("doc_id <=> class_id and digest = first_digest")
+    row_key = [id_text("doc_id").alias("_doc"), F.col("digest").alias("_digest")]
+    gone = found.filter(~first).select(*row_key).distinct()
+    repeated = found.filter(first & (F.col("n_equal") > 1)).select(*row_key).groupBy("_doc", "_digest").count()
+    repeated = repeated.filter("count > 1").drop("count")
+    keyed = docs.withColumns({"_doc": id_text("doc_id"), "_digest": text_digest()})
+
+    def by_row(rows: DataFrame, how: str) -> DataFrame:
+        few = rows.count() <= join.broadcast_ids
+        return keyed.join(F.broadcast(rows) if few else rows, ["_doc", "_digest"], how)
+
+    keyed = by_row(gone, "left_anti")
+    if not repeated.isEmpty():
+        rows = by_row(repeated, "left_semi").dropDuplicates(["_doc", "_digest"])
+        keyed = by_row(repeated, "left_anti").unionByName(rows)
+    return keyed.drop("_doc", "_digest")
 
 
 # All pairs that share an n-gram, and the closure of their links.

@@ -17,7 +17,6 @@ import numpy as np
 import pyarrow as pa
 from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from mercato.llm.bpe import encoder
 from mercato.llm.common import table
@@ -51,11 +50,10 @@ def decode(docs: DataFrame, ids: str = "ids", path: str | None = None, to: str =
     return docs.mapInArrow(run, _schema(docs, f"{to} string"))
 
 
-def digests(docs: DataFrame, text: str = "text", path: str | None = None) -> DataFrame:
-    """`docs` without `text`, with `n_tokens` and digests of the ids and of the decoded text.
+def tokens(docs: DataFrame, text: str = "text", path: str | None = None, with_ids: bool = True) -> DataFrame:
+    """`docs` without `text`, with `n_tokens`, digests of the ids and of the decoded text, and the `ids`.
 
-    The same encoder and decoder as above in one pass, so that the tokens, which take more room than
-    the text, needn't leave the task.
+    Encoding and decoding in one pass, so that the tokens needn't leave the task to be decoded.
     """
     path = path or tokenizer_path(VOCABULARY)
 
@@ -63,20 +61,28 @@ def digests(docs: DataFrame, text: str = "text", path: str | None = None) -> Dat
         enc = encoder(path)
         vocab = enc.vocab
         names = [str(i) for i in range(len(vocab.offsets))]
-        for part in parts:
-            counts, ids_digests, text_digests = [], [], []
-            for t in part.column(text).to_pylist():
-                ids = enc.encode(t or "")
-                counts.append(len(ids))
-                joined = " ".join([names[i] for i in ids])
-                ids_digests.append(hashlib.sha256(joined.encode()).hexdigest())
-                text_digests.append(hashlib.sha256(vocab.decode(ids)).hexdigest())
-            rest = part.drop_columns([text])
-            rest = _with(rest, "n_tokens", pa.array(np.array(counts, dtype=np.int64)))
-            rest = _with(rest, "ids_sha256", pa.array(ids_digests, pa.string()))
-            yield _with(rest, "decoded_sha256", pa.array(text_digests, pa.string()))
-
-    added = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+        for whole in parts:
+            for start in range(0, len(whole), 1000):
+                part = whole.slice(start, 1000)
+                counts, ids_digests, text_digests, kept = [], [], [], []
+                for t in part.column(text).to_pylist():
+                    ids = enc.encode(t or "")
+                    counts.append(len(ids))
+                    joined = " ".join([names[i] for i in ids])
+                    ids_digests.append(hashlib.sha256(joined.encode()).hexdigest())
+                    text_digests.append(hashlib.sha256(vocab.decode(ids)).hexdigest())
+                    if with_ids:
+                        kept.append(np.array(ids, dtype=np.int32))
+                rest = part.drop_columns([text])
+                rest = _with(rest, "n_tokens", pa.array(np.array(counts, dtype=np.int64)))
+                rest = _with(rest, "ids_sha256", pa.array(ids_digests, pa.string()))
+                rest = _with(rest, "decoded_sha256", pa.array(text_digests, pa.string()))
+                if with_ids:
+                    ends = pa.array(np.cumsum([0, *counts]), pa.int32())
+                    rest = _with(rest, "ids", pa.ListArray.from_arrays(ends, pa.array(np.concatenate(kept))))
+                yield rest
+
+    added = "n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
     return docs.mapInArrow(run, _schema(docs.drop(text), added))
 
 
@@ -90,5 +96,4 @@ def _schema(docs: DataFrame, added: str) -> str:
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text"))
-    return digests(docs)
+    return tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), with_ids=False)
