@@ -7,6 +7,7 @@ from mercato.llm.op1_license_scan import op1_license_scan
 from mercato.llm.op2_source_mixing import ORACLE as ORACLE_2
 from mercato.llm.op2_source_mixing import op2_source_mixing
 from mercato.llm.op3_nearest_neighbours import op3_nearest_neighbours
+from mercato.llm.op4_lm_scoring import op4_lm_scoring
 from mercato.llm.op5_ngram_join import ORACLE as ORACLE_5
 from mercato.llm.op5_ngram_join import op5_ngram_join
 from mercato.llm.op6_bpe import op6_bpe
@@ -22,6 +23,7 @@ _QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_source_mixing": op2_source_mixing,
     "op3_nearest_neighbours": op3_nearest_neighbours,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_ngram_join": op5_ngram_join,
     "op6_bpe": op6_bpe,
     "op7_sharding": op7_sharding,
