@@ -178,8 +178,14 @@ def _look_up(rows: DataFrame, sources: DataFrame, mix: Mix) -> DataFrame:
     return salted_lookup(rows, sources, "_source", F.col("_place"), salts=32)
 
 
-FULL = F.expr("if(_total > 0, quota div _total, 1)")
-REST = F.expr("if(_total > 0, quota % _total, 0)")
+def _full() -> Column:
+    """Whole passes over a source."""
+    return F.expr("if(_total > 0, quota div _total, 1)")
+
+
+def _rest() -> Column:
+    """Tokens that are left for the last pass."""
+    return F.expr("if(_total > 0, quota % _total, 0)")
 
 
 def schedule(rows: DataFrame, sources: DataFrame, mix: Mix) -> DataFrame:
@@ -187,7 +193,7 @@ def schedule(rows: DataFrame, sources: DataFrame, mix: Mix) -> DataFrame:
     placed = _with_before(rows, sources, mix)
     budget = sources.agg(F.coalesce(F.sum("quota"), F.lit(0))).first()[0]
     blocks = max(1, round(budget / mix.block_tokens))
-    passes = FULL + F.when(F.col("_before") < REST, 1).otherwise(0)
+    passes = _full() + F.when(F.col("_before") < _rest(), 1).otherwise(0)
     key = F.md5(
         F.concat_ws("|", F.lit(f"block{mix.seed}"), *(F.col(c).cast("string") for c in ("block", "epoch", "_place")))
     )
@@ -219,11 +225,11 @@ def mixed(docs: DataFrame, mix: Mix, doc_id: str = "doc_id", source: str = "sour
     sources = weighted_sources(keys, mix)
     last = (
         _with_before(keys, sources, mix)
-        .filter(F.col("_before") < REST)
+        .filter(F.col("_before") < _rest())
         .groupBy("_source")
         .agg(F.max("_place").alias("_last"))
     )
-    reads = stored(sources.join(last, "_source", "left").select("_source", FULL.alias("_full"), "_last"), "reads")
+    reads = stored(sources.join(last, "_source", "left").select("_source", _full().alias("_full"), "_last"), "reads")
     times = F.col("_full") + F.when(F.col("_place") <= F.col("_last"), 1).otherwise(0)
     return (
         _look_up(rows, reads, mix)
