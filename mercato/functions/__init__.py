@@ -1,10 +1,9 @@
 from mercato.functions.scalars import (
-    cents,
     cents_to_currency,
     current_timestamp_utc,
     day_diff,
-    from_cents,
-    money,
+    from_micros,
+    micros,
     ntz,
     safe_divide,
     sum_money,
@@ -12,12 +11,11 @@ from mercato.functions.scalars import (
 )
 
 __all__ = [
-    "cents",
     "cents_to_currency",
     "current_timestamp_utc",
     "day_diff",
-    "from_cents",
-    "money",
+    "from_micros",
+    "micros",
     "ntz",
     "safe_divide",
     "sum_money",

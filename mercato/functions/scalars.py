@@ -52,28 +52,33 @@ def day_diff(start: Column | str, end: Column | str) -> Column:
     return F.datediff(_column(end), _column(start))
 
 
-def money(c: Column | str) -> Column:
-    """Exact decimal form of a float amount, so that sums do not depend on row order."""
-    return _column(c).cast("decimal(18,2)")
+MICROS = 1_000_000
 
 
-def cents(amount: Column | str) -> Column:
-    """A float amount in whole cents. Sums of it are exact, and much cheaper than decimal ones."""
-    return (money(amount) * 100).cast("bigint")
+def micros(amount: Column | str) -> Column:
+    """A float amount in whole millionths of a unit.
 
+    Sums of it do not depend on row order and are much cheaper than decimal ones. Digits
+    beyond the sixth are rounded; from 9 * 10^9 on, a double has no more than six itself.
+    """
+    return F.rint(_column(amount) * float(MICROS)).cast("bigint")
 
-def from_cents(total: Column, precision: int = 18) -> Column:
-    """The decimal amount of a sum of cents. Up to 18 digits it is stored in 8 bytes."""
-    cent = F.lit("0.01").cast("decimal(2,2)")
-    return (total.cast("decimal(20,0)") * cent).cast(f"decimal({precision},2)")
+
+def from_micros(total: Column, precision: int = 18) -> Column:
+    """The amount of a sum of millionths, with six decimals. Up to 18 digits it takes 8 bytes."""
+    micro = F.lit("0.000001").cast("decimal(6,6)")
+    return (total.cast("decimal(20,0)") * micro).cast(f"decimal({precision},6)")
 
 
 def sum_money(amount: Column | str) -> Column:
-    """Exact sum of a float amount within a group.
+    """Sum of a float amount within a group, with six decimals; round it when it is shown.
 
-    A group may hold up to 9 * 10^16 currency units; more is an error in ANSI mode.
+    Whole units and millionths are summed apart, so a group may hold 9 * 10^18 units.
     """
-    return from_cents(F.sum(cents(amount)), precision=28)
+    m = micros(amount)
+    rest = F.pmod(m, F.lit(MICROS))
+    units, rest = F.sum(F.call_function("div", m - rest, F.lit(MICROS))), F.sum(rest)
+    return (units.cast("decimal(20,0)") + from_micros(rest, 26)).cast("decimal(28,6)")
 
 
 def ntz(value: dt.datetime) -> Column:

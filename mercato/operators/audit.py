@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.operators.upsert import sync_schema
@@ -20,12 +20,15 @@ def append_run(
     finished_at: dt.datetime | None = None,
     run_by: str | None = None,
 ) -> None:
-    """Log a run that left `version`. The row count is that of the whole table."""
+    """Log a run that left `version`. The row count is that of the whole table.
+
+    Times without a zone are UTC. They are stored as instants, whatever the session's zone.
+    """
     rows = version.read().agg(F.count("*").alias("rows_affected"))
-    finished = F.current_timestamp() if finished_at is None else F.lit(finished_at.isoformat(sep=" "))
+    finished = F.current_timestamp() if finished_at is None else _instant(finished_at)
     entry = rows.select(
         F.lit(model_name).alias("model_name"),
-        F.lit(started_at.isoformat(sep=" ")).alias("run_started_at"),
+        _instant(started_at).alias("run_started_at"),
         finished.alias("run_finished_at"),
         "rows_affected",
         (F.current_user() if run_by is None else F.lit(run_by)).alias("run_by"),
@@ -33,5 +36,10 @@ def append_run(
     sync_schema(entry, RUN_LOG).write.mode("append").parquet(log_path)
 
 
+def _instant(time: dt.datetime) -> Column:
+    utc = time.replace(tzinfo=dt.timezone.utc) if time.tzinfo is None else time.astimezone(dt.timezone.utc)
+    return F.lit(utc.isoformat(sep=" ")).cast("timestamp")
+
+
 def read_log(spark: SparkSession, log_path: str) -> DataFrame:
     return spark.read.schema(RUN_LOG).parquet(log_path)

@@ -18,6 +18,7 @@ from mercato.sources.raw import Sources
 
 FCT_ORDERS_KEY = "order_item_key"
 
+# Names and order of output columns, here and below.
 FCT_ORDERS_COLUMNS = [
     "order_item_key",
     "order_id",
@@ -94,7 +95,11 @@ def fct_orders(
     placed = staging.orders(src).filter(F.col("ordered_at") >= ntz(since or settings.start_date))
     # A full build needs (nearly) all rows of the tables, an incremental one few.
     placed_size = cache(placed.count) if since else src.size("orders")
-    few_orders = placed if since and fits_broadcast(placed_size, settings.broadcast_max_ids) else None
+    few_orders = None
+    if since and fits_broadcast(
+        placed_size, settings.broadcast_max_ids, placed.select("order_id"), settings.broadcast_max_bytes
+    ):
+        few_orders = placed
 
     orders = placed
     if "customer_key" in want:
@@ -123,15 +128,18 @@ def fct_orders(
     for name, ids in (("seller", staging.sellers(src)), ("product", staging.products(src))):
         if f"{name}_key" in want:
             known = ids.select(f"{name}_id", F.lit(True).alias(f"{name}_known"))
-            lookups.append(Lookup(known, f"{name}_id", size=src.size(f"{name}s")))
+            lookups.append(Lookup(known, f"{name}_id", size=src.size(f"{name}s"), only_ids=True))
     # A full build shuffles narrow item rows by seller and product before they
     # get their order columns; an incremental one cuts the items down first.
     lookups = [by_order, *lookups] if since else [*lookups, by_order]
 
-    items = staging.order_items(src)
-    if few_orders is not None and not fits_broadcast(placed_size, settings.broadcast_max_rows):
-        items = only_keys_of(items, few_orders, "order_id")
-    items = enrich(items, lookups, settings, size=src.size("order_items"))
+    items, known_hot = staging.order_items(src), (src.hot_keys, "order_items")
+    by_order_fits = fits_broadcast(
+        placed_size, settings.broadcast_max_rows, orders, settings.broadcast_max_bytes
+    )
+    if few_orders is not None and not by_order_fits:
+        items, known_hot = only_keys_of(items, few_orders, "order_id"), None
+    items = enrich(items, lookups, settings, size=src.size("order_items"), known_hot=known_hot)
     if "order_date_key" in want:
         items = _with_date_key(items, src, settings, "ordered_at", "order_date_key")
     # Keys are hashed last, so that their 32 characters are not shuffled.

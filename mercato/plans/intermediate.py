@@ -13,12 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.config import Settings
-from mercato.functions import cents, day_diff, from_cents
+from mercato.functions import day_diff, from_micros, micros
 from mercato.operators.joins import Lookup, enrich, only_keys_of
 from mercato.plans import staging
 from mercato.sources.raw import Sources
 
-# Payment type -> the summary column holding its amount. Other types count
+# Payment type -> the summary column holding its amount. Other types count
 # towards the total only.
 PAYMENT_TYPE_COLUMNS = {
     "credit_card": "credit_card_value",
@@ -46,6 +46,7 @@ DELIVERY_METRICS = [
 
 ORDER_TIMES = ["ordered_at", "approved_at", "shipped_at", "delivered_at", "estimated_delivery_at"]
 
+# Names and order of output columns, here and below.
 DELIVERY_COLUMNS = [
     "order_id",
     "order_status",
@@ -91,17 +92,17 @@ def _of_orders(rows: DataFrame, few_orders: DataFrame | None) -> DataFrame:
 
 
 def order_payments_summary(src: Sources, few_orders: DataFrame | None = None) -> DataFrame:
-    """Payments, one row per order."""
-    paid = cents("payment_value")
+    """Payments, one row per order. Amounts keep six decimals, and an order up to 9 * 10^11 units."""
+    paid = micros("payment_value")
     by_type = [
-        from_cents(F.sum(F.when(F.col("payment_type") == kind, paid).otherwise(0))).alias(column)
+        from_micros(F.sum(F.when(F.col("payment_type") == kind, paid).otherwise(0))).alias(column)
         for kind, column in PAYMENT_TYPE_COLUMNS.items()
     ]
     return (
         _of_orders(staging.payments(src), few_orders)
         .groupBy("order_id")
         .agg(
-            from_cents(F.sum(paid)).alias("total_payment_value"),
+            from_micros(F.sum(paid)).alias("total_payment_value"),
             F.max("payment_installments").alias("max_installments"),
             F.sum(F.when(F.col("payment_installments") > 1, 1).otherwise(0)).alias(
                 "installment_payment_count"
@@ -206,7 +207,13 @@ def orders_joined(
             Lookup(orders.select("order_id", *of_order), "order_id", size=src.size("orders"))
         )
     total = F.col("price") + F.col("freight_value")
-    items = enrich(staging.order_items(src), lookups, settings, size=src.size("order_items"))
+    items = enrich(
+        staging.order_items(src),
+        lookups,
+        settings,
+        size=src.size("order_items"),
+        known_hot=(src.hot_keys, "order_items"),
+    )
     return items.select(
         *[total.alias(c) if c == "item_total_value" else c for c in columns]
     )

@@ -1,7 +1,8 @@
 """Business figures over the facts. Each returns a small frame.
 
 `*_COLUMNS` name the fact columns a figure reads, so that callers can build or
-read just those. Amounts are summed as decimals; payment and delivery columns
+read just those. Amounts are summed with six decimals and rounded to cents once, at
+the end; payment and delivery columns
 repeat on every item of an order and are taken once per order before use.
 """
 
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercato.config import Settings
-from mercato.functions import money, safe_divide, sum_money
+from mercato.functions import safe_divide, sum_money
 from mercato.plans.intermediate import PAYMENT_TYPE_COLUMNS
 
 GMV_COLUMNS = ["item_total_value"]
@@ -41,7 +42,7 @@ def _per_order(orders: DataFrame, *columns: str) -> DataFrame:
 
 
 def gmv(orders: DataFrame) -> DataFrame:
-    return orders.agg(_total(money("item_total_value")).alias("gmv"))
+    return orders.agg(sum_money("item_total_value").cast("decimal(38,2)").alias("gmv"))
 
 
 def average_order_value(orders: DataFrame) -> DataFrame:
@@ -117,16 +118,18 @@ def late_negative_rate(reviews: DataFrame) -> DataFrame:
 def repeat_customer_rate(orders: DataFrame) -> DataFrame:
     """Share of customers with more than one order.
 
-    Two different orders exist where the least and the greatest id differ, which
-    needs no distinct count.
+    Items become orders first (map-side, for the most part), which are then counted. Both
+    steps hash; a least or greatest id, being text, would have to be sorted.
     """
     per_customer = (
         orders.filter(F.col("customer_key").isNotNull())
+        .select("customer_key", "order_id")
+        .distinct()
         .groupBy("customer_key")
-        .agg((F.min("order_id") < F.max("order_id")).alias("repeats"))
+        .agg(F.count("order_id").alias("orders"))
     )
     return per_customer.agg(
-        _count_if(F.col("repeats")).alias("repeat_customers"), F.count("*").alias("customers")
+        _count_if(F.col("orders") > 1).alias("repeat_customers"), F.count("*").alias("customers")
     ).withColumn("repeat_customer_rate", safe_divide("repeat_customers", "customers"))
 
 
@@ -154,9 +157,10 @@ def payment_mix(orders: DataFrame) -> DataFrame:
 
 def _in_usd(orders: DataFrame, rates: DataFrame, settings: Settings, how: str) -> DataFrame:
     total = gmv(orders).withColumn("currency_code", F.lit(settings.default_currency))
-    rate = F.col("rate_to_usd").cast("decimal(9,6)")
+    # Ten decimals and seven digits before them, whatever the currency.
+    rate = F.col("rate_to_usd").cast("decimal(17,10)")
     return rates.join(F.broadcast(total), "currency_code", how).withColumn(
-        "gmv_usd", (F.col("gmv").cast("decimal(28,2)") * rate).cast("decimal(38,8)")
+        "gmv_usd", (F.col("gmv").cast("decimal(20,2)") * rate).cast("decimal(38,8)")
     )
 
 

@@ -17,7 +17,8 @@ from mercato.operators.upsert import require_unique, upsert
 from mercato.plans import dimensions, facts, intermediate, staging
 from mercato.plans.checks import CHECKS
 from mercato.sources.published import PublishedTable, Version
-from mercato.sources.raw import Sources
+from mercato.sources.raw import Sources, conform
+from mercato.sources.schemas import ORDERS
 from mercato.sources.seeds import exchange_rates
 
 log = logging.getLogger(__name__)
@@ -87,17 +88,18 @@ def load_orders(
     started_at: dt.datetime | None = None,
     finished_at: dt.datetime | None = None,
     run_by: str | None = None,
+    only_orders: DataFrame | None = None,
 ) -> None:
     """Build the order fact, or bring it up to date if it exists.
 
     An update takes in orders placed from 3 days (by default) before the newest
     one in the table. Later changes to older orders are not seen until a full
-    refresh.
+    refresh. With `only_orders` (raw orders, one row each) it takes in just these, of any age.
     """
     started_at = started_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     version = table.latest()
     rebuild = full_refresh or version is None
-    since = None if rebuild else watermark(version, settings)
+    since = None if rebuild else settings.start_date if only_orders is not None else watermark(version, settings)
     if not rebuild and since is None:
         rebuild = settings.empty_target == "full"
         if not rebuild:
@@ -108,10 +110,12 @@ def load_orders(
         require_unique(staged.read(), facts.FCT_ORDERS_KEY)
         version = table.commit(version, [staged], staged.schema)
     elif since is not None:
+        if only_orders is not None:
+            src = src.replace(orders=conform(only_orders.withColumn("_loaded_at", F.lit(None)), ORDERS, "orders"))
         fact = partition_by_period(facts.fct_orders(src, settings, since=since), settings)
         recent = [p for p in version.partitions() if p >= since.strftime(_PERIOD[settings.fact_partition])]
-        search = recent if settings.fixed_order_times else None
-        version = upsert(table, version, fact, facts.FCT_ORDERS_KEY, search)
+        search = recent if settings.fixed_order_times and only_orders is None else None
+        version = upsert(table, version, fact, facts.FCT_ORDERS_KEY, search, settings)
     if run_log_path:
         audit.append_run(version, run_log_path, "fct_orders", started_at, finished_at, run_by)
 

@@ -27,8 +27,8 @@ def _key(*parts: str) -> str:
     return f"md5(concat_ws('-', {texts}))"
 
 
-def _cents(amount: str) -> str:
-    return f"cast({amount} as decimal(18,2))"
+def _exact(amount: str) -> str:
+    return f"cast({amount} as decimal(24,6))"
 
 
 _STAGING = {
@@ -55,7 +55,7 @@ _STAGING = {
 }
 
 _PAYMENT_TYPE_SUMS = ", ".join(
-    f"cast(coalesce(sum({_cents('payment_value')}) filter (payment_type = '{t}'), 0) as decimal(18,2))"
+    f"cast(coalesce(sum({_exact('payment_value')}) filter (payment_type = '{t}'), 0) as decimal(18,6))"
     f" {t}_value"
     for t in ("credit_card", "boleto", "voucher", "debit_card")
 )
@@ -64,7 +64,7 @@ _PAYMENT_TYPE_SUMS = ", ".join(
 def _payments_summary(payments: str) -> str:
     return f"""
     select order_id,
-      cast(sum({_cents("payment_value")}) as decimal(18,2)) total_payment_value,
+      cast(sum({_exact("payment_value")}) as decimal(18,6)) total_payment_value,
       max(payment_installments) max_installments,
       count(*) filter (payment_installments > 1) installment_payment_count,
       {_PAYMENT_TYPE_SUMS},
@@ -159,9 +159,9 @@ _MODELS = {
     "fct_reviews": f"""
     select {_key("review_id", "r.order_id")} review_key, review_id, r.order_id,
       date_key review_date_key, review_score,
-      ifnull(review_score < 3, false) is_negative_review,
+      ifnull(review_score <= 2, false) is_negative_review,
       delivery_delay_days, is_on_time_delivery,
-      ifnull(review_score < 3, false) and ifnull(not is_on_time_delivery, false)
+      ifnull(review_score <= 2, false) and ifnull(not is_on_time_delivery, false)
         is_late_delivery_negative_review,
       review_created_at, review_answered_at
     from stg_reviews r
@@ -242,6 +242,53 @@ def _ratio(a: str, b: str) -> str:
 
 _PUBLISHED = ("dim_customers", "dim_sellers", "dim_products", "dim_date", "fct_orders", "fct_reviews")
 
+# Columns of each written table and staging view, in order of their names.
+_TABLE_COLUMNS = {
+    "dim_customers": "customer_city customer_key customer_state customer_unique_id customer_zip_code_prefix",
+    "dim_sellers": "seller_city seller_id seller_key seller_state seller_zip_code_prefix",
+    "dim_products": "product_category_name product_category_name_english product_height_cm product_id product_key"
+    " product_length_cm product_volume_cm3 product_weight_g product_width_cm",
+    "dim_date": "date_day date_formatted date_key day_name_short day_of_week is_weekend month_name month_number"
+    " month_short quarter_label quarter_number week_of_year year year_month",
+    "fct_reviews": "delivery_delay_days is_late_delivery_negative_review is_negative_review is_on_time_delivery"
+    " order_id review_answered_at review_created_at review_date_key review_id review_key review_score",
+    "fct_orders": "approved_at boleto_value credit_card_value customer_key debit_card_value delivered_at"
+    " delivery_delay_days estimated_delivery_at freight_value installment_payment_count is_on_time_delivery"
+    " is_seller_sla_breach item_total_value max_installments order_date_key order_id order_item_id order_item_key"
+    " order_status ordered_at payment_record_count price product_key seller_key seller_processing_days shipped_at"
+    " total_payment_value voucher_value",
+    "exchange_rates": "currency_code currency_name effective_date rate_to_usd",
+    "stg_customers": "customer_city customer_id customer_state customer_unique_id customer_zip_code_prefix",
+    "stg_orders": "approved_at customer_id delivered_at estimated_delivery_at order_id order_status ordered_at"
+    " shipped_at",
+    "stg_order_items": "freight_value order_id order_item_id price product_id seller_id shipping_limit_at",
+    "stg_products": "product_category_name product_description_lenght product_height_cm product_id"
+    " product_length_cm product_name_lenght product_photos_qty product_weight_g product_width_cm",
+    "stg_payments": "order_id payment_installments payment_sequential payment_type payment_value",
+    "stg_sellers": "seller_city seller_id seller_state seller_zip_code_prefix",
+    "stg_reviews": "order_id review_answered_at review_comment_message review_comment_title review_created_at"
+    " review_id review_score",
+    "stg_geolocation": "geolocation_city geolocation_lat geolocation_lng geolocation_state"
+    " geolocation_zip_code_prefix",
+    "stg_category_translation": "product_category_name product_category_name_english",
+}
+
+
+def _row_hash(table: str) -> str:
+    """32 bits from the text forms of a row's columns; numbers in hundredths, times in seconds."""
+
+    def text(c: str) -> str:
+        t = f'cast("{c}" as varchar)'
+        return f"""coalesce(case when typeof("{c}") = 'DOUBLE'
+            then cast(cast(round(try_cast({t} as double) * 100) as bigint) as varchar)
+          when typeof("{c}") like 'DECIMAL%' then cast(cast(trunc(try_cast({t} as decimal(30,6)) * 100) as bigint) as varchar)
+          when typeof("{c}") = 'TIMESTAMP' then cast(cast(epoch(try_cast({t} as timestamp)) as bigint) as varchar)
+          else {t} end, '~')"""
+
+    texts = ", ".join(map(text, _TABLE_COLUMNS[table].split()))
+    return f"cast('0x' || substr(md5(concat_ws('|', {texts})), 1, 8) as bigint)"
+
+
 _QUERIES = {
     **{name: f"from {name}" for name in _STAGING},
     **{
@@ -265,17 +312,18 @@ _QUERIES = {
       select i.order_id, payment_record_count n, total_payment_value v
       from stg_order_items i left join order_payments_summary s on s.order_id = i.order_id)
     select count(*) joined_rows, cast(sum(ifnull(n, 1)) as decimal(38,0)) naive_rows,
-      cast((select sum({_cents("payment_value")}) from stg_payments
+      cast((select sum({_exact("payment_value")}) from stg_payments
         where order_id in (select order_id from stg_order_items)) as decimal(38,2)) payment_total,
       cast(sum(v) as decimal(38,2)) payment_total_over_items
     from wide""",
-    "seed_exchange_rates": """
-    select r.*, cast(t.gmv as decimal(38,2)) gmv, cast(t.gmv * cast(rate_to_usd as decimal(9,6)) as decimal(38,8)) gmv_usd
+    "seed_exchange_rates": f"""
+    select r.*, cast(t.gmv as decimal(38,2)) gmv, cast(t.gmv * cast(rate_to_usd as decimal(17,10)) as decimal(38,8)) gmv_usd
     from exchange_rates r left join (
-      select 'BRL' currency_code, cast(sum(cast(item_total_value as decimal(18,2))) as decimal(28,2)) gmv
+      select 'BRL' currency_code, cast(sum({_exact("item_total_value")}) as decimal(20,2)) gmv
       from fct_orders) t using (currency_code)""",
     "published_tables": " union all ".join(
-        f"select '{t}' table_name, count(*) row_count from {t}" for t in (*_PUBLISHED, "exchange_rates")
+        f"select '{t}' table_name, count(*) row_count, cast(sum({_row_hash(t)}) as bigint) content_hash from {t}"
+        for t in (*_PUBLISHED, "exchange_rates", *_STAGING)
     ),
     "incremental_upsert_orders": "from upserted",
     "schema_sync": """
@@ -283,14 +331,17 @@ _QUERIES = {
     select * from late
     union all by name
     select * exclude (payment_record_count, voucher_value), cast(null as bigint) payment_record_count,
-      cast(null as decimal(18,2)) voucher_value
+      cast(null as decimal(18,6)) voucher_value
     from order_payments_summary anti join late using (order_id)""",
     "audit_run_log": f"""
     select 'fct_orders' model_name, timestamp '{RUN_1[0]}' run_started_at,
-      timestamp '{RUN_1[1]}' run_finished_at, (select count(*) from load_1) rows_affected, '{RUN_BY}' run_by
+      timestamp '{RUN_1[1]}' run_finished_at, (select count(*) from load_1) rows_affected, '{RUN_BY}' run_by,
+      true in_order, false is_recent, false by_session_user
     union all
     select 'fct_orders', timestamp '{RUN_2[0]}', timestamp '{RUN_2[1]}',
-      (select count(*) from upserted), '{RUN_BY}'""",
+      (select count(*) from upserted), '{RUN_BY}', true, false, false
+    union all
+    select 'fct_orders', null, null, (select count(*) from upserted), null, true, true, true""",
     "scd2_sellers": f"""
     with a as (from {_SELLERS_1}), b as (from {_SELLERS_2})
     select {_opened("a", HISTORY_1)} from a left join b using (seller_id)
@@ -313,9 +364,10 @@ _QUERIES = {
     select review_id, order_id, {_key("review_id", "order_id")} key_of_two,
       {_key("review_comment_title", "order_id")} key_with_null, {_key("review_score")} key_of_number
     from stg_reviews""",
+    # Each order lies half an hour after a whole number of hours before or after now.
     "fn_current_timestamp_utc": """
-    select order_status, count(*) filter (ordered_at <= (now() at time zone 'UTC')) past_orders,
-      count(*) filter (ordered_at > (now() at time zone 'UTC')) future_orders
+    select order_status, count(*) filter (hour(ordered_at) < 12) past_orders,
+      count(*) filter (hour(ordered_at) >= 12) future_orders
     from stg_orders group by all""",
     "dq_unique": """
     select review_id unique_field, count(*) n_records from stg_reviews
@@ -335,9 +387,9 @@ _QUERIES = {
     from (select max(_loaded_at) max_loaded_at, timestamp '{FRESH_AS_OF}' as_of from raw_orders)""",
     "dq_suite": _quality_suite(),
     "kpi_gmv": f"""
-    select cast(sum({_cents("item_total_value")}) as decimal(38,2)) gmv from fct_orders""",
+    select cast(sum({_exact("item_total_value")}) as decimal(38,2)) gmv from fct_orders""",
     "kpi_aov": f"""
-    select cast(sum({_cents("item_total_value")}) as decimal(38,2)) gmv,
+    select cast(sum({_exact("item_total_value")}) as decimal(38,2)) gmv,
       count(distinct order_id) order_count, {_ratio("gmv", "order_count")} aov from fct_orders""",
     "kpi_on_time_rate": f"""
     select count(*) filter (is_on_time_delivery) on_time_orders,
@@ -369,7 +421,7 @@ _QUERIES = {
     from (select customer_key, count(distinct order_id) n from fct_orders
       where customer_key is not null group by all)""",
     "kpi_top_categories": f"""
-    select product_category_name_english, cast(sum({_cents("price")}) as decimal(38,2)) revenue
+    select product_category_name_english, cast(sum({_exact("price")}) as decimal(38,2)) revenue
     from fct_orders left join dim_products using (product_key) group by all
     order by revenue desc, product_category_name_english nulls last limit 10""",
     "kpi_payment_mix": f"""
@@ -378,10 +430,10 @@ _QUERIES = {
     from {_PER_ORDER.format(
         "total_payment_value, credit_card_value, boleto_value, voucher_value, debit_card_value")}""",
     "kpi_gmv_usd": f"""
-    select currency_code, cast(sum({_cents("item_total_value")}) as decimal(38,2)) gmv,
+    select currency_code, cast(sum({_exact("item_total_value")}) as decimal(38,2)) gmv,
       any_value(rate_to_usd) rate_to_usd,
-      cast(cast(sum({_cents("item_total_value")}) as decimal(28,2))
-        * cast(any_value(rate_to_usd) as decimal(9,6)) as decimal(38,8)) gmv_usd
+      cast(cast(sum({_exact("item_total_value")}) as decimal(20,2))
+        * cast(any_value(rate_to_usd) as decimal(17,10)) as decimal(38,8)) gmv_usd
     from fct_orders join exchange_rates on currency_code = 'BRL' group by all""",
 }
 

@@ -53,8 +53,12 @@ def test_cents_to_currency(spark, cents, amount):
 
 def test_sum_money(spark):
     amounts = spark.createDataFrame([(0.1,), (0.2,), (1.005,), (None,)], "x double")
-    assert amounts.agg(sum_money("x").alias("x")).first().x == Decimal("1.31")
+    assert amounts.agg(sum_money("x").alias("x")).first().x == Decimal("1.305")
     assert amounts.filter("x is null").agg(sum_money("x").alias("x")).first().x is None
+    small = spark.range(1000).select(F.lit(0.004).alias("x"))
+    assert small.agg(sum_money("x").alias("x")).first().x == Decimal("4")
+    large = spark.createDataFrame([(9e12,), (9e12,), (-1.5,), (-0.25,)], "x double")
+    assert large.agg(sum_money("x").alias("x")).first().x == Decimal("17999999999998.25")
 
 
 def test_day_diff_counts_midnights(spark):
