@@ -33,6 +33,8 @@ class Settings:
     # The second limit is for frames of bare ids, which filter other tables.
     broadcast_max_rows: int = 100_000
     broadcast_max_ids: int = 1_000_000
+    # Neither is broadcast if its rows, at the usual size of its columns, take more than this.
+    broadcast_max_bytes: int = 64_000_000
 
     # A join key is hot when it holds at least this many rows and this share of
     # all rows. It is split into salts of about a quarter of `hot_key_min_rows`.

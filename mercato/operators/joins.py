@@ -33,10 +33,22 @@ class Lookup:
     how: str = "left"
     # Returns the row count of `frame`, or a bound that is cheaper to get.
     size: Callable[[], int] | None = None
+    # Whether the frame holds hardly more than ids, for which the larger row limit holds.
+    only_ids: bool = False
 
 
-def fits_broadcast(size: Callable[[], int], limit: int) -> bool:
+def row_bytes(frame: DataFrame) -> int:
+    """About what a row takes in a broadcast: 8 bytes a column, 40 for a text or anything nested."""
+    wide = ("string", "binary", "array", "map", "struct")
+    return 16 + sum(40 if f.dataType.typeName() in wide else 8 for f in frame.schema.fields)
+
+
+def fits_broadcast(
+    size: Callable[[], int], limit: int, frame: DataFrame | None = None, max_bytes: int | None = None
+) -> bool:
     """Whether a frame is small enough to broadcast. Counting a stored table reads footers only."""
+    if frame is not None and max_bytes is not None:
+        limit = min(limit, max_bytes // row_bytes(frame))
     return limit > 0 and size() <= limit
 
 
@@ -45,6 +57,26 @@ def only_keys_of(rows: DataFrame, few: DataFrame, column: str) -> DataFrame:
     return rows.join(F.broadcast(few.select(column)), column, "left_semi")
 
 
+class KnownHotKeys:
+    """Hot keys of whole tables, found once."""
+
+    def __init__(self):
+        self._found: dict[tuple, DataFrame | None] = {}
+
+    def get(
+        self, table: str, df: DataFrame, columns: Iterable[str], rows: int, settings: Settings
+    ) -> dict[str, DataFrame]:
+        """Those of `df`, which holds all rows of the table of that name."""
+        limits = (settings.hot_key_min_rows, settings.hot_key_share)
+        columns = list(columns)
+        missing = [c for c in columns if (table, c, limits) not in self._found]
+        if missing:
+            found = hot_keys(df, missing, rows, settings)
+            self._found |= {(table, c, limits): found.get(c) for c in missing}
+        known = {c: self._found[table, c, limits] for c in columns}
+        return {c: frame for c, frame in known.items() if frame is not None}
+
+
 def hot_keys(
     df: DataFrame, columns: Iterable[str], rows: int, settings: Settings
 ) -> dict[str, DataFrame]:
@@ -110,6 +142,7 @@ def enrich(
     lookups: Iterable[Lookup],
     settings: Settings,
     size: Callable[[], int] | None = None,
+    known_hot: tuple[KnownHotKeys, str] | None = None,
 ) -> DataFrame:
     """Join every lookup onto `base` (how: left, inner, left_semi or left_anti).
 
@@ -117,15 +150,21 @@ def enrich(
     The others follow in the given order, so list those that add few columns first.
     `base` should read stored tables directly: the spreading numbers are taken
     from it, and must come out the same when a lost task runs again. `size` returns
-    its row count, or a bound that is cheaper to get.
+    its row count, or a bound that is cheaper to get. `known_hot` keeps the hot keys of the
+    table that `base` is the whole of.
     """
     small, large = [], []
     for x in lookups:
-        is_small = fits_broadcast(x.size or x.frame.count, settings.broadcast_max_rows)
+        limit = settings.broadcast_max_ids if x.only_ids else settings.broadcast_max_rows
+        is_small = fits_broadcast(x.size or x.frame.count, limit, x.frame, settings.broadcast_max_bytes)
         (small if is_small else large).append(x)
     rows = (size or base.count)() if large else 0
     if rows >= settings.hot_key_min_rows:
-        hot = hot_keys(base, dict.fromkeys(x.on for x in large), rows, settings)
+        columns = list(dict.fromkeys(x.on for x in large))
+        if known_hot is None:
+            hot = hot_keys(base, columns, rows, settings)
+        else:
+            hot = known_hot[0].get(known_hot[1], base, columns, rows, settings)
     else:  # no key can be hot
         hot = {}
     if hot:

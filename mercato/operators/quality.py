@@ -136,16 +136,6 @@ def _row_condition(check: Check, now: dt.datetime | None) -> Column | None:
     return None
 
 
-def _labelled(failures: DataFrame, check: Check) -> DataFrame:
-    """(check, model, column, failures) from a one-row frame with the column `failures`."""
-    return failures.select(
-        F.lit(check.name).alias("check"),
-        F.lit(check.model).alias("model"),
-        F.lit(check.column).alias("column"),
-        F.coalesce(F.col("failures"), F.lit(0)).cast("bigint").alias("failures"),
-    )
-
-
 def _missing_parents(check: Check, models: Mapping[str, DataFrame]) -> DataFrame:
     """Number of child rows without parent; child values are counted before the join."""
     child = models[check.model].filter(F.col(check.column).isNotNull())
@@ -154,40 +144,60 @@ def _missing_parents(check: Check, models: Mapping[str, DataFrame]) -> DataFrame
     return values.join(known, "value", "left_anti").agg(F.sum("n").alias("failures"))
 
 
+def _findings(model: DataFrame, checks: Sequence[tuple[int, Check]], now: dt.datetime | None) -> DataFrame:
+    """(id, h1, h2): a row per failed row condition, and a hashed value per value that must be unique."""
+    none = F.lit(None).cast("bigint")
+    found = []
+    for number, c in checks:
+        condition = _row_condition(c, now)
+        if condition is not None:
+            entry = F.struct(F.lit(number).alias("id"), none.alias("h1"), none.alias("h2"))
+            found.append(F.when(condition, entry))
+        elif c.kind == "unique":
+            # 16 bytes stand for the value, whatever its length. Two values share them by
+            # chance no sooner than among some 10^19.
+            hashes = F.xxhash64(c.column), F.xxhash64(F.lit("unique"), c.column)
+            entry = F.struct(F.lit(number).alias("id"), hashes[0].alias("h1"), hashes[1].alias("h2"))
+            found.append(F.when(F.col(c.column).isNotNull(), entry))
+    return model.select(F.inline(F.array_compact(F.array(*found))))
+
+
 def run_checks(
     checks: Sequence[Check], models: Mapping[str, DataFrame], now: dt.datetime | None = None
 ) -> DataFrame:
     """One row per check: (check, model, column, failures, status).
 
-    All row conditions of a model are counted in one pass over it. Give written
-    models, or lazy ones that are cheap to compute again for every other check.
+    Each model is read once for all its conditions and unique columns, and all of them are
+    counted in one shuffle, map-side first. Relationships need a join each.
     """
-    parts = []
+    spark = next(iter(models.values())).sparkSession
+    numbered = list(enumerate(checks))
+    findings, counts = [], []
     for model in dict.fromkeys(c.model for c in checks):
-        of_model = [c for c in checks if c.model == model]
-        by_row = [(c, _row_condition(c, now)) for c in of_model]
-        by_row = [(c, condition) for c, condition in by_row if condition is not None]
-        if by_row:
-            counts = models[model].agg(
-                *[F.count(F.when(condition, 1)).alias(c.name) for c, condition in by_row]
-            )
-            labelled = F.array(
-                *[
-                    F.struct(
-                        F.lit(c.name).alias("check"),
-                        F.lit(c.model).alias("model"),
-                        F.lit(c.column).alias("column"),
-                        F.col(c.name).alias("failures"),
-                    )
-                    for c, _ in by_row
-                ]
-            )
-            parts.append(counts.select(F.inline(labelled)))
-        for c in of_model:
-            if c.kind == "unique":
-                repeated = unique(models[model], c.column).agg(F.count("*").alias("failures"))
-                parts.append(_labelled(repeated, c))
-            elif c.kind == "relationships":
-                parts.append(_labelled(_missing_parents(c, models), c))
-    status = F.when(F.col("failures") == 0, "pass").otherwise("fail")
-    return reduce(DataFrame.unionByName, parts).withColumn("status", status)
+        of_model = [(i, c) for i, c in numbered if c.model == model and c.kind != "relationships"]
+        if of_model:
+            findings.append(_findings(models[model], of_model, now))
+    if findings:
+        per_value = (
+            reduce(DataFrame.unionByName, findings).groupBy("id", "h1", "h2").agg(F.count("*").alias("n"))
+        )
+        # Of values, those that repeat fail; of conditions, each row does.
+        failed = F.when(F.col("h1").isNull(), F.col("n")).otherwise((F.col("n") > 1).cast("bigint"))
+        counts.append(per_value.groupBy("id").agg(F.sum(failed).alias("failures")))
+    for i, c in numbered:
+        if c.kind == "relationships":
+            counts.append(_missing_parents(c, models).select(F.lit(i).alias("id"), "failures"))
+    declared = spark.createDataFrame(
+        [(i, c.name, c.model, c.column) for i, c in numbered], "id int, check string, model string, column string"
+    )
+    failures = F.coalesce(F.col("failures"), F.lit(0)).cast("bigint")
+    return (
+        declared.join(F.broadcast(reduce(DataFrame.unionByName, counts)), "id", "left")
+        .select(
+            "check",
+            "model",
+            "column",
+            failures.alias("failures"),
+            F.when(failures == 0, "pass").otherwise("fail").alias("status"),
+        )
+    )

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mercato.config import Settings
+from mercato.operators.joins import fits_broadcast
 from mercato.sources.published import PublishedTable, Version
 
 
@@ -52,6 +54,7 @@ def upsert(
     batch: DataFrame,
     key: str,
     search: Iterable[str] | None = None,
+    settings: Settings | None = None,
 ) -> Version:
     """Publish a version in which the rows of `batch` replace those of `base` with the same key.
 
@@ -61,8 +64,13 @@ def upsert(
     by looking for the batch's keys in the whole table's key column, as a row may
     have moved to another partition. `search` names the partitions to look in,
     where it is known that others cannot hold any.
+
+    The keys of a batch of up to `broadcast_max_ids` rows are broadcast, so that the old table
+    is only scanned. Of a larger batch, 8-byte hashes of the keys tell which partitions may hold
+    replaced rows; keys themselves are shuffled for these partitions alone.
     """
     column = table.partition_column
+    settings = settings or Settings()
     staged = table.stage(batch)
     new_rows = staged.read()
     require_unique(new_rows, key)
@@ -73,9 +81,15 @@ def upsert(
     types = {f.name: f.dataType for f in base.schema.fields}
     retyped = any(types.get(f.name, f.dataType) != f.dataType for f in staged.schema.fields)
     keys = new_rows.select(key)
+    few = fits_broadcast(keys.count, settings.broadcast_max_ids, keys, settings.broadcast_max_bytes)
+    keys = F.broadcast(keys) if few else keys
     if column and not retyped:
         candidates = base.read(search, with_partition=True).select(key, column)
-        replaced = candidates.join(keys, key, "left_semi")
+        if few:
+            replaced = candidates.join(keys, key, "left_semi")
+        else:  # a partition whose rows only share a hash is rewritten as it was
+            hashed = F.xxhash64(key).alias("hash")
+            replaced = candidates.select(hashed, column).join(keys.select(hashed), "hash", "left_semi")
         touched = {r[0] for r in replaced.select(column).distinct().collect()}
     else:
         touched = set(everything)

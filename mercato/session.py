@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -37,11 +39,15 @@ def local_session(cores: int | str = 8, app_name: str = "mercato", **conf: str)
     return spark
 
 
-def work_dir(spark: SparkSession, label: str) -> str:
-    """A new path under the shared folder named by `spark.checkpoint.dir`."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+def work_dir(spark: SparkSession, label: str, folder: str | None = None) -> str:
+    """A new path under `folder`, or under the shared folder named by `spark.checkpoint.dir`.
+
+    A local session without that setting gets a temporary folder, which goes when Python ends.
+    """
+    base = folder or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="mercato-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -130,9 +130,9 @@ RAW_COLUMNS: dict[str, dict[str, str]] = {
         "geolocation_city": "'são paulo ' || cast(c_nationkey as string)",
         "geolocation_state": "substr(c_mktsegment, 1, 2)",
     },
-    # LARGE gets no translation, so its original name stands in.
+    # LARGE is translated under a name that no product has, so products keep the original one.
     "category_translation": {
-        "product_category_name": "lower(p_type)",
+        "product_category_name": "lower(p_type) || case when p_type = 'LARGE' then ' (old)' else '' end",
         "product_category_name_english": (
             "upper(substr(p_type, 1, 1)) || lower(substr(p_type, 2)) || ' EN'"
         ),
@@ -157,7 +157,7 @@ def driver_sources(spark: SparkSession, sf_dir: str) -> Sources:
         if table == "geolocation":
             return given("customer")
         if table == "category_translation":
-            return given("part").filter("p_type <> 'LARGE'").select("p_type").distinct()
+            return given("part").select("p_type").distinct()
         if table == "payments":
             # one to three payments per order, numbered by n
             numbers = F.sequence(F.lit(1), (1 + F.col("o_orderkey") % 3).cast("int"))
@@ -182,7 +182,7 @@ def duckdb_raw_tables() -> dict[str, str]:
         "sellers": "supplier",
         "reviews": "orders",
         "geolocation": "customer",
-        "category_translation": "(select distinct p_type from part where p_type <> 'LARGE') types",
+        "category_translation": "(select distinct p_type from part) types",
     }
     texts = {}
     for table, columns in RAW_COLUMNS.items():

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mercato.operators.joins import KnownHotKeys
 from mercato.sources.schemas import RAW_TABLES
 
 # File or table names under which the raw tables are stored.
@@ -31,6 +32,7 @@ class Sources:
     def __init__(self, load: Callable[[str], DataFrame]):
         self._load = load
         self._counts: dict[str, int] = {}
+        self.hot_keys = KnownHotKeys()
 
     customers: DataFrame = cached_property(lambda self: self._load("customers"))
     orders: DataFrame = cached_property(lambda self: self._load("orders"))
