@@ -7,6 +7,7 @@ import importlib.util
 import os
 import sys
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,9 +94,34 @@ def _load_twice(spark: SparkSession, sf_dir: str) -> pipeline.Warehouse:
 
 
 def _audit_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The times are given without a zone and shown the same way.
-    times = {c: F.col(c).cast("timestamp_ntz") for c in ("run_started_at", "run_finished_at")}
-    return _load_twice(spark, sf_dir).run_log().withColumns(times)
+    """Two runs with given times and user, and one with the clock's and the session's.
+
+    The times of the third are unlike in each run: it shows whether they are in order and recent.
+    """
+    warehouse = _load_twice(spark, sf_dir)
+    pipeline.load_orders(
+        driver_sources(spark, sf_dir), warehouse.fct_orders, SETTINGS, run_log_path=warehouse.run_log_path
+    )
+    now = F.unix_seconds(F.current_timestamp())
+    recent = (now - F.unix_seconds("run_started_at")).between(0, 3600) & (
+        F.unix_seconds("run_finished_at") <= now + 1
+    )
+    own = F.col("run_by") == F.current_user()
+    utc = {
+        c: F.when(~recent, F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col(c).cast("timestamp_ntz")))
+        for c in ("run_started_at", "run_finished_at")
+    }
+    in_order = F.col("run_started_at") <= F.col("run_finished_at")
+    return warehouse.run_log().select(
+        "model_name",
+        utc["run_started_at"].alias("run_started_at"),
+        utc["run_finished_at"].alias("run_finished_at"),
+        "rows_affected",
+        F.when(~own, F.col("run_by")).alias("run_by"),
+        in_order.alias("in_order"),
+        recent.alias("is_recent"),
+        own.alias("by_session_user"),
+    )
 
 
 def _schema_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,24 +162,48 @@ def _scd2_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _built_warehouse(spark: SparkSession, sf_dir: str) -> tuple[Sources, pipeline.Warehouse]:
     src = driver_sources(spark, sf_dir)
     warehouse = pipeline.Warehouse(spark, work_dir(spark, "warehouse"))
-    pipeline.load_seed(warehouse)
+    pipeline.load_seed(warehouse, _seed_csv(spark))
     pipeline.run(src, warehouse, SETTINGS)
     return src, warehouse
 
 
+def _seed_csv(spark: SparkSession) -> str:
+    """The rates as a CSV file with a header, as a user would keep them on shared storage."""
+    path = work_dir(spark, "seed")
+    exchange_rates(spark).coalesce(1).write.option("header", True).csv(path)
+    return path
+
+
 def _published_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, warehouse = _built_warehouse(spark, sf_dir)
+    """Rows and a hash of the content of each written table and each staging view."""
     names = ("dim_customers", "dim_sellers", "dim_products", "dim_date", "fct_reviews")
-    tables = {name: warehouse.table(name) for name in names}
-    tables |= {"fct_orders": warehouse.fct_orders, "exchange_rates": warehouse.seed}
+    tables = {name: warehouse.table(name).read() for name in names}
+    tables |= {"fct_orders": warehouse.fct_orders.read(), "exchange_rates": warehouse.seed.read()}
+    tables |= {name: spark.table(name) for name in staging.MODELS}
     counts = [
-        t.read().agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+        t.agg(F.count("*").alias("row_count"), F.sum(_row_hash(t)).alias("content_hash")).select(
+            F.lit(name).alias("table_name"), "row_count", "content_hash"
+        )
         for name, t in tables.items()
     ]
-    result = counts[0]
-    for c in counts[1:]:
-        result = result.unionByName(c)
-    return result
+    return reduce(DataFrame.unionByName, counts)
+
+
+def _row_hash(table: DataFrame):
+    """32 bits from the text forms of a row's columns in order of their names, the same on any engine."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    texts = []
+    for name, kind in sorted((f.name, f.dataType.simpleString()) for f in table.schema.fields):
+        c = F.col(name)
+        if kind == "double":
+            c = F.round(c * 100).cast("bigint")
+        elif kind.startswith("decimal"):
+            c = (c * 100).cast("bigint")
+        elif kind == "timestamp_ntz":
+            c = F.timestamp_diff("SECOND", epoch, c)
+        texts.append(F.coalesce(c.cast("string"), F.lit("~")))
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *texts)), 1, 8), 16, 10).cast("bigint")
 
 
 def _dq_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,13 +244,18 @@ def _fn_surrogate_key(src: Sources) -> DataFrame:
 
 
 def _fn_current_timestamp_utc(src: Sources) -> DataFrame:
+    """Orders moved to within a day of now (by this machine's clock), so that a wrong zone shows."""
+    clock = ntz(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
+    hours = F.hour("ordered_at") - 12
+    moved = clock + F.make_dt_interval(hours=hours, mins=F.lit(30))
     now = current_timestamp_utc()
     return (
         staging.orders(src)
+        .select("order_status", moved.alias("moved"))
         .groupBy("order_status")
         .agg(
-            F.count(F.when(F.col("ordered_at") <= now, 1)).alias("past_orders"),
-            F.count(F.when(F.col("ordered_at") > now, 1)).alias("future_orders"),
+            F.count(F.when(F.col("moved") <= now, 1)).alias("past_orders"),
+            F.count(F.when(F.col("moved") > now, 1)).alias("future_orders"),
         )
     )
 
@@ -225,7 +280,9 @@ def queries() -> dict[str, Query]:
         "fct_orders": _on_sources(lambda src: facts.fct_orders(src, SETTINGS)),
         "fct_reviews": _on_sources(lambda src: facts.fct_reviews(src, SETTINGS)),
         "seed_exchange_rates": lambda spark, sf_dir: kpis.rates_with_gmv(
-            orders_with(kpis.GMV_COLUMNS)(driver_sources(spark, sf_dir)), exchange_rates(spark), SETTINGS
+            orders_with(kpis.GMV_COLUMNS)(driver_sources(spark, sf_dir)),
+            exchange_rates(spark, _seed_csv(spark)),
+            SETTINGS,
         ),
         "published_tables": _published_tables,
         "incremental_upsert_orders": lambda spark, sf_dir: _load_twice(spark, sf_dir).fct_orders.read(),

@@ -25,14 +25,20 @@ def load_on_arrival(
 ) -> StreamingQuery:
     """Run the incremental order load for the files that came since the last call.
 
-    The stream only keeps track of the files; what a load takes in is decided by
-    the watermark of the fact, as in a batch run. A load that is repeated after a
-    failure replaces the same rows by the same rows. `open_sources` is called for
-    each load, so that it lists the files that are there by then.
+    Each load takes in the orders of the new files, however late they are, with their items,
+    payments and customers; the first one builds the whole fact. A load that is repeated after
+    a failure replaces the same rows by the same rows. `open_sources` is called for each load, so
+    that it lists the files that are there by then.
     """
 
     def load(batch: DataFrame, _id: int) -> None:
-        load_orders(open_sources(), warehouse.fct_orders, settings, run_log_path=warehouse.run_log_path)
+        load_orders(
+            open_sources(),
+            warehouse.fct_orders,
+            settings,
+            run_log_path=warehouse.run_log_path,
+            only_orders=batch.drop("_loaded_at").distinct(),
+        )
 
     reader = spark.readStream.schema(ORDERS).format(fmt)
     if files_per_load:

@@ -1,0 +1,187 @@
+"""The shuffled and salted plans give the same rows, on DuckDB's word; and what plans must not do."""
+
+from __future__ import annotations
+
+import datetime as dt
+import re
+from dataclasses import replace
+
+import pytest
+
+import __spark_entry__ as entry
+from check_queries import connect, difference
+from mercato import Settings
+from mercato.operators import joins
+from mercato.operators.audit import append_run
+from mercato.operators.joins import KnownHotKeys, Lookup, enrich, fits_broadcast, row_bytes
+from mercato.operators.quality import run_checks
+from mercato.operators.upsert import upsert
+from mercato.plans import facts, kpis
+from mercato.plans.checks import CHECKS
+from mercato.sources.published import PublishedTable
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def duck():
+    return connect(SF_DIR)
+
+
+SHUFFLED = Settings(broadcast_max_rows=0, broadcast_max_ids=0)
+SALTED = replace(SHUFFLED, hot_key_min_rows=30, hot_key_share=0.0)
+
+
+@pytest.mark.parametrize("name", ["fct_orders", "orders_joined", "fct_reviews", "incremental_upsert_orders", "dim_products"])
+@pytest.mark.parametrize("settings", [SHUFFLED, SALTED], ids=["shuffled", "salted"])
+def test_against_duckdb(spark, duck, monkeypatch, name, settings):
+    salted = []
+    plain = joins._salted_join
+    monkeypatch.setattr(joins, "_salted_join", lambda *a: salted.append(a[1].on) or plain(*a))
+    monkeypatch.setattr(entry, "SETTINGS", settings)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert difference(spark, duck, name, SF_DIR) is None
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    if settings is SALTED and name in ("fct_orders", "orders_joined"):
+        assert salted
+
+
+def test_lookups_of_ids_use_their_own_limit(spark):
+    """Between both limits, products are broadcast and the items are shuffled once, by order."""
+    src = entry.driver_sources(spark, SF_DIR)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        settings = Settings(broadcast_max_rows=0, broadcast_max_ids=1_000_000)
+        text = plan(facts.fct_orders(src, settings, columns=["seller_key", "product_key", "price"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("BroadcastHashJoin") == 2 and text.count("SortMergeJoin") == 1
+    assert text.count("Exchange hashpartitioning") == 2
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_byte_bound(spark):
+    wide = spark.range(10).selectExpr("id", *[f"cast(id as string) s{i}" for i in range(20)])
+    assert row_bytes(wide) > 800 > row_bytes(spark.range(1))
+    assert fits_broadcast(wide.count, 100, wide, 10_000)
+    assert not fits_broadcast(wide.count, 100, wide, 5_000)
+
+
+def test_hot_keys_are_found_once(spark, monkeypatch):
+    calls = []
+    plain = joins.hot_keys
+    monkeypatch.setattr(joins, "hot_keys", lambda *a: calls.append(list(a[1])) or plain(*a))
+    rows = spark.range(100).selectExpr("id % 2 as k", "id")
+    known, settings = KnownHotKeys(), Settings(broadcast_max_rows=0, hot_key_min_rows=10)
+    for _ in range(3):
+        got = enrich(rows, [Lookup(spark.range(2).withColumnRenamed("id", "k"), "k")], settings, known_hot=(known, "rows"))
+        assert got.count() == 100
+    assert calls == [["k"]]
+
+
+def test_upsert_of_large_and_small_batches(spark, tmp_path):
+    table = PublishedTable(spark, str(tmp_path / "t"), "p")
+    base = table.stage(spark.range(1000).selectExpr("cast(id as string) k", "id v", "cast(id % 3 as string) p"))
+    version = table.commit(None, [base], base.schema)
+    batch = spark.range(5).selectExpr("cast(id as string) k", "-id v", "'0' p")
+    for ids in (1_000_000, 0):
+        version = upsert(table, version, batch, "k", settings=Settings(broadcast_max_ids=ids))
+        rows = {r.k: r.v for r in version.read().collect()}
+        assert rows == {str(i): -i if i < 5 else i for i in range(1000)}
+
+
+def test_upsert_plan_for_a_small_batch(spark, tmp_path, monkeypatch):
+    frame = type(spark.range(1))
+    table = PublishedTable(spark, str(tmp_path / "t"), "p")
+    base = table.stage(spark.range(1000).selectExpr("cast(id as string) k", "cast(id % 3 as string) p"))
+    version = table.commit(None, [base], base.schema)
+    plans = []
+    join = frame.join
+
+    def spied(self, *args, **kw):
+        out = join(self, *args, **kw)
+        plans.append(plan(out))
+        return out
+
+    monkeypatch.setattr(frame, "join", spied)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        upsert(table, version, spark.range(5).selectExpr("cast(id as string) k", "'0' p"), "k")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(plans) == 2
+    for text in plans:
+        assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Sao_Paulo"])
+def test_run_log_holds_instants(spark, tmp_path, zone):
+    table = PublishedTable(spark, str(tmp_path / "t"))
+    version = table.replace(spark.range(3).toDF("id"))
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        append_run(version, str(tmp_path / "log"), "m", dt.datetime(2018, 1, 1, 12), dt.datetime(2018, 1, 1, 12, 5))
+        append_run(version, str(tmp_path / "log"), "m", dt.datetime.now(dt.timezone.utc))
+        rows = (
+            spark.read.parquet(str(tmp_path / "log"))
+            .selectExpr("unix_seconds(run_started_at) a", "unix_seconds(run_finished_at) b", "run_by = current_user() own")
+            .orderBy("a")
+            .collect()
+        )
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert (rows[0].a, rows[0].b) == (1514808000, 1514808300)
+    assert 0 <= rows[1].b - rows[1].a < 60 and rows[1].own
+
+
+def test_old_versions_go(spark, tmp_path):
+    table = PublishedTable(spark, str(tmp_path / "t"), "p")
+    rows = lambda v: spark.range(6).selectExpr("id", f"{v} v", "cast(id % 2 as string) p")
+    versions = [table.replace(rows(0))]
+    for v in (1, 2):
+        batch = rows(v).filter("p = '0'")
+        staged = table.stage(batch)
+        versions.append(table.commit(versions[-1], [staged], staged.schema, keep=["1"]))
+    abandoned = table.stage(rows(9))
+    removed = table.remove_old(keep=2)
+    # Of the first version, the part that later ones still name stays.
+    assert removed == [abandoned.batch]
+    assert [v.number for v in table.versions()] == [2, 3]
+    for version, v in zip(table.versions(), (1, 2), strict=True):
+        assert {(r.id, r.v) for r in version.read().collect()} == {(i, 0 if i % 2 else v) for i in range(6)}
+    latest = table.replace(rows(5))
+    assert len(table.remove_old(keep=1)) == 3
+    assert {r.v for r in table.read().collect()} == {5} and table.latest().number == latest.number
+    with pytest.raises(ValueError):
+        table.remove_old(keep=0)
+
+
+def test_repeat_rate_hashes(spark):
+    src = entry.driver_sources(spark, SF_DIR)
+    df = kpis.repeat_customer_rate(facts.fct_orders(src, Settings(), columns=kpis.REPEAT_COLUMNS))
+    assert "SortAggregate" not in plan(df)
+
+
+def test_suite_counts_in_one_shuffle(spark):
+    """All checks but the relationships share one exchange by value."""
+    models = {}
+    for c in CHECKS:
+        if c.kind != "relationships":
+            models.setdefault(c.model, set()).add(c.column)
+    frames = {
+        m: spark.range(5).selectExpr(*[f"cast(null as {kind(c)}) {c}" for c in columns]) for m, columns in models.items()
+    }
+    text = plan(run_checks([c for c in CHECKS if c.kind != "relationships"], frames))
+    assert len(re.findall("Exchange hashpartitioning", text)) == 2
+    assert "SinglePartition" not in text
+
+
+def kind(column: str) -> str:
+    if column.endswith("_at"):
+        return "timestamp_ntz"
+    return "int" if "score" in column or "value" in column or "price" in column else "string"
