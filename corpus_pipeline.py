@@ -1,7 +1,7 @@
 """A corpus from raw documents to tokens, in four stages, each over all that the one before kept.
 
-1. `language_id`: documents go whose text has no letter, or in which no language is clearly the most
-   likely.
+1. `language_id`: documents go whose text has no letter, or no feature that tells one language from
+   the others.
 2. `near_duplicates`: of documents with at least 0.8 of their five-word n-grams in common,
    directly or through others, the one with the smallest id stays.
 3. `mix_sources`: sources are brought nearer to equal weights by reading the smaller ones up to twice.
@@ -22,8 +22,6 @@ from pyspark.sql import functions as F
 from mercato.llm import op2_source_mixing, op5_ngram_join, op6_bpe, op10_language_id
 from mercato.llm.common import id_remainder, stored, table, workers_import_package
 
-# Below this share of the likelihood a text has no language that could be told.
-MIN_LANGUAGE_SCORE = 0.4
 MIX = op2_source_mixing.Mix(entropy=None, max_repeats=2.0, whole=True)
 
 
@@ -31,7 +29,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     training = docs.filter(id_remainder("doc_id", 3) != 1).select("doc_id", "text", "lang")
     model = op10_language_id.train(training)
     found = op10_language_id.identify(docs, model, to=("_lang_pred", "_lang_score"))
-    known = (F.col("_lang_pred") != op10_language_id.UNKNOWN) & (F.col("_lang_score") >= MIN_LANGUAGE_SCORE)
+    known = F.col("_lang_pred") != op10_language_id.UNKNOWN
+    if len(model.languages) > 1:  # all equally likely: nothing in the text is known of any language
+        known = known & (F.col("_lang_score") > (1 + 1e-9) / len(model.languages))
     return found.filter(known).drop("_lang_pred", "_lang_score")
 
 

@@ -37,10 +37,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mercato.llm.common import id_remainder, stored, table
-from mercato.llm.shingles import WordHashes, words_of
+from mercato.llm.shingles import hash_words, mixed, text_groups
 
 END = xxhash.xxh3_64_intdigest(b"\n")  # no word holds a line end
 START = xxhash.xxh3_64_intdigest(b"\n\n")
+MIX = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 ADDED = 0.1
 
 
@@ -57,8 +58,18 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def tokens(text: str | None, hashes: WordHashes) -> np.ndarray:
-    return np.append(hashes.of(words_of(text or "")), np.uint64(END))
+def tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(tokens, tokens before, number per text): the words of all texts, each text's with its end."""
+    hashes, counts = hash_words(texts)
+    last = np.cumsum(counts + 1) - 1
+    token = np.empty(len(hashes) + len(texts), dtype=np.uint64)
+    is_word = np.ones(len(token), dtype=bool)
+    is_word[last] = False
+    token[is_word] = hashes
+    token[last] = END
+    before = np.roll(token, 1)
+    before[last - counts] = START
+    return token, before, counts + 1
 
 
 def prepared(docs: DataFrame, held_out, fit: Fit) -> DataFrame:
@@ -77,46 +88,39 @@ def _counted(fit: Fit, states: np.ndarray | None):
     """
 
     def rows(chunk: np.ndarray, state: np.ndarray, word: np.ndarray, train: np.ndarray) -> pa.RecordBatch:
-        order = np.lexsort((word, state, chunk))
-        chunk, state, word, train = chunk[order], state[order], word[order], train[order]
-        fresh = np.r_[
-            True, (word[1:] != word[:-1]) | (state[1:] != state[:-1]) | (chunk[1:] != chunk[:-1])
-        ]
-        first = np.flatnonzero(fresh)
+        key = mixed(word + chunk.astype(np.uint64) * MIX[0]) + state.astype(np.uint64) * MIX[1]
+        order = np.argsort(key)
+        key = key[order]
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        at = order[first]
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(chunk[first]),
-                pa.array(state[first]),
-                pa.array(_signed(word[first])),
-                pa.array(np.add.reduceat(train.astype(np.int64), first)),
+                pa.array(chunk[at]),
+                pa.array(state[at]),
+                pa.array(_signed(word[at])),
+                pa.array(np.add.reduceat(train[order].astype(np.int64), first)),
             ],
             names=["chunk", "state", "word", "n"],
         )
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         buffer: list[tuple[np.ndarray, ...]] = []
         size = 0
         for part in parts:
-            columns = (part.column(c).to_pylist() for c in ("chunk", "held_out", "text"))
-            for chunk, held_out, text in zip(*columns, strict=True):
-                word = tokens(text, hashes)
+            chunks = part.column("chunk").to_numpy()
+            train = ~part.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+            texts = part.column("text").to_pylist()
+            for group in text_groups(texts):
+                word, before, counts = tokens(texts[group])
+                chunk, own_train = np.repeat(chunks[group], counts), np.repeat(train[group], counts)
                 if states is None:
                     state = np.full(len(word), -1, dtype=np.int32)
                 else:
-                    before = np.append(np.uint64(START), word[:-1])
-                    at = np.searchsorted(states, before)
-                    at[at == len(states)] = 0
-                    follows = states[at] == before
-                    word, state = word[follows], at[follows].astype(np.int32)
-                buffer.append(
-                    (
-                        np.full(len(word), chunk, dtype=np.int32),
-                        state,
-                        word,
-                        np.full(len(word), not held_out, dtype=bool),
-                    )
-                )
+                    state = state_of(before, states)
+                    follows = state >= 0
+                    word, state = word[follows], state[follows]
+                    chunk, own_train = chunk[follows], own_train[follows]
+                buffer.append((chunk, state, word, own_train))
                 size += len(word)
                 if size >= fit.buffered:
                     yield from _sliced(rows(*map(np.concatenate, zip(*buffer, strict=True))))
@@ -127,6 +131,13 @@ def _counted(fit: Fit, states: np.ndarray | None):
     return run
 
 
+def state_of(words: np.ndarray, states: np.ndarray) -> np.ndarray:
+    """The number of each word's state, -1 for the root."""
+    at = np.searchsorted(states, words)
+    at[at == len(states)] = 0
+    return np.where(states[at] == words, at, -1).astype(np.int32)
+
+
 def _sliced(batch: pa.RecordBatch, size: int = 100_000) -> Iterator[pa.RecordBatch]:
     for start in range(0, len(batch), size):
         yield batch.slice(start, size)
@@ -157,53 +168,76 @@ class Automaton:
     failure: np.ndarray  # log10 weights
     discount: float
 
-    def root(self, count: int) -> float:
-        divisor = self.train_tokens + ADDED * (self.vocabulary + 1)
-        return math.log10((count + ADDED) / divisor)
-
 
 class Part:
-    """The part of an automaton that the words of a chunk can reach."""
+    """The part of an automaton that the words of a chunk can reach, as sorted arrays."""
 
     def __init__(self, known: Automaton):
         self.known = known
-        self.number = {int(h): i for i, h in enumerate(known.states)}
-        self.failure = known.failure.tolist()
-        self.words: dict[int, float] = {}
-        self.arcs: list[dict[int, float]] = [{} for _ in known.states]
-        self.roots = {n: known.root(n) for n in range(2)}
+        self.rows: list[tuple[np.ndarray, ...]] = []
+        self.words = self.arcs = None
 
     def add(self, state: np.ndarray, word: np.ndarray, total: np.ndarray) -> None:
-        known = self.known
+        self.rows.append((state, word.view(np.uint64), total))
+
+    def _sorted(self) -> None:
+        if self.rows:
+            state, word, total = (np.concatenate(x) for x in zip(*self.rows, strict=True))
+        else:
+            state, word, total = np.zeros(0, np.int32), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.rows = []
         single = state < 0
+        self.words = _by_key(word[single], total[single])
+        self.arcs = _by_key(_arc(state[~single], word[~single]), total[~single])
+
+    def score(self, texts: list[str | None]) -> tuple[np.ndarray, ...]:
+        """Per text: tokens, known tokens, score by single words, score by the automaton.
+
+        Every arc that reads a word leads to the word's state, or to the root if it has none. So the
+        state in which a token is read follows from the token before, and the texts of a block are
+        traversed side by side.
+        """
+        if self.words is None:
+            self._sorted()
+        known = self.known
+        word, before, counts = tokens(texts)
         divisor = known.train_tokens + ADDED * (known.vocabulary + 1)
-        weights = np.log10((total[single] + ADDED) / divisor)
-        # The weight of a word that isn't known is one and the same number, by which it is told.
-        weights[total[single] == 0] = self.roots[0]
-        self.words.update(zip(word[single].tolist(), weights.tolist(), strict=True))
-        state, word, total = state[~single], word[~single], total[~single]
-        weights = np.log10((total - known.discount) / known.counts[state])
-        for s, w, p in zip(state.tolist(), word.tolist(), weights.tolist(), strict=True):
-            self.arcs[s][w] = p
-
-    def score(self, word: list[int]) -> tuple[int, float, float]:
-        """(known tokens, score by single words, score by the automaton) of a text's tokens."""
-        words, arcs, failure, number = self.words, self.arcs, self.failure, self.number
-        unknown, once = self.roots[0], self.roots[1]
-        state = number.get(START, -1)
-        n_known, base, score = len(word), 0.0, 0.0
-        for w in word:
-            single = words.get(w, once)
-            base += single
-            if single == unknown:
-                n_known -= 1
-            if state < 0:
-                score += single
-            else:
-                p = arcs[state].get(w)
-                score += failure[state] + single if p is None else p
-            state = number.get(w, -1)
-        return n_known, base, score
+        count = _look_up(word, *self.words, absent=1)
+        root = np.log10((count + ADDED) / divisor)
+        state = state_of(before, known.states)
+        weight = root.copy()
+        read = np.flatnonzero(state >= 0)
+        at, own = state[read], word[read]
+        pair = _look_up(_arc(at, own), *self.arcs, absent=0)
+        weight[read] = np.where(
+            pair > 0,
+            np.log10(np.maximum(pair - known.discount, 1e-300) / known.counts[at]),
+            known.failure[at] + root[read],  # the failure arc, then the root's
+        )
+        first = np.cumsum(counts) - counts
+        return (
+            counts,
+            np.add.reduceat((count > 0).astype(np.int64), first),
+            np.add.reduceat(root, first),
+            np.add.reduceat(weight, first),
+        )
+
+
+def _arc(state: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return mixed(word + state.astype(np.uint64) * MIX[1])
+
+
+def _by_key(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(key)
+    return key[order], value[order]
+
+
+def _look_up(wanted: np.ndarray, key: np.ndarray, value: np.ndarray, absent: int) -> np.ndarray:
+    if not len(key):
+        return np.full(len(wanted), absent, dtype=np.int64)
+    at = np.searchsorted(key, wanted)
+    at[at == len(key)] = 0
+    return np.where(key[at] == wanted, value[at], absent)
 
 
 SCORED = (
@@ -213,12 +247,7 @@ SCORED = (
 
 
 def _scored(known: Automaton, kind: pa.DataType):
-    signed = Automaton(
-        known.train_tokens, known.vocabulary, _signed(known.states), known.counts, known.failure, known.discount
-    )
-
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         current, part = None, None
         for batch in parts:
             chunks = batch.column("chunk").to_numpy()
@@ -226,39 +255,31 @@ def _scored(known: Automaton, kind: pa.DataType):
             cuts = np.flatnonzero(np.r_[True, (chunks[1:] != chunks[:-1]) | (is_doc[1:] != is_doc[:-1]), True])
             for a, b in zip(cuts, cuts[1:], strict=False):
                 if part is None or chunks[a] != current:
-                    current, part = chunks[a], _part(signed)
+                    current, part = chunks[a], Part(known)
                 rows = batch.slice(a, b - a)
                 if not is_doc[a]:
                     part.add(*(rows.column(c).to_numpy() for c in ("state", "word", "total")))
                     continue
-                found = []
-                for text in rows.column("text").to_pylist():
-                    word = _signed(tokens(text, hashes)).tolist()
-                    found.append((len(word), *part.score(word)))
-                n_tokens, n_known, base, score = zip(*found, strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        rows.column("doc_id").cast(kind),
-                        rows.column("held_out"),
-                        pa.array(n_tokens, pa.int64()),
-                        pa.array(n_known, pa.int64()),
-                        pa.array([known.train_tokens] * len(found), pa.int64()),
-                        pa.array(base, pa.float64()),
-                        pa.array(score, pa.float64()),
-                    ],
-                    names=[x.split()[0] for x in SCORED.split(", ")],
-                )
+                texts = rows.column("text").to_pylist()
+                for group in text_groups(texts):
+                    n_tokens, n_known, base, score = part.score(texts[group])
+                    own = rows.slice(group.start, group.stop - group.start)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            own.column("doc_id").cast(kind),
+                            own.column("held_out"),
+                            pa.array(n_tokens, pa.int64()),
+                            pa.array(n_known, pa.int64()),
+                            pa.array(np.full(len(own), known.train_tokens), pa.int64()),
+                            pa.array(base, pa.float64()),
+                            pa.array(score, pa.float64()),
+                        ],
+                        names=[x.split()[0] for x in SCORED.split(", ")],
+                    )
 
     return run
 
 
-def _part(known: Automaton) -> Part:
-    part = Part(known)
-    start = int(np.array([START], dtype=np.uint64).view(np.int64)[0])
-    part.number[START] = part.number.pop(start)  # the start is a state that no word leads to
-    return part
-
-
 def train(rows: DataFrame, fit: Fit) -> tuple[Automaton, DataFrame]:
     """The automaton's common part, and its arcs per chunk: (chunk, state, word, total)."""
     counts = rows.mapInArrow(_counted(fit, None), COUNTS)

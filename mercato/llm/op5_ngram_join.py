@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from mercato.llm.common import id_text, salted_lookup, stored, table, whole_text
 from mercato.llm.components import components
-from mercato.llm.shingles import MinHash, WordHashes, bands_for, shingles, words_of
+from mercato.llm.shingles import MinHash, bands_for, hash_words, shingles, text_groups
 
 
 @dataclass(frozen=True)
@@ -55,11 +55,10 @@ def signatures(docs: DataFrame, join: Join) -> DataFrame:
     bands, rows = bands_for(join.threshold, join.recall)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, minhash = WordHashes(), MinHash(bands, rows)
+        minhash = MinHash(bands, rows)
         for part in parts:
             keys, sizes, found = [], [], []
-            for text in part.column("text").to_pylist():
-                grams = shingles(hashes.of(words_of(text or "")), join.words)
+            for grams in sets_of(part.column("text").to_pylist(), join.words):
                 keys.append(set_key(grams) if len(grams) else None)
                 sizes.append(len(grams))
                 found.append(minhash.band_hashes(grams) if len(grams) else None)
@@ -80,6 +79,14 @@ def signatures(docs: DataFrame, join: Join) -> DataFrame:
     )
 
 
+def sets_of(texts: list[str | None], n: int) -> Iterator[np.ndarray]:
+    """The n-gram set of each text."""
+    for group in text_groups(texts):
+        hashes, counts = hash_words(texts[group])
+        for words in np.split(hashes, np.cumsum(counts)[:-1]):
+            yield shingles(words, n)
+
+
 def text_digest() -> Column:
     """What tells apart rows that share an id; NULL is as the empty text."""
     return F.md5(whole_text())
@@ -149,12 +156,11 @@ GROUP = ["band", "hash", "low", "high"]
 def _compare(join: Join):
     """Rows sorted by group to (key, links, root) of the classes that have links there."""
 
-    def group(rows: list[tuple], hashes: WordHashes) -> Iterator[tuple]:
+    def group(rows: list[tuple]) -> Iterator[tuple]:
         rows.sort(key=lambda r: r[0])
         kept, sets = [], []
-        for row in rows:
-            key, text = row[0], row[4]
-            grams = shingles(hashes.of(words_of(text or "")), join.words)
+        for row, grams in zip(rows, sets_of([r[4] for r in rows], join.words), strict=True):
+            key = row[0]
             # An id that several texts share brings all of them; the key says which is meant.
             if set_key(grams) == key and not (kept and kept[-1][0] == key):
                 kept.append(row)
@@ -170,7 +176,6 @@ def _compare(join: Join):
             yield kept[i][0], int(copies[linked[i]].sum()), kept[root[i]][0]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         current, rows = None, []
         for part in parts:
             out: list[tuple] = []
@@ -178,12 +183,12 @@ def _compare(join: Join):
             columns = [part.column(c).to_pylist() for c in ("key", "bands", "own", "copies", "text", "band")]
             for name, row in zip(groups, zip(*columns, strict=True), strict=True):
                 if name != current:
-                    out += group(rows, hashes)
+                    out += group(rows)
                     current, rows = name, []
                 rows.append(row)
             if out:
                 yield _linked(out)
-        if out := list(group(rows, hashes)):
+        if out := list(group(rows)):
             yield _linked(out)
 
     return run
@@ -256,18 +261,17 @@ def near_duplicates(docs: DataFrame, join: Join | None = None) -> DataFrame:
     named = rooted.groupBy("root").agg(F.min("first").alias("class_first"))
     counts = linked.groupBy("key").agg(F.sum("links").alias("links"))
     # Classes of a single document without links need no lookup.
-    known = (
+    several = (
         classes.select("key", "first", "copies")
         .join(counts, "key", "left")
         .filter("copies > 1 or links is not null")
         .join(rooted.select("key", "root"), "key", "left")
-        .join(named, "root", "left")
-        .select(
-            "key",
-            F.coalesce("class_first", "first").alias("_class"),
-            (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("_links"),
-            F.col("copies").alias("_copies"),
-        )
+    )
+    known = salted_lookup(several, named, "root", F.col("key")).select(
+        "key",
+        F.coalesce("class_first", "first").alias("_class"),
+        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("_links"),
+        F.col("copies").alias("_copies"),
     )
     rows = signed.select("doc_id", "digest", "key", "n_grams")
     alone = F.col("_copies").isNull()

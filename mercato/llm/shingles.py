@@ -3,33 +3,12 @@
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 import numpy as np
 import xxhash
 
 
-class WordHashes(dict):
-    """Hash of a word (bytes); words seen are kept up to a limit."""
-
-    def __init__(self, limit: int = 300_000):
-        super().__init__()
-        self.limit = limit
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
-
-
-def words_of(text: str) -> list[bytes]:
-    """Words between ASCII white space; A to Z become lower case."""
-    return text.encode().lower().split()
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit numbers."""
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
@@ -37,7 +16,106 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-_FACTORS = np.random.default_rng(2024).integers(0, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_RANDOM = np.random.default_rng(2024)
+_FACTORS = _RANDOM.integers(0, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+# Words are hashed many at a time: a word's hash is the sum of its bytes' random numbers times powers
+# of an odd number, taken from running sums over the whole block.
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[32, *range(9, 14)]] = True
+_LETTER = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_LETTER[65:91] = _LETTER[97:123]  # A to Z count as a to z
+_LETTER[_SPACE] = 0
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 2**64)
+_BLOCK = 1 << 20
+_LONG = 256  # longer words are hashed one by one
+
+
+@lru_cache(maxsize=1)
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, by doubling."""
+    out = []
+    for base in (_BASE, _INVERSE):
+        powers = np.ones(_BLOCK + 1, dtype=np.uint64)
+        filled = 1
+        while filled <= _BLOCK:
+            step = np.uint64(pow(base, filled, 2**64))
+            n = min(filled, _BLOCK + 1 - filled)
+            powers[filled : filled + n] = powers[:n] * step
+            filled += n
+        out.append(powers)
+    return out[0], out[1]
+
+
+def _hash_block(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(start, hash) of the words of a block, which has at most _BLOCK bytes and ends at a word's end."""
+    powers, inverses = _powers()
+    buffer = np.frombuffer(data, dtype=np.uint8)
+    space = np.concatenate(([True], _SPACE[buffer], [True]))
+    starts = np.flatnonzero(space[:-1] & ~space[1:])
+    ends = np.flatnonzero(~space[:-1] & space[1:])
+    sums = np.zeros(len(buffer) + 1, dtype=np.uint64)
+    np.cumsum(_LETTER[buffer] * powers[: len(buffer)], out=sums[1:])
+    sizes = (ends - starts).astype(np.uint64)
+    hashes = mixed((sums[ends] - sums[starts]) * inverses[starts] + sizes * _FACTORS[63])
+    for i in np.flatnonzero(sizes > _LONG):
+        hashes[i] = _hash_long(data[starts[i] : ends[i]])
+    return starts, hashes
+
+
+def _hash_long(word: bytes) -> np.uint64:
+    return np.uint64(xxhash.xxh3_64_intdigest(word.lower()))
+
+
+def _blocks(data: bytes):
+    """(offset, block) that cut `data` at white space. A block over _BLOCK bytes is a single word."""
+    at = 0
+    while len(data) - at > _BLOCK:
+        cut = max(data.rfind(c, at, at + _BLOCK) for c in (b" ", b"\t", b"\n", b"\v", b"\f", b"\r"))
+        if cut <= at:  # a very long word
+            found = [data.find(c, at + 1) for c in (b" ", b"\t", b"\n", b"\v", b"\f", b"\r")]
+            cut = min((f for f in found if f > 0), default=len(data))
+        yield at, data[at:cut]
+        at = cut
+    yield at, data[at:]
+
+
+def hash_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts one after the other, and the number of words of each text.
+
+    Words stand between ASCII white space; A to Z are as a to z. NULL is as the empty text.
+    """
+    encoded = [(t or "").encode() for t in texts]
+    data = b" ".join(encoded)
+    ends = np.cumsum([len(e) + 1 for e in encoded])
+    found = []
+    for offset, block in _blocks(data):
+        if len(block) <= _BLOCK:
+            starts, hashes = _hash_block(block)
+            found.append((starts + offset, hashes))
+        else:
+            word = block.strip(b" \t\n\v\f\r")
+            found.append((np.array([offset + block.index(word)]), np.array([_hash_long(word)])))
+    starts, hashes = (np.concatenate(x) for x in zip(*found, strict=True))
+    return hashes, np.diff(np.searchsorted(starts, ends), prepend=0)
+
+
+def text_groups(texts: list[str | None], size: int = _BLOCK):
+    """Slices of a list of texts that hold about `size` characters."""
+    first = total = 0
+    for i, t in enumerate(texts):
+        total += len(t or "")
+        if total >= size:
+            yield slice(first, i + 1)
+            first, total = i + 1, 0
+    if first < len(texts):
+        yield slice(first, len(texts))
+
+
+def words_of(text: str) -> list[bytes]:
+    """The words themselves."""
+    return text.encode().lower().split()
 
 
 def shingles(words: np.ndarray, n: int = 5) -> np.ndarray:
