@@ -15,8 +15,11 @@ from functools import lru_cache
 
 import ahocorasick
 import regex
+from tokenizers import Regex, normalizers, pre_tokenizers
 
 WORD_END = "</w>"
+# Up to here all versions of Unicode agree.
+BEYOND = regex.compile("[^\x00-\u052f]")
 
 
 def byte_letters() -> list[str]:
@@ -90,7 +93,8 @@ class Vocabulary:
         self.bytes = b"".join(pieces)
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         # White space by its Unicode property, as the tokenizer's own patterns have it.
-        self.words = regex.compile(split.replace(r"\s", r"\p{White_Space}"))
+        self.pattern = split.replace(r"\s", r"\p{White_Space}")
+        self.words = regex.compile(self.pattern)
         self.specials = (
             regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         )
@@ -159,20 +163,28 @@ class Vocabulary:
         ids = self.ids
         return [ids[r] for r in self.encode_symbols(symbols)]
 
-    def normal(self, text: str) -> str:
+    def split(self, text: str) -> list[str]:
+        """The normalised words of a text without special tokens."""
+        text = unicodedata.normalize("NFC", text)
+        words = self.words
+        if not text.isascii() and BEYOND.search(text):
+            unlike, unlike_words, unlike_lower = _other_unicode(self.pattern)
+            if unlike.search(text):
+                text, words = text.translate(unlike_lower), unlike_words
         # Letter by letter, so that a final sigma is like any other.
-        return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        return words.findall(text.replace("Σ", "σ").lower())
 
     def pieces(self, text: str):
         """Words of a text in order; special tokens come as their id."""
         if self.specials is None or not any(s in text for s in self.special):
-            yield from self.words.findall(self.normal(text))
-            return
+            return self.split(text)
+        out: list[str | int] = []
         for part in self.specials.split(text):
             if part in self.special:
-                yield self.special[part]
+                out.append(self.special[part])
             else:
-                yield from self.words.findall(self.normal(part))
+                out += self.split(part)
+        return out
 
     def token_bytes(self, token_id: int) -> bytes:
         return self.bytes[self.offsets[token_id] : self.offsets[token_id + 1]]
@@ -183,6 +195,42 @@ class Vocabulary:
         return b" ".join([data[offsets[i] : offsets[i + 1]] for i in ids])
 
 
+@lru_cache(maxsize=4)
+def _other_unicode(split: str) -> tuple[regex.Pattern, regex.Pattern, dict[int, str]]:
+    """Where the tokenizers library has other letters, numbers or small letters than Python's modules.
+
+    They follow different versions of Unicode. Returns a pattern that finds such characters, the
+    split pattern with the library's classes (slower, so only for texts that hold one), and the small
+    letters that Python lacks.
+    """
+    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    odd, classes = set(), {}
+    for name in ("L", "N"):
+        matched = pre_tokenizers.Split(Regex(rf"\p{{{name}}}"), "removed").pre_tokenize_str(every)
+        theirs = set(every).difference(*(t for t, _ in matched))
+        ours = set(regex.findall(rf"\p{{{name}}}", every))
+        odd |= theirs ^ ours
+        add, drop = (_char_class(x) for x in (theirs - ours, ours - theirs))
+        classes[name] = rf"[[\p{{{name}}}{add}]--[{drop}\x00]]"
+    lower = normalizers.Lowercase()
+    small = {ord(c): t for c in every if c != (t := lower.normalize_str(c)) and t != c.lower() and c != "Σ"}
+    unlike = _char_class(odd | set(map(chr, small)))
+    # The classes also stand inside others, where a set difference is as good.
+    pattern = split.replace(r"\p{L}", classes["L"]).replace(r"\p{N}", classes["N"])
+    return regex.compile(f"[{unlike}\ue000]"), regex.compile(pattern, regex.V1), small
+
+
+def _char_class(chars: set[str]) -> str:
+    """Characters as ranges of a character class."""
+    ranges: list[list[int]] = []
+    for c in sorted(map(ord, chars)):
+        if ranges and ranges[-1][1] == c - 1:
+            ranges[-1][1] = c
+        else:
+            ranges.append([c, c])
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges)
+
+
 @lru_cache(maxsize=4)
 def vocabulary(path: str) -> Vocabulary:
     """Built once per Python worker."""

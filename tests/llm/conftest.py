@@ -1,0 +1,85 @@
+from __future__ import annotations
+
+import pytest
+
+from mercato.llm.registry import QUERIES
+
+SF_DIR = "/root/testdata/sf0.001"
+
+LONG = "The quick brown fox. All rights reserved. " * 5000
+
+# doc_id, text, lang, source
+ODD = [
+    (None, "a document without an id", "en", "a"),
+    (1, None, "en", "a"),
+    (2, "", None, None),
+    (3, " \n\t ", "en", "b"),
+    (4, LONG, "en", "b"),
+    (5, "same words in the same order, six", "en", "b"),
+    (6, "same words in the same order, six", "en", "b"),
+    (5, "same words in the same order, six", "en", "b"),
+    (7, "same words in the same order, six", None, "b"),
+    (8, "12345 67890 !!! ???", "en", None),
+    (9, "der die das und nicht ist ein Haus\nim Wald.", "de", "c"),
+    (10, "Σίσυφος İstanbul 日本語 🎉 it's", "el", "c"),
+    (11, "word", "en", "c"),
+    (12, "All rights reserved. CC BY 4.0 <|endoftext|> GNU General Public License, version 3", "en", "c"),
+    (-13, "the and of to in is that it was for on are", "en", "c"),
+    (13, "the and of to in is that it was for on are", "en", "d"),
+]
+
+
+def write(spark, folder, rows):
+    """The three tables with odd rows and extra columns whose names clash with results."""
+    extra = "score double, n_tokens string, shard string, slot string, rank int, key string, digest string"
+    docs = spark.createDataFrame(
+        [(*r, len(r[1] or ""), *[None] * 7) for r in rows],
+        f"doc_id bigint, text string, lang string, source string, n_chars bigint, {extra}",
+    )
+    docs.write.parquet(f"{folder}/documents.parquet")
+    pages = [(r[0], None if i % 3 else f"http://x/{i}\r\nX: y", r[1], "x", "y") for i, r in enumerate(rows)]
+    spark.createDataFrame(pages, "page_id bigint, url string, html string, value string, record_type string").write.parquet(
+        f"{folder}/pages.parquet"
+    )
+    nan, inf = float("nan"), float("inf")
+    vectors = [
+        (None, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, []), (5, [0.0, 0.0]),
+        (6, [nan, 1.0]), (7, [inf, 1.0]), (8, [None, 1.0]), (9, [0.0, 1.0]), (10, [-1.0, 0.0]), (11, [1.0, 1.0]),
+        (0, [1.0, 0.0]), (50, [1.0, 0.0]), (100, [0.0, 0.0]), (150, [3.0, 1.0]), (12, [1.0, 2.0, 3.0]),
+    ] if rows else []
+    spark.createDataFrame(
+        [(a, b, 1, 0.5, "x") for a, b in vectors],
+        "vec_id bigint, embedding array<float>, label int, score double, class string",
+    ).write.parquet(f"{folder}/embeddings.parquet")
+    return str(folder)
+
+
+@pytest.fixture(scope="session")
+def odd_dir(spark, tmp_path_factory):
+    return write(spark, tmp_path_factory.mktemp("odd"), ODD)
+
+
+@pytest.fixture(scope="session")
+def empty_dir(spark, tmp_path_factory):
+    return write(spark, tmp_path_factory.mktemp("empty"), [])
+
+
+@pytest.fixture(scope="session")
+def result(spark):
+    """Rows of a registered query, computed once per folder."""
+    known = {}
+
+    def get(name: str, folder: str = SF_DIR):
+        full = next(q for q in QUERIES if q == name or q.startswith(f"{name}_"))
+        if (full, folder) not in known:
+            known[full, folder] = QUERIES[full](spark, folder).collect()
+        return known[full, folder]
+
+    return get
+
+
+@pytest.fixture(scope="session")
+def documents(spark):
+    """doc_id to text of the small table."""
+    rows = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text", "lang", "source").collect()
+    return {r["doc_id"]: r for r in rows}

@@ -1,0 +1,102 @@
+from __future__ import annotations
+
+import re
+
+from mercato.llm.op1_license_scan import BASE_PHRASES, ROOTS, rules, scan
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def words_of(text):
+    return WORD.findall((text or "").translate(LOWER))
+
+
+def brute_base(text):
+    words = words_of(text)
+    places = {}
+    for phrase, label in BASE_PHRASES:
+        p = phrase.split()
+        places[label] = [i for i in range(len(words)) if words[i : i + len(p)] == p]
+    every = sorted(i for x in places.values() for i in x)
+    labels = ",".join(sorted(k for k, v in places.items() if v))
+    return len(words), len(every), every[0] if every else None, every[-1] if every else None, labels
+
+
+def brute_matches(text):
+    """All matches of all rules, and those that no other of at least their priority contains."""
+    words = words_of(text)
+    joined = " ".join(words)
+    found = []
+    for place, rule in enumerate(rules()):
+        for m in re.finditer(rf"(?<![^ ])(?:{rule.regex})(?![^ ])", joined):
+            start = joined[: m.start()].count(" ")
+            found.append((start, start + m.group().count(" "), rule.priority, place, rule.label, rule.weight))
+    if found:
+        assert any(root in f" {joined} " for root in ROOTS)
+    kept = []
+    for d in found:
+        beaten = any(
+            e[0] <= d[0] and e[1] >= d[1] and e[2] >= d[2] and (e[:3] != d[:3] or e[3] < d[3]) for e in found
+        )
+        if not beaten:
+            kept.append(d)
+    return kept
+
+
+TEXTS = [
+    "Released under the MIT License.",
+    "Licensed under the Apache License, Version 2.0 (the \"License\")",
+    "SPDX-License-Identifier: GPL-3.0-or-later",
+    "SPDX-License-Identifier: BSD-2-Clause and BSD 3-Clause; Mozilla Public License 2.0",
+    "cc by cc by cc-by-nc-sa 4.0, all rights reserved all rights reserved",
+    "ALL RIGHTS RESERVED. GNU Lesser General Public License version 2.1 or the GNU General Public License v2",
+    "the word mit alone, an apache helicopter and ruby slippers",
+    "licence: distributed under the terms of the Eclipse Public Licence v 2.0",
+    "Permission is hereby granted, free of charge, to any person obtaining a copy",
+    "allrights reserved all rightsreserved accc by",
+    "Ünïcode-cc by Ä all rights reserved",
+]
+
+
+def test_against_brute_force(result, documents):
+    for r in result("op1"):
+        want = brute_base(documents[r["doc_id"]]["text"])
+        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) == want
+        kept = brute_matches(documents[r["doc_id"]]["text"])
+        labels = {m[4] for m in kept} | set(filter(None, want[4].split(",")))
+        assert r["labels"] == ",".join(sorted(labels))
+        assert r["score"] == max((m[5] for m in kept), default=0.0)
+
+
+def test_suppression(spark):
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "i int, text string")
+    for r in scan(docs).collect():
+        got = sorted((m["start"], -m["minus_last"], m["place"]) for m in r["_matches"])
+        assert got == sorted((m[0], m[1], m[3]) for m in brute_matches(r["text"])), r["text"]
+
+
+def test_labels(spark):
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "i int, text string")
+    labels = {r["i"]: {m["label"] for m in r["_matches"]} for r in scan(docs).collect()}
+    assert labels[0] == {"mit"}
+    assert "apache-2.0" in labels[1]
+    assert labels[2] == {"gpl-3.0"}
+    assert labels[6] == set()
+
+
+def test_hundreds_of_rules():
+    made = rules()
+    assert len(made) >= 200
+    assert {r.priority for r in made} == {1, 2, 3, 4}
+    for r in made:
+        re.compile(r.regex)
+
+
+def test_odd_rows(result, odd_dir):
+    rows = {(r["doc_id"]): r for r in result("op1", odd_dir)}
+    for i in (1, 2, 3):
+        assert (rows[i]["n_words"], rows[i]["n_base"], rows[i]["labels"], rows[i]["score"]) == (0, 0, "", 0.0)
+        assert rows[i]["first_word"] is None
+    assert rows[4]["n_base"] == 5000 and rows[4]["n_words"] == 7 * 5000 and rows[4]["last_word"] == 7 * 5000 - 3
+    assert rows[12]["base_labels"] == "cc-by,gpl,reserved"

@@ -1,0 +1,107 @@
+from __future__ import annotations
+
+import math
+import zlib
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from mercato.llm.op4_lm_scoring import Fit, score, train, prepared
+
+END, START = b"\n", b"^"
+
+
+def brute(docs, held_out, fit):
+    """Scores from dictionaries of all counts; docs: list of texts, held_out: list of bool."""
+    words = [(t or "").encode().lower().split() + [END] for t in docs]
+    c = Counter(w for d, h in zip(words, held_out, strict=True) if not h for w in d)
+    n, v = sum(c.values()), len(c)
+    z = n + 0.1 * (v + 1)
+    states = {w for w in c if c[w] >= fit.context_share * n and w != END} | {START}
+    pairs = Counter(
+        (a, b) for d, h in zip(words, held_out, strict=True) if not h for a, b in zip([START, *d], d, strict=False) if a in states
+    )
+    pairs = {k: x for k, x in pairs.items() if x >= fit.least}
+    context = {**c, START: sum(not h for h in held_out)}
+    out = []
+    for d in words:
+        base = [math.log10((c[w] + 0.1) / z) for w in d]
+        total = 0.0
+        for a, b, single in zip([START, *d], d, base, strict=False):
+            if (a, b) in pairs:
+                total += math.log10((pairs[a, b] - fit.discount) / context[a])
+            elif a in states:
+                arcs = [k for k in pairs if k[0] == a]
+                if arcs:
+                    left = 1 - sum(pairs[k] - fit.discount for k in arcs) / context[a]
+                    total += math.log10(left / (1 - sum((c[k[1]] + 0.1) / z for k in arcs)))
+                total += single
+            else:
+                total += single
+        out.append((len(d), sum(c[w] > 0 for w in d), n, sum(base), total))
+    return out
+
+
+def check(rows, want):
+    for r, w in zip(rows, want, strict=True):
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == w[:3]
+        assert r["base_score"] == pytest.approx(w[3], rel=1e-9)
+        assert r["score"] == pytest.approx(w[4], rel=1e-9)
+
+
+TEXTS = ["the cat sat on the mat", "The cat ran", "a dog and the cat", "", None, "the the the", "unseen words only"] * 4
+
+
+@pytest.mark.parametrize("per_chunk", [1, 3, 1000])
+@pytest.mark.parametrize("share", [0.01, 0.05, 2.0])
+def test_small(spark, per_chunk, share):
+    fit = Fit(docs_per_chunk=per_chunk, context_share=share, buffered=7)
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id bigint, text string").repartition(3)
+    got = sorted(score(df, F.col("doc_id") % 7 == 6, fit).collect(), key=lambda r: r["doc_id"])
+    check(got, brute(TEXTS, [i % 7 == 6 for i in range(len(TEXTS))], fit))
+
+
+def test_whole_query(result, documents):
+    fit = Fit()
+    rows = sorted(result("op4"), key=lambda r: r["doc_id"])
+    held = [zlib.crc32(str(r["doc_id"]).encode()) % 10 == 0 for r in rows]
+    assert [r["held_out"] for r in rows] == held
+    check(rows, brute([documents[r["doc_id"]]["text"] for r in rows], held, fit))
+
+
+def test_better_than_single_words_on_held_out(result):
+    rows = [r for r in result("op4", "/root/testdata/sf0.01") if r["held_out"]]
+    assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
+
+
+def test_probabilities_add_up(spark):
+    """After each state, the chances of all words and of an unknown one."""
+    fit = Fit(context_share=0.01)
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id bigint, text string")
+    rows = prepared(df, F.lit(False), fit)
+    known, arcs = train(rows, fit)
+    table = arcs.filter("state >= 0").select("state", "word", "total").distinct().collect()
+    c = Counter(w for t in TEXTS for w in [*(t or "").encode().lower().split(), END])
+    z = known.train_tokens + 0.1 * (known.vocabulary + 1)
+    for s in range(len(known.states)):
+        own = [r["total"] for r in table if r["state"] == s]
+        direct = sum((x - fit.discount) / known.counts[s] for x in own)
+        assert 0 <= direct < 1
+    assert sum((x + 0.1) / z for x in c.values()) + 0.1 / z == pytest.approx(1)
+
+
+def test_odd_rows(result, odd_dir):
+    rows = result("op4", odd_dir)
+    for r in rows:
+        if r["doc_id"] in (1, 2, 3):
+            assert r["n_tokens"] == 1
+        assert r["score"] <= 0 and r["n_known"] <= r["n_tokens"]
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"] if r["doc_id"] is not None else "").encode()) % 10 == 0)
+
+
+def test_no_training_rows(spark):
+    df = spark.createDataFrame([(1, "a b")], "doc_id bigint, text string")
+    (r,) = score(df, F.lit(True)).collect()
+    assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (3, 0, 0)
+    assert r["score"] == pytest.approx(0.0)
