@@ -51,7 +51,7 @@ class Fit:
     least: int = 2
     discount: float = 0.75
     docs_per_chunk: int = 8000
-    buffered: int = 2_000_000  # tokens that a task counts at a time
+    buffered: int = 1_000_000  # tokens that a task counts at a time
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -109,9 +109,8 @@ def _counted(fit: Fit, states: np.ndarray | None):
         for part in parts:
             chunks = part.column("chunk").to_numpy()
             train = ~part.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
-            texts = part.column("text").to_pylist()
-            for group in text_groups(texts):
-                word, before, counts = tokens(texts[group])
+            for group, texts in text_groups(part.column("text")):
+                word, before, counts = tokens(texts)
                 chunk, own_train = np.repeat(chunks[group], counts), np.repeat(train[group], counts)
                 if states is None:
                     state = np.full(len(word), -1, dtype=np.int32)
@@ -260,9 +259,8 @@ def _scored(known: Automaton, kind: pa.DataType):
                 if not is_doc[a]:
                     part.add(*(rows.column(c).to_numpy() for c in ("state", "word", "total")))
                     continue
-                texts = rows.column("text").to_pylist()
-                for group in text_groups(texts):
-                    n_tokens, n_known, base, score = part.score(texts[group])
+                for group, texts in text_groups(rows.column("text")):
+                    n_tokens, n_known, base, score = part.score(texts)
                     own = rows.slice(group.start, group.stop - group.start)
                     yield pa.RecordBatch.from_arrays(
                         [

@@ -58,7 +58,7 @@ def signatures(docs: DataFrame, join: Join) -> DataFrame:
         minhash = MinHash(bands, rows)
         for part in parts:
             keys, sizes, found = [], [], []
-            for grams in sets_of(part.column("text").to_pylist(), join.words):
+            for grams in sets_of(part.column("text"), join.words):
                 keys.append(set_key(grams) if len(grams) else None)
                 sizes.append(len(grams))
                 found.append(minhash.band_hashes(grams) if len(grams) else None)
@@ -79,10 +79,10 @@ def signatures(docs: DataFrame, join: Join) -> DataFrame:
     )
 
 
-def sets_of(texts: list[str | None], n: int) -> Iterator[np.ndarray]:
+def sets_of(column: pa.Array, n: int) -> Iterator[np.ndarray]:
     """The n-gram set of each text."""
-    for group in text_groups(texts):
-        hashes, counts = hash_words(texts[group])
+    for _, texts in text_groups(column):
+        hashes, counts = hash_words(texts)
         for words in np.split(hashes, np.cumsum(counts)[:-1]):
             yield shingles(words, n)
 
@@ -159,7 +159,7 @@ def _compare(join: Join):
     def group(rows: list[tuple]) -> Iterator[tuple]:
         rows.sort(key=lambda r: r[0])
         kept, sets = [], []
-        for row, grams in zip(rows, sets_of([r[4] for r in rows], join.words), strict=True):
+        for row, grams in zip(rows, sets_of(pa.array([r[4] for r in rows], pa.string()), join.words), strict=True):
             key = row[0]
             # An id that several texts share brings all of them; the key says which is meant.
             if set_key(grams) == key and not (kept and kept[-1][0] == key):

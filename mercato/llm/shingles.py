@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 
@@ -101,16 +104,17 @@ def hash_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.diff(np.searchsorted(starts, ends), prepend=0)
 
 
-def text_groups(texts: list[str | None], size: int = _BLOCK):
-    """Slices of a list of texts that hold about `size` characters."""
-    first = total = 0
-    for i, t in enumerate(texts):
-        total += len(t or "")
-        if total >= size:
-            yield slice(first, i + 1)
-            first, total = i + 1, 0
-    if first < len(texts):
-        yield slice(first, len(texts))
+def text_groups(column: pa.Array, size: int = _BLOCK) -> Iterator[tuple[slice, list[str | None]]]:
+    """Runs of a column's texts that hold about `size` bytes, so that few are in Python at a time."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes)
+    first = 0
+    while first < len(column):
+        start = ends[first] - sizes[first]
+        stop = max(first, int(np.searchsorted(ends, start + size))) + 1
+        run = slice(first, min(stop, len(column)))
+        yield run, column.slice(run.start, run.stop - run.start).to_pylist()
+        first = run.stop
 
 
 def words_of(text: str) -> list[bytes]:
