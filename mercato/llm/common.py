@@ -43,6 +43,11 @@ def hex_number(digest: Column, start: int, digits: int) -> Column:
     return F.conv(F.substring(digest, start, digits), 16, 10).cast("bigint")
 
 
+def ddl(df: DataFrame, added: str) -> str:
+    """The schema of `df` and further columns, as text."""
+    return ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields), added])
+
+
 def batches(schema: pa.Schema, rows: Iterable[tuple], size: int = 4096) -> Iterator[pa.RecordBatch]:
     """Record batches of at most `size` rows."""
     block: list[tuple] = []

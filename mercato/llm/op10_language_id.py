@@ -30,7 +30,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from mercato.llm.common import batches, id_remainder, table
+from mercato.llm.common import batches, ddl, id_remainder, table
+from mercato.llm.shingles import text_groups
 
 LETTERS = regex.compile(r"\p{L}+")
 UNKNOWN = "und"
@@ -118,8 +119,10 @@ def _features(fit: Fit):
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             words: dict[str, Counter] = defaultdict(Counter)
-            for lang, text in zip(*(part.column(c).to_pylist() for c in ("lang", "text")), strict=True):
-                words[lang].update(words_in(text or ""))
+            langs = part.column("lang").to_pylist()
+            for group, texts in text_groups(part.column("text")):
+                for lang, text in zip(langs[group], texts, strict=True):
+                    words[lang].update(words_in(text or ""))
 
             def rows(words=words):
                 for lang, own in words.items():
@@ -190,28 +193,25 @@ def identify(
 ) -> DataFrame:
     """`docs` with the predicted language and its score; the other columns pass through as they are."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = f"{_ddl(docs)}, {to[0]} string, {to[1]} double"
+    schema = ddl(docs, f"{to[0]} string, {to[1]} double")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = Scores(shared.value)
         for part in parts:
-            found = [predict_text(t, scores) for t in part.column(text).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *part.columns,
-                    pa.array([x[0] for x in found], pa.string()),
-                    pa.array([x[1] for x in found], pa.float64()),
-                ],
-                names=[*part.schema.names, *to],
-            )
+            for group, texts in text_groups(part.column(text)):
+                found = [predict_text(t, scores) for t in texts]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *part.slice(group.start, group.stop - group.start).columns,
+                        pa.array([x[0] for x in found], pa.string()),
+                        pa.array([x[1] for x in found], pa.float64()),
+                    ],
+                    names=[*part.schema.names, *to],
+                )
 
     return docs.mapInArrow(run, schema)
 
 
-def _ddl(docs: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-
-
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = id_remainder("doc_id", 3) == 1

@@ -195,8 +195,9 @@ def _compare(join: Join):
 
 
 def _linked(rows: list[tuple]) -> pa.RecordBatch:
+    key, links, root = zip(*rows, strict=True)
     return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.int64(), pa.string()), strict=True)],
+        [pa.array(key, pa.string()), pa.array(links, pa.int64()), pa.array(root, pa.string())],
         names=["key", "links", "root"],
     )
 

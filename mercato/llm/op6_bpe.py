@@ -19,7 +19,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 
 from mercato.llm.bpe import encoder
-from mercato.llm.common import table
+from mercato.llm.common import ddl, table
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -34,7 +34,7 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, to: str
             ids = [enc.encode(t or "") for t in part.column(text).to_pylist()]
             yield _with(part, to, pa.array(ids, pa.list_(pa.int32())))
 
-    return docs.mapInArrow(run, _schema(docs, f"{to} array<int>"))
+    return docs.mapInArrow(run, ddl(docs, f"{to} array<int>"))
 
 
 def decode(docs: DataFrame, ids: str = "ids", path: str | None = None, to: str = "decoded") -> DataFrame:
@@ -47,7 +47,7 @@ def decode(docs: DataFrame, ids: str = "ids", path: str | None = None, to: str =
             texts = [vocab.decode(x or []).decode() for x in part.column(ids).to_pylist()]
             yield _with(part, to, pa.array(texts, pa.string()))
 
-    return docs.mapInArrow(run, _schema(docs, f"{to} string"))
+    return docs.mapInArrow(run, ddl(docs, f"{to} string"))
 
 
 def tokens(docs: DataFrame, text: str = "text", path: str | None = None, with_ids: bool = True) -> DataFrame:
@@ -83,17 +83,12 @@ def tokens(docs: DataFrame, text: str = "text", path: str | None = None, with_id
                 yield rest
 
     added = "n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    return docs.mapInArrow(run, _schema(docs.drop(text), added))
+    return docs.mapInArrow(run, ddl(docs.drop(text), added))
 
 
 def _with(part: pa.RecordBatch, name: str, column: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*part.columns, column], names=[*part.schema.names, name])
 
 
-def _schema(docs: DataFrame, added: str) -> str:
-    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
-    return ", ".join([*kept, added])
-
-
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), with_ids=False)
