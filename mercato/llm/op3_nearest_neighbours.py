@@ -126,10 +126,10 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return values.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
-def usable(vectors: DataFrame, vec_id: str, vec: str) -> DataFrame:
+def usable(vectors: DataFrame, kind: str) -> DataFrame:
     """(vec_id, vec, _class) of rows that take part; equal vectors have equal classes."""
     return (
-        vectors.select(F.col(vec_id).alias("vec_id"), F.col(vec).cast("array<double>").alias("vec"))
+        vectors.select("vec_id", F.col("vec").cast(kind).alias("vec"))
         .filter("vec_id is not null and vec is not null")
         .filter(F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
         .filter(F.exists("vec", lambda x: x != 0))
@@ -155,17 +155,7 @@ def fit(classes: DataFrame, size: int, rows: int, search: Search) -> Index:
     return Index(search, size, dims, cosine)
 
 
-PLACED = "table int, bucket bigint, kind int, class string, ids array<bigint>, vec array<double>"
-_PLACED = pa.schema(
-    [
-        ("table", pa.int32()),
-        ("bucket", pa.int64()),
-        ("kind", pa.int32()),
-        ("class", pa.string()),
-        ("ids", pa.list_(pa.int64())),
-        ("vec", pa.list_(pa.float64())),
-    ]
-)
+PLACED = "table int, bucket bigint, kind int, class string, ids array<bigint>, vec "
 
 
 def _placed(index: Index, kind: int):
@@ -194,7 +184,7 @@ def _placed(index: Index, kind: int):
                             pa.array(np.full(len(at), kind, dtype=np.int32)),
                             *(part.column(c).take(at) for c in ("class", "ids", "vec")),
                         ],
-                        schema=_PLACED,
+                        names=["table", "bucket", "kind", "class", "ids", "vec"],
                     )
 
     return run
@@ -301,8 +291,11 @@ def nearest(vectors: DataFrame, queries: DataFrame, search: Search | None = None
     """(query_id, rank, vec_id, score) for `queries` against all `vectors`, both (vec_id, vec)."""
     search = search or Search()
     spark = vectors.sparkSession
-    rows = usable(vectors, "vec_id", "vec").withColumn("_size", F.size("vec"))
-    asked = usable(queries, "vec_id", "vec")
+    # Floats stay floats, which take half the room in a shuffle; the arithmetic is in doubles.
+    kinds = {df.schema["vec"].dataType.simpleString() for df in (vectors, queries)}
+    kind = "array<float>" if kinds == {"array<float>"} else "array<double>"
+    rows = usable(vectors, kind).withColumn("_size", F.size("vec"))
+    asked = usable(queries, kind)
     common = rows.groupBy("_size").count().orderBy(F.desc("count"), "_size").first()
     size = common["_size"] if common else 1
     rows, asked = rows.filter(F.col("_size") == size), asked.filter(F.size("vec") == size)
@@ -318,10 +311,11 @@ def nearest(vectors: DataFrame, queries: DataFrame, search: Search | None = None
     )
     index = fit(classes, size, classes.count(), search)
     named = F.col("_class").alias("class")
-    indexed = classes.select(named, "ids", "vec").mapInArrow(_placed(index, INDEXED), PLACED)
+    placed = PLACED + kind
+    indexed = classes.select(named, "ids", "vec").mapInArrow(_placed(index, INDEXED), placed)
     questions = asked.groupBy("_class").agg(F.any_value("vec").alias("vec"))
     no_ids = F.array().cast("array<bigint>").alias("ids")
-    probing = questions.select(named, no_ids, "vec").mapInArrow(_placed(index, ASKED), PLACED)
+    probing = questions.select(named, no_ids, "vec").mapInArrow(_placed(index, ASKED), placed)
 
     sizes = (
         indexed.groupBy("table", "bucket")
