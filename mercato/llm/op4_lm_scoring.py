@@ -1,25 +1,27 @@
 """Language-model scores by a weighted backoff automaton.
 
 Model: two-word sequences over single words. A state is a context: the start of a text, and each word
-that makes up at least `Fit.context_share` of the training tokens (so there are at most 1 / share of
-them). Its arcs are the words that followed it at least `Fit.least` times, with the discounted
-probability (count - discount) / count of the context. A failure arc leads from it to the root with the
+of the training texts. Its arcs are the words that followed it, with the discounted probability
+(count - discount) / count of the context. A failure arc leads from it to the root with the
 probability left over, normalised by what the root gives to all other words. The root has an arc for
 each word, with probability (c + 0.1) / (N + 0.1 (V + 1)), known or not. All probabilities after a state
-add up to 1. A text is scored in one pass from left to right that carries the state.
+add up to 1. A text is scored in one pass from left to right that carries the state. `Fit.context_share`
+and `Fit.least` prune rarer contexts and arcs; by default nothing is pruned.
 
 At scale the automaton is as large as the corpus, so nothing gathers it. Documents are dealt into
 chunks by ranges of their id, and each chunk gets the part of the automaton that its words can reach:
 
 1. One pass counts words per chunk. Summed per word, the counts go back to each chunk that has the
    word: one shuffle, as every chunk's row meets in the word's partition.
-2. Another pass does the same for pairs after a state; rare pairs end there.
-3. Left-over probabilities are sums per state; there are few states, so these are broadcast.
+2. Another pass does the same for pairs of neighbouring tokens.
+3. Left-over probabilities are sums over the pairs of a state. They go to the chunks that have the
+   state's word and may need its failure arc. As no pair of a training text fails in an unpruned model,
+   those are the chunks where a held-out text has it.
 4. Chunks meet their part of the automaton, sorted so that it comes first. A task keeps the part of one
    chunk at a time and streams its documents through.
 
-Words are known by 64-bit hashes. Those that occur once in training needn't be sent: what a chunk isn't
-told about has count 1. A NULL text is empty and has one token, the end. A NULL id counts as the empty
+Words are known by 64-bit hashes. Words and pairs that occur once in training needn't be sent: what a
+chunk isn't told about has count 1 (and it is told about those that occur in held-out texts only). A NULL text is empty and has one token, the end. A NULL id counts as the empty
 text (and so as held out). Rows that repeat are counted and scored each. Without training rows, N and V
 are 0 and every token is unknown.
 """
@@ -47,8 +49,8 @@ ADDED = 0.1
 
 @dataclass(frozen=True)
 class Fit:
-    context_share: float = 5e-4
-    least: int = 2
+    context_share: float = 0.0  # of all training tokens that a word needs to be a state
+    least: int = 1  # times that a pair needs to be an arc
     discount: float = 0.75
     docs_per_chunk: int = 8000
     buffered: int = 1_000_000  # tokens that a task counts at a time
@@ -81,26 +83,28 @@ def prepared(docs: DataFrame, held_out, fit: Fit) -> DataFrame:
     )
 
 
-def _counted(fit: Fit, states: np.ndarray | None):
-    """Batches of documents to counts per chunk: (chunk, state, word, n), n counting training rows only.
+def _counted(fit: Fit, pairs: bool):
+    """Batches of documents to counts per chunk: (chunk, state, word, n, held), n counting training rows only.
 
-    Without `states` all tokens count and the state is -1; else those that follow a state.
+    `held`: a held-out row of the chunk has it. Without `pairs`, the state is 0 and single words count.
     """
 
     def rows(chunk: np.ndarray, state: np.ndarray, word: np.ndarray, train: np.ndarray) -> pa.RecordBatch:
-        key = mixed(word + chunk.astype(np.uint64) * MIX[0]) + state.astype(np.uint64) * MIX[1]
+        key = mixed(word + chunk.astype(np.uint64) * MIX[0]) + state * MIX[1]
         order = np.argsort(key)
         key = key[order]
         first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         at = order[first]
+        n = np.add.reduceat(train[order].astype(np.int64), first)
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(chunk[at]),
-                pa.array(state[at]),
+                pa.array(_signed(state[at])),
                 pa.array(_signed(word[at])),
-                pa.array(np.add.reduceat(train[order].astype(np.int64), first)),
+                pa.array(n),
+                pa.array(n < np.diff(np.r_[first, len(key)])),
             ],
-            names=["chunk", "state", "word", "n"],
+            names=["chunk", "state", "word", "n", "held"],
         )
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,13 +116,7 @@ def _counted(fit: Fit, states: np.ndarray | None):
             for group, texts in text_groups(part.column("text")):
                 word, before, counts = tokens(texts)
                 chunk, own_train = np.repeat(chunks[group], counts), np.repeat(train[group], counts)
-                if states is None:
-                    state = np.full(len(word), -1, dtype=np.int32)
-                else:
-                    state = state_of(before, states)
-                    follows = state >= 0
-                    word, state = word[follows], state[follows]
-                    chunk, own_train = chunk[follows], own_train[follows]
+                state = before if pairs else np.zeros(len(word), dtype=np.uint64)
                 buffer.append((chunk, state, word, own_train))
                 size += len(word)
                 if size >= fit.buffered:
@@ -130,19 +128,12 @@ def _counted(fit: Fit, states: np.ndarray | None):
     return run
 
 
-def state_of(words: np.ndarray, states: np.ndarray) -> np.ndarray:
-    """The number of each word's state, -1 for the root."""
-    at = np.searchsorted(states, words)
-    at[at == len(states)] = 0
-    return np.where(states[at] == words, at, -1).astype(np.int32)
-
-
 def _sliced(batch: pa.RecordBatch, size: int = 100_000) -> Iterator[pa.RecordBatch]:
     for start in range(0, len(batch), size):
         yield batch.slice(start, size)
 
 
-COUNTS = "chunk int, state int, word bigint, n bigint"
+COUNTS = "chunk int, state bigint, word bigint, n bigint, held boolean"
 
 
 def _totals(counts: DataFrame, key: list[str]) -> DataFrame:
@@ -151,6 +142,7 @@ def _totals(counts: DataFrame, key: list[str]) -> DataFrame:
     return counts.select(
         "chunk",
         *key,
+        "held",
         F.sum("n").over(same).alias("total"),
         (F.row_number().over(same.orderBy("chunk")) == 1).alias("first"),
     )
@@ -158,14 +150,17 @@ def _totals(counts: DataFrame, key: list[str]) -> DataFrame:
 
 @dataclass(frozen=True)
 class Automaton:
-    """What every task knows: the root's totals, and the states with their failure arcs."""
+    """What every task knows: the root's totals, and the state at the start of a text."""
 
     train_tokens: int
     vocabulary: int
-    states: np.ndarray  # sorted hashes
-    counts: np.ndarray  # of the contexts
-    failure: np.ndarray  # log10 weights
-    discount: float
+    starts: int  # training rows
+    start_failure: float  # log10 weight
+    fit: Fit
+
+    @property
+    def least_context(self) -> float:
+        return max(1.0, self.fit.context_share * self.train_tokens)
 
 
 class Part:
@@ -173,21 +168,22 @@ class Part:
 
     def __init__(self, known: Automaton):
         self.known = known
-        self.rows: list[tuple[np.ndarray, ...]] = []
-        self.words = self.arcs = None
+        self.singles: list[tuple[np.ndarray, ...]] = []
+        self.pairs: list[tuple[np.ndarray, ...]] = []
+        self.words = self.failure = self.arcs = None
 
-    def add(self, state: np.ndarray, word: np.ndarray, total: np.ndarray) -> None:
-        self.rows.append((state, word.view(np.uint64), total))
+    def add(self, is_pair: np.ndarray, state: np.ndarray, word: np.ndarray, total: np.ndarray, failure: np.ndarray):
+        word, state, single = word.view(np.uint64), state.view(np.uint64), ~is_pair
+        self.singles.append((word[single], total[single], failure[single]))
+        self.pairs.append((_arc(state[is_pair], word[is_pair]), total[is_pair]))
 
     def _sorted(self) -> None:
-        if self.rows:
-            state, word, total = (np.concatenate(x) for x in zip(*self.rows, strict=True))
-        else:
-            state, word, total = np.zeros(0, np.int32), np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.rows = []
-        single = state < 0
-        self.words = _by_key(word[single], total[single])
-        self.arcs = _by_key(_arc(state[~single], word[~single]), total[~single])
+        nothing = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0)
+        word, total, failure = (np.concatenate(x) for x in zip(nothing, *self.singles, strict=True))
+        fails = ~np.isnan(failure)
+        self.words, self.failure = _by_key(word, total), _by_key(word[fails], failure[fails])
+        self.arcs = _by_key(*(np.concatenate(x) for x in zip(nothing[:2], *self.pairs, strict=True)))
+        self.singles = self.pairs = []
 
     def score(self, texts: list[str | None]) -> tuple[np.ndarray, ...]:
         """Per text: tokens, known tokens, score by single words, score by the automaton.
@@ -198,22 +194,27 @@ class Part:
         """
         if self.words is None:
             self._sorted()
-        known = self.known
+        known, fit = self.known, self.known.fit
         word, before, counts = tokens(texts)
         divisor = known.train_tokens + ADDED * (known.vocabulary + 1)
         count = _look_up(word, *self.words, absent=1)
         root = np.log10((count + ADDED) / divisor)
-        state = state_of(before, known.states)
+        first = np.cumsum(counts) - counts
+        # The token before is a word of the same text, but at the start.
+        context = np.roll(count, 1)
+        context[first] = known.starts
+        is_state = context >= known.least_context
+        is_state[first] = known.starts > 0
         weight = root.copy()
-        read = np.flatnonzero(state >= 0)
-        at, own = state[read], word[read]
-        pair = _look_up(_arc(at, own), *self.arcs, absent=0)
+        read = np.flatnonzero(is_state)
+        state, own = before[read], word[read]
+        pair = _look_up(_arc(state, own), *self.arcs, absent=1)
+        failure = np.where(state == START, known.start_failure, _look_up(state, *self.failure, absent=0))
         weight[read] = np.where(
-            pair > 0,
-            np.log10(np.maximum(pair - known.discount, 1e-300) / known.counts[at]),
-            known.failure[at] + root[read],  # the failure arc, then the root's
+            pair >= max(1, fit.least),
+            np.log10(np.maximum(pair - fit.discount, 1e-300) / context[read]),
+            failure + root[read],  # the failure arc, then the root's
         )
-        first = np.cumsum(counts) - counts
         return (
             counts,
             np.add.reduceat((count > 0).astype(np.int64), first),
@@ -223,7 +224,7 @@ class Part:
 
 
 def _arc(state: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return mixed(word + state.astype(np.uint64) * MIX[1])
+    return mixed(word + state * MIX[1])
 
 
 def _by_key(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -233,7 +234,7 @@ def _by_key(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def _look_up(wanted: np.ndarray, key: np.ndarray, value: np.ndarray, absent: int) -> np.ndarray:
     if not len(key):
-        return np.full(len(wanted), absent, dtype=np.int64)
+        return np.full(len(wanted), absent, dtype=value.dtype)
     at = np.searchsorted(key, wanted)
     at[at == len(key)] = 0
     return np.where(key[at] == wanted, value[at], absent)
@@ -257,7 +258,8 @@ def _scored(known: Automaton, kind: pa.DataType):
                     current, part = chunks[a], Part(known)
                 rows = batch.slice(a, b - a)
                 if not is_doc[a]:
-                    part.add(*(rows.column(c).to_numpy() for c in ("state", "word", "total")))
+                    is_pair = rows.column("is_pair").to_numpy(zero_copy_only=False)
+                    part.add(is_pair, *(rows.column(c).to_numpy() for c in ("state", "word", "total", "failure")))
                     continue
                 for group, texts in text_groups(rows.column("text")):
                     n_tokens, n_known, base, score = part.score(texts)
@@ -278,41 +280,83 @@ def _scored(known: Automaton, kind: pa.DataType):
     return run
 
 
-def train(rows: DataFrame, fit: Fit) -> tuple[Automaton, DataFrame]:
-    """The automaton's common part, and its arcs per chunk: (chunk, state, word, total)."""
-    counts = rows.mapInArrow(_counted(fit, None), COUNTS)
-    words = stored(_totals(counts, ["word"]), "words")
-    known = words.filter("first and total > 0")
-    n, v = known.agg(F.coalesce(F.sum("total"), F.lit(0)), F.count("*")).first()
-    often = known.filter((F.col("total") >= fit.context_share * n) & (F.col("word") != _int64(END)))
-    found = {r["word"]: r["total"] for r in often.select("word", "total").collect()}
-    found[_int64(START)] = rows.filter(~F.col("held_out")).count()
-    states = np.sort(np.array(list(found), dtype=np.int64).view(np.uint64))
-    context = np.array([found[int(s)] for s in _signed(states)], dtype=np.float64)
-
-    followed = rows.mapInArrow(_counted(fit, states), COUNTS)
-    pairs = stored(_totals(followed, ["state", "word"]).filter(F.col("total") >= fit.least), "pairs")
+def counted(rows: DataFrame, fit: Fit) -> tuple[Automaton, DataFrame, DataFrame, DataFrame]:
+    """The automaton's common part; words and pairs per chunk with their totals; the states' failure arcs."""
+    words = stored(_totals(rows.mapInArrow(_counted(fit, False), COUNTS), ["word"]), "words")
+    pairs = stored(_totals(rows.mapInArrow(_counted(fit, True), COUNTS), ["state", "word"]), "pairs")
+    known = words.filter("first and total > 0").select("word", F.col("total").alias("count"))
+    n, v = known.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count("*")).first()
     divisor = n + ADDED * (v + 1)
-    mass = (
-        pairs.filter("first")
-        .select("state", "word", F.col("total").alias("pair"))
-        .join(known.select("word", "total"), "word")
+    # Whole numbers are summed, so neither order nor size costs precision.
+    arc = F.col("total") >= fit.least
+    sums = (
+        pairs.filter("first and total > 0")
+        .select("state", "word", "total")
+        .join(known, "word")
         .groupBy("state")
         .agg(
-            F.sum(F.col("pair") - fit.discount).alias("arcs"),
-            F.sum((F.col("total") + ADDED) / divisor).alias("root"),
+            F.sum("total").alias("context"),
+            F.count_if(arc).alias("arcs"),
+            F.sum(F.when(arc, F.col("total")).otherwise(0)).alias("followed"),
+            F.sum(F.when(arc, F.col("count")).otherwise(0)).alias("root"),
+        )
+    )
+    left = (F.col("context") - F.col("followed") + fit.discount * F.col("arcs")) / F.col("context")
+    others = (F.lit(divisor) - F.col("root") - ADDED * F.col("arcs")) / F.lit(divisor)
+    least = F.lit(1e-12)
+    weight = F.log10(F.greatest(left, least)) - F.log10(F.greatest(others, least))
+    failure = stored(
+        sums.select("state", "context", F.when(F.col("arcs") > 0, weight).otherwise(0.0).alias("failure")), "failure"
+    )
+    start = failure.filter(F.col("state") == _int64(START)).first()
+    starts, start_failure = (start["context"], start["failure"]) if start else (0, 0.0)
+    return Automaton(n, v, starts, start_failure, fit), words, pairs, failure
+
+
+def _told(words: DataFrame, pairs: DataFrame, failure: DataFrame, fit: Fit) -> DataFrame:
+    """(chunk, is_pair, state, word, total, failure): what chunks must be told about."""
+    fails = F.col("held") if fit.least <= 1 else F.lit(True)
+    none, state = F.lit(float("nan")).alias("failure"), F.lit(0).cast("bigint").alias("state")
+    weights = failure.select(F.col("state").alias("word"), "failure")
+    failing = words.filter(fails).join(weights, "word", "left").fillna(0.0, "failure")
+    singles = failing.select("chunk", F.lit(False).alias("is_pair"), state, "word", "total", "failure").unionByName(
+        words.filter(~fails & (F.col("total") != 1)).select(
+            "chunk", F.lit(False).alias("is_pair"), state, "word", "total", none
         )
-        .collect()
     )
-    failure = np.zeros(len(states))
-    for r in mass:
-        left = 1 - r["arcs"] / context[r["state"]]
-        failure[r["state"]] = math.log10(max(left, 1e-12) / max(1 - r["root"], 1e-12))
-    automaton = Automaton(n, v, states, context, failure, fit.discount)
-    arcs = words.filter("total <> 1").select("chunk", F.lit(-1).alias("state"), "word", "total").unionByName(
-        pairs.select("chunk", "state", "word", "total")
+    return singles.unionByName(
+        pairs.filter("total <> 1").select("chunk", F.lit(True).alias("is_pair"), "state", "word", "total", none)
+    )
+
+
+@dataclass(frozen=True)
+class Gathered:
+    """A whole model in one place."""
+
+    train_tokens: int
+    vocabulary: int
+    states: np.ndarray  # sorted hashes
+    counts: np.ndarray  # of the contexts
+    failure: np.ndarray  # log10 weights
+
+
+def train(rows: DataFrame, fit: Fit) -> tuple[Gathered, DataFrame]:
+    """A small model to look at, its states numbered, and (state, word, total), -1 being the root. Scoring never gathers it."""
+    known, words, pairs, failure = counted(rows, fit)
+    always = F.col("state") == _int64(START)
+    found = failure.filter(always | (F.col("context") >= known.least_context)).toArrow()
+    states = found.column("state").to_numpy().view(np.uint64)
+    order = np.argsort(states)
+    numbers = rows.sparkSession.createDataFrame(
+        [(int(s), i) for i, s in enumerate(_signed(states[order]))], "state bigint, number int"
+    )
+    arcs = words.filter("first").select(F.lit(-1).alias("state"), "word", "total").unionByName(
+        pairs.filter(F.col("first") & (F.col("total") >= fit.least))
+        .join(numbers, "state")
+        .select(F.col("number").alias("state"), "word", "total")
     )
-    return automaton, arcs
+    context, weight = (found.column(c).to_numpy()[order] for c in ("context", "failure"))
+    return Gathered(known.train_tokens, known.vocabulary, states[order], context, weight), arcs
 
 
 def _int64(x: int) -> int:
@@ -323,11 +367,12 @@ def score(docs: DataFrame, held_out, fit: Fit | None = None) -> DataFrame:
     """Scores of each row of `docs` (doc_id, text) by a model of the rows that aren't `held_out`."""
     fit = fit or Fit()
     rows = prepared(docs, held_out, fit)
-    automaton, arcs = train(rows, fit)
-    nothing = {c: F.lit(None).cast(t) for c, t in (("state", "int"), ("word", "bigint"), ("total", "bigint"))}
+    automaton, words, pairs, failure = counted(rows, fit)
+    told = _told(words, pairs, failure, fit)
+    nothing = {f.name: F.lit(None).cast(f.dataType) for f in told.schema if f.name != "chunk"}
     no_doc = {c: F.lit(None).cast(t) for c, t in (("doc_id", "bigint"), ("text", "string"), ("held_out", "boolean"))}
     together = (
-        arcs.withColumns(no_doc)
+        told.withColumns(no_doc)
         .withColumn("is_doc", F.lit(False))
         .unionByName(rows.withColumns(nothing).withColumn("is_doc", F.lit(True)))
         .repartition("chunk")

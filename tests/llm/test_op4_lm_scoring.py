@@ -105,3 +105,43 @@ def test_no_training_rows(spark):
     (r,) = score(df, F.lit(True)).collect()
     assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (3, 0, 0)
     assert r["score"] == pytest.approx(0.0)
+
+
+def test_every_training_word_and_pair_counts(spark):
+    """Words that are rare in a large corpus are contexts too, and pairs that occur once are arcs."""
+    common = " ".join(["the"] * 5000)
+    texts = [common, "rare words follow", "rare words follow", "once only here", "rare words follow", "once only here"]
+    held = [i >= 4 for i in range(len(texts))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = sorted(score(df, F.col("doc_id") >= 4, Fit(docs_per_chunk=2)).collect(), key=lambda r: r["doc_id"])
+    whole = Fit(context_share=0.0, least=1)
+    check(got, brute(texts, held, whole))
+    assert all(r["score"] > r["base_score"] + 5 for r in got[4:])
+
+
+def test_chances_after_each_word_add_up(spark):
+    """One held-out text per pair of a state and a next word, known or not."""
+    seen = ["a b a c", "b a", "c c b a b"]
+    vocabulary, contexts = ["a", "b", "c", "never"], ["a", "b", "c"]
+    asked = [f"{s} {w}" for s in contexts for w in vocabulary]
+    texts = seen + asked + contexts
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = score(df, F.col("doc_id") >= len(seen), Fit(docs_per_chunk=4)).collect()
+    scores = {texts[r["doc_id"]]: r["score"] for r in got if r["doc_id"] >= len(seen)}
+    check(sorted(got, key=lambda r: r["doc_id"]), brute(texts, [i >= len(seen) for i in range(len(texts))], Fit()))
+    # P(s w END) / P(s END) = P(w | s) P(END | w) / P(END | s), so P(w | s) follows from known chances of END.
+    words = [[*t.split(), "$"] for t in seen]
+    c, pairs = Counter(w for d in words for w in d), Counter((a, b) for d in words for a, b in zip(d, d[1:], strict=False))
+    z = sum(c.values()) + 0.1 * (len(c) + 1)
+
+    def end(s):
+        if s not in c:
+            return (c["$"] + 0.1) / z
+        own = [k for k in pairs if k[0] == s]
+        if (s, "$") in own:
+            return (pairs[s, "$"] - 0.75) / c[s]
+        return 0.75 * len(own) / c[s] / (1 - sum((c[k[1]] + 0.1) / z for k in own)) * (c["$"] + 0.1) / z
+
+    for s in contexts:
+        total = end(s) + sum(10 ** (scores[f"{s} {w}"] - scores[s]) * end(s) / end(w) for w in vocabulary)
+        assert total == pytest.approx(1)
