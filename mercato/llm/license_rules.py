@@ -8,12 +8,13 @@ from typing import NamedTuple
 class Licence(NamedTuple):
     """`name` is a regular expression over lower-case words joined by one space.
 
-    `keyword` is a word that each match of `name` holds, `spdx` the identifier's words.
+    `keywords`, parted by spaces, are words of which each match of `name` holds one; `spdx` is the
+    identifier's words.
     `plain` names say nothing alone ("mit", "x11") and are not reported without a context.
     """
 
     label: str
-    keyword: str
+    keywords: str
     name: str
     spdx: str
     plain: bool = False
@@ -29,31 +30,31 @@ LICENCES = (
     Licence("mit-0", "mit", r"mit(?: 0| no attribution)", "mit 0"),
     Licence("isc", "isc", r"isc", "isc", True),
     Licence("x11", "x11", r"x11", "x11", True),
-    Licence("bsd-2-clause", "bsd", r"(?:simplified bsd|freebsd|bsd(?: 2| two) clause)", "bsd 2 clause"),
+    Licence("bsd-2-clause", "bsd freebsd", r"(?:simplified bsd|freebsd|bsd(?: 2| two) clause)", "bsd 2 clause"),
     Licence(
         "bsd-3-clause", "bsd", r"(?:(?:new|modified|revised) bsd|bsd(?: 3| three) clause)", "bsd 3 clause"
     ),
     Licence("bsd-4-clause", "bsd", r"(?:original bsd|bsd(?: 4| four) clause)", "bsd 4 clause"),
-    Licence("0bsd", "0bsd", r"(?:0bsd|zero clause bsd)", "0bsd"),
+    Licence("0bsd", "0bsd zero", r"(?:0bsd|zero clause bsd)", "0bsd"),
     Licence("bsd", "bsd", r"bsd(?: style)?", "bsd", True),
     Licence(
-        "gpl-2.0", "gpl", rf"(?:gnu )?gpl(?:v2|{V} 2(?: 0)?)(?: only| or later)?", "gpl 2 0(?: only| or later)?"
+        "gpl-2.0", "gpl gplv2", rf"(?:gnu )?gpl(?:v2|{V} 2(?: 0)?)(?: only| or later)?", "gpl 2 0(?: only| or later)?"
     ),
     Licence(
-        "gpl-3.0", "gpl", rf"(?:gnu )?gpl(?:v3|{V} 3(?: 0)?)(?: only| or later)?", "gpl 3 0(?: only| or later)?"
+        "gpl-3.0", "gpl gplv3", rf"(?:gnu )?gpl(?:v3|{V} 3(?: 0)?)(?: only| or later)?", "gpl 3 0(?: only| or later)?"
     ),
     Licence("gpl", "gpl", r"(?:gnu )?gpl", "gpl"),
     Licence("gpl-1.0", "general", rf"(?:gnu )?general public licen[cs]e{V} 1(?: 0)?", "gpl 1 0(?: only)?"),
     Licence("gpl-2.0", "general", rf"(?:gnu )?general public licen[cs]e{V} 2(?: 0)?", "gplv2"),
     Licence("gpl-3.0", "general", rf"(?:gnu )?general public licen[cs]e{V} 3(?: 0)?", "gplv3"),
     Licence("gpl", "general", r"(?:gnu )?general public licen[cs]e", "gpl any"),
-    Licence("lgpl-2.1", "lgpl", rf"(?:gnu )?lgpl(?:v2 1|{V} 2 1)", "lgpl 2 1(?: only| or later)?"),
-    Licence("lgpl-3.0", "lgpl", rf"(?:gnu )?lgpl(?:v3|{V} 3(?: 0)?)", "lgpl 3 0(?: only| or later)?"),
+    Licence("lgpl-2.1", "lgpl lgplv2", rf"(?:gnu )?lgpl(?:v2 1|{V} 2 1)", "lgpl 2 1(?: only| or later)?"),
+    Licence("lgpl-3.0", "lgpl lgplv3", rf"(?:gnu )?lgpl(?:v3|{V} 3(?: 0)?)", "lgpl 3 0(?: only| or later)?"),
     Licence("lgpl", "lgpl", r"(?:gnu )?lgpl", "lgpl"),
-    Licence("lgpl", "lesser", r"(?:gnu )?(?:lesser|library) general public licen[cs]e", "lgpl any"),
+    Licence("lgpl", "lesser library", r"(?:gnu )?(?:lesser|library) general public licen[cs]e", "lgpl any"),
     Licence("lgpl-2.1", "lesser", rf"(?:gnu )?lesser general public licen[cs]e{V} 2 1", "lgplv2 1"),
     Licence("lgpl-3.0", "lesser", rf"(?:gnu )?lesser general public licen[cs]e{V} 3(?: 0)?", "lgplv3"),
-    Licence("agpl-3.0", "agpl", rf"(?:gnu )?agpl(?:v3|{V} 3(?: 0)?)", "agpl 3 0(?: only| or later)?"),
+    Licence("agpl-3.0", "agpl agplv3", rf"(?:gnu )?agpl(?:v3|{V} 3(?: 0)?)", "agpl 3 0(?: only| or later)?"),
     Licence("agpl", "agpl", r"(?:gnu )?agpl", "agpl"),
     Licence("agpl-3.0", "affero", rf"(?:gnu )?affero general public licen[cs]e(?:{V} 3(?: 0)?)?", "agplv3"),
     Licence("gfdl", "documentation", rf"(?:gnu )?free documentation licen[cs]e(?:{V} 1 [1-3])?", "gfdl 1 [1-3]"),
@@ -104,13 +105,13 @@ LICENCES = (
     Licence("public-domain", "public", r"public domain", "public domain"),
 )
 
-# Sentences that stand in licence texts and notices: label, keyword, expression, weight.
+# Sentences that stand in licence texts and notices: label, keywords, expression, weight.
 SENTENCES = (
     ("mit", "permission", r"permission is hereby granted free of charge to any person obtaining a copy", 1.0),
     ("isc", "permission", r"permission to use copy modify and(?: or)? distribute this software", 0.9),
     ("bsd", "redistribution", r"redistribution and use in source and binary forms", 1.0),
     ("gpl", "redistribute", r"free software you can redistribute it and or modify it", 0.9),
-    ("no-warranty", "warranty", r"without(?: any)? warrant(?:y|ies)(?: or conditions)? of any kind", 0.5),
+    ("no-warranty", "warranty warranties", r"without(?: any)? warrant(?:y|ies)(?: or conditions)? of any kind", 0.5),
     ("no-warranty", "warranties", r"without(?: any)? warranties(?: or conditions)? of any kind", 0.5),
     ("copyright", "copyright", r"copyright(?: c)?(?: (?:19|20)\d\d)+", 0.6),
     ("copyright", "copyrighted", r"copyrighted (?:work|material|content)s?", 0.5),
@@ -119,6 +120,6 @@ SENTENCES = (
     ("non-commercial", "commercial", r"(?:for )?non commercial (?:use|purposes?) only", 0.6),
     ("proprietary", "proprietary", r"proprietary and confidential", 0.7),
     ("copyleft", "copyleft", r"copyleft", 0.5),
-    ("licensed", "licensed", r"licen[cs]ed under", 0.3),
-    ("licensed", "license", r"(?:see|under) the licen[cs]e(?: file)?", 0.3),
+    ("licensed", "licensed licenced", r"licen[cs]ed under", 0.3),
+    ("licensed", "license licence", r"(?:see|under) the licen[cs]e(?: file)?", 0.3),
 )

@@ -1,7 +1,7 @@
 """Licence scan: ordered signature rules, gated by keywords, overlaps resolved by priority.
 
-The text becomes lower-case words joined by one space. A document that holds none of the
-root strings is done. In the others, only rules whose keyword occurs are tried. A match is an
+The text becomes lower-case words joined by one space. Only rules of which a keyword occurs are
+tried, in documents that hold a root string. A match is an
 interval of words; it is dropped if another match of the same or a higher priority contains it
 (of equal intervals and priorities, the rule that comes first stays).
 
@@ -40,10 +40,13 @@ TERMS = r"(?: the)?(?: terms of)?(?: the| an?)?"
 
 
 class Rule(NamedTuple):
-    """`priority` from 1 to `PRIORITIES`; `weight` is what a surviving match says about the document."""
+    """`priority` from 1 to `PRIORITIES`; `weight` is what a surviving match says about the document.
+
+    Each match holds one of the `keywords`, parted by spaces, as a word.
+    """
 
     label: str
-    keyword: str
+    keywords: str
     regex: str
     priority: int
     weight: float
@@ -58,14 +61,23 @@ def rules() -> list[Rule]:
     for x in LICENCES:
         known = rf"(?:{x.name})"
         made.append(Rule(x.label, "spdx", rf"spdx licen[cs]e identifier {x.spdx}", 4, 1.0))
-        made.append(Rule(x.label, x.keyword, rf"{GRANT}{TERMS} {known}(?: licen[cs]e)?", 3, 1.0))
-        made.append(Rule(x.label, x.keyword, rf"(?:the )?{known} licen[cs]e", 2, 0.8))
+        made.append(Rule(x.label, x.keywords, rf"{GRANT}{TERMS} {known}(?: licen[cs]e)?", 3, 1.0))
+        made.append(Rule(x.label, x.keywords, rf"(?:the )?{known} licen[cs]e", 2, 0.8))
         if not x.plain:
-            made.append(Rule(x.label, x.keyword, known, 1, 0.5))
-    made += [Rule(label, keyword, regex, 2, weight) for label, keyword, regex, weight in SENTENCES]
+            made.append(Rule(x.label, x.keywords, known, 1, 0.5))
+    made += [Rule(label, keywords, regex, 2, weight) for label, keywords, regex, weight in SENTENCES]
     return made
 
 
+def _padded(keywords: str) -> list[str]:
+    return [f" {k} " for k in keywords.split()]
+
+
+def keywords(ordered: list[Rule]) -> list[str]:
+    """The keywords of all rules, between spaces."""
+    return sorted({k for r in ordered for k in _padded(r.keywords)})
+
+
 def _bounded(regex: Column | str) -> Column:
     """The expression at whole words only."""
     return F.concat(F.lit("(?<![^ ])(?:"), F.lit(regex) if isinstance(regex, str) else regex, F.lit(")(?![^ ])"))
@@ -137,7 +149,7 @@ def _rule_table(ordered: list[Rule]) -> Column:
     return F.array(
         *(
             F.struct(
-                F.lit(f" {r.keyword} ").alias("keyword"),
+                F.array(*map(F.lit, _padded(r.keywords))).alias("keywords"),
                 F.lit(r.regex).alias("regex"),
                 F.lit(r.priority).alias("priority"),
                 F.lit(place).alias("place"),
@@ -151,6 +163,7 @@ def _rule_table(ordered: list[Rule]) -> Column:
 
 def scan(docs: DataFrame, text: str = "text", ordered: list[Rule] | None = None) -> DataFrame:
     """`docs` with `_words` (text) and `_matches` (the surviving ones: start, label, weight ...)."""
+    ordered = ordered or rules()
     gate = F.lit(False)
     for root in ROOTS:
         gate = gate | F.contains(F.col("_padded"), F.lit(root))
@@ -158,13 +171,15 @@ def scan(docs: DataFrame, text: str = "text", ordered: list[Rule] | None = None)
     def detect(rule: Column) -> Column:
         return matches(F.col("_words"), rule)
 
-    tried = F.filter(_rule_table(ordered or rules()), lambda r: F.contains(F.col("_padded"), r["keyword"]))
+    present = F.filter(F.array(*map(F.lit, keywords(ordered))), lambda k: F.contains("_padded", k))
+    tried = F.filter(_rule_table(ordered), lambda r: F.arrays_overlap(r["keywords"], F.col("_present")))
     return (
         docs.withColumn("_words", words_of(whole_text(text)))
         .withColumn("_padded", F.concat(F.lit(" "), "_words", F.lit(" ")))
+        .withColumn("_present", present)
         .withColumn(
             "_matches",
-            F.when(gate, surviving(F.flatten(F.transform(tried, detect)))).otherwise(
+            F.when(gate & (F.size("_present") > 0), surviving(F.flatten(F.transform(tried, detect)))).otherwise(
                 F.array().cast(f"array<{MATCH}>")
             ),
         )

@@ -100,3 +100,15 @@ def test_odd_rows(result, odd_dir):
         assert rows[i]["first_word"] is None
     assert rows[4]["n_base"] == 5000 and rows[4]["n_words"] == 7 * 5000 and rows[4]["last_word"] == 7 * 5000 - 3
     assert rows[12]["base_labels"] == "cc-by,gpl,reserved"
+
+
+def test_forms_that_keywords_once_lost(spark):
+    texts = {
+        "released under GPLv3": "gpl-3.0", "GNU GPLv2": "gpl-2.0", "LGPLv2.1": "lgpl-2.1", "LGPLv3": "lgpl-3.0",
+        "the AGPLv3 applies": "agpl-3.0", "FreeBSD license": "bsd-2-clause", "zero clause BSD": "0bsd",
+        "licenced under ours": "licensed", "see under the licence": "licensed",
+        "GNU Library General Public License": "lgpl",
+    }
+    docs = spark.createDataFrame(list(texts.items()), "text string, label string")
+    for r in scan(docs).collect():
+        assert r["label"] in {m["label"] for m in r["_matches"]}, r["text"]
