@@ -1,7 +1,7 @@
 """Licence scan: ordered signature rules, gated by keywords, overlaps resolved by priority.
 
 The text becomes lower-case words joined by one space. Only rules of which a keyword occurs are
-tried, in documents that hold a root string. A match is an
+tried; a document without any keyword is done. A match is an
 interval of words; it is dropped if another match of the same or a higher priority contains it
 (of equal intervals and priorities, the rule that comes first stays).
 
@@ -28,13 +28,6 @@ BASE_PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rig
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 MARK = "\u0001"  # a separator, so no word holds it
 
-# Every rule's matches hold one of these strings.
-ROOTS = (
-    "licen", "unlicense", "spdx", "copyright", "copyleft", "rights", "public domain", "creative commons",
-    "cc by", "cc0", "gpl", "cddl", "0bsd", "bsd 2", "bsd 3", "bsd 4", " bsd", "freebsd", "apache", "mit 0",
-    "mit no", "wtfpl", "beerware", "permission", "redistribut", "warrant", "commercial", "proprietary",
-)
-
 GRANT = r"(?:licen[cs]ed|released|distributed|available|published|provided|covered|offered)(?: [^ ]+){0,3} under"
 TERMS = r"(?: the)?(?: terms of)?(?: the| an?)?"
 
@@ -78,6 +71,10 @@ def keywords(ordered: list[Rule]) -> list[str]:
     return sorted({k for r in ordered for k in _padded(r.keywords)})
 
 
+# Every rule's matches, between spaces, hold one of these strings.
+ROOTS = tuple(keywords(rules()))
+
+
 def _bounded(regex: Column | str) -> Column:
     """The expression at whole words only."""
     return F.concat(F.lit("(?<![^ ])(?:"), F.lit(regex) if isinstance(regex, str) else regex, F.lit(")(?![^ ])"))
@@ -164,9 +161,6 @@ def _rule_table(ordered: list[Rule]) -> Column:
 def scan(docs: DataFrame, text: str = "text", ordered: list[Rule] | None = None) -> DataFrame:
     """`docs` with `_words` (text) and `_matches` (the surviving ones: start, label, weight ...)."""
     ordered = ordered or rules()
-    gate = F.lit(False)
-    for root in ROOTS:
-        gate = gate | F.contains(F.col("_padded"), F.lit(root))
 
     def detect(rule: Column) -> Column:
         return matches(F.col("_words"), rule)
@@ -179,7 +173,7 @@ def scan(docs: DataFrame, text: str = "text", ordered: list[Rule] | None = None)
         .withColumn("_present", present)
         .withColumn(
             "_matches",
-            F.when(gate & (F.size("_present") > 0), surviving(F.flatten(F.transform(tried, detect)))).otherwise(
+            F.when(F.size("_present") > 0, surviving(F.flatten(F.transform(tried, detect)))).otherwise(
                 F.array().cast(f"array<{MATCH}>")
             ),
         )

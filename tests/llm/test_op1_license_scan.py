@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import re
+from itertools import product
+from re import _parser
 
 from mercato.llm.op1_license_scan import BASE_PHRASES, ROOTS, rules, scan
 
@@ -102,6 +104,52 @@ def test_odd_rows(result, odd_dir):
     assert rows[12]["base_labels"] == "cc-by,gpl,reserved"
 
 
+def alternatives(parsed, most=100):
+    """Texts that an expression matches: every branch, letter class and number of repeats at least once."""
+    parts = []
+    for op, value in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            parts.append([chr(value)])
+        elif name == "NOT_LITERAL":
+            parts.append(["other"])
+        elif name == "IN":
+            found = []
+            for kind, x in value:
+                found += {"LITERAL": lambda x: [x], "RANGE": list, "CATEGORY": lambda _: [ord("7")]}[str(kind)](x)
+            parts.append([chr(x) for x in found])
+        elif name == "BRANCH":
+            parts.append([a for branch in value[1] for a in alternatives(branch, most)])
+        elif name == "SUBPATTERN":
+            parts.append(alternatives(value[3], most))
+        else:
+            assert name == "MAX_REPEAT", name
+            low, high, inner = value
+            times = sorted({low, min(high, low + 1), min(high, 3)})
+            parts.append([a * n for n in times for a in (alternatives(inner, most) if n else [""])])
+    size = 1
+    for p in parts:
+        size *= len(p)
+    if size <= most:
+        return ["".join(x) for x in product(*parts)]
+    first = [p[0] for p in parts]
+    return ["".join([*first[:i], a, *first[i + 1 :]]) for i, p in enumerate(parts) for a in p]
+
+
+def test_no_alternative_is_lost(spark):
+    """Every alternative of every rule, alone in a text, gives the matches of all rules without gates."""
+    found = {r: alternatives(_parser.parse(r.regex)) for r in rules()}
+    for rule, texts in found.items():
+        for text in texts:
+            assert re.fullmatch(rule.regex, text), (rule.regex, text)
+            assert set(rule.keywords.split()) & set(text.split()), (rule.keywords, text)
+    texts = sorted({t for x in found.values() for t in x})
+    docs = spark.createDataFrame(list(enumerate(texts)), "i int, text string").repartition(8)
+    for r in scan(docs).collect():
+        got = sorted((m["start"], -m["minus_last"], m["place"]) for m in r["_matches"])
+        assert got and got == sorted((m[0], m[1], m[3]) for m in brute_matches(r["text"])), r["text"]
+
+
 def test_forms_that_keywords_once_lost(spark):
     texts = {
         "released under GPLv3": "gpl-3.0", "GNU GPLv2": "gpl-2.0", "LGPLv2.1": "lgpl-2.1", "LGPLv3": "lgpl-3.0",
@@ -112,3 +160,13 @@ def test_forms_that_keywords_once_lost(spark):
     docs = spark.createDataFrame(list(texts.items()), "text string, label string")
     for r in scan(docs).collect():
         assert r["label"] in {m["label"] for m in r["_matches"]}, r["text"]
+
+
+def test_notices_without_the_word_license(spark):
+    texts = {
+        "Released under the MIT.": "mit", "Distributed under MIT": "mit", "available under the ISC": "isc",
+        "published under X11": "x11", "covered by and offered under zlib": "zlib", "provided under the NCSA": "ncsa",
+    }
+    docs = spark.createDataFrame(list(texts.items()), "text string, label string")
+    for r in scan(docs).collect():
+        assert {m["label"] for m in r["_matches"]} == {r["label"]}, r["text"]
