@@ -2,16 +2,19 @@
 
 Vectors are scaled to length 1, where the nearest by cosine are the nearest by distance. Each of
 `tables` hash tables has `dims` random projections, cut into slots of `width`; the slots' numbers
-name a bucket. A query visits buckets in order of the estimated chance that a neighbour at the fitted
-cosine lies in them, until the chances of a table add up to `reach`. Candidates of all visited
-buckets are ranked by their exact cosine, and the tables' results are merged.
+name a bucket. A query visits buckets in order of the estimated chance that a neighbour at a certain
+cosine lies in them, until the chances of a table add up to `reach`. It does so for the fitted cosine,
+which nearly all queries' neighbours exceed, and for nearer ones, at half the angle each time, as near
+copies lie in other buckets than far neighbours do. Candidates of all visited buckets are ranked by
+their exact cosine, and the tables' results are merged.
 
 * Equal vectors are indexed once with their `k + 1` smallest ids, which is all that a result can
   hold of them, and are asked for once. So a vector that a third of the rows share costs one row.
 * Buckets are cut into chunks of about `chunk_rows` rows, each of which meets the bucket's queries on
   its own. A task keeps one chunk and the best rows of the queries it has seen, up to a limit.
-* The neighbours' cosine is fitted on a bounded sample (`sample_rows`, `sample_queries`); every row is
-  indexed. The number of projections follows from the number of rows, so that buckets stay small.
+* The cosine of a query's last neighbour is fitted on a bounded sample (`sample_rows`,
+  `sample_queries`) as a low quantile over its queries, so that groups of near copies don't hide vectors
+  that stand alone; every row is indexed. The number of projections follows from the number of rows, so that buckets stay small.
 
 Rows with a NULL id, and vectors that are NULL, empty, all zero, or hold NULL or non-finite
 components take no part, nor do vectors of another length than the most frequent one (of equally
@@ -47,7 +50,8 @@ class Search:
     sample_rows: int = 20_000
     sample_queries: int = 200
     sample_numbers: int = 4_000_000  # rows times components
-    quantile: float = 0.25
+    quantile: float = 0.02  # of the queries' last neighbours
+    nearest_angle: float = 0.2  # radians, to which nearer neighbours are probed for
     seed: int = 7
 
 
@@ -68,7 +72,7 @@ def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Index:
-    """The hash functions, and the cosine of neighbours that probing looks for."""
+    """The hash functions, and the cosine of the farthest neighbours that probing looks for."""
 
     search: Search
     size: int
@@ -88,12 +92,25 @@ class Index:
         slots = np.floor((vectors @ projections + offsets) / self.search.width).astype(np.int64)
         return (slots * mixers).sum(axis=1)  # wraps around, as a hash may
 
-    def probes(self, vector: np.ndarray, number: int) -> Iterator[int]:
+    def probed_cosines(self) -> list[float]:
+        """The fitted cosine, and those of half the angle each time."""
+        found, angle = [self.cosine], math.acos(self.cosine) / 2
+        while angle > self.search.nearest_angle / 2:
+            found.append(math.cos(angle))
+            angle /= 2
+        return found
+
+    def visits(self, vector: np.ndarray, number: int) -> list[int]:
+        """The buckets that a (unit) vector asks."""
+        return list(dict.fromkeys(b for c in self.probed_cosines() for b in self.probes(vector, number, c)))
+
+    def probes(self, vector: np.ndarray, number: int, cosine: float | None = None) -> Iterator[int]:
         """Buckets in falling order of the estimated chance to hold a neighbour of a (unit) vector."""
         projections, offsets, mixers = self.functions(number)
-        width, spread = self.search.width, math.sqrt(max(1e-9, 1 - self.cosine**2))
+        cosine = self.cosine if cosine is None else cosine
+        width, spread = self.search.width, math.sqrt(max(1e-9, 1 - cosine**2))
         # A neighbour's projection is normal around cosine times the vector's own.
-        centres = self.cosine * (vector @ projections)
+        centres = cosine * (vector @ projections)
         choices: list[list[tuple[float, int]]] = []  # by projection: (-log chance, slot), best first
         for centre, offset in zip(centres, offsets, strict=True):
             low = math.floor((centre - 6 * spread + offset) / width)
@@ -137,6 +154,14 @@ def usable(vectors: DataFrame, kind: str) -> DataFrame:
     )
 
 
+def fitted_cosine(sample: np.ndarray, search: Search) -> float:
+    """The cosine that few queries' k-th neighbours fall short of, within a sample of (unit) vectors."""
+    near = sample[: search.sample_queries] @ sample.T
+    near[np.arange(len(near)), np.arange(len(near))] = -2
+    last = -np.partition(-near, search.k - 1, axis=1)[:, search.k - 1]
+    return float(np.clip(np.quantile(last, search.quantile), 0.0, 0.999))
+
+
 def fit(classes: DataFrame, size: int, rows: int, search: Search) -> Index:
     """Hash functions for `rows` distinct vectors; the neighbours' cosine comes from a sample."""
     wanted = max(search.k + 2, min(search.sample_rows, search.sample_numbers // size))
@@ -146,10 +171,7 @@ def fit(classes: DataFrame, size: int, rows: int, search: Search) -> Index:
     sample = unit(_matrix(chosen.select("vec").toArrow().column("vec").combine_chunks()))
     cosine = 0.5
     if len(sample) > search.k + 1:
-        near = sample[: search.sample_queries] @ sample.T
-        near[np.arange(len(near)), np.arange(len(near))] = -2
-        best = -np.partition(-near, search.k, axis=1)[:, : search.k]
-        cosine = float(np.clip(np.quantile(best, search.quantile), 0.0, 0.999))
+        cosine = fitted_cosine(sample, search)
     slots = 2.5 / search.width + 1  # of a projection, roughly, that hold most rows
     dims = max(2, min(12, round(math.log(max(rows, 1) / search.bucket_rows, slots)))) if rows > 1 else 2
     return Index(search, size, dims, cosine)
@@ -172,7 +194,7 @@ def _placed(index: Index, kind: int):
                     rows = np.arange(len(units))
                     buckets = index.buckets(units, number)
                 else:
-                    visits = [list(index.probes(u, number)) for u in units]
+                    visits = [index.visits(u, number) for u in units]
                     rows = np.repeat(np.arange(len(units)), [len(v) for v in visits])
                     buckets = np.array([b for v in visits for b in v], dtype=np.int64)
                 for start in range(0, len(rows), 4096):

@@ -87,3 +87,20 @@ def test_large_and_small_numbers(spark):
     got = found(nearest(df, df.filter("vec_id = 0"), Search(reach=1.0)).collect())[0]
     assert [i for i, _ in got] == [1, 2, 3]
     assert got[0][1] == pytest.approx(1.0) and got[2][1] == pytest.approx(-(0.5**0.5))
+
+
+@pytest.mark.parametrize("cosine", [0.9, 0.99])
+def test_recall_with_groups_of_near_copies(spark, cosine):
+    """Four of five vectors lie in groups of 20 near copies, the others stand alone."""
+    rng = np.random.default_rng(5)
+    centres = np.repeat(unit(rng.standard_normal((320, 64))), 20, axis=0)
+    groups = cosine**0.5 * centres + (1 - cosine) ** 0.5 * unit(rng.standard_normal((6400, 64)))
+    vectors = unit(np.concatenate([groups, rng.standard_normal((1600, 64))])[rng.permutation(8000)])
+    df = spark.createDataFrame(list(enumerate(vectors.tolist())), "vec_id bigint, vec array<double>")
+    got = found(nearest(df, df.filter("vec_id < 120")).collect())
+    near = vectors[:120] @ vectors.T
+    near[np.arange(120), np.arange(120)] = -2
+    want = np.argsort(-near, axis=1)[:, :5]
+    own = np.array([len(set(want[q]) & {i for i, _ in got.get(q, [])}) / 5 for q in range(120)])
+    alone = near.max(axis=1) < 0.7
+    assert own.mean() >= 0.9 and own[alone].mean() >= 0.9
