@@ -7,7 +7,8 @@ step is one small aggregation over the table of sources, which may be of any siz
 
 The weights are then realised as token budgets. A source's documents have a fixed random order (by a
 hash). Its budget takes whole passes over them and, of the last pass, documents while the tokens before
-them are below what is left. The stream is cut into blocks of about `block_tokens` tokens, each with
+them are below what is left. With `whole`, the largest source's budget is what it has and no other's is
+less, so every document is read however small its source's weight is. The stream is cut into blocks of about `block_tokens` tokens, each with
 every source's weight, and each block is permuted by another hash.
 
 Running sums per source come from chunks of the hash range, so no source is sorted in one task; the
@@ -140,9 +141,13 @@ def weighted_sources(rows: DataFrame, mix: Mix) -> DataFrame:
     weight = F.round(F.pow("_share", F.lit(k / GRID)) / z * float(BILLION)).cast("bigint")
     weighted = sources.withColumn("weight", F.when(F.col("_total") > 0, weight).otherwise(0))
     if mix.whole:
-        need = F.ceil(F.expr(f"cast(_total as decimal(20,0)) * {BILLION} / weight"))
-        budget = int(weighted.filter("weight > 0").agg(F.max(need)).first()[0])
-    quota = F.expr(f"cast({budget} as decimal(20,0)) * cast(weight as decimal(11,0)) div {BILLION}")
+        # The largest source is read once; how often another is follows from its size, whatever its rounded weight.
+        largest = totals.agg(F.max("_total")).first()[0]
+        reads = F.pow(F.lit(float(largest)) / F.col("_total"), F.lit(1 - k / GRID))
+        more = F.floor(reads * F.col("_total")).cast("bigint")
+        quota = F.when(F.col("_total") > 0, F.greatest(more, F.col("_total"))).otherwise(F.lit(0).cast("bigint"))
+    else:
+        quota = F.expr(f"cast({budget} as decimal(20,0)) * cast(weight as decimal(11,0)) div {BILLION}")
     return stored(weighted.drop("_share").withColumn("quota", quota), "weights")
 
 

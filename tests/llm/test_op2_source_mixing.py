@@ -128,3 +128,19 @@ def test_odd_rows(spark, result, odd_dir):
     everything = mixed(docs, Mix(whole=True, entropy=None, max_repeats=2.0))
     assert everything.columns == docs.columns
     assert {(r["doc_id"], r["text"]) for r in everything.collect()} == {(r["doc_id"], r["text"]) for r in docs.collect()}
+
+
+def test_whole_reads_the_smallest_sources(spark):
+    """Weights below half a billionth round to nothing; the documents are read all the same, and not too often."""
+    mix = Mix(entropy=None, max_repeats=2.0, whole=True, block_tokens=10**9)
+    sizes = {"huge": 5 * 10**12, "half": 10**12, "page": 300, "word": 1, "none": 0}
+    rows = spark.createDataFrame(
+        [(i, s, n, 1000 * i) for i, (s, n) in enumerate(sizes.items())],
+        "_id bigint, _source string, _tokens bigint, _place bigint",
+    )
+    sources = weighted_sources(rows, mix)
+    quota = {r["_source"]: r["quota"] for r in sources.collect()}
+    assert quota["huge"] == sizes["huge"] and quota["none"] == 0
+    assert all(sizes[s] <= quota[s] <= 2 * sizes[s] for s in sizes)
+    read = Counter(r["_source"] for r in schedule(rows, sources, mix).collect())
+    assert set(read) == set(sizes) and read["huge"] == 1 and max(read.values()) <= 2
