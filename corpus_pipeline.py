@@ -1,7 +1,7 @@
 """A corpus from raw documents to tokens, in four stages, each over all that the one before kept.
 
 1. `language_id`: documents go whose text has no letter, or no feature that tells one language from
-   the others.
+   the others. If no training row has a language, only texts without a letter go.
 2. `near_duplicates`: of documents with at least 0.8 of their five-word n-grams in common,
    directly or through others, the one with the smallest id stays.
 3. `mix_sources`: sources are brought nearer to equal weights by reading the smaller ones up to twice.
@@ -28,6 +28,8 @@ MIX = op2_source_mixing.Mix(entropy=None, max_repeats=2.0, whole=True)
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     training = docs.filter(id_remainder("doc_id", 3) != 1).select("doc_id", "text", "lang")
     model = op10_language_id.train(training)
+    if not model.languages:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
     found = op10_language_id.identify(docs, model, to=("_lang_pred", "_lang_score"))
     known = F.col("_lang_pred") != op10_language_id.UNKNOWN
     if len(model.languages) > 1:  # all equally likely: nothing in the text is known of any language

@@ -70,3 +70,13 @@ def test_odd_and_empty_tables(spark, odd_dir, empty_dir):
     # Without letters: 1, 2, 3, 8. Copies: 6, 7 and one 5; 13 of -13.
     assert {r["doc_id"] for r in rows} == {None, 4, 5, 9, 10, 11, 12, -13}
     assert corpus_pipeline.run(spark, empty_dir).collect() == []
+
+
+def test_table_without_languages(spark, tmp_path):
+    texts = ["a clean text of a few words", "another text, wholly unlike it", "12345 !!!", None, "", "日本語"]
+    rows = [(i, t, None, "s", len(t or "")) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    kept = corpus_pipeline.language_id(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {0, 1, 5}
+    assert {r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == {0, 1, 5}
