@@ -18,6 +18,8 @@ from mercato.llm.op8_fingerprints import op8_fingerprints
 from mercato.llm.op9_warc import ORACLE as ORACLE_9
 from mercato.llm.op9_warc import op9_warc
 from mercato.llm.op10_language_id import op10_language_id
+from mercato.llm.op11_ranked_search import ORACLE as ORACLE_11
+from mercato.llm.op11_ranked_search import op11_ranked_search
 
 _QUERIES = {
     "op1_license_scan": op1_license_scan,
@@ -30,6 +32,7 @@ _QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_warc": op9_warc,
     "op10_language_id": op10_language_id,
+    "op11_ranked_search": op11_ranked_search,
 }
 
 
@@ -49,4 +52,5 @@ ORACLE_SQL = {
     "op7_sharding": ORACLE_7,
     "op8_fingerprints": ORACLE_8,
     "op9_warc": ORACLE_9,
+    "op11_ranked_search": ORACLE_11,
 }
