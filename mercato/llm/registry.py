@@ -20,6 +20,8 @@ from mercato.llm.op9_warc import op9_warc
 from mercato.llm.op10_language_id import op10_language_id
 from mercato.llm.op11_ranked_search import ORACLE as ORACLE_11
 from mercato.llm.op11_ranked_search import op11_ranked_search
+from mercato.llm.op12_embedding_dedup import ORACLE as ORACLE_12
+from mercato.llm.op12_embedding_dedup import op12_embedding_dedup
 
 _QUERIES = {
     "op1_license_scan": op1_license_scan,
@@ -33,6 +35,7 @@ _QUERIES = {
     "op9_warc": op9_warc,
     "op10_language_id": op10_language_id,
     "op11_ranked_search": op11_ranked_search,
+    "op12_embedding_dedup": op12_embedding_dedup,
 }
 
 
@@ -53,4 +56,5 @@ ORACLE_SQL = {
     "op8_fingerprints": ORACLE_8,
     "op9_warc": ORACLE_9,
     "op11_ranked_search": ORACLE_11,
+    "op12_embedding_dedup": ORACLE_12,
 }
