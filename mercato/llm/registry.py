@@ -22,6 +22,8 @@ from mercato.llm.op11_ranked_search import ORACLE as ORACLE_11
 from mercato.llm.op11_ranked_search import op11_ranked_search
 from mercato.llm.op12_embedding_dedup import ORACLE as ORACLE_12
 from mercato.llm.op12_embedding_dedup import op12_embedding_dedup
+from mercato.llm.op13_conversation_trie import ORACLE as ORACLE_13
+from mercato.llm.op13_conversation_trie import op13_conversation_trie
 
 _QUERIES = {
     "op1_license_scan": op1_license_scan,
@@ -36,6 +38,7 @@ _QUERIES = {
     "op10_language_id": op10_language_id,
     "op11_ranked_search": op11_ranked_search,
     "op12_embedding_dedup": op12_embedding_dedup,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 
@@ -57,4 +60,5 @@ ORACLE_SQL = {
     "op9_warc": ORACLE_9,
     "op11_ranked_search": ORACLE_11,
     "op12_embedding_dedup": ORACLE_12,
+    "op13_conversation_trie": ORACLE_13,
 }
