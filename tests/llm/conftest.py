@@ -51,6 +51,22 @@ def write(spark, folder, rows):
         [(a, b, 1, 0.5, "x") for a, b in vectors],
         "vec_id bigint, embedding array<float>, label int, score double, class string",
     ).write.parquet(f"{folder}/embeddings.parquet")
+    items = [
+        (None, "rights and words"), (1, None), (2, ""), (3, "all rights reserved"), (3, "all rights reserved"),
+        (4, "Same words, same ORDER and und 日本語"), (3, "word"), (5, "absent"), (6, "a document without"),
+    ] if rows else []
+    spark.createDataFrame([(*i, 1, 2) for i in items], "item_id bigint, text string, rank int, doc_id long").write.parquet(
+        f"{folder}/benchmark.parquet"
+    )
+    turns = [
+        (0, 0, "user", "hello there"), (0, None, "user", "first"), (0, 1, None, "a b"), (0, 1, "bot", None),
+        (0, 1, "bot", None), (1, 0, "user", "hello there"), (1, 1, "user", ""), (2, 5, "u", "x y"), (None, 0, "u", "z"),
+        (-3, 0, "user", "hello there"), (-3, 1, "user", LONG), (20, 0, "u", "p"), *((23, t, "u", f"turn {t}") for t in range(30)),
+        (25, 3, "u", "p"), (41, 0, "u", "p"), (44, 0, "u", "p"), (45, 0, "u", "p"), (46, 0, "u", "p"), (46, 1, "u", "q"),
+    ] if rows else []
+    spark.createDataFrame(
+        [(*t, "x", 1) for t in turns], "conv_id bigint, turn bigint, role string, text string, key string, depth int"
+    ).write.parquet(f"{folder}/conversations.parquet")
     return str(folder)
 
 
