@@ -43,6 +43,8 @@ if HAS_PIPELINE:
     import corpus_pipeline  # noqa: E402
 
 SETTINGS = Settings()
+# As if each batch had more keys than may be broadcast.
+MANY_KEYS = Settings(broadcast_max_ids=0)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -77,14 +79,14 @@ def _earlier(src: Sources) -> Sources:
     return src.replace(orders=orders, order_items=src.order_items.withColumn("price", F.col("price") + 1))
 
 
-def _load_twice(spark: SparkSession, sf_dir: str) -> pipeline.Warehouse:
+def _load_twice(spark: SparkSession, sf_dir: str, settings: Settings = SETTINGS) -> pipeline.Warehouse:
     src = driver_sources(spark, sf_dir)
     warehouse = pipeline.Warehouse(spark, work_dir(spark, "orders"))
     for sources, (start, end) in ((_earlier(src), oracle.RUN_1), (src, oracle.RUN_2)):
         pipeline.load_orders(
             sources,
             warehouse.fct_orders,
-            SETTINGS,
+            settings,
             run_log_path=warehouse.run_log_path,
             started_at=_at(start),
             finished_at=_at(end),
@@ -124,6 +126,28 @@ def _audit_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _audit_log_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs, and both repeated with other sources: they are neither published nor logged again."""
+    src = driver_sources(spark, sf_dir)
+    warehouse = pipeline.Warehouse(spark, work_dir(spark, "replay"))
+    first, second = (_earlier(src), oracle.RUN_1, "feed/0"), (src, oracle.RUN_2, "feed/1")
+    for sources, (start, end), run_id in (first, second, (_earlier(src), oracle.RUN_1, "feed/1"), first):
+        pipeline.load_orders(
+            sources,
+            warehouse.fct_orders,
+            SETTINGS,
+            run_log_path=warehouse.run_log_path,
+            started_at=_at(start),
+            finished_at=_at(end),
+            run_by=oracle.RUN_BY,
+            run_id=run_id,
+        )
+    log = warehouse.run_log(with_run_id=True)
+    for c in ("run_started_at", "run_finished_at"):
+        log = log.withColumn(c, F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col(c).cast("timestamp_ntz")))
+    return log.withColumn("versions", F.lit(warehouse.fct_orders.latest().number))
+
+
 def _schema_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An old table without two of today's columns, with one more and one of another type."""
     summary = intermediate.order_payments_summary(driver_sources(spark, sf_dir))
@@ -175,8 +199,8 @@ def _seed_csv(spark: SparkSession) -> str:
 
 
 def _published_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, warehouse = _built_warehouse(spark, sf_dir)
     """Rows and a hash of the content of each written table and each staging view."""
+    _, warehouse = _built_warehouse(spark, sf_dir)
     names = ("dim_customers", "dim_sellers", "dim_products", "dim_date", "fct_reviews")
     tables = {name: warehouse.table(name).read() for name in names}
     tables |= {"fct_orders": warehouse.fct_orders.read(), "exchange_rates": warehouse.seed.read()}
@@ -286,8 +310,12 @@ def queries() -> dict[str, Query]:
         ),
         "published_tables": _published_tables,
         "incremental_upsert_orders": lambda spark, sf_dir: _load_twice(spark, sf_dir).fct_orders.read(),
+        "incremental_upsert_large_batch": lambda spark, sf_dir: _load_twice(
+            spark, sf_dir, MANY_KEYS
+        ).fct_orders.read(),
         "schema_sync": _schema_sync,
         "audit_run_log": _audit_run_log,
+        "audit_log_replay": _audit_log_replay,
         "scd2_sellers": _scd2_sellers,
         "fn_safe_divide": _on_sources(_fn_safe_divide),
         "fn_cents_to_currency": _on_sources(_fn_cents_to_currency),

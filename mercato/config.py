@@ -36,6 +36,10 @@ class Settings:
     # Neither is broadcast if its rows, at the usual size of its columns, take more than this.
     broadcast_max_bytes: int = 64_000_000
 
+    # Most bits of the filter that stands for the keys of a larger upsert batch. It takes a quarter of
+    # that in bytes when broadcast, and serves for up to two thirds as many keys.
+    upsert_filter_bits: int = 2**27
+
     # A join key is hot when it holds at least this many rows and this share of
     # all rows. It is split into salts of about a quarter of `hot_key_min_rows`.
     hot_key_min_rows: int = 1_000_000

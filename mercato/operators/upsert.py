@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mercato.config import Settings
+from mercato.operators.bloom import BloomFilter, bloom_filter, size_for
 from mercato.operators.joins import fits_broadcast
 from mercato.sources.published import PublishedTable, Version
 
@@ -55,6 +57,7 @@ def upsert(
     key: str,
     search: Iterable[str] | None = None,
     settings: Settings | None = None,
+    run: dict | None = None,
 ) -> Version:
     """Publish a version in which the rows of `batch` replace those of `base` with the same key.
 
@@ -63,11 +66,13 @@ def upsert(
     table only partitions that hold replaced rows are rewritten. They are found
     by looking for the batch's keys in the whole table's key column, as a row may
     have moved to another partition. `search` names the partitions to look in,
-    where it is known that others cannot hold any.
+    where it is known that others cannot hold any. The version keeps `run`.
 
     The keys of a batch of up to `broadcast_max_ids` rows are broadcast, so that the old table
-    is only scanned. Of a larger batch, 8-byte hashes of the keys tell which partitions may hold
-    replaced rows; keys themselves are shuffled for these partitions alone.
+    is only scanned. Of a larger batch, a Bloom filter of at most `upsert_filter_bits` is. Rows of the
+    old table that it rules out are never shuffled, neither in the search for touched partitions, where
+    8-byte hashes of the others' keys are, nor in rewriting them. A batch with too many keys for a filter
+    of that size goes without.
     """
     column = table.partition_column
     settings = settings or Settings()
@@ -75,29 +80,53 @@ def upsert(
     new_rows = staged.read()
     require_unique(new_rows, key)
     if base is None:
-        return table.commit(base, [staged], staged.schema)
+        return table.commit(base, [staged], staged.schema, run=run)
 
     everything = base.partitions()
     types = {f.name: f.dataType for f in base.schema.fields}
     retyped = any(types.get(f.name, f.dataType) != f.dataType for f in staged.schema.fields)
     keys = new_rows.select(key)
-    few = fits_broadcast(keys.count, settings.broadcast_max_ids, keys, settings.broadcast_max_bytes)
+    count = cache(keys.count)
+    few = fits_broadcast(count, settings.broadcast_max_ids, keys, settings.broadcast_max_bytes)
     keys = F.broadcast(keys) if few else keys
+    sizes = None if few else size_for(count(), settings.upsert_filter_bits)
+    known = bloom_filter(keys, key, *sizes) if sizes else None
     if column and not retyped:
         candidates = base.read(search, with_partition=True).select(key, column)
-        if few:
-            replaced = candidates.join(keys, key, "left_semi")
-        else:  # a partition whose rows only share a hash is rewritten as it was
-            hashed = F.xxhash64(key).alias("hash")
-            replaced = candidates.select(hashed, column).join(keys.select(hashed), "hash", "left_semi")
-        touched = {r[0] for r in replaced.select(column).distinct().collect()}
+        touched = {r[0] for r in replaced_rows(candidates, keys, key, few, known).select(column).distinct().collect()}
     else:
         touched = set(everything)
 
     batches = [staged]
     if touched:
-        rest = base.read(touched, with_partition=True).join(keys, key, "left_anti")
+        rest = kept_rows(base.read(touched, with_partition=True), keys, key, known)
         batches.append(table.stage(sync_schema(rest, batch.schema)))
     return table.commit(
-        base, batches, staged.schema, keep=[p for p in everything if p not in touched]
+        base, batches, staged.schema, keep=[p for p in everything if p not in touched], run=run
     )
+
+
+def replaced_rows(
+    rows: DataFrame, keys: DataFrame, key: str, few: bool, known: BloomFilter | None
+) -> DataFrame:
+    """The other columns of the rows whose key is in `keys`; unless these are few, also of rows that share a key's hash.
+
+    So a partition whose rows only share a hash is rewritten as it was.
+    """
+    if few:
+        return rows.join(keys, key, "left_semi").drop(key)
+    hashed = F.xxhash64(key).alias("hash")
+    others = [c for c in rows.columns if c != key]
+    if known:
+        rows = known.maybe(rows, key)
+    return rows.select(hashed, *others).join(keys.select(hashed), "hash", "left_semi").drop("hash")
+
+
+def kept_rows(rows: DataFrame, keys: DataFrame, key: str, known: BloomFilter | None) -> DataFrame:
+    """The rows whose key is not in `keys`. With a filter, only those that pass it take part in a join."""
+    if known is None:
+        return rows.join(keys, key, "left_anti")
+    # The optimizer moves an anti join below the filter's join, but not an outer one.
+    marked = keys.select(key, F.lit(True).alias("__replaced"))
+    passed = known.maybe(rows, key).join(marked, key, "left").filter("__replaced is null").select(*rows.columns)
+    return known.never(rows, key).unionByName(passed)

@@ -60,8 +60,8 @@ class Warehouse:
     def run_log_path(self) -> str:
         return f"{self.path}/audit/model_run_log"
 
-    def run_log(self) -> DataFrame:
-        return audit.read_log(self.spark, self.run_log_path)
+    def run_log(self, with_run_id: bool = False) -> DataFrame:
+        return audit.read_log(self.spark, self.run_log_path, with_run_id)
 
 
 def partition_by_period(orders: DataFrame, settings: Settings) -> DataFrame:
@@ -89,15 +89,24 @@ def load_orders(
     finished_at: dt.datetime | None = None,
     run_by: str | None = None,
     only_orders: DataFrame | None = None,
+    run_id: str | None = None,
 ) -> None:
     """Build the order fact, or bring it up to date if it exists.
 
     An update takes in orders placed from 3 days (by default) before the newest
     one in the table. Later changes to older orders are not seen until a full
     refresh. With `only_orders` (raw orders, one row each) it takes in just these, of any age.
+
+    A run with an id that has been published and logged isn't done again. One that was published and
+    died before it was logged is logged by the next run, whatever its id.
     """
-    started_at = started_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    run = audit.start_run(table.spark, "fct_orders", started_at, finished_at, run_by, run_id)
     version = table.latest()
+    if run_log_path:
+        audit.log_published(version, run_log_path)
+        if run_id and audit.is_logged(table.spark, run_log_path, run_id):
+            log.info("run %s has been logged before, so nothing is loaded", run_id)
+            return
     rebuild = full_refresh or version is None
     since = None if rebuild else settings.start_date if only_orders is not None else watermark(version, settings)
     if not rebuild and since is None:
@@ -108,16 +117,16 @@ def load_orders(
     if rebuild:
         staged = table.stage(partition_by_period(facts.fct_orders(src, settings), settings))
         require_unique(staged.read(), facts.FCT_ORDERS_KEY)
-        version = table.commit(version, [staged], staged.schema)
+        version = table.commit(version, [staged], staged.schema, run=run.as_manifest())
     elif since is not None:
         if only_orders is not None:
             src = src.replace(orders=conform(only_orders.withColumn("_loaded_at", F.lit(None)), ORDERS, "orders"))
         fact = partition_by_period(facts.fct_orders(src, settings, since=since), settings)
         recent = [p for p in version.partitions() if p >= since.strftime(_PERIOD[settings.fact_partition])]
         search = recent if settings.fixed_order_times and only_orders is None else None
-        version = upsert(table, version, fact, facts.FCT_ORDERS_KEY, search, settings)
+        version = upsert(table, version, fact, facts.FCT_ORDERS_KEY, search, settings, run.as_manifest())
     if run_log_path:
-        audit.append_run(version, run_log_path, "fct_orders", started_at, finished_at, run_by)
+        audit.log_run(run, version, run_log_path)
 
 
 def snapshot_sellers(src: Sources, table: PublishedTable, now: dt.datetime) -> None:

@@ -326,6 +326,7 @@ _QUERIES = {
         for t in (*_PUBLISHED, "exchange_rates", *_STAGING)
     ),
     "incremental_upsert_orders": "from upserted",
+    "incremental_upsert_large_batch": "from upserted",
     "schema_sync": """
     with late as (from order_payments_summary where max_installments >= 4)
     select * from late
@@ -342,6 +343,13 @@ _QUERIES = {
       (select count(*) from upserted), '{RUN_BY}', true, false, false
     union all
     select 'fct_orders', null, null, (select count(*) from upserted), null, true, true, true""",
+    "audit_log_replay": f"""
+    select 'fct_orders' model_name, timestamp '{RUN_1[0]}' run_started_at,
+      timestamp '{RUN_1[1]}' run_finished_at, (select count(*) from load_1) rows_affected, '{RUN_BY}' run_by,
+      'feed/0' run_id, 2 versions
+    union all
+    select 'fct_orders', timestamp '{RUN_2[0]}', timestamp '{RUN_2[1]}',
+      (select count(*) from upserted), '{RUN_BY}', 'feed/1', 2""",
     "scd2_sellers": f"""
     with a as (from {_SELLERS_1}), b as (from {_SELLERS_2})
     select {_opened("a", HISTORY_1)} from a left join b using (seller_id)

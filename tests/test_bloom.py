@@ -1,0 +1,123 @@
+"""The Bloom filter, and the upsert of batches whose keys are too many to broadcast."""
+
+from __future__ import annotations
+
+import re
+from dataclasses import replace
+
+import pytest
+from hypothesis import HealthCheck, given, settings as hypothesis_settings
+from hypothesis import strategies as st
+
+from mercato.config import Settings
+from mercato.operators.bloom import BLOCK_BITS, bloom_filter, size_for
+from mercato.operators.upsert import kept_rows, replaced_rows, upsert
+from mercato.sources.published import PublishedTable
+
+NO_BROADCAST = replace(Settings(), broadcast_max_ids=0)
+UNFILTERED = replace(NO_BROADCAST, upsert_filter_bits=0)
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+@hypothesis_settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    keys=st.lists(st.one_of(st.none(), st.text(max_size=6)), min_size=1, max_size=30),
+    others=st.lists(st.text(max_size=6), max_size=30),
+    blocks=st.integers(1, 5),
+    hashes=st.integers(1, 8),
+)
+def test_no_false_negative(spark, keys, others, blocks, hashes):
+    frame = spark.createDataFrame([(k,) for k in keys], "k string")
+    asked = spark.createDataFrame([(k, i) for i, k in enumerate([*keys, *others, None])], "k string, i int")
+    known = bloom_filter(frame, "k", blocks, hashes)
+    maybe, never = known.maybe(asked, "k").collect(), known.never(asked, "k").collect()
+    assert not {r.k for r in never} & {k for k in keys if k is not None}
+    assert None not in {r.k for r in maybe}
+    assert sorted(r.i for r in maybe + never) == list(range(len(keys) + len(others) + 1))
+
+
+def test_few_false_positives(spark):
+    blocks, hashes = size_for(20_000, 2**27)
+    known = bloom_filter(spark.range(20_000), "id", blocks, hashes)
+    assert known.maybe(spark.range(20_000), "id").count() == 20_000
+    assert known.maybe(spark.range(10**6, 10**6 + 100_000), "id").count() < 500
+
+
+def test_sizes():
+    assert size_for(0, 2**27) == (1, 8)
+    assert size_for(10**6, 2**27)[0] * BLOCK_BITS <= 16 * 10**6
+    assert size_for(10**7, 2**27) == (4096, 8)  # 13 bits a key
+    assert size_for(5 * 10**7, 2**27) == (4096, 2)
+    assert size_for(10**9, 2**27) is None  # most rows would pass
+    assert size_for(10**6, 0) is None
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    return PublishedTable(spark, str(tmp_path / "t"), "part")
+
+
+def numbers(spark, start, stop, value):
+    return spark.range(start, stop).selectExpr(
+        "concat('k', id) k", f"cast({value} as int) v", "concat('p', cast(id div 100 as string)) part"
+    )
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("settings", [Settings(), NO_BROADCAST, UNFILTERED])
+def test_upsert_of_a_large_batch(spark, table, settings):
+    first = upsert(table, None, numbers(spark, 0, 1000, 1).unionByName(numbers(spark, 5000, 5001, 1)), "k")
+    second = upsert(table, first, numbers(spark, 350, 450, 2).unionByName(numbers(spark, 9000, 9010, 2)), "k", settings=settings)
+    got = {r.k: r.v for r in second.read().collect()}
+    assert got == {
+        f"k{i}": 2 if 350 <= i < 450 or i >= 9000 else 1 for i in [*range(1000), 5000, *range(9000, 9010)]
+    }
+    # partitions without a replaced row are carried over
+    batches = {f["partition"]: f["batch"] for f in first.folders}
+    carried = {f["partition"] for f in second.folders if f["batch"] == batches.get(f["partition"])}
+    assert carried >= {"p0", "p50"} and not carried & {"p3", "p4"}
+
+
+def test_null_keys_stay(spark, tmp_path):
+    table = PublishedTable(spark, str(tmp_path / "n"))
+    first = table.replace(spark.createDataFrame([(None, 1), ("a", 1), ("b", 1)], "k string, v int"))
+    upsert(table, first, spark.createDataFrame([("a", 2)], "k string, v int"), "k", settings=NO_BROADCAST)
+    assert rows(table.read()) == [("a", 2), ("b", 1), (None, 1)]
+
+
+def test_only_rows_that_pass_are_shuffled(spark, table):
+    """Every exchange of the old table's rows stands above the filter's broadcast join."""
+    first = upsert(table, None, numbers(spark, 0, 1000, 1), "k")
+    keys = numbers(spark, 300, 350, 2).select("k")
+    known = bloom_filter(keys, "k", *size_for(50, 2**27))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        base = first.read(with_partition=True)
+        for df in (replaced_rows(base.select("k", "part"), keys, "k", False, known), kept_rows(base, keys, "k", known)):
+            tree = plan(df).splitlines()
+            scans = [i for i, line in enumerate(tree) if "FileScan" in line]
+            assert scans
+            for i in scans:
+                depth = re.search(r"[A-Za-z]", tree[i]).start()
+                above = []
+                for line in reversed(tree[:i]):
+                    at = re.search(r"[A-Za-z]", line).start()
+                    if at < depth:
+                        depth = at
+                        above.append(line.strip(" +-:*()0123456789"))
+                first_exchange = next((k for k, x in enumerate(above) if x.startswith("Exchange hash")), len(above))
+                first_probe = next(k for k, x in enumerate(above) if x.startswith("BroadcastHashJoin"))
+                assert first_probe < first_exchange
+            # kept rows that the filter rules out meet no exchange at all
+            shuffles = sum("Exchange hashpartitioning(k" in line or "Exchange hashpartitioning(hash" in line for line in tree)
+            assert shuffles == 2
+        passed = known.maybe(base, "k").count()
+        assert 50 <= passed < 60
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

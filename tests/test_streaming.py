@@ -19,14 +19,14 @@ def test_loads_follow_new_files(spark, tmp_path, settings, make_sources, order,
 
     warehouse = Warehouse(spark, str(tmp_path / "w"))
 
-    def run() -> set[str]:
+    def run(checkpoint: str = "checkpoint") -> set[str]:
         load_on_arrival(
             spark,
             f"{tmp_path}/raw/orders",
             lambda: read_sources(spark, f"{tmp_path}/raw", names=names),
             warehouse,
             settings,
-            str(tmp_path / "checkpoint"),
+            str(tmp_path / checkpoint),
         ).awaitTermination(120)
         return {r.order_id for r in warehouse.fct_orders.read().collect()}
 
@@ -37,3 +37,13 @@ def test_loads_follow_new_files(spark, tmp_path, settings, make_sources, order,
     assert warehouse.run_log().count() == 2
     assert run() == {"o1", "o2", "late"}  # nothing new, so no load
     assert warehouse.run_log().count() == 2
+
+    # a load that was done but not noted in the checkpoint comes again, and finds that it is done
+    (tmp_path / "checkpoint/commits/1").unlink()
+    (tmp_path / "checkpoint/commits/.1.crc").unlink(missing_ok=True)
+    assert run() == {"o1", "o2", "late"}
+    assert warehouse.run_log().count() == 2
+    assert warehouse.fct_orders.latest().number == 2
+    # another checkpoint is another feed, whose loads are its own
+    assert run("again") == {"o1", "o2", "late"}
+    assert warehouse.run_log().count() == 3

@@ -243,6 +243,63 @@ def test_run_log_counts_the_whole_table(warehouse, settings, shop):
     assert {e.model_name for e in entries} == {"fct_orders"}
 
 
+def log_rows(warehouse):
+    return sorted((e.run_id, e.rows_affected) for e in warehouse.run_log(with_run_id=True).collect())
+
+
+def test_a_repeated_run_is_neither_published_nor_logged_again(warehouse, settings, shop):
+    log = {"run_log_path": warehouse.run_log_path}
+    load(warehouse, shop(), settings, run_id="a", **log)
+    load(warehouse, shop(days={"o4": "2018-02-01"}), settings, run_id="b", **log)
+    for repeated in ("b", "a", "b"):
+        got = load(warehouse, shop(days={"o5": "2018-02-02"}), settings, run_id=repeated, **log)
+        assert set(got) == {"o1", "o2", "o3", "o4"}
+    assert warehouse.fct_orders.latest().number == 2
+    assert log_rows(warehouse) == [("a", 3), ("b", 4)]
+
+
+@pytest.mark.parametrize("next_id", ["b", "c", None])
+def test_a_run_that_dies_before_it_is_logged(warehouse, settings, shop, monkeypatch, next_id):
+    """It is logged by the next run, with its own times and the rows of its own version."""
+    log = {"run_log_path": warehouse.run_log_path}
+    load(warehouse, shop(), settings, run_id="a", **log)
+    later = shop(days={"o4": "2018-02-01"})
+    with monkeypatch.context() as patch:
+        patch.setattr(pipeline.audit, "log_run", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            load(warehouse, later, settings, run_id="b", started_at=dt.datetime(2018, 2, 2), run_by="me", **log)
+    assert log_rows(warehouse) == [("a", 3)]
+    load(warehouse, shop(days={"o4": "2018-02-01", "o5": "2018-02-03"}), settings, run_id=next_id, **log)
+    entries = {e.run_id: e for e in warehouse.run_log(with_run_id=True).collect()}
+    assert len(entries) == (2 if next_id == "b" else 3)
+    assert (entries["b"].rows_affected, entries["b"].run_by) == (4, "me")
+    assert entries["b"].run_started_at == dt.datetime(2018, 2, 2)
+    assert entries["b"].run_finished_at > entries["b"].run_started_at
+    assert sorted(e.rows_affected for e in entries.values()) == [3, 4, 5][: len(entries)]
+
+
+def test_a_run_that_dies_before_it_publishes_is_done_again(warehouse, settings, shop, monkeypatch):
+    log = {"run_log_path": warehouse.run_log_path}
+    load(warehouse, shop(), settings, run_id="a", **log)
+    later = shop(days={"o4": "2018-02-01"})
+    with monkeypatch.context() as patch:
+        patch.setattr(PublishedTable, "commit", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            load(warehouse, later, settings, run_id="b", **log)
+    assert set(load(warehouse, later, settings, run_id="b", **log)) == {"o1", "o2", "o3", "o4"}
+    assert log_rows(warehouse) == [("a", 3), ("b", 4)]
+
+
+def test_log_rows_of_before_run_ids_stay_readable(spark, warehouse, settings, shop):
+    old = spark.createDataFrame(
+        [("fct_orders", dt.datetime(2017, 1, 1), dt.datetime(2017, 1, 2), 1, "old")],
+        "model_name string, run_started_at timestamp, run_finished_at timestamp, rows_affected bigint, run_by string",
+    )
+    old.write.parquet(warehouse.run_log_path)
+    load(warehouse, shop(), settings, run_log_path=warehouse.run_log_path, run_by="new")
+    assert sorted(r.run_by for r in warehouse.run_log().collect()) == ["new", "old"]
+
+
 def test_whole_run(spark, warehouse, settings, shop):
     pipeline.load_seed(warehouse)
     for _ in range(2):
