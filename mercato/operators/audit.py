@@ -78,6 +78,20 @@ def log_run(run: Run, version: Version, log_path: str, finished_at: str | None =
     sync_schema(entry, schema).coalesce(1).write.mode("overwrite").parquet(_folder(log_path, run.id))
 
 
+def append_run(
+    version: Version,
+    log_path: str,
+    model_name: str,
+    started_at: dt.datetime,
+    finished_at: dt.datetime | None = None,
+    run_by: str | None = None,
+    run_id: str | None = None,
+) -> None:
+    """Log a run in one step. Without an id it is a run of its own."""
+    spark = version.table.spark
+    log_run(start_run(spark, model_name, started_at, finished_at, run_by, run_id), version, log_path)
+
+
 def is_logged(spark: SparkSession, log_path: str, run_id: str) -> bool:
     try:
         return not spark.read.schema(RUN_LOG).parquet(_folder(log_path, run_id)).isEmpty()
@@ -104,7 +118,7 @@ def read_log(spark: SparkSession, log_path: str, with_run_id: bool = False) -> D
 
 
 def _folder(log_path: str, run_id: str) -> str:
-    return f"{log_path}/run-{hashlib.sha1(run_id.encode()).hexdigest()}"
+    return f"{log_path}/run={hashlib.sha1(run_id.encode()).hexdigest()}"
 
 
 def _iso(time: dt.datetime) -> str:

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Collection
+from collections.abc import Callable, Collection
 from functools import cache
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.config import Settings
@@ -85,6 +85,10 @@ def fct_orders(
     These steps rely on one row per order_id, customer_id, product_id and
     seller_id, which the quality suite checks.
 
+    Where items are shuffled to their orders anyway and no order is hot, the order's deadline is
+    taken from the same exchange, so that items are read and shuffled once. Otherwise deadlines are
+    reduced map-side in a scan of their own and joined at order grain.
+
     Parts that feed none of `columns` are left out of the plan.
     """
     want = set(columns)
@@ -116,11 +120,15 @@ def fct_orders(
         orders = orders.join(
             intermediate.order_payments_summary(src, few_orders), "order_id", "left"
         )
-    if want & set(SLA_METRICS):
+    items_size = src.size("order_items")
+    sla_of_items = bool(want & set(SLA_METRICS)) and not since and _one_exchange(src, orders, want, settings)
+    if want & set(SLA_METRICS) and not sla_of_items:
         orders = orders.join(intermediate.shipping_deadlines(src, few_orders), "order_id", "left")
-    orders = intermediate.with_delivery_metrics(orders, want)
+    of_order = want - set(SLA_METRICS) if sla_of_items else want
+    orders = intermediate.with_delivery_metrics(orders, of_order)
 
-    needed = want | {"order_id"} | ({"ordered_at"} if "order_date_key" in want else set())
+    needed = of_order | {"order_id"} | ({"ordered_at"} if "order_date_key" in want else set())
+    needed |= {"shipped_at"} if sla_of_items else set()
     orders = orders.select(*[c for c in orders.columns if c in needed])
 
     by_order = Lookup(orders, "order_id", how="inner", size=placed_size)
@@ -129,17 +137,21 @@ def fct_orders(
         if f"{name}_key" in want:
             known = ids.select(f"{name}_id", F.lit(True).alias(f"{name}_known"))
             lookups.append(Lookup(known, f"{name}_id", size=src.size(f"{name}s"), only_ids=True))
-    # A full build shuffles narrow item rows by seller and product before they
-    # get their order columns; an incremental one cuts the items down first.
-    lookups = [by_order, *lookups] if since else [*lookups, by_order]
 
     items, known_hot = staging.order_items(src), (src.hot_keys, "order_items")
-    by_order_fits = fits_broadcast(
-        placed_size, settings.broadcast_max_rows, orders, settings.broadcast_max_bytes
-    )
-    if few_orders is not None and not by_order_fits:
-        items, known_hot = only_keys_of(items, few_orders, "order_id"), None
-    items = enrich(items, lookups, settings, size=src.size("order_items"), known_hot=known_hot)
+    if sla_of_items:
+        items = enrich(items, lookups, settings, size=items_size, known_hot=known_hot)
+        items = items.withColumn(
+            "shipping_deadline", F.min("shipping_limit_at").over(Window.partitionBy("order_id"))
+        ).drop("shipping_limit_at")
+        items = intermediate.with_delivery_metrics(items.join(orders, "order_id"), want & set(SLA_METRICS))
+    else:
+        # A full build shuffles narrow item rows by seller and product before they
+        # get their order columns; an incremental one cuts the items down first.
+        lookups = [by_order, *lookups] if since else [*lookups, by_order]
+        if few_orders is not None and not _broadcasts(orders, placed_size, settings):
+            items, known_hot = only_keys_of(items, few_orders, "order_id"), None
+        items = enrich(items, lookups, settings, size=items_size, known_hot=known_hot)
     if "order_date_key" in want:
         items = _with_date_key(items, src, settings, "ordered_at", "order_date_key")
     # Keys are hashed last, so that their 32 characters are not shuffled.
@@ -152,6 +164,22 @@ def fct_orders(
     return items.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in columns])
 
 
+def _broadcasts(orders: DataFrame, size: Callable[[], int], settings: Settings) -> bool:
+    return fits_broadcast(size, settings.broadcast_max_rows, orders, settings.broadcast_max_bytes)
+
+
+def _one_exchange(src: Sources, orders: DataFrame, want: set[str], settings: Settings) -> bool:
+    """Whether the exchange that brings all items to their orders can give the deadlines too."""
+    kept = [c for c in orders.columns if c in want | {"order_id", "shipped_at"}]
+    if _broadcasts(orders.select(*kept), src.size("orders"), settings):
+        return False
+    rows = src.size("order_items")()
+    if rows < settings.hot_key_min_rows:
+        return True
+    asked = ["seller_id", "product_id", "order_id"]  # together, as the joins ask for them too
+    return "order_id" not in src.hot_keys.get("order_items", staging.order_items(src), asked, rows, settings)
+
+
 def fct_reviews(
     src: Sources, settings: Settings, columns: Collection[str] = tuple(FCT_REVIEWS_COLUMNS)
 ) -> DataFrame:

@@ -90,3 +90,48 @@ def test_items_are_shuffled_once_with_small_lookups(spark, stored, settings):
     assert text.count("SortMergeJoin") == 1
     assert text.count("BroadcastHashJoin") == 2
     assert text.count("Exchange hashpartitioning") == 2
+
+
+def exchanges_below(text, node):
+    """Exchanges between the first `node` of a plan and the scan under it."""
+    tree = text[text.index(node) :].splitlines()
+    own = tree[: next(i for i, line in enumerate(tree) if "FileScan" in line) + 1]
+    return [line for line in own if "Exchange hashpartitioning" in line]
+
+
+@pytest.fixture
+def no_broadcast(spark, settings):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield replace(settings, broadcast_max_rows=0, broadcast_max_ids=0)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_items_are_read_once_and_their_exchange_serves_the_deadlines(stored, no_broadcast):
+    """Every lookup is above the limits: items are shuffled once per lookup, and deadlines cost no more."""
+    df = facts.fct_orders(stored, no_broadcast)
+    text = plan(df)
+    assert len(scans(df, "order_items")) == 1
+    assert text.count("Window ") == 1
+    found = exchanges_below(text, "Window ")
+    assert ["order_id", "product_id", "seller_id"] == [re.search(r"hashpartitioning\((\w+)#", x)[1] for x in found]
+    # between the window and the join with the orders there is no further exchange or sort
+    above = text[: text.index("Window ")].splitlines()[-3:]
+    assert any("SortMergeJoin [order_id" in line for line in above)
+    assert not any("Exchange" in line or "Sort [" in line for line in above)
+
+
+def test_deadlines_of_hot_orders_are_reduced_first(stored, no_broadcast):
+    """A hot order's items are salted for the join, so they never meet in one window."""
+    df = facts.fct_orders(stored, replace(no_broadcast, hot_key_min_rows=2, hot_key_share=0.0))
+    text = plan(df)
+    assert "Window " not in text and "partial_min(shipping_limit" in text
+
+
+@pytest.mark.parametrize("columns", [facts.FCT_ORDERS_COLUMNS, ["order_id", "price", "is_seller_sla_breach"]])
+def test_both_ways_to_the_deadlines_agree(stored, settings, columns):
+    def content(s):
+        return sorted(map(str, facts.fct_orders(stored, s, columns=columns).collect()))
+
+    one_exchange = content(replace(settings, broadcast_max_rows=10))
+    assert one_exchange == content(settings)  # orders are broadcast
+    assert one_exchange == content(replace(settings, broadcast_max_rows=10, hot_key_min_rows=2, hot_key_share=0.0))
