@@ -6,6 +6,7 @@ import datetime as dt
 import importlib.util
 import os
 import sys
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -28,6 +29,7 @@ from mercato.operators.snapshot import history_table  # noqa: E402
 from mercato.operators.upsert import upsert  # noqa: E402
 from mercato.plans import dimensions, facts, intermediate, kpis, pipeline, staging  # noqa: E402
 from mercato.session import work_dir  # noqa: E402
+from mercato.sources.bucketed import write_bucketed  # noqa: E402
 from mercato.sources.driver_tables import driver_sources  # noqa: E402
 from mercato.sources.published import PublishedTable  # noqa: E402
 from mercato.sources.seeds import exchange_rates  # noqa: E402
@@ -191,6 +193,13 @@ def _built_warehouse(spark: SparkSession, sf_dir: str) -> tuple[Sources, pipelin
     return src, warehouse
 
 
+def _orders_joined_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide frame over tables in buckets, no lookup being small enough to broadcast."""
+    prefix = f"mercato_{uuid.uuid4().hex}"
+    src = write_bucketed(driver_sources(spark, sf_dir), work_dir(spark, "buckets"), prefix, 16)
+    return intermediate.orders_joined(src, Settings(broadcast_max_rows=0))
+
+
 def _seed_csv(spark: SparkSession) -> str:
     """The rates as a CSV file with a header, as a user would keep them on shared storage."""
     path = work_dir(spark, "seed")
@@ -295,6 +304,7 @@ def queries() -> dict[str, Query]:
         **{name: _on_sources(model) for name, model in staging.MODELS.items()},
         "order_payments_summary": _on_sources(intermediate.order_payments_summary),
         "delivery_performance": _on_sources(intermediate.delivery_performance),
+        "orders_joined_bucketed": _orders_joined_bucketed,
         "orders_joined": _on_sources(lambda src: intermediate.orders_joined(src, SETTINGS)),
         "fanout_guard": _on_sources(intermediate.fan_out_report),
         "dim_customers": _on_sources(dimensions.dim_customers),

@@ -14,6 +14,7 @@ from mercato.sources.published import PublishedTable, Version
 
 HISTORY_PARTITION = "state"
 CURRENT, CLOSED = "current", "closed"
+MERGED_RUNS = 8
 
 
 def history_table(spark, path: str) -> PublishedTable:
@@ -30,8 +31,9 @@ def snapshot(
     at `now`. Otherwise the open version stays as it is, other columns included.
     Keys missing from the source stay open.
 
-    Open versions are joined with the source once. Ended versions are never read
-    again: a run adds the newly ended ones beside them.
+    Open versions are joined with the source once. Ended versions aren't read by a run, which
+    adds the newly ended ones beside them; now and then those of several runs are merged, so that
+    after n runs they lie in no more than about `MERGED_RUNS` * log(n) folders.
     """
     require_unique(source, key)
     at = ntz(now)
@@ -71,4 +73,5 @@ def snapshot(
         HISTORY_PARTITION, F.when(F.col("valid_to").isNull(), CURRENT).otherwise(CLOSED)
     )
     staged = table.stage(versions)
-    return table.commit(base, [staged], staged.schema, keep=[CLOSED])
+    version = table.commit(base, [staged], staged.schema, keep=[CLOSED])
+    return table.merge(MERGED_RUNS) or version

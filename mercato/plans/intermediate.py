@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from mercato.config import Settings
 from mercato.functions import day_diff, from_micros, micros
-from mercato.operators.joins import Lookup, enrich, only_keys_of
+from mercato.operators.joins import Lookup, enrich, fits_broadcast, only_keys_of
 from mercato.plans import staging
+from mercato.sources.bucketed import listing_id
 from mercato.sources.raw import Sources
 
 # Payment type -> the summary column holding its amount. Other types count
@@ -182,7 +183,9 @@ def orders_joined(
     """The wide order-item frame. Every item is kept, also without order, product or seller.
 
     Order columns are put together at order grain and product columns at product
-    grain, so the items are shuffled at most once per lookup.
+    grain, so the items are shuffled at most once per lookup. Where the sources know their listings,
+    sellers and products too large to broadcast are joined at listing grain and cost one shuffle
+    together; items in buckets of the order id meet their order without any.
     """
     want = set(columns)
     lookups = []
@@ -206,9 +209,17 @@ def orders_joined(
         lookups.append(
             Lookup(orders.select("order_id", *of_order), "order_id", size=src.size("orders"))
         )
+    items = staging.order_items(src)
+    if of_seller and of_product and src.listings is not None and not any(_is_small(x, settings) for x in lookups[:2]):
+        of_listing = enrich(src.listings, lookups[:2], settings, size=src.size("listings"))
+        by_listing = Lookup(
+            of_listing.select("listing", *of_seller, *of_product), "listing", size=src.size("listings")
+        )
+        items = items.withColumn("listing", listing_id())
+        lookups = [*lookups[2:], by_listing]
     total = F.col("price") + F.col("freight_value")
     items = enrich(
-        staging.order_items(src),
+        items,
         lookups,
         settings,
         size=src.size("order_items"),
@@ -219,6 +230,10 @@ def orders_joined(
     )
 
 
+def _is_small(lookup: Lookup, settings: Settings) -> bool:
+    return fits_broadcast(lookup.size, settings.broadcast_max_rows, lookup.frame, settings.broadcast_max_bytes)
+
+
 def fan_out_report(src: Sources) -> DataFrame:
     """What joining payments to items does to rows and money, with and without the summary.
 

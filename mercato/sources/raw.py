@@ -27,10 +27,14 @@ RAW_NAMES = {
 
 
 class Sources:
-    """The raw tables, as lazy DataFrames. A table is opened when it is first asked for."""
+    """The raw tables, as lazy DataFrames. A table is opened when it is first asked for.
 
-    def __init__(self, load: Callable[[str], DataFrame]):
+    `listings`, if known, holds all pairs of product and seller that items name (see `bucketed`).
+    """
+
+    def __init__(self, load: Callable[[str], DataFrame], listings: DataFrame | None = None):
         self._load = load
+        self.listings = listings
         self._counts: dict[str, int] = {}
         self.hot_keys = KnownHotKeys()
 
@@ -56,7 +60,8 @@ class Sources:
 
     def replace(self, **frames: DataFrame) -> Sources:
         """The same sources with some tables exchanged."""
-        return Sources(lambda table: frames[table] if table in frames else getattr(self, table))
+        listings = None if "order_items" in frames else self.listings
+        return Sources(lambda table: frames[table] if table in frames else getattr(self, table), listings)
 
 
 def conform(df: DataFrame, schema: T.StructType, name: str) -> DataFrame:

@@ -327,6 +327,7 @@ _QUERIES = {
     ),
     "incremental_upsert_orders": "from upserted",
     "incremental_upsert_large_batch": "from upserted",
+    "orders_joined_bucketed": "from orders_joined",
     "schema_sync": """
     with late as (from order_payments_summary where max_installments >= 4)
     select * from late

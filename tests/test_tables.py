@@ -384,6 +384,47 @@ def test_history_invariants(spark, tmp_path):
     assert following.count() == 0
 
 
+def test_folders_of_ended_versions_are_merged(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("mercato.operators.snapshot.MERGED_RUNS", 3)
+    table, plain = (history_table(spark, str(tmp_path / n)) for n in ("merged", "plain"))
+    early = None
+    for n in range(10):
+        now = T1 + dt.timedelta(days=n)
+        got = take(spark, table, now, ("a", str(n), "S", "1"), ("b", str(n // 4), "S", "1"))
+        monkeypatch.setattr("mercato.operators.snapshot.MERGED_RUNS", 10**9)
+        assert take(spark, plain, now, ("a", str(n), "S", "1"), ("b", str(n // 4), "S", "1")) == got
+        monkeypatch.setattr("mercato.operators.snapshot.MERGED_RUNS", 3)
+        if n == 4:
+            early = table.latest()
+            before = rows(early.read())
+    closed = [f for f in table.latest().folders if f["partition"] == "closed"]
+    assert len(closed) <= 2 * 3 < len([f for f in plain.latest().folders if f["partition"] == "closed"])
+    assert rows(early.read()) == before  # an older version reads its own folders
+
+
+def test_merged_folders_after_many_writes(spark, table):
+    """50 writes beside each other; each row is rewritten once per level."""
+    version = None
+    for n in range(50):
+        staged = table.stage(frame(spark, (f"k{n}", n, "closed")).coalesce(1))
+        version = table.commit(version, [staged], staged.schema, keep=["closed"], run={"n": n})
+        version = table.merge(4)
+        assert version.run == {"n": n}
+        assert len(version.folders) <= 3 * 3 + 1
+    assert rows(version.read()) == rows(frame(spark, *[(f"k{n}", n, "closed") for n in range(50)]).drop("part"))
+    assert max(f.get("level", 0) for f in version.folders) == 2
+    assert table.merge(4).number == version.number  # nothing to do
+
+
+def test_merged_folders_of_unlike_columns(spark, table):
+    first = table.replace(frame(spark, ("a", 1, "x")))
+    wide = table.stage(frame(spark, ("b", 2, 0.5, "x"), schema="k string, v int, w double, part string"))
+    table.commit(first, [wide], wide.schema, keep=["x"])
+    merged = table.merge(2)
+    assert len(merged.folders) == 1
+    assert rows(merged.read()) == [("a", 1, None), ("b", 2, 0.5)]
+
+
 def test_history_refuses_duplicate_sellers(spark, tmp_path):
     with pytest.raises(DuplicateKeyError):
         take(spark, history_table(spark, str(tmp_path / "h")), T1, ("a", "x", "S", "1"), ("a", "y", "S", "1"))
