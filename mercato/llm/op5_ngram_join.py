@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm.common import id_text, salted_lookup, stored, table, whole_text
+from mercato.llm.common import salted_lookup, stored, table, whole_text
 from mercato.llm.components import components
 from mercato.llm.shingles import MinHash, bands_for, hash_words, shingles, text_groups
 
@@ -40,7 +40,8 @@ class Join:
     threshold: float = 0.8
     recall: float = 0.999  # of pairs exactly at the threshold; others are found more surely
     block_rows: int = 400
-    broadcast_ids: int = 1_000_000  # ids of texts to be compared are broadcast up to this number
+    block_grams: int = 1_000_000  # of a block's sets together, on average
+    broadcast_ids: int = 1_000_000  # 16-byte names of rows are broadcast up to this number
 
 
 def set_key(grams: np.ndarray) -> str:
@@ -92,6 +93,11 @@ def text_digest() -> Column:
     return F.md5(whole_text())
 
 
+def row_name(doc_id: Column, digest: Column) -> Column:
+    """16 bytes that name the rows of an id and a text."""
+    return F.unhex(F.md5(F.concat_ws("|", digest, F.coalesce(doc_id.cast("string"), F.lit("")), doc_id.isNull().cast("string"))))
+
+
 def common_counts(sets: list[np.ndarray]) -> np.ndarray:
     """Sizes of all pairwise intersections of sorted sets."""
     n = len(sets)
@@ -156,13 +162,14 @@ GROUP = ["band", "hash", "low", "high"]
 def _compare(join: Join):
     """Rows sorted by group to (key, links, root) of the classes that have links there."""
 
-    def group(rows: list[tuple]) -> Iterator[tuple]:
+    def group(name: tuple | None, rows: list[tuple]) -> Iterator[tuple]:
+        if name is None or (name[2] != name[3] and len({r[2] for r in rows}) == 1):
+            return  # of two blocks one is empty; pairs within the other are compared on their own
         rows.sort(key=lambda r: r[0])
         kept, sets = [], []
         for row, grams in zip(rows, sets_of(pa.array([r[4] for r in rows], pa.string()), join.words), strict=True):
             key = row[0]
-            # An id that several texts share brings all of them; the key says which is meant.
-            if set_key(grams) == key and not (kept and kept[-1][0] == key):
+            if not (kept and kept[-1][0] == key):
                 kept.append(row)
                 sets.append(grams)
         if len(kept) < 2:
@@ -177,18 +184,20 @@ def _compare(join: Join):
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, rows = None, []
-        for part in parts:
-            out: list[tuple] = []
-            groups = zip(*(part.column(c).to_pylist() for c in GROUP), strict=True)
-            columns = [part.column(c).to_pylist() for c in ("key", "bands", "own", "copies", "text", "band")]
-            for name, row in zip(groups, zip(*columns, strict=True), strict=True):
-                if name != current:
-                    out += group(rows)
-                    current, rows = name, []
-                rows.append(row)
-            if out:
-                yield _linked(out)
-        if out := list(group(rows)):
+        for whole in parts:
+            for some, texts in text_groups(whole.column("text")):
+                part = whole.slice(some.start, some.stop - some.start)
+                out: list[tuple] = []
+                groups = zip(*(part.column(c).to_pylist() for c in GROUP), strict=True)
+                columns = [part.column(c).to_pylist() for c in ("key", "bands", "own", "copies")]
+                for name, row in zip(groups, zip(*columns, texts, part.column("band").to_pylist(), strict=True), strict=True):
+                    if name != current:
+                        out += group(current, rows)
+                        current, rows = name, []
+                    rows.append(row)
+                if out:
+                    yield _linked(out)
+        if out := list(group(current, rows)):
             yield _linked(out)
 
     return run
@@ -217,22 +226,30 @@ def near_duplicates(docs: DataFrame, join: Join | None = None) -> DataFrame:
         .agg(
             F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")).alias("first"),
             F.count("*").alias("copies"),
+            F.any_value("n_grams").alias("n_grams"),
             F.any_value("bands").alias("bands"),
         ),
         "classes",
     )
-    placed = classes.select("key", "first", "copies", "bands", F.posexplode("bands").alias("band", "hash"))
+    placed = classes.select("key", "first", "copies", "n_grams", "bands", F.posexplode("bands").alias("band", "hash"))
     buckets = (
         placed.groupBy("band", "hash")
         .agg(
             F.count("*").alias("n"),
+            F.sum("n_grams").alias("grams"),
             F.bit_xor(F.xxhash64("key")).alias("x"),
             F.bit_xor(F.xxhash64(F.lit("member"), "key")).alias("y"),
         )
         .filter("n > 1")
         .groupBy("n", "x", "y")  # the same members: one bucket will do
-        .agg(F.min(F.struct("band", "hash")).alias("first"))
-        .select("first.band", "first.hash", F.ceil(F.col("n") / join.block_rows).cast("int").alias("blocks"))
+        .agg(F.min(F.struct("band", "hash")).alias("first"), F.max("grams").alias("grams"))
+        .select(
+            "first.band",
+            "first.hash",
+            F.greatest(F.ceil(F.col("n") / join.block_rows), F.ceil(F.col("grams") / join.block_grams))
+            .cast("int")
+            .alias("blocks"),
+        )
     )
     block = F.pmod(F.xxhash64(F.lit("block"), "key"), F.col("blocks")).cast("int")
     members = stored(
@@ -240,17 +257,20 @@ def near_duplicates(docs: DataFrame, join: Join | None = None) -> DataFrame:
         .withColumn("own", block)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
-        .select(*GROUP, "own", "key", "bands", "copies", id_text("first.doc_id").alias("_doc")),
+        .select(*GROUP, "own", "key", "bands", "copies", row_name(F.col("first.doc_id"), F.col("first.digest")).alias("_row")),
         "members",
     )
-    asked = members.select("_doc").distinct()
+    asked = members.select("_row").distinct()
     few = asked.count() <= join.broadcast_ids
+    # Rows that repeat an id and a text bring it once.
     texts = (
-        docs.select(id_text("doc_id").alias("_doc"), "text")
-        .join(F.broadcast(asked) if few else asked, "_doc", "left_semi")
+        docs.select(row_name(F.col("doc_id"), text_digest()).alias("_row"), "text")
+        .join(F.broadcast(asked) if few else asked, "_row", "left_semi")
+        .groupBy("_row")
+        .agg(F.any_value("text").alias("text"))
     )
     linked = stored(
-        members.join(texts, "_doc")
+        members.join(texts, "_row")
         .select(*GROUP, "own", "key", "bands", "copies", "text")
         .repartition(*GROUP)
         .sortWithinPartitions(*GROUP)
@@ -276,7 +296,7 @@ def near_duplicates(docs: DataFrame, join: Join | None = None) -> DataFrame:
     )
     rows = signed.select("doc_id", "digest", "key", "n_grams")
     alone = F.col("_copies").isNull()
-    return salted_lookup(rows, known, "key", F.col("doc_id")).select(
+    return salted_lookup(rows, known, "key", F.struct("doc_id", "digest")).select(
         "doc_id",
         "digest",
         F.when(alone, F.col("doc_id")).otherwise(F.col("_class.doc_id")).alias("class_id"),
@@ -300,21 +320,22 @@ def one_of_each_class(docs: DataFrame, join: Join | None = None) -> DataFrame:
     join = join or Join()
     found = stored(near_duplicates(docs.select("doc_id", "text"), join), "near")
     first = F.expr("doc_id <=> class_id and digest = first_digest")
-    row_key = [id_text("doc_id").alias("_doc"), F.col("digest").alias("_digest")]
-    gone = found.filter(~first).select(*row_key).distinct()
-    repeated = found.filter(first & (F.col("n_equal") > 1)).select(*row_key).groupBy("_doc", "_digest").count()
-    repeated = repeated.filter("count > 1").drop("count")
-    keyed = docs.withColumns({"_doc": id_text("doc_id"), "_digest": text_digest()})
+    name = row_name(F.col("doc_id"), F.col("digest")).alias("_name")
+    gone = found.filter(~first).select(name).distinct()
+    repeated = found.filter(first & (F.col("n_equal") > 1)).select(name).groupBy("_name").count()
+    repeated = repeated.filter("count > 1").select("_name")
+    # The row is kept in one column, so that its columns may have any names.
+    keyed = docs.select(F.struct("*").alias("_row"), row_name(F.col("doc_id"), text_digest()).alias("_name"))
 
     def by_row(rows: DataFrame, how: str) -> DataFrame:
         few = rows.count() <= join.broadcast_ids
-        return keyed.join(F.broadcast(rows) if few else rows, ["_doc", "_digest"], how)
+        return keyed.join(F.broadcast(rows) if few else rows, "_name", how)
 
     keyed = by_row(gone, "left_anti")
     if not repeated.isEmpty():
-        rows = by_row(repeated, "left_semi").dropDuplicates(["_doc", "_digest"])
+        rows = by_row(repeated, "left_semi").groupBy("_name").agg(F.any_value("_row").alias("_row"))
         keyed = by_row(repeated, "left_anti").unionByName(rows)
-    return keyed.drop("_doc", "_digest")
+    return keyed.select("_row.*")
 
 
 # All pairs that share an n-gram, and the closure of their links.

@@ -115,3 +115,28 @@ def test_components(spark):
     found = dict(map(tuple, components(spark.createDataFrame(chain, "a string, b string")).collect()))
     assert {found[f"{i:03}"] for i in range(61)} == {"000"}
     assert found["x"] == found["y"] == "x" and found["r"] == "p" and "z" not in found
+
+
+def test_a_third_of_the_rows_without_an_id(spark):
+    """They are told apart by their texts, so none meets the others' texts."""
+    rows = []
+    for g in range(40):
+        words = [f"w{g}x{i}" for i in range(40)]
+        for copy in range(3):
+            own = words[: 38 + copy]
+            rows.append((None if copy == 0 or g % 5 == 0 else 100 * g + copy, " ".join(own)))
+    rows += [(None, "one text of six plain words")] * 20 + [(7, None), (None, ""), (7, "lonely words")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert got(near_duplicates(docs, Join(recall=0.99999))) == brute(rows)
+    small = Join(recall=0.99999, block_grams=50)  # blocks by the sets' sizes
+    assert got(near_duplicates(docs, small)) == brute(rows)
+
+
+def test_other_columns_pass_whatever_their_names(spark):
+    names = ["_doc", "_digest", "_row", "_name", "digest", "key", "class_id"]
+    rows = [(i // 2, f"the same {i // 4} words for four of them", *[f"{n}{i}" for n in names]) for i in range(16)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, " + ", ".join(f"{n} string" for n in names))
+    out = one_of_each_class(docs)
+    assert out.columns == docs.columns
+    assert sorted(r["doc_id"] for r in out.collect()) == [0, 2, 4, 6]
+    assert {tuple(r) for r in out.collect()} <= set(rows)
