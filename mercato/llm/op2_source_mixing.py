@@ -5,7 +5,8 @@ are) and normalised. The exponent is found by section on a grid: the largest who
 the wanted entropy, but none so small that a source would be repeated more often than allowed. Each
 step is one small aggregation over the table of sources, which may be of any size.
 
-The weights are then realised as token budgets. A source's documents have a fixed random order (by a
+The weights are then realised as token budgets, to the nearest token; they are doubles, shown in whole
+billionths. A source's documents have a fixed random order (by a
 hash). Its budget takes whole passes over them and, of the last pass, documents while the tokens before
 them are below what is left. With `whole`, the largest source's budget is what it has and no other's is
 less, so every document is read however small its source's weight is. The stream is cut into blocks of about `block_tokens` tokens, each with
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from mercato.llm.common import hex_number, id_text, salted_lookup, stored, table, whole_text
 
 GRID = 2**20  # the exponent is a multiple of 1 / GRID
-BILLION = 1_000_000_000  # weights are whole billionths
+BILLION = 1_000_000_000  # weights are shown in whole billionths
 PLACES = 2**48
 
 
@@ -138,17 +139,17 @@ def weighted_sources(rows: DataFrame, mix: Mix) -> DataFrame:
     budget = tokens if mix.budget is None else mix.budget
     k = exponent(sources, count, budget, mix)
     z = _measures(sources, [k], budget, mix)[k][0]
-    weight = F.round(F.pow("_share", F.lit(k / GRID)) / z * float(BILLION)).cast("bigint")
-    weighted = sources.withColumn("weight", F.when(F.col("_total") > 0, weight).otherwise(0))
+    exact = F.when(F.col("_total") > 0, F.pow("_share", F.lit(k / GRID)) / z).otherwise(0.0)
+    weighted = sources.withColumn("weight", F.round(exact * float(BILLION)).cast("bigint"))
     if mix.whole:
-        # The largest source is read once; how often another is follows from its size, whatever its rounded weight.
+        # The largest source is read once; how often another is follows from its size.
         largest = totals.agg(F.max("_total")).first()[0]
         reads = F.pow(F.lit(float(largest)) / F.col("_total"), F.lit(1 - k / GRID))
         more = F.floor(reads * F.col("_total")).cast("bigint")
         quota = F.when(F.col("_total") > 0, F.greatest(more, F.col("_total"))).otherwise(F.lit(0).cast("bigint"))
     else:
-        quota = F.expr(f"cast({budget} as decimal(20,0)) * cast(weight as decimal(11,0)) div {BILLION}")
-    return stored(weighted.drop("_share").withColumn("quota", quota), "weights")
+        quota = F.round(exact * float(budget)).cast("bigint")
+    return stored(weighted.withColumn("quota", quota).drop("_share"), "weights")
 
 
 def _with_before(rows: DataFrame, sources: DataFrame, mix: Mix) -> DataFrame:
@@ -208,9 +209,10 @@ def schedule(rows: DataFrame, sources: DataFrame, mix: Mix) -> DataFrame:
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     position = "cast(cast(epoch as decimal(10,0)) * cast(_total as decimal(18,0)) + _before as decimal(28,0))"
+    # Documents of sources without a budget are spread by their hash.
     block = F.when(
         F.col("quota") > 0, F.expr(f"{position} * cast({blocks} as decimal(10,0)) div cast(quota as decimal(20,0))")
-    ).otherwise(0)
+    ).otherwise(F.expr(f"cast(_place as decimal(16,0)) * cast({blocks} as decimal(10,0)) div {PLACES}"))
     return (
         placed.withColumn("_passes", passes)
         .filter("_passes > 0")
@@ -225,7 +227,9 @@ def schedule(rows: DataFrame, sources: DataFrame, mix: Mix) -> DataFrame:
 
 def mixed(docs: DataFrame, mix: Mix, doc_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """`docs`, each row as often as the mixture reads it (repeated or left out), columns as before."""
-    rows = prepared(docs, doc_id, source, text, mix)
+    # The row is kept in one column, so that its columns may have any names.
+    asked = (F.col(f"`{c}`").alias(name) for c, name in ((doc_id, "doc_id"), (source, "source"), (text, "text")))
+    rows = prepared(docs.select(F.struct("*").alias("_row"), *asked), "doc_id", "source", "text", mix)
     keys = rows.select("_id", "_source", "_tokens", "_place")
     sources = weighted_sources(keys, mix)
     last = (
@@ -239,7 +243,7 @@ def mixed(docs: DataFrame, mix: Mix, doc_id: str = "doc_id", source: str = "sour
     return (
         _look_up(rows, reads, mix)
         .withColumn("_copy", F.explode(F.array_repeat(F.lit(0), times.cast("int"))))
-        .select(*(F.col(f"`{c}`") for c in docs.columns))
+        .select("_row.*")
     )
 
 
@@ -290,9 +294,9 @@ def _oracle(mix: Mix) -> str:
     chosen as (select greatest(0, (select min(high) from poorer) - 1, (select min(high) from rarer)) k),
     powers as (select source, total, budget, case when total > 0
         then pow(total / budget::double, k / {float(GRID)}) else 0 end w from totals, lists, chosen),
-    weights as (select source, total, budget, round(w / (select sum(w) from powers) * {float(BILLION)})::bigint weight
-      from powers),
-    quotas as (select source, total, weight, (budget::hugeint * weight // {BILLION})::bigint quota from weights),
+    weights as (select source, total, budget, w / (select sum(w) from powers) exact from powers),
+    quotas as (select source, total, round(exact * {float(BILLION)})::bigint weight,
+      round(exact * budget::double)::bigint quota from weights),
     ordered as (select r.*, total, weight, quota, coalesce(sum(n_tokens) over (partition by r.source
         order by place, doc_id, n_tokens rows between unbounded preceding and 1 preceding), 0)::bigint before
       from rows r join quotas q on r.source is not distinct from q.source),
@@ -300,7 +304,8 @@ def _oracle(mix: Mix) -> str:
       + case when total > 0 and before < quota % total then 1 else 0 end passes from ordered),
     copies as (select *, unnest(range(passes::bigint)) epoch from passes),
     blocked as (select *, least(n_blocks - 1, case when quota > 0
-        then ((epoch::hugeint * total + before) * n_blocks // quota)::bigint else 0 end) block
+        then ((epoch::hugeint * total + before) * n_blocks // quota)::bigint
+        else (place::hugeint * n_blocks // {PLACES})::bigint end) block
       from copies, (select greatest(1, round(sum(quota) / {mix.block_tokens}))::bigint n_blocks from quotas))
   select doc_id, source, n_tokens::bigint n_tokens, weight, epoch::bigint epoch, block::bigint block,
     row_number() over (partition by block order by md5('block{mix.seed}|' || block || '|' || epoch || '|' || place),

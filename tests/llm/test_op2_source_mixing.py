@@ -144,3 +144,39 @@ def test_whole_reads_the_smallest_sources(spark):
     assert all(sizes[s] <= quota[s] <= 2 * sizes[s] for s in sizes)
     read = Counter(r["_source"] for r in schedule(rows, sources, mix).collect())
     assert set(read) == set(sizes) and read["huge"] == 1 and max(read.values()) <= 2
+
+
+def test_a_tiny_source_keeps_its_documents(spark):
+    """5 tokens beside 3e10: its weight rounds to nothing in billionths, its budget doesn't."""
+    rows = spark.createDataFrame(
+        [("s1", "sbig", 3 * 10**10, 5), ("s2", "ssmall", 5, 7), ("s3", "snone", 0, 9)],
+        "_id string, _source string, _tokens bigint, _place bigint",
+    )
+    for mix in (Mix(max_repeats=1.0), Mix(entropy=None, max_repeats=1.0), Mix(whole=True), Mix()):
+        sources = weighted_sources(rows, mix)
+        quotas = {r["_source"]: r["quota"] for r in sources.collect()}
+        assert quotas["ssmall"] >= 5 and quotas["snone"] == 0
+        got = {r["_id"] for r in schedule(rows, sources, mix).select("_id").distinct().collect()}
+        assert got == {"s1", "s2", "s3"}
+
+
+def test_documents_without_tokens_are_spread_over_the_blocks(spark):
+    rows = [(i, "full", "a b c d e") for i in range(200)] + [(1000 + i, "none", "" if i % 2 else None) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    mix = Mix(entropy=None, max_repeats=None, block_tokens=100)
+    prepared_rows = prepared(docs, "doc_id", "source", "text", mix).select("_id", "_source", "_tokens", "_place")
+    plan = schedule(prepared_rows, weighted_sources(prepared_rows, mix), mix).filter("_tokens = 0").collect()
+    assert len(plan) == 200
+    blocks = Counter(r["block"] for r in plan)
+    assert len(blocks) == 10 and max(blocks.values()) < 50
+
+
+def test_other_columns_pass_whatever_their_names(spark):
+    names = ["_id", "_source", "_tokens", "_place", "_total", "_full", "_last", "_copy", "_row", "quota", "weight"]
+    docs = spark.createDataFrame(
+        [(i, "a" if i % 3 else "b", f"w {i}", *[f"{n}{i}" for n in names]) for i in range(30)],
+        "doc_id bigint, source string, text string, " + ", ".join(f"{n} string" for n in names),
+    )
+    out = mixed(docs, Mix(entropy=None, max_repeats=2.0, whole=True))
+    assert out.columns == docs.columns
+    assert {tuple(r) for r in out.collect()} == {tuple(r) for r in docs.collect()}
