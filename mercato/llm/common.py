@@ -43,6 +43,14 @@ def hex_number(digest: Column, start: int, digits: int) -> Column:
     return F.conv(F.substring(digest, start, digits), 16, 10).cast("bigint")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, with underscores before it until `df` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def ddl(df: DataFrame, added: str) -> str:
     """The schema of `df` and further columns, as text."""
     return ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields), added])

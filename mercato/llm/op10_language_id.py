@@ -7,13 +7,15 @@ language that lacks a known feature gets a penalty. A text's score for a languag
 its words; the prediction is the best language (of equal ones the first in alphabetical order).
 
 The model is fitted on a bounded sample of the labelled training rows: about
-`Fit.docs_per_language` documents of each language, chosen by a hash of their id, and keeps
-`Fit.words` words and `Fit.grams` n-grams per length and language. So it can be collected and sent
-to the tasks whatever the size of the corpus. Prediction covers every whole text in one pass
+`Fit.docs_per_language` documents of each language (at least one), chosen by a hash of id and text, and
+keeps the `Fit.words` most frequent words and `Fit.grams` n-grams per length and language. So it can be
+collected and sent to the tasks whatever the size of the corpus; there it is one array per kind of
+feature. Prediction covers every whole text in one pass
 without a shuffle.
 
 A NULL text or one without a letter gives `und` with score 0, as does a model without languages.
-Documents without language take no part in training. The score is the share of the best language
+Documents without language take no part in training; rows that repeat id, text and language
+count once in it. The score is the share of the best language
 when mean scores are read as log10 likelihoods of a word. Repeated rows are each predicted.
 """
 
@@ -21,7 +23,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -56,12 +58,32 @@ def grams_in(word: str, n: int) -> list[str]:
     return [padded[i : i + n] for i in range(len(padded) - n + 1)]
 
 
+class Table(Mapping):
+    """Features with their scores by language, as rows of one array."""
+
+    def __init__(self, features: list[str], scores: np.ndarray):
+        self.row = {f: i for i, f in enumerate(features)}
+        self.scores = scores
+
+    def __getitem__(self, feature: str) -> np.ndarray:
+        return self.scores[self.row[feature]]
+
+    def __contains__(self, feature) -> bool:
+        return feature in self.row
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.row)
+
+    def __len__(self) -> int:
+        return len(self.row)
+
+
 @dataclass(frozen=True)
 class Model:
     """`tables[0]` holds words, `tables[n]` n-grams; each maps a feature to its scores by language."""
 
     languages: tuple[str, ...]
-    tables: tuple[dict[str, np.ndarray], ...]
+    tables: tuple[Mapping[str, np.ndarray], ...]
 
     def score(self, word: str) -> np.ndarray:
         """Scores of a word that isn't in the word table."""
@@ -141,17 +163,25 @@ def _features(fit: Fit):
     return count, "lang string, n int, feature string, count bigint"
 
 
+def sample_share(docs_per_language: int, rows: int) -> float:
+    """The share of a language's rows that are wanted."""
+    return min(1.0, docs_per_language / max(1, rows))
+
+
 def sample_of(labelled: DataFrame, fit: Fit) -> DataFrame:
-    """About `docs_per_language` rows of each language (all, if fewer), by a hash of their id."""
-    buckets = 1_000_000
-    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    """About `docs_per_language` rows of each language (all, if fewer), by a hash of id and text.
+
+    A language's row with the smallest hash is always taken, so none is lost whatever its ids and size.
+    """
+    half = F.lit(2.0**63)
+    place = (F.xxhash64(F.lit("language sample"), "doc_id", "text") + half) / (2 * half)  # from 0 to 1
+    sizes = labelled.groupBy("lang").agg(F.count("*").alias("n"), F.min(place).alias("least")).collect()
     if not sizes:
         return labelled
-    least = F.create_map(
-        *(F.lit(x) for lang, n in sizes.items() for x in (lang, min(buckets, fit.docs_per_language * buckets // n)))
+    most = F.create_map(
+        *(F.lit(x) for r in sizes for x in (r["lang"], max(r["least"], sample_share(fit.docs_per_language, r["n"]))))
     )
-    place = F.pmod(F.xxhash64(F.lit("language sample"), "doc_id"), F.lit(buckets))
-    return labelled.filter(place < F.element_at(least, F.col("lang")))
+    return labelled.filter(place <= F.element_at(most, F.col("lang"))).dropDuplicates(["doc_id", "text", "lang"])
 
 
 def train(labelled: DataFrame, fit: Fit | None = None) -> Model:
@@ -175,17 +205,16 @@ def train(labelled: DataFrame, fit: Fit | None = None) -> Model:
     totals: Counter = Counter()
     for r in rows:
         totals[r["lang"], r["n"]] += r["count"]
-    tables: tuple[dict[str, np.ndarray], ...] = tuple({} for _ in range(fit.longest + 1))
-    missing = [
-        np.array([math.log10(1 / max(1, totals[lang, n])) + fit.penalty for lang in languages])
-        for n in range(fit.longest + 1)
-    ]
-    for r in sorted(rows, key=lambda r: (r["n"], r["feature"], r["lang"])):
-        own = tables[r["n"]]
-        if r["feature"] not in own:
-            own[r["feature"]] = missing[r["n"]].copy()
-        own[r["feature"]][number[r["lang"]]] = math.log10(r["count"] / totals[r["lang"], r["n"]])
-    return Model(languages, tables)
+    tables = []
+    for n in range(fit.longest + 1):
+        own = sorted((r for r in rows if r["n"] == n), key=lambda r: r["feature"])
+        features = sorted({r["feature"] for r in own})
+        missing = [math.log10(1 / max(1, totals[lang, n])) + fit.penalty for lang in languages]
+        scores = Table(features, np.tile(np.array(missing, dtype=np.float64), (len(features), 1)))
+        for r in own:
+            scores[r["feature"]][number[r["lang"]]] = math.log10(r["count"] / totals[r["lang"], n])
+        tables.append(scores)
+    return Model(languages, tuple(tables))
 
 
 def identify(
