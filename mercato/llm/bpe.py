@@ -22,6 +22,11 @@ WORD_END = "</w>"
 # Up to here all versions of Unicode agree.
 BEYOND = regex.compile("[^\x00-\u052f]")
 NOT_LATIN = re.compile("[^\x00-\xff]")
+# Beyond that, texts are composed by the tokenizers library's own version.
+COMPOSED = normalizers.NFC()
+# What a Python worker keeps of pairs and of words that it has met: about 20 and 50 MB.
+KEPT_PAIRS = 100_000
+KEPT_WORDS = 200_000
 
 
 def byte_letters() -> list[str]:
@@ -94,6 +99,7 @@ class Vocabulary:
             self.offsets.append(self.offsets[-1] + len(pieces[-1]))
         self.bytes = b"".join(pieces)
         self.decoded = [self.token_bytes(i) for i in range(len(self.offsets) - 1)]
+        self.names = list(map(str, range(len(self.decoded))))
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         # White space by its Unicode property, as the tokenizer's own patterns have it.
         self.pattern = split.replace(r"\s", r"\p{White_Space}")
@@ -124,7 +130,7 @@ class Vocabulary:
                 limit, a = a, self.parts[a][1]
             else:
                 limit, b = b + 1, self.parts[b][0]
-        if len(self._compatible) > 1_000_000:
+        if len(self._compatible) >= KEPT_PAIRS:
             self._compatible.clear()
         self._compatible[left, right] = result
         return result
@@ -167,11 +173,12 @@ class Vocabulary:
 
     def split(self, text: str) -> list[str]:
         """The normalised words of a text without special tokens."""
-        text = unicodedata.normalize("NFC", text)
+        known = not BEYOND.search(text)
+        text = unicodedata.normalize("NFC", text) if known else COMPOSED.normalize_str(text)
         words = self.words
         if text.isascii() or not NOT_LATIN.search(text):
             words = self.latin_words
-        elif BEYOND.search(text):
+        elif not known:
             unlike, unlike_words, unlike_lower = _other_unicode(self.pattern)
             if unlike.search(text):
                 text, words = text.translate(unlike_lower), unlike_words
@@ -254,7 +261,7 @@ def vocabulary(path: str) -> Vocabulary:
 class Encoder:
     """Encodes texts; keeps the tokens of words it has seen, up to a limit."""
 
-    def __init__(self, vocab: Vocabulary, limit: int = 300_000):
+    def __init__(self, vocab: Vocabulary, limit: int = KEPT_WORDS):
         self.vocab, self.limit = vocab, limit
         self.seen: dict[str | int, list[int]] = {}
 

@@ -104,8 +104,13 @@ def hash_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.diff(np.searchsorted(starts, ends), prepend=0)
 
 
-def text_groups(column: pa.Array, size: int = _BLOCK) -> Iterator[tuple[slice, list[str | None]]]:
-    """Runs of a column's texts that hold about `size` bytes, so that few are in Python at a time."""
+def text_groups(
+    column: pa.Array, size: int = _BLOCK, lists: bool = True
+) -> Iterator[tuple[slice, list[str | None]]]:
+    """Runs of a column's texts that hold about `size` bytes, so that few are in Python at a time.
+
+    Without `lists` the texts themselves are left out.
+    """
     sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(sizes)
     first = 0
@@ -113,7 +118,7 @@ def text_groups(column: pa.Array, size: int = _BLOCK) -> Iterator[tuple[slice, l
         start = ends[first] - sizes[first]
         stop = max(first, int(np.searchsorted(ends, start + size))) + 1
         run = slice(first, min(stop, len(column)))
-        yield run, column.slice(run.start, run.stop - run.start).to_pylist()
+        yield run, column.slice(run.start, run.stop - run.start).to_pylist() if lists else []
         first = run.stop
 
 

@@ -1,15 +1,17 @@
 from __future__ import annotations
 
 import hashlib
+import unicodedata
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from public_tokenizers import path
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers
 
 from mercato.llm.bpe import encoder
-from mercato.llm.op6_bpe import VOCABULARY, decode, encode
+from mercato.llm.op6_bpe import VOCABULARY, _groups, decode, encode, tokens
 
 PATH = path(VOCABULARY)
 
@@ -84,3 +86,59 @@ def test_encode_and_decode(spark, library):
     assert rows[1]["ids"] == library.encode("The quick brown fox", add_special_tokens=False).ids
     assert rows[1]["decoded"] == "the</w> quick</w> brown</w> fox</w>"
     assert rows[2]["ids"] == [] and rows[2]["decoded"] == ""
+
+
+def marks():
+    """Combining characters by either version of Unicode: what moves when it stands beside a mark of another class."""
+    compose = normalizers.NFC().normalize_str
+    found = []
+    for c in (chr(x) for x in range(0x110000) if not 0xD800 <= x < 0xE000):
+        if unicodedata.combining(c):
+            found.append(c)
+        elif any(compose(f"a{x}{y}") != f"a{x}{y}" for x, y in ((c, "̣"), ("́", c)) if ord(c) > 0x2FF):
+            found.append(c)
+    return found
+
+
+def test_sequences_of_combining_characters(library):
+    enc, found = encoder(PATH), marks()
+    assert len(found) > 800
+    texts = [f"a{x}{y}b" for c in found for m in ("̣", "́", "̕") for x, y in ((c, m), (m, c))]
+    texts += ["á߽b", "a࢘̕b", "\U00011935\U00011930"]
+    for text, want in zip(texts, library.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert enc.encode(text) == want.ids, ascii(text)
+
+
+def test_canonical_decompositions(library):
+    enc = encoder(PATH)
+    every = (chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    texts = [f"x{unicodedata.normalize('NFD', c)}{c}y" for c in every if unicodedata.normalize("NFD", c) != c]
+    assert len(texts) > 10_000
+    for text, want in zip(texts, library.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert enc.encode(text) == want.ids, ascii(text)
+
+
+def test_columns_of_the_results_names_are_replaced(spark):
+    df = spark.createDataFrame(
+        [(1, "a b", 7, "x", "y", "v"), (2, None, 8, "x", "y", "v")],
+        "i int, text string, N_TOKENS int, ids string, decoded string, value string",
+    )
+    rows = tokens(df).orderBy("i").collect()
+    assert rows[0].asDict().keys() == {"i", "decoded", "value", "n_tokens", "ids_sha256", "decoded_sha256", "ids"}
+    assert [(r["n_tokens"], len(r["ids"]), r["value"]) for r in rows] == [(2, 2, "v"), (0, 0, "v")]
+    both = decode(encode(df)).orderBy("i").collect()
+    assert both[0]["decoded"] == "a</w> b</w>" and both[0]["N_TOKENS"] == 7 and both[1]["ids"] == []
+
+
+@pytest.mark.parametrize(
+    "column",
+    [
+        pa.array(["x" * 700_000] * 5 + ["", None], pa.string()),
+        pa.array([[1] * 200_000] * 5 + [None, []], pa.list_(pa.int32())),
+        pa.array([], pa.string()),
+    ],
+)
+def test_few_values_are_taken_at_a_time(column):
+    groups = list(_groups(column))
+    assert [i for g in groups for i in range(g.start, g.stop)] == list(range(len(column)))
+    assert all(g.stop - g.start <= 4 for g in groups)
