@@ -6,6 +6,7 @@ import hashlib
 from collections import Counter
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 from mercato.llm.bpe import encoder
 from mercato.llm.op6_bpe import VOCABULARY
 from public_tokenizers import path
@@ -80,3 +81,18 @@ def test_table_without_languages(spark, tmp_path):
     kept = corpus_pipeline.language_id(spark, docs, str(tmp_path))
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {0, 1, 5}
     assert {r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == {0, 1, 5}
+
+
+def test_extra_columns_of_any_name_pass(spark, odd_dir):
+    names = ["_id", "_source", "_doc", "_digest", "_total", "_full", "_row", "_name", "lang_pred", "_lang_score", "key"]
+    docs = spark.read.parquet(f"{odd_dir}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    for i, name in enumerate(names):
+        docs = docs.withColumn(name, F.concat(F.lit(f"{i}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))))
+    columns = docs.columns
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, odd_dir)
+        assert docs.columns == columns
+    rows = docs.collect()
+    assert {r["doc_id"] for r in rows} == {None, 4, 5, 9, 10, 11, 12, -13}
+    for r in rows:
+        assert all(r[name] == f"{i}:{r['doc_id'] if r['doc_id'] is not None else 'none'}" for i, name in enumerate(names))
