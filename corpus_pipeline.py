@@ -8,7 +8,7 @@
    Every document is read at least once.
 4. `bpe`: the tokens of each reading, with digests of them and of the decoded text.
 
-Extra columns of the input pass through the first three stages. Rows with NULL ids or texts are
+Extra columns of the input, whatever their names, pass through the first three stages. Rows with NULL ids or texts are
 handled as the operators' docstrings say; a NULL text goes in the first stage, as it has no letter.
 """
 
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.llm import op2_source_mixing, op5_ngram_join, op6_bpe, op10_language_id
-from mercato.llm.common import id_remainder, stored, table, workers_import_package
+from mercato.llm.common import free_name, id_remainder, stored, table, workers_import_package
 
 MIX = op2_source_mixing.Mix(entropy=None, max_repeats=2.0, whole=True)
 
@@ -30,11 +30,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = op10_language_id.train(training)
     if not model.languages:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
-    found = op10_language_id.identify(docs, model, to=("_lang_pred", "_lang_score"))
-    known = F.col("_lang_pred") != op10_language_id.UNKNOWN
+    names = free_name(docs, "lang_pred"), free_name(docs, "lang_score")
+    found = op10_language_id.identify(docs, model, to=names)
+    known = F.col(names[0]) != op10_language_id.UNKNOWN
     if len(model.languages) > 1:  # all equally likely: nothing in the text is known of any language
-        known = known & (F.col("_lang_score") > (1 + 1e-9) / len(model.languages))
-    return found.filter(known).drop("_lang_pred", "_lang_score")
+        known = known & (F.col(names[1]) > (1 + 1e-9) / len(model.languages))
+    return found.filter(known).drop(*names)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
