@@ -136,29 +136,42 @@ def _row_condition(check: Check, now: dt.datetime | None) -> Column | None:
     return None
 
 
-def _missing_parents(check: Check, models: Mapping[str, DataFrame]) -> DataFrame:
-    """Number of child rows without parent; child values are counted before the join."""
-    child = models[check.model].filter(F.col(check.column).isNotNull())
-    values = child.groupBy(F.col(check.column).alias("value")).agg(F.count("*").alias("n"))
-    known = models[check.to].select(F.col(check.field).alias("value"))
-    return values.join(known, "value", "left_anti").agg(F.sum("n").alias("failures"))
+def _finding(number: int, value: Column | None = None, is_parent: bool = False) -> Column:
+    """(id, h1, h2, is_parent). 16 bytes stand for a value, whatever its length.
 
-
-def _findings(model: DataFrame, checks: Sequence[tuple[int, Check]], now: dt.datetime | None) -> DataFrame:
-    """(id, h1, h2): a row per failed row condition, and a hashed value per value that must be unique."""
+    Two values share them by chance no sooner than among some 10^19.
+    """
     none = F.lit(None).cast("bigint")
+    hashes = (none, none) if value is None else (F.xxhash64(value), F.xxhash64(F.lit("value"), value))
+    return F.struct(
+        F.lit(number).alias("id"), hashes[0].alias("h1"), hashes[1].alias("h2"), F.lit(is_parent).alias("is_parent")
+    )
+
+
+def _findings(
+    name: str, model: DataFrame, models: Mapping[str, DataFrame], checks: Sequence[tuple[int, Check]], now: dt.datetime | None
+) -> DataFrame:
+    """What the model `name` adds to the checks: a row per failed row condition, a hashed value per value that must
+    be unique, and one per value on either side of a relationship."""
     found = []
     for number, c in checks:
-        condition = _row_condition(c, now)
-        if condition is not None:
-            entry = F.struct(F.lit(number).alias("id"), none.alias("h1"), none.alias("h2"))
-            found.append(F.when(condition, entry))
-        elif c.kind == "unique":
-            # 16 bytes stand for the value, whatever its length. Two values share them by
-            # chance no sooner than among some 10^19.
-            hashes = F.xxhash64(c.column), F.xxhash64(F.lit("unique"), c.column)
-            entry = F.struct(F.lit(number).alias("id"), hashes[0].alias("h1"), hashes[1].alias("h2"))
-            found.append(F.when(F.col(c.column).isNotNull(), entry))
+        if c.kind == "relationships":
+            child, parent = models[c.model].schema[c.column].dataType, models[c.to].schema[c.field].dataType
+            # Hashes of equal values agree only if their types do.
+            for side, column in ((c.model, c.column), (c.to, c.field)):
+                if side == name:
+                    value = F.col(column) if child == parent else F.col(column).cast("string")
+                    is_parent = (side, column) == (c.to, c.field)
+                    found.append(F.when(value.isNotNull(), _finding(number, value, is_parent)))
+                    if c.model == c.to and c.column == c.field:  # its own parent, so nothing can be missing
+                        break
+        elif c.model == name:
+            condition = _row_condition(c, now)
+            if condition is not None:
+                found.append(F.when(condition, _finding(number)))
+            elif c.kind == "unique":
+                value = F.col(c.column)
+                found.append(F.when(value.isNotNull(), _finding(number, value)))
     return model.select(F.inline(F.array_compact(F.array(*found))))
 
 
@@ -167,32 +180,33 @@ def run_checks(
 ) -> DataFrame:
     """One row per check: (check, model, column, failures, status).
 
-    Each model is read once for all its conditions and unique columns, and all of them are
-    counted in one shuffle, map-side first. Relationships need a join each.
+    Each model is read once for all its conditions, unique columns and sides of relationships, and all of
+    them are counted in one shuffle, map-side first. There is no join: a value without parent is one
+    that only the child's side has brought.
     """
     spark = next(iter(models.values())).sparkSession
     numbered = list(enumerate(checks))
-    findings, counts = [], []
-    for model in dict.fromkeys(c.model for c in checks):
-        of_model = [(i, c) for i, c in numbered if c.model == model and c.kind != "relationships"]
-        if of_model:
-            findings.append(_findings(models[model], of_model, now))
-    if findings:
-        per_value = (
-            reduce(DataFrame.unionByName, findings).groupBy("id", "h1", "h2").agg(F.count("*").alias("n"))
-        )
-        # Of values, those that repeat fail; of conditions, each row does.
-        failed = F.when(F.col("h1").isNull(), F.col("n")).otherwise((F.col("n") > 1).cast("bigint"))
-        counts.append(per_value.groupBy("id").agg(F.sum(failed).alias("failures")))
-    for i, c in numbered:
-        if c.kind == "relationships":
-            counts.append(_missing_parents(c, models).select(F.lit(i).alias("id"), "failures"))
+    used = dict.fromkeys(m for c in checks for m in ((c.model, c.to) if c.kind == "relationships" else (c.model,)))
+    findings = [_findings(name, models[name], models, numbered, now) for name in used]
+    per_value = (
+        reduce(DataFrame.unionByName, findings)
+        .groupBy("id", "h1", "h2")
+        .agg(F.count_if(~F.col("is_parent")).alias("n"), F.bool_or("is_parent").alias("has_parent"))
+    )
+    related = [i for i, c in numbered if c.kind == "relationships"]
+    # Of values, those that repeat or lack a parent fail, the latter with all their rows; of conditions, each row does.
+    failed = (
+        F.when(F.col("h1").isNull(), F.col("n"))
+        .when(F.col("id").isin(related), F.when(F.col("has_parent"), 0).otherwise(F.col("n")))
+        .otherwise((F.col("n") > 1).cast("bigint"))
+    )
+    counts = per_value.groupBy("id").agg(F.sum(failed).alias("failures"))
     declared = spark.createDataFrame(
         [(i, c.name, c.model, c.column) for i, c in numbered], "id int, check string, model string, column string"
     )
     failures = F.coalesce(F.col("failures"), F.lit(0)).cast("bigint")
     return (
-        declared.join(F.broadcast(reduce(DataFrame.unionByName, counts)), "id", "left")
+        declared.join(F.broadcast(counts), "id", "left")
         .select(
             "check",
             "model",

@@ -100,3 +100,25 @@ def test_row_conditions_of_a_model_share_one_scan(spark):
     checks = [Check("m", "id", "not_null"), Check("m", "v", "positive_values"), Check("m", "v", "not_null")]
     plan = quality.run_checks(checks, models)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Range (") == 1
+
+
+def test_relationships_need_no_join(spark):
+    """Both sides are counted in the one shuffle that all checks share."""
+    parents = spark.createDataFrame([(1, "a"), (2, "b"), (None, None)], "id long, k string")
+    child = spark.createDataFrame([(1, "a", 2), (1, "c", 1), (3, None, None), (None, "c", 9)], "id int, k string, up int")
+    models = {"child": child, "parent": parents}
+    checks = [
+        Check("child", "id", "relationships", to="parent", field="id"),  # of another type
+        Check("child", "k", "relationships", to="parent", field="k"),
+        Check("child", "up", "relationships", to="child", field="id"),  # of the same model
+        Check("child", "id", "relationships", to="child", field="id"),
+        Check("parent", "k", "relationships", to="child", field="k"),
+        Check("parent", "id", "unique"),
+    ]
+    result = quality.run_checks(checks, models)
+    alone = [quality.run_checks([c], models).first().failures for c in checks]
+    assert alone == [1, 2, 2, 0, 1, 0]  # 3; "c" twice; 2 and 9; b
+    assert sorted(r.failures for r in result.collect()) == sorted(alone)
+    text = result._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in text and text.count("BroadcastHashJoin") == 1
+    assert text.count("Exchange hashpartitioning(id") == 2  # values, then the sums of 51 checks or fewer
