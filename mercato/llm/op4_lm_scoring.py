@@ -9,33 +9,37 @@ add up to 1. A text is scored in one pass from left to right that carries the st
 and `Fit.least` prune rarer contexts and arcs; by default nothing is pruned.
 
 At scale the automaton is as large as the corpus, so nothing gathers it. Documents are dealt into
-chunks by ranges of their id, and each chunk gets the part of the automaton that its words can reach:
-
-1. One pass counts words per chunk. Summed per word, the counts go back to each chunk that has the
-   word: one shuffle, as every chunk's row meets in the word's partition.
-2. Another pass does the same for pairs of neighbouring tokens.
-3. Left-over probabilities are sums over the pairs of a state. They go to the chunks that have the
-   state's word and may need its failure arc. As no pair of a training text fails in an unpruned model,
-   those are the chunks where a held-out text has it.
-4. Chunks meet their part of the automaton, sorted so that it comes first. A task keeps the part of one
-   chunk at a time and streams its documents through.
-
-Words are known by 64-bit hashes. Words and pairs that occur once in training needn't be sent: what a
-chunk isn't told about has count 1 (and it is told about those that occur in held-out texts only). A NULL text is empty and has one token, the end. A NULL id counts as the empty
-text (and so as held out). Rows that repeat are counted and scored each. Without training rows, N and V
-are 0 and every token is unknown.
+chunks, and each chunk gets the part of the automaton that its words can reach:
+
+1. One pass counts words and pairs of neighbouring tokens per chunk. Counts meet in buckets of their
+   64-bit hashes. A row holds the sorted hashes of one chunk and bucket as bytes, so that a hash costs
+   about 6 bytes in the shuffle; where buckets outnumber hashes, it is a row per hash.
+2. A bucket adds up its words or pairs, and tells a chunk about those that training texts of other
+   chunks hold too. All else a chunk counts itself. Of the chunks that hold a pair, one owns it.
+3. A chunk with its documents scores all arcs. A token that fails only needs the weight of its state's
+   failure arc, a sum over all pairs of the state. So each chunk sums the pairs that it owns by state,
+   and names the states in which its texts failed. What it says is written once.
+4. Sums and failures meet in buckets of the state's hash, and the weights go to the documents.
+
+A chunk is a range of ids. Where one holds over twice `Fit.chunk_bytes` of text (ids that are NULL,
+repeated or sparse, long texts), its rows are dealt to as many chunks as needed by a hash of id and
+text; only rows that agree in both stay together. N and V aren't needed before the last step.
+
+A NULL text is empty and has one token, the end. A NULL id counts as the empty text (and so as held
+out). Rows that repeat are counted and scored each. Without training rows, N and V are 0 and every token
+is unknown.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.llm.common import id_remainder, stored, table
@@ -43,8 +47,10 @@ from mercato.llm.shingles import hash_words, mixed, text_groups
 
 END = xxhash.xxh3_64_intdigest(b"\n")  # no word holds a line end
 START = xxhash.xxh3_64_intdigest(b"\n\n")
-MIX = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
+MIX = np.uint64(0xA0761D6478BD642F)
 ADDED = 0.1
+WORDS, PAIRS, STATS = 0, 1, 2  # kinds of counts
+STATES, FAILS, DOCS = 0, 1, 3  # kinds of what a chunk says, beside STATS
 
 
 @dataclass(frozen=True)
@@ -53,7 +59,9 @@ class Fit:
     least: int = 1  # times that a pair needs to be an arc
     discount: float = 0.75
     docs_per_chunk: int = 8000
-    buffered: int = 1_000_000  # tokens that a task counts at a time
+    chunk_bytes: int = 32_000_000  # of text
+    bucket_bytes: int = 16_000_000  # of text per bucket of hashes
+    buffered: int = 2_000_000  # tokens that a task counts at a time
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -74,38 +82,127 @@ def tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return token, before, counts + 1
 
 
-def prepared(docs: DataFrame, held_out, fit: Fit) -> DataFrame:
-    """(doc_id, text, held_out, chunk): neighbouring ids share a chunk."""
+def _arc(state: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return mixed(word + state * MIX)
+
+
+@dataclass(frozen=True)
+class Prepared:
+    rows: DataFrame  # doc_id, text, held_out, chunk
+    bucket_bits: int
+
+
+def _sized(docs: DataFrame, held_out, fit: Fit) -> Prepared:
     chunks = max(1, math.ceil(docs.count() / fit.docs_per_chunk))
     block = F.coalesce(F.floor(F.col("doc_id") / fit.docs_per_chunk), F.lit(0))
-    return docs.select(
-        "doc_id", "text", held_out.alias("held_out"), F.pmod(block, F.lit(chunks)).cast("int").alias("chunk")
-    )
+    rows = docs.select("doc_id", "text", held_out.alias("held_out"), F.pmod(block, F.lit(chunks)).alias("chunk"))
+    sizes = stored(rows.groupBy("chunk").agg(F.sum(F.octet_length("text")).alias("bytes")), "chunk_sizes")
+    total = sizes.agg(F.sum("bytes")).first()[0] or 0
+    bits = max(2, math.ceil(math.log2(max(1, total / fit.bucket_bytes))))
+    # Two numbers for each 2 * chunk_bytes of the corpus at most, so 16 MB for 100 TB.
+    large = sizes.filter(F.col("bytes") > 2 * fit.chunk_bytes)
+    if not large.isEmpty():
+        pieces = large.select("chunk", F.ceil(F.col("bytes") / fit.chunk_bytes).alias("pieces"))
+        piece = F.coalesce(F.pmod(F.xxhash64("doc_id", "text"), F.col("pieces")), F.lit(0))
+        rows = rows.join(F.broadcast(pieces), "chunk", "left").select(
+            "doc_id", "text", "held_out", (F.col("chunk") + piece * chunks).alias("chunk")
+        )
+    return Prepared(rows, bits)
 
 
-def _counted(fit: Fit, pairs: bool):
-    """Batches of documents to counts per chunk: (chunk, state, word, n, held), n counting training rows only.
+def prepared(docs: DataFrame, held_out, fit: Fit) -> DataFrame:
+    """(doc_id, text, held_out, chunk): neighbouring ids share a chunk."""
+    return _sized(docs, held_out, fit).rows
 
-    `held`: a held-out row of the chunk has it. Without `pairs`, the state is 0 and single words count.
-    """
 
-    def rows(chunk: np.ndarray, state: np.ndarray, word: np.ndarray, train: np.ndarray) -> pa.RecordBatch:
-        key = mixed(word + chunk.astype(np.uint64) * MIX[0]) + state * MIX[1]
-        order = np.argsort(key)
-        key = key[order]
-        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        at = order[first]
-        n = np.add.reduceat(train[order].astype(np.int64), first)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(chunk[at]),
-                pa.array(_signed(state[at])),
-                pa.array(_signed(word[at])),
-                pa.array(n),
-                pa.array(n < np.diff(np.r_[first, len(key)])),
-            ],
-            names=["chunk", "state", "word", "n", "held"],
-        )
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers from 0 on, each in as few bytes as the largest needs."""
+    largest = int(numbers.max(initial=0))
+    kind = next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if largest <= np.iinfo(t).max)
+    return numbers.astype(kind).tobytes()
+
+
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, dtype=f"<u{len(data) // n}").astype(np.int64)
+
+
+def _packed_keys(keys: np.ndarray) -> bytes:
+    """Ascending hashes: the first, then the number of bytes that steps take, then the steps."""
+    steps = np.diff(keys)
+    width = max(1, (int(steps.max(initial=0)).bit_length() + 7) // 8)
+    return keys[:1].tobytes() + bytes([width]) + steps.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def _unpacked_keys(data: bytes) -> np.ndarray:
+    width = data[8]
+    steps = np.frombuffer(data, dtype=np.uint8, offset=9).reshape(-1, width)
+    keys = np.zeros((len(steps) + 1, 8), dtype=np.uint8)
+    keys[1:, :width] = steps
+    keys = keys.view(np.uint64).ravel()
+    keys[0] = np.frombuffer(data, dtype=np.uint64, count=1)[0]
+    return np.cumsum(keys, dtype=np.uint64)
+
+
+def _runs(*columns: np.ndarray) -> np.ndarray:
+    """Where runs of equal rows start."""
+    if not len(columns[0]):
+        return np.zeros(0, dtype=np.int64)
+    changes = [c[1:] != c[:-1] for c in columns]
+    return np.flatnonzero(np.concatenate(([True], np.logical_or.reduce(changes))))
+
+
+def _slices(starts: np.ndarray, size: int) -> Iterator[slice]:
+    return (slice(a, b) for a, b in zip(starts, np.append(starts, size)[1:], strict=True))
+
+
+def _buckets(keys: np.ndarray, bits: int) -> np.ndarray:
+    return (keys >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _names(schema: str) -> list[str]:
+    return [x.split()[0] for x in schema.split(", ")]
+
+
+_ARROW = {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "double": pa.float64(), "boolean": pa.bool_()}
+
+
+def _batch(schema: str, rows: list[dict]) -> pa.RecordBatch:
+    """A batch of rows that name only some of the columns."""
+    fields = [x.split() for x in schema.split(", ")]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r.get(name) for r in rows], _ARROW[kind]) for name, kind in fields], names=_names(schema)
+    )
+
+
+COUNTS = "kind int, bucket bigint, chunk bigint, keys binary, n binary"
+
+
+def _counted(fit: Fit, bits: int):
+    """Documents to the number of times that training rows of a chunk hold each of its words and pairs."""
+
+    def counts(chunk: np.ndarray, train: np.ndarray, word: np.ndarray, arc: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for kind, key in ((WORDS, word), (PAIRS, arc)):
+            order = np.argsort(key)
+            if (chunk != chunk[0]).any():
+                order = order[np.argsort(chunk[order], kind="stable")]
+            own_key, own_chunk = key[order], chunk[order]
+            first = _runs(own_key, own_chunk)
+            n = np.add.reduceat(train[order].astype(np.int64), first)
+            own_key, own_chunk = own_key[first], own_chunk[first]
+            bucket = _buckets(own_key, bits)
+            yield _batch(
+                COUNTS,
+                [
+                    {
+                        "kind": kind,
+                        "bucket": int(bucket[s.start]),
+                        "chunk": int(own_chunk[s.start]),
+                        "keys": _packed_keys(own_key[s]),
+                        "n": _packed(n[s]),
+                    }
+                    for s in _slices(_runs(bucket, own_chunk), len(bucket))
+                ],
+            )
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buffer: list[tuple[np.ndarray, ...]] = []
@@ -114,219 +211,250 @@ def _counted(fit: Fit, pairs: bool):
             chunks = part.column("chunk").to_numpy()
             train = ~part.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
             for group, texts in text_groups(part.column("text")):
-                word, before, counts = tokens(texts)
-                chunk, own_train = np.repeat(chunks[group], counts), np.repeat(train[group], counts)
-                state = before if pairs else np.zeros(len(word), dtype=np.uint64)
-                buffer.append((chunk, state, word, own_train))
+                word, before, n = tokens(texts)
+                buffer.append((np.repeat(chunks[group], n), np.repeat(train[group], n), word, _arc(before, word)))
                 size += len(word)
                 if size >= fit.buffered:
-                    yield from _sliced(rows(*map(np.concatenate, zip(*buffer, strict=True))))
+                    yield from counts(*map(np.concatenate, zip(*buffer, strict=True)))
                     buffer, size = [], 0
         if size:
-            yield from _sliced(rows(*map(np.concatenate, zip(*buffer, strict=True))))
+            yield from counts(*map(np.concatenate, zip(*buffer, strict=True)))
 
     return run
 
 
-def _sliced(batch: pa.RecordBatch, size: int = 100_000) -> Iterator[pa.RecordBatch]:
-    for start in range(0, len(batch), size):
-        yield batch.slice(start, size)
-
-
-COUNTS = "chunk int, state bigint, word bigint, n bigint, held boolean"
-
-
-def _totals(counts: DataFrame, key: list[str]) -> DataFrame:
-    """Each chunk's keys with their total over all chunks; `first` marks one row per key."""
-    same = Window.partitionBy(*key)
-    return counts.select(
-        "chunk",
-        *key,
-        "held",
-        F.sum("n").over(same).alias("total"),
-        (F.row_number().over(same.orderBy("chunk")) == 1).alias("first"),
-    )
-
+TOLD = "chunk bigint, kind int, keys binary, totals binary, n bigint, v bigint"
+
+
+def _totals(counts: pa.Table) -> pa.Table:
+    """A bucket's counts to totals for the chunks, which don't know them: twice the total, and 1 for the pair's owner."""
+    kind = counts.column("kind")[0].as_py()
+    by_chunk = counts.sort_by("chunk")
+    found = [_unpacked_keys(k) for k in by_chunk.column("keys").to_pylist()]
+    sizes = [len(k) for k in found]
+    key = np.concatenate(found)
+    chunk = np.repeat(by_chunk.column("chunk").to_numpy(), sizes)
+    n = np.concatenate([_unpacked(x, size) for x, size in zip(by_chunk.column("n").to_pylist(), sizes, strict=True)])
+    order = np.argsort(key, kind="stable")
+    key, chunk, n = key[order], chunk[order], n[order]
+    first = _runs(key, chunk)
+    key, chunk, own = key[first], chunk[first], np.add.reduceat(n, first)
+    keys = _runs(key)
+    by_key = np.add.reduceat(own, keys)
+    number = np.repeat(np.arange(len(keys)), np.diff(np.append(keys, len(key))))
+    total = by_key[number]
+    owner = np.zeros(len(key), dtype=np.int64)
+    trained = np.flatnonzero(own > 0)
+    owner[trained[_runs(number[trained])]] = 1
+    told = np.flatnonzero(total != own)
+    told = told[np.argsort(chunk[told], kind="stable")]
+    key, chunk, total = key[told], chunk[told], 2 * total[told] + owner[told]
+    rows = [
+        {"chunk": int(chunk[s.start]), "kind": kind, "keys": _packed_keys(key[s]), "totals": _packed(total[s])}
+        for s in _slices(_runs(chunk), len(chunk))
+    ]
+    if kind == WORDS:
+        rows.append({"chunk": -1, "kind": STATS, "n": int(by_key.sum()), "v": int((by_key > 0).sum())})
+    return pa.Table.from_batches([_batch(TOLD, rows)])
+
+
+SAID = (
+    "kind int, bucket bigint, chunk bigint, keys binary, arcs binary, followed binary, missing binary, root binary,"
+    " row binary, number bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, n_root bigint,"
+    " base double, score double, n bigint, v bigint"
+)
 
-@dataclass(frozen=True)
-class Automaton:
-    """What every task knows: the root's totals, and the state at the start of a text."""
 
-    train_tokens: int
-    vocabulary: int
-    starts: int  # training rows
-    start_failure: float  # log10 weight
-    fit: Fit
-
-    @property
-    def least_context(self) -> float:
-        return max(1.0, self.fit.context_share * self.train_tokens)
-
-
-class Part:
-    """The part of an automaton that the words of a chunk can reach, as sorted arrays."""
-
-    def __init__(self, known: Automaton):
-        self.known = known
-        self.singles: list[tuple[np.ndarray, ...]] = []
-        self.pairs: list[tuple[np.ndarray, ...]] = []
-        self.words = self.failure = self.arcs = None
-
-    def add(self, is_pair: np.ndarray, state: np.ndarray, word: np.ndarray, total: np.ndarray, failure: np.ndarray):
-        word, state, single = word.view(np.uint64), state.view(np.uint64), ~is_pair
-        self.singles.append((word[single], total[single], failure[single]))
-        self.pairs.append((_arc(state[is_pair], word[is_pair]), total[is_pair]))
-
-    def _sorted(self) -> None:
-        nothing = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0)
-        word, total, failure = (np.concatenate(x) for x in zip(nothing, *self.singles, strict=True))
-        fails = ~np.isnan(failure)
-        self.words, self.failure = _by_key(word, total), _by_key(word[fails], failure[fails])
-        self.arcs = _by_key(*(np.concatenate(x) for x in zip(nothing[:2], *self.pairs, strict=True)))
-        self.singles = self.pairs = []
-
-    def score(self, texts: list[str | None]) -> tuple[np.ndarray, ...]:
-        """Per text: tokens, known tokens, score by single words, score by the automaton.
-
-        Every arc that reads a word leads to the word's state, or to the root if it has none. So the
-        state in which a token is read follows from the token before, and the texts of a block are
-        traversed side by side.
-        """
-        if self.words is None:
-            self._sorted()
-        known, fit = self.known, self.known.fit
-        word, before, counts = tokens(texts)
-        divisor = known.train_tokens + ADDED * (known.vocabulary + 1)
-        count = _look_up(word, *self.words, absent=1)
-        root = np.log10((count + ADDED) / divisor)
+class Chunk:
+    """Documents of a chunk, and what it is told about their words and pairs."""
+
+    def __init__(self, number: int, least_context: float, fit: Fit, bits: int):
+        self.number, self.least_context, self.fit, self.bits = number, least_context, fit, bits
+        self.told: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {WORDS: [], PAIRS: []}
+        self.docs: list[tuple[np.ndarray, ...]] = []
+        self.ids: list[pa.RecordBatch] = []
+
+    def tell(self, kind: int, keys: bytes, totals: bytes) -> None:
+        found = _unpacked_keys(keys)
+        self.told[kind].append((found, _unpacked(totals, len(found))))
+
+    def add(self, docs: pa.RecordBatch) -> None:
+        self.ids.append(docs.select(["doc_id", "held_out"]))
+        for _, texts in text_groups(docs.column("text")):
+            self.docs.append(tokens(texts))
+
+    def _known(self, kind: int, key: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Distinct keys, a place of each, their totals, whether the chunk owns them, and each token's number among them."""
+        keys, place, number = np.unique(key, return_index=True, return_inverse=True)
+        total = np.bincount(number, weights=train, minlength=len(keys)).astype(np.int64)
+        owned = total > 0
+        for told, value in self.told[kind]:
+            at = np.searchsorted(keys, told)
+            total[at], owned[at] = value >> 1, (value & 1).astype(bool)
+        self.told[kind] = []
+        return keys, place, total, owned, number
+
+    def said(self) -> Iterator[pa.RecordBatch]:
+        if not self.docs:
+            return
+        fit = self.fit
+        word, before, counts = (np.concatenate(x) for x in zip(*self.docs, strict=True))
+        self.docs = []
+        ids = pa.Table.from_batches(self.ids)
+        held = ids.column("held_out").to_numpy().astype(bool)
+        train = np.repeat(~held, counts)
         first = np.cumsum(counts) - counts
-        # The token before is a word of the same text, but at the start.
+        words, _, word_total, _, number = self._known(WORDS, word, train)
+        count = word_total[number]
+        del number
+        # The token before is a word of the same text, but at the start. Each training text has one end.
         context = np.roll(count, 1)
-        context[first] = known.starts
-        is_state = context >= known.least_context
-        is_state[first] = known.starts > 0
-        weight = root.copy()
-        read = np.flatnonzero(is_state)
-        state, own = before[read], word[read]
-        pair = _look_up(_arc(state, own), *self.arcs, absent=1)
-        failure = np.where(state == START, known.start_failure, _look_up(state, *self.failure, absent=0))
-        weight[read] = np.where(
-            pair >= max(1, fit.least),
-            np.log10(np.maximum(pair - fit.discount, 1e-300) / context[read]),
-            failure + root[read],  # the failure arc, then the root's
+        starts = word_total[np.searchsorted(words, np.uint64(END))]
+        context[first] = starts
+        is_state = (context > 0) & (context >= self.least_context)
+        is_state[first] = starts > 0
+        _, place, total, owned, number = self._known(PAIRS, _arc(before, word), train)
+        pair = total[number]
+        del number
+        is_arc = is_state & (pair >= max(1, fit.least))
+        by_word = np.log10(count + ADDED)
+        weight = by_word.copy()
+        weight[is_arc] = np.log10((pair[is_arc] - fit.discount) / context[is_arc])
+        sums = (np.add.reduceat(x, first) for x in ((count > 0).astype(np.int64), (~is_arc).astype(np.int64), by_word, weight))
+        yield self._documents(ids, counts, *sums)
+        place, total = place[owned], total[owned]
+        yield from self._states(before[place], total, count[place])
+        failed = np.flatnonzero(is_state & ~is_arc)
+        yield from self._failures(before[failed], np.repeat(np.arange(len(counts)), counts)[failed])
+
+    def _documents(self, ids: pa.Table, counts, known, root, base, score) -> pa.RecordBatch:
+        columns = {
+            "kind": pa.array(np.full(len(counts), DOCS), pa.int32()),
+            "chunk": pa.array(np.full(len(counts), self.number), pa.int64()),
+            "number": pa.array(np.arange(len(counts)), pa.int64()),
+            "doc_id": ids.column("doc_id").combine_chunks().cast(pa.int64()),
+            "held_out": ids.column("held_out").combine_chunks(),
+            "n_tokens": pa.array(counts, pa.int64()),
+            "n_known": pa.array(known, pa.int64()),
+            "n_root": pa.array(root, pa.int64()),
+            "base": pa.array(base, pa.float64()),
+            "score": pa.array(score, pa.float64()),
+        }
+        fields = [x.split() for x in SAID.split(", ")]
+        return pa.RecordBatch.from_arrays(
+            [columns.get(name, pa.nulls(len(counts), _ARROW[kind])) for name, kind in fields], names=_names(SAID)
         )
-        return (
-            counts,
-            np.add.reduceat((count > 0).astype(np.int64), first),
-            np.add.reduceat(root, first),
-            np.add.reduceat(weight, first),
+
+    def _states(self, state: np.ndarray, total: np.ndarray, count: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Sums over the chunk's own pairs by state: arcs, their totals, other pairs' totals, their words' counts."""
+        order = np.argsort(state)
+        state, total, count = state[order], total[order], count[order]
+        arc = total >= self.fit.least
+        first = _runs(state)
+        if not len(first):
+            return
+        sums = [
+            np.add.reduceat(x, first)
+            for x in (arc.astype(np.int64), np.where(arc, total, 0), np.where(arc, 0, total), np.where(arc, count, 0))
+        ]
+        yield from self._blobs(STATES, state[first], dict(zip(SUMS, sums, strict=True)))
+
+    def _failures(self, state: np.ndarray, row: np.ndarray) -> Iterator[pa.RecordBatch]:
+        order = np.argsort(state)
+        yield from self._blobs(FAILS, state[order], {"row": row[order]})
+
+    def _blobs(self, kind: int, keys: np.ndarray, columns: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        bucket = _buckets(keys, self.bits)
+        yield _batch(
+            SAID,
+            [
+                {
+                    "kind": kind,
+                    "bucket": int(bucket[s.start]),
+                    "chunk": self.number,
+                    "keys": _packed_keys(keys[s]),
+                    **{name: _packed(x[s]) for name, x in columns.items()},
+                }
+                for s in _slices(_runs(bucket), len(bucket))
+            ],
         )
 
 
-def _arc(state: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return mixed(word + state * MIX[1])
+SUMS = ("arcs", "followed", "missing", "root")
 
 
-def _by_key(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(key)
-    return key[order], value[order]
+def _said(least_context: float, fit: Fit, bits: int):
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = None
+        for batch in parts:
+            numbers = batch.column("chunk").to_numpy()
+            kinds = batch.column("kind").to_numpy()
+            for s in _slices(_runs(numbers, kinds), len(batch)):
+                if chunk is None or numbers[s.start] != chunk.number:
+                    if chunk is not None:
+                        yield from chunk.said()
+                    chunk = Chunk(int(numbers[s.start]), least_context, fit, bits)
+                rows = batch.slice(s.start, s.stop - s.start)
+                if kinds[s.start] == STATS:
+                    n, v = (int(rows.column(c).to_numpy().sum()) for c in ("n", "v"))
+                    yield _batch(SAID, [{"kind": STATS, "n": n, "v": v}])
+                elif kinds[s.start] == DOCS:
+                    chunk.add(rows)
+                else:
+                    for keys, totals in zip(rows.column("keys"), rows.column("totals"), strict=True):
+                        chunk.tell(int(kinds[s.start]), keys.as_py(), totals.as_py())
+        if chunk is not None:
+            yield from chunk.said()
 
+    return run
 
-def _look_up(wanted: np.ndarray, key: np.ndarray, value: np.ndarray, absent: int) -> np.ndarray:
-    if not len(key):
-        return np.full(len(wanted), absent, dtype=value.dtype)
-    at = np.searchsorted(key, wanted)
-    at[at == len(key)] = 0
-    return np.where(key[at] == wanted, value[at], absent)
 
+FAILURES = "chunk bigint, number bigint, failure double"
 
-SCORED = (
-    "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint,"
-    " base_score double, score double"
-)
 
+def _failure_weights(divisor: float, fit: Fit) -> Callable[[pa.Table], pa.Table]:
+    """A bucket's states and failures to the sum of log10 weights of a document's failure arcs into the bucket."""
 
-def _scored(known: Automaton, kind: pa.DataType):
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, part = None, None
-        for batch in parts:
-            chunks = batch.column("chunk").to_numpy()
-            is_doc = batch.column("is_doc").to_numpy(zero_copy_only=False)
-            cuts = np.flatnonzero(np.r_[True, (chunks[1:] != chunks[:-1]) | (is_doc[1:] != is_doc[:-1]), True])
-            for a, b in zip(cuts, cuts[1:], strict=False):
-                if part is None or chunks[a] != current:
-                    current, part = chunks[a], Part(known)
-                rows = batch.slice(a, b - a)
-                if not is_doc[a]:
-                    is_pair = rows.column("is_pair").to_numpy(zero_copy_only=False)
-                    part.add(is_pair, *(rows.column(c).to_numpy() for c in ("state", "word", "total", "failure")))
-                    continue
-                for group, texts in text_groups(rows.column("text")):
-                    n_tokens, n_known, base, score = part.score(texts)
-                    own = rows.slice(group.start, group.stop - group.start)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            own.column("doc_id").cast(kind),
-                            own.column("held_out"),
-                            pa.array(n_tokens, pa.int64()),
-                            pa.array(n_known, pa.int64()),
-                            pa.array(np.full(len(own), known.train_tokens), pa.int64()),
-                            pa.array(base, pa.float64()),
-                            pa.array(score, pa.float64()),
-                        ],
-                        names=[x.split()[0] for x in SCORED.split(", ")],
-                    )
+    def run(said: pa.Table) -> pa.Table:
+        kinds = said.column("kind").to_numpy()
+        states, fails = said.filter(pa.array(kinds == STATES)), said.filter(pa.array(kinds == FAILS))
+        out = []
+        keys, weight = _weights(states, divisor, fit)
+        for chunk, key, row in zip(*(fails.column(c).to_pylist() for c in ("chunk", "keys", "row")), strict=True):
+            state = _unpacked_keys(key)
+            number = _unpacked(row, len(state))
+            at = np.minimum(np.searchsorted(keys, state), max(0, len(keys) - 1))
+            own = np.where(keys[at] == state, weight[at], 0.0) if len(keys) else np.zeros(len(state))
+            rows, place = np.unique(number, return_inverse=True)
+            columns = [pa.array(np.full(len(rows), chunk)), pa.array(rows), pa.array(np.bincount(place, weights=own))]
+            out.append(pa.RecordBatch.from_arrays(columns, names=_names(FAILURES)))
+        return pa.Table.from_batches([*out, _batch(FAILURES, [])])
 
     return run
 
 
-def counted(rows: DataFrame, fit: Fit) -> tuple[Automaton, DataFrame, DataFrame, DataFrame]:
-    """The automaton's common part; words and pairs per chunk with their totals; the states' failure arcs."""
-    words = stored(_totals(rows.mapInArrow(_counted(fit, False), COUNTS), ["word"]), "words")
-    pairs = stored(_totals(rows.mapInArrow(_counted(fit, True), COUNTS), ["state", "word"]), "pairs")
-    known = words.filter("first and total > 0").select("word", F.col("total").alias("count"))
-    n, v = known.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count("*")).first()
-    divisor = n + ADDED * (v + 1)
-    # Whole numbers are summed, so neither order nor size costs precision.
-    arc = F.col("total") >= fit.least
-    sums = (
-        pairs.filter("first and total > 0")
-        .select("state", "word", "total")
-        .join(known, "word")
-        .groupBy("state")
-        .agg(
-            F.sum("total").alias("context"),
-            F.count_if(arc).alias("arcs"),
-            F.sum(F.when(arc, F.col("total")).otherwise(0)).alias("followed"),
-            F.sum(F.when(arc, F.col("count")).otherwise(0)).alias("root"),
-        )
-    )
-    left = (F.col("context") - F.col("followed") + fit.discount * F.col("arcs")) / F.col("context")
-    others = (F.lit(divisor) - F.col("root") - ADDED * F.col("arcs")) / F.lit(divisor)
-    least = F.lit(1e-12)
-    weight = F.log10(F.greatest(left, least)) - F.log10(F.greatest(others, least))
-    failure = stored(
-        sums.select("state", "context", F.when(F.col("arcs") > 0, weight).otherwise(0.0).alias("failure")), "failure"
-    )
-    start = failure.filter(F.col("state") == _int64(START)).first()
-    starts, start_failure = (start["context"], start["failure"]) if start else (0, 0.0)
-    return Automaton(n, v, starts, start_failure, fit), words, pairs, failure
-
-
-def _told(words: DataFrame, pairs: DataFrame, failure: DataFrame, fit: Fit) -> DataFrame:
-    """(chunk, is_pair, state, word, total, failure): what chunks must be told about."""
-    fails = F.col("held") if fit.least <= 1 else F.lit(True)
-    none, state = F.lit(float("nan")).alias("failure"), F.lit(0).cast("bigint").alias("state")
-    weights = failure.select(F.col("state").alias("word"), "failure")
-    failing = words.filter(fails).join(weights, "word", "left").fillna(0.0, "failure")
-    singles = failing.select("chunk", F.lit(False).alias("is_pair"), state, "word", "total", "failure").unionByName(
-        words.filter(~fails & (F.col("total") != 1)).select(
-            "chunk", F.lit(False).alias("is_pair"), state, "word", "total", none
-        )
-    )
-    return singles.unionByName(
-        pairs.filter("total <> 1").select("chunk", F.lit(True).alias("is_pair"), "state", "word", "total", none)
-    )
+def _weights(states: pa.Table, divisor: float, fit: Fit) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of states, and the log10 weights of their failure arcs."""
+    found = [_unpacked_keys(k) for k in states.column("keys").to_pylist()]
+    key = np.concatenate([np.zeros(0, np.uint64), *found])
+    keys, number = np.unique(key, return_inverse=True)
+    arcs, followed, missing, root = (np.zeros(len(keys), dtype=np.int64) for _ in SUMS)
+    for total, name in zip((arcs, followed, missing, root), SUMS, strict=True):
+        parts = [_unpacked(x, len(k)) for x, k in zip(states.column(name).to_pylist(), found, strict=True)]
+        np.add.at(total, number, np.concatenate([np.zeros(0, np.int64), *parts]))
+    left = (missing + fit.discount * arcs) / np.maximum(followed + missing, 1)
+    others = (divisor - root - ADDED * arcs) / divisor
+    weight = np.log10(np.maximum(left, 1e-12)) - np.log10(np.maximum(others, 1e-12))
+    return keys, np.where(arcs > 0, weight, 0.0)
+
+
+def _train_tokens(rows: DataFrame) -> int:
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for _, texts in text_groups(part.column("text")):
+                yield pa.RecordBatch.from_arrays([pa.array([len(tokens(texts)[0])], pa.int64())], names=["n"])
+
+    return rows.filter("not held_out").select("text").mapInArrow(run, "n bigint").agg(F.sum("n")).first()[0] or 0
 
 
 @dataclass(frozen=True)
@@ -337,48 +465,75 @@ class Gathered:
     vocabulary: int
     states: np.ndarray  # sorted hashes
     counts: np.ndarray  # of the contexts
-    failure: np.ndarray  # log10 weights
 
 
 def train(rows: DataFrame, fit: Fit) -> tuple[Gathered, DataFrame]:
     """A small model to look at, its states numbered, and (state, word, total), -1 being the root. Scoring never gathers it."""
-    known, words, pairs, failure = counted(rows, fit)
-    always = F.col("state") == _int64(START)
-    found = failure.filter(always | (F.col("context") >= known.least_context)).toArrow()
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for _, texts in text_groups(part.column("text")):
+                word, before, _ = tokens(texts)
+                yield pa.RecordBatch.from_arrays([pa.array(_signed(x)) for x in (before, word)], names=["state", "word"])
+
+    seen = rows.filter("not held_out").select("text").mapInArrow(run, "state bigint, word bigint")
+    pairs = stored(seen.groupBy("state", "word").agg(F.count("*").alias("total")), "pairs")
+    words = pairs.groupBy("word").agg(F.sum("total").alias("total"))
+    n, v = words.agg(F.coalesce(F.sum("total"), F.lit(0)), F.count("*")).first()
+    contexts = pairs.groupBy("state").agg(F.sum("total").alias("context"))
+    start = int(_signed(np.array([START], dtype=np.uint64))[0])
+    found = contexts.filter((F.col("state") == start) | (F.col("context") >= max(1.0, fit.context_share * n))).toArrow()
     states = found.column("state").to_numpy().view(np.uint64)
     order = np.argsort(states)
     numbers = rows.sparkSession.createDataFrame(
         [(int(s), i) for i, s in enumerate(_signed(states[order]))], "state bigint, number int"
     )
-    arcs = words.filter("first").select(F.lit(-1).alias("state"), "word", "total").unionByName(
-        pairs.filter(F.col("first") & (F.col("total") >= fit.least))
+    arcs = words.select(F.lit(-1).alias("state"), "word", "total").unionByName(
+        pairs.filter(F.col("total") >= fit.least)
         .join(numbers, "state")
         .select(F.col("number").alias("state"), "word", "total")
     )
-    context, weight = (found.column(c).to_numpy()[order] for c in ("context", "failure"))
-    return Gathered(known.train_tokens, known.vocabulary, states[order], context, weight), arcs
-
-
-def _int64(x: int) -> int:
-    return x - 2**64 if x >= 2**63 else x
+    return Gathered(n, v, states[order], found.column("context").to_numpy()[order]), arcs
 
 
 def score(docs: DataFrame, held_out, fit: Fit | None = None) -> DataFrame:
     """Scores of each row of `docs` (doc_id, text) by a model of the rows that aren't `held_out`."""
     fit = fit or Fit()
-    rows = prepared(docs, held_out, fit)
-    automaton, words, pairs, failure = counted(rows, fit)
-    told = _told(words, pairs, failure, fit)
-    nothing = {f.name: F.lit(None).cast(f.dataType) for f in told.schema if f.name != "chunk"}
-    no_doc = {c: F.lit(None).cast(t) for c, t in (("doc_id", "bigint"), ("text", "string"), ("held_out", "boolean"))}
+    sized = _sized(docs, held_out, fit)
+    rows, bits = sized.rows, sized.bucket_bits
+    least_context = fit.context_share * _train_tokens(rows) if fit.context_share else 0.0
+    counts = rows.mapInArrow(_counted(fit, bits), COUNTS)
+    told = counts.groupBy("kind", "bucket").applyInArrow(_totals, TOLD)
     together = (
-        told.withColumns(no_doc)
-        .withColumn("is_doc", F.lit(False))
-        .unionByName(rows.withColumns(nothing).withColumn("is_doc", F.lit(True)))
+        told.unionByName(rows.withColumn("kind", F.lit(DOCS)), allowMissingColumns=True)
         .repartition("chunk")
-        .sortWithinPartitions("chunk", "is_doc")
+        .sortWithinPartitions("chunk", "kind")
+    )
+    said = stored(together.mapInArrow(_said(least_context, fit, bits), SAID), "said")
+    n, v = (x or 0 for x in said.filter(F.col("kind") == STATS).agg(F.sum("n"), F.sum("v")).first())
+    divisor = n + ADDED * (v + 1)
+    failures = (
+        said.filter(F.col("kind").isin(STATES, FAILS))
+        .select("kind", "bucket", "chunk", "keys", *SUMS, "row")
+        .groupBy("bucket")
+        .applyInArrow(_failure_weights(divisor, fit), FAILURES)
+        .groupBy("chunk", "number")
+        .agg(F.sum("failure").alias("failure"))
+    )
+    root = F.lit(math.log10(divisor))
+    return (
+        said.filter(F.col("kind") == DOCS)
+        .join(failures, ["chunk", "number"], "left")
+        .select(
+            "doc_id",
+            "held_out",
+            "n_tokens",
+            "n_known",
+            F.lit(n).cast("bigint").alias("train_tokens"),
+            (F.col("base") - F.col("n_tokens") * root).alias("base_score"),
+            (F.col("score") - F.col("n_root") * root + F.coalesce("failure", F.lit(0.0))).alias("score"),
+        )
     )
-    return together.mapInArrow(_scored(automaton, pa.int64()), SCORED)
 
 
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

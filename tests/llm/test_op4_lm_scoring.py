@@ -4,10 +4,13 @@ import math
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from mercato.llm.op4_lm_scoring import Fit, score, train, prepared
+from mercato.llm.op4_lm_scoring import (
+    Fit, _packed, _packed_keys, _unpacked, _unpacked_keys, prepared, score, train
+)
 
 END, START = b"\n", b"^"
 
@@ -145,3 +148,50 @@ def test_chances_after_each_word_add_up(spark):
     for s in contexts:
         total = end(s) + sum(10 ** (scores[f"{s} {w}"] - scores[s]) * end(s) / end(w) for w in vocabulary)
         assert total == pytest.approx(1)
+
+
+IDS = {
+    "null": lambda i: None,
+    "a third": lambda i: 5 if i % 3 == 0 else i,
+    "sparse": lambda i: i * 8000 * 100,
+}
+
+
+@pytest.mark.parametrize("ids", IDS)
+def test_crowded_ids_are_dealt_to_several_chunks(spark, ids):
+    """Whatever the ids, no chunk holds much more than it should, and the scores are those of all rows."""
+    texts = [f"{TEXTS[i % 7] or ''} extra w{i} w{i % 11} w{i % 5}" for i in range(90)]
+    held = [i % 4 == 0 for i in range(90)]
+    rows = [(IDS[ids](i), t, h) for i, (t, h) in enumerate(zip(texts, held, strict=True))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, held boolean").repartition(4)
+    fit = Fit(docs_per_chunk=100, chunk_bytes=300, bucket_bytes=200, buffered=50)
+    # Whether a row is held out is told from its text here, as ids repeat.
+    out = F.col("text").isin([t for t, h in zip(texts, held, strict=True) if h])
+    sizes = prepared(df.select("doc_id", "text"), out, fit).groupBy("chunk").agg(F.sum(F.length("text")).alias("n"))
+    found = [r["n"] for r in sizes.collect()]
+    assert len(found) >= sum(map(len, texts)) / 300 / 2 and max(found) <= 1200
+
+    def rounded(r):
+        return (r[0], r[1], r[2], round(r[3], 6), round(r[4], 6))
+
+    got = score(df.select("doc_id", "text"), out, fit).collect()
+    columns = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
+    assert sorted(rounded([r[c] for c in columns]) for r in got) == sorted(map(rounded, brute(texts, held, fit)))
+
+
+@pytest.mark.parametrize("least", [2, 3])
+def test_rare_pairs_can_be_pruned(spark, least):
+    fit = Fit(docs_per_chunk=3, least=least, buffered=7)
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id bigint, text string").repartition(3)
+    got = sorted(score(df, F.col("doc_id") % 7 == 6, fit).collect(), key=lambda r: r["doc_id"])
+    check(got, brute(TEXTS, [i % 7 == 6 for i in range(len(TEXTS))], fit))
+
+
+def test_hashes_survive_packing():
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 1000):
+        for top in (1, 2**20, 2**64 - 1):
+            keys = np.sort(rng.integers(0, top, n, dtype=np.uint64, endpoint=True))
+            assert (_unpacked_keys(_packed_keys(keys)) == keys).all()
+    for values in ([0], [255], [256, 1], [2**33, 0, 7]):
+        assert _unpacked(_packed(np.array(values)), len(values)).tolist() == values
