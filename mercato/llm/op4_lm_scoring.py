@@ -49,6 +49,7 @@ END = xxhash.xxh3_64_intdigest(b"\n")  # no word holds a line end
 START = xxhash.xxh3_64_intdigest(b"\n\n")
 MIX = np.uint64(0xA0761D6478BD642F)
 ADDED = 0.1
+BLOCK = 1_000_000  # tokens that are scored at a time
 WORDS, PAIRS, STATS = 0, 1, 2  # kinds of counts
 STATES, FAILS, DOCS = 0, 1, 3  # kinds of what a chunk says, beside STATS
 
@@ -61,15 +62,15 @@ class Fit:
     docs_per_chunk: int = 8000
     chunk_bytes: int = 32_000_000  # of text
     bucket_bytes: int = 16_000_000  # of text per bucket of hashes
-    buffered: int = 2_000_000  # tokens that a task counts at a time
+    buffered: int = 4_000_000  # tokens that a task counts at a time
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(tokens, tokens before, number per text): the words of all texts, each text's with its end."""
+def tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens, number per text): the words of all texts, each text's with its end."""
     hashes, counts = hash_words(texts)
     last = np.cumsum(counts + 1) - 1
     token = np.empty(len(hashes) + len(texts), dtype=np.uint64)
@@ -77,9 +78,18 @@ def tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     is_word[last] = False
     token[is_word] = hashes
     token[last] = END
+    return token, counts + 1
+
+
+def states_before(token: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The state in which each token is read: the token before, or the start."""
     before = np.roll(token, 1)
-    before[last - counts] = START
-    return token, before, counts + 1
+    before[np.cumsum(counts) - counts] = START
+    return before
+
+
+def arcs_of(token: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    return _arc(states_before(token, counts), token)
 
 
 def _arc(state: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -180,29 +190,35 @@ COUNTS = "kind int, bucket bigint, chunk bigint, keys binary, n binary"
 def _counted(fit: Fit, bits: int):
     """Documents to the number of times that training rows of a chunk hold each of its words and pairs."""
 
-    def counts(chunk: np.ndarray, train: np.ndarray, word: np.ndarray, arc: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for kind, key in ((WORDS, word), (PAIRS, arc)):
-            order = np.argsort(key)
-            if (chunk != chunk[0]).any():
-                order = order[np.argsort(chunk[order], kind="stable")]
-            own_key, own_chunk = key[order], chunk[order]
-            first = _runs(own_key, own_chunk)
-            n = np.add.reduceat(train[order].astype(np.int64), first)
-            own_key, own_chunk = own_key[first], own_chunk[first]
-            bucket = _buckets(own_key, bits)
-            yield _batch(
-                COUNTS,
-                [
-                    {
-                        "kind": kind,
-                        "bucket": int(bucket[s.start]),
-                        "chunk": int(own_chunk[s.start]),
-                        "keys": _packed_keys(own_key[s]),
-                        "n": _packed(n[s]),
-                    }
-                    for s in _slices(_runs(bucket, own_chunk), len(bucket))
-                ],
-            )
+    def reduced(kind: int, key: np.ndarray, chunk: np.ndarray, train: np.ndarray) -> pa.RecordBatch:
+        order = np.argsort(key)
+        if (chunk != chunk[0]).any():
+            order = order[np.argsort(chunk[order], kind="stable")]
+        key, chunk = key[order], chunk[order]
+        first = _runs(key, chunk)
+        n = np.add.reduceat(train[order], first, dtype=np.int64)
+        key, chunk = key[first], chunk[first]
+        bucket = _buckets(key, bits)
+        return _batch(
+            COUNTS,
+            [
+                {
+                    "kind": kind,
+                    "bucket": int(bucket[s.start]),
+                    "chunk": int(chunk[s.start]),
+                    "keys": _packed_keys(key[s]),
+                    "n": _packed(n[s]),
+                }
+                for s in _slices(_runs(bucket, chunk), len(bucket))
+            ],
+        )
+
+    def counts(buffer: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+        word, n, chunk, train = (np.concatenate(x) for x in zip(*buffer, strict=True))
+        buffer.clear()
+        chunk, train = np.repeat(chunk, n), np.repeat(train, n)
+        yield reduced(WORDS, word, chunk, train)
+        yield reduced(PAIRS, arcs_of(word, n), chunk, train)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buffer: list[tuple[np.ndarray, ...]] = []
@@ -211,19 +227,45 @@ def _counted(fit: Fit, bits: int):
             chunks = part.column("chunk").to_numpy()
             train = ~part.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
             for group, texts in text_groups(part.column("text")):
-                word, before, n = tokens(texts)
-                buffer.append((np.repeat(chunks[group], n), np.repeat(train[group], n), word, _arc(before, word)))
+                word, n = tokens(texts)
+                buffer.append((word, n, chunks[group], train[group]))
                 size += len(word)
                 if size >= fit.buffered:
-                    yield from counts(*map(np.concatenate, zip(*buffer, strict=True)))
-                    buffer, size = [], 0
+                    yield from counts(buffer)
+                    size = 0
         if size:
-            yield from counts(*map(np.concatenate, zip(*buffer, strict=True)))
+            yield from counts(buffer)
 
     return run
 
 
-TOLD = "chunk bigint, kind int, keys binary, totals binary, n bigint, v bigint"
+TOLD = "chunk bigint, kind int, keys binary, totals binary, docs binary, n bigint, v bigint"
+
+
+def _dealt(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents on their way to their chunk, about a megabyte of texts in a compressed block."""
+    for part in parts:
+        for group, _ in text_groups(part.column("text"), lists=False):
+            rows = part.slice(group.start, group.stop - group.start)
+            chunk = rows.column("chunk").to_numpy()
+            if (chunk != chunk[0]).any():
+                rows = rows.take(pa.array(np.argsort(chunk, kind="stable")))
+                chunk = rows.column("chunk").to_numpy()
+            docs = rows.select(["doc_id", "held_out", "text"])
+            yield _batch(
+                TOLD,
+                [
+                    {"chunk": int(chunk[s.start]), "kind": DOCS, "docs": _written(docs.slice(s.start, s.stop - s.start))}
+                    for s in _slices(_runs(chunk), len(chunk))
+                ],
+            )
+
+
+def _written(docs: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, docs.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(docs)
+    return sink.getvalue().to_pybytes()
 
 
 def _totals(counts: pa.Table) -> pa.Table:
@@ -285,8 +327,15 @@ class Chunk:
 
     def _known(self, kind: int, key: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, ...]:
         """Distinct keys, a place of each, their totals, whether the chunk owns them, and each token's number among them."""
-        keys, place, number = np.unique(key, return_index=True, return_inverse=True)
-        total = np.bincount(number, weights=train, minlength=len(keys)).astype(np.int64)
+        order = np.argsort(key)
+        key = key[order]
+        first = _runs(key)
+        keys, place = key[first], order[first]
+        total = np.add.reduceat(train[order], first, dtype=np.int64)
+        same = np.zeros(len(key), dtype=np.int32)
+        same[first[1:]] = 1
+        number = np.empty(len(key), dtype=np.int32)
+        number[order] = np.cumsum(same, dtype=np.int32)
         owned = total > 0
         for told, value in self.told[kind]:
             at = np.searchsorted(keys, told)
@@ -297,41 +346,52 @@ class Chunk:
     def said(self) -> Iterator[pa.RecordBatch]:
         if not self.docs:
             return
-        fit = self.fit
-        word, before, counts = (np.concatenate(x) for x in zip(*self.docs, strict=True))
+        word, counts = (np.concatenate(x) for x in zip(*self.docs, strict=True))
         self.docs = []
         ids = pa.Table.from_batches(self.ids)
-        held = ids.column("held_out").to_numpy().astype(bool)
-        train = np.repeat(~held, counts)
+        train = np.repeat(~ids.column("held_out").to_numpy().astype(bool), counts)
+        words, _, word_total, _, word_number = self._known(WORDS, word, train)
+        starts = word_total[np.searchsorted(words, np.uint64(END))]  # each training text has one end
+        del words
+        _, place, total, owned, number = self._known(PAIRS, arcs_of(word, counts), train)
+        place, own_total = place[owned], total[owned]
+        before = states_before(word, counts)
+        del word
+        yield from self._states(before[place], own_total, word_total[word_number[place]])
+        del place, own_total
+        ends = np.cumsum(counts)
+        failed = []
+        at = 0
+        while at < len(counts):  # some documents at a time
+            stop = max(at + 1, int(np.searchsorted(ends, ends[at] + BLOCK, side="right")))
+            own = slice(ends[at] - counts[at], ends[stop - 1])
+            found, fails = self._scores(word_total[word_number[own]], total[number[own]], counts[at:stop], starts)
+            yield self._documents(at, ids.slice(at, stop - at), counts[at:stop], *found)
+            row = np.repeat(np.arange(at, stop), counts[at:stop])
+            failed.append((before[own][fails], row[fails]))
+            at = stop
+        yield from self._failures(*(np.concatenate(x) for x in zip(*failed, strict=True)))
+
+    def _scores(self, count: np.ndarray, pair: np.ndarray, counts: np.ndarray, starts: int):
+        """Per document: known tokens, tokens read at the root, sums of log10 weights; and the tokens that fail."""
         first = np.cumsum(counts) - counts
-        words, _, word_total, _, number = self._known(WORDS, word, train)
-        count = word_total[number]
-        del number
-        # The token before is a word of the same text, but at the start. Each training text has one end.
+        # The token before is a word of the same text, but at the start.
         context = np.roll(count, 1)
-        starts = word_total[np.searchsorted(words, np.uint64(END))]
         context[first] = starts
         is_state = (context > 0) & (context >= self.least_context)
         is_state[first] = starts > 0
-        _, place, total, owned, number = self._known(PAIRS, _arc(before, word), train)
-        pair = total[number]
-        del number
-        is_arc = is_state & (pair >= max(1, fit.least))
+        is_arc = is_state & (pair >= max(1, self.fit.least))
         by_word = np.log10(count + ADDED)
         weight = by_word.copy()
-        weight[is_arc] = np.log10((pair[is_arc] - fit.discount) / context[is_arc])
-        sums = (np.add.reduceat(x, first) for x in ((count > 0).astype(np.int64), (~is_arc).astype(np.int64), by_word, weight))
-        yield self._documents(ids, counts, *sums)
-        place, total = place[owned], total[owned]
-        yield from self._states(before[place], total, count[place])
-        failed = np.flatnonzero(is_state & ~is_arc)
-        yield from self._failures(before[failed], np.repeat(np.arange(len(counts)), counts)[failed])
-
-    def _documents(self, ids: pa.Table, counts, known, root, base, score) -> pa.RecordBatch:
+        weight[is_arc] = np.log10((pair[is_arc] - self.fit.discount) / context[is_arc])
+        sums = [np.add.reduceat(x.astype(np.int64), first) for x in (count > 0, ~is_arc)]
+        return [*sums, np.add.reduceat(by_word, first), np.add.reduceat(weight, first)], np.flatnonzero(is_state & ~is_arc)
+
+    def _documents(self, start: int, ids: pa.Table, counts, known, root, base, score) -> pa.RecordBatch:
         columns = {
             "kind": pa.array(np.full(len(counts), DOCS), pa.int32()),
             "chunk": pa.array(np.full(len(counts), self.number), pa.int64()),
-            "number": pa.array(np.arange(len(counts)), pa.int64()),
+            "number": pa.array(np.arange(start, start + len(counts)), pa.int64()),
             "doc_id": ids.column("doc_id").combine_chunks().cast(pa.int64()),
             "held_out": ids.column("held_out").combine_chunks(),
             "n_tokens": pa.array(counts, pa.int64()),
@@ -399,7 +459,9 @@ def _said(least_context: float, fit: Fit, bits: int):
                     n, v = (int(rows.column(c).to_numpy().sum()) for c in ("n", "v"))
                     yield _batch(SAID, [{"kind": STATS, "n": n, "v": v}])
                 elif kinds[s.start] == DOCS:
-                    chunk.add(rows)
+                    for docs in rows.column("docs"):
+                        for own in pa.ipc.open_stream(docs.as_buffer()):
+                            chunk.add(own)
                 else:
                     for keys, totals in zip(rows.column("keys"), rows.column("totals"), strict=True):
                         chunk.tell(int(kinds[s.start]), keys.as_py(), totals.as_py())
@@ -473,8 +535,9 @@ def train(rows: DataFrame, fit: Fit) -> tuple[Gathered, DataFrame]:
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             for _, texts in text_groups(part.column("text")):
-                word, before, _ = tokens(texts)
-                yield pa.RecordBatch.from_arrays([pa.array(_signed(x)) for x in (before, word)], names=["state", "word"])
+                word, counts = tokens(texts)
+                both = states_before(word, counts), word
+                yield pa.RecordBatch.from_arrays([pa.array(_signed(x)) for x in both], names=["state", "word"])
 
     seen = rows.filter("not held_out").select("text").mapInArrow(run, "state bigint, word bigint")
     pairs = stored(seen.groupBy("state", "word").agg(F.count("*").alias("total")), "pairs")
@@ -505,7 +568,7 @@ def score(docs: DataFrame, held_out, fit: Fit | None = None) -> DataFrame:
     counts = rows.mapInArrow(_counted(fit, bits), COUNTS)
     told = counts.groupBy("kind", "bucket").applyInArrow(_totals, TOLD)
     together = (
-        told.unionByName(rows.withColumn("kind", F.lit(DOCS)), allowMissingColumns=True)
+        told.unionByName(rows.mapInArrow(_dealt, TOLD))
         .repartition("chunk")
         .sortWithinPartitions("chunk", "kind")
     )
