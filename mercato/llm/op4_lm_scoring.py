@@ -62,7 +62,7 @@ class Fit:
     docs_per_chunk: int = 8000
     chunk_bytes: int = 32_000_000  # of text
     bucket_bytes: int = 16_000_000  # of text per bucket of hashes
-    buffered: int = 4_000_000  # tokens that a task counts at a time
+    buffered: int = 3_000_000  # tokens that a task counts at a time
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -190,9 +190,9 @@ COUNTS = "kind int, bucket bigint, chunk bigint, keys binary, n binary"
 def _counted(fit: Fit, bits: int):
     """Documents to the number of times that training rows of a chunk hold each of its words and pairs."""
 
-    def reduced(kind: int, key: np.ndarray, chunk: np.ndarray, train: np.ndarray) -> pa.RecordBatch:
+    def reduced(kind: int, key: np.ndarray, chunks: np.ndarray, chunk: np.ndarray, train: np.ndarray) -> pa.RecordBatch:
         order = np.argsort(key)
-        if (chunk != chunk[0]).any():
+        if len(chunks) > 1:
             order = order[np.argsort(chunk[order], kind="stable")]
         key, chunk = key[order], chunk[order]
         first = _runs(key, chunk)
@@ -205,7 +205,7 @@ def _counted(fit: Fit, bits: int):
                 {
                     "kind": kind,
                     "bucket": int(bucket[s.start]),
-                    "chunk": int(chunk[s.start]),
+                    "chunk": int(chunks[chunk[s.start]]),
                     "keys": _packed_keys(key[s]),
                     "n": _packed(n[s]),
                 }
@@ -216,9 +216,11 @@ def _counted(fit: Fit, bits: int):
     def counts(buffer: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
         word, n, chunk, train = (np.concatenate(x) for x in zip(*buffer, strict=True))
         buffer.clear()
-        chunk, train = np.repeat(chunk, n), np.repeat(train, n)
-        yield reduced(WORDS, word, chunk, train)
-        yield reduced(PAIRS, arcs_of(word, n), chunk, train)
+        chunks, chunk = np.unique(chunk, return_inverse=True)
+        chunk, train = np.repeat(chunk.astype(np.int32), n), np.repeat(train, n)
+        yield reduced(WORDS, word, chunks, chunk, train)
+        word = arcs_of(word, n)
+        yield reduced(PAIRS, word, chunks, chunk, train)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buffer: list[tuple[np.ndarray, ...]] = []
