@@ -6,8 +6,8 @@
    several partitions. What isn't the original is a revisit.
 3. Pages are joined with their revisit by page id, so payloads are never shuffled by a digest that
    a third of the pages may share. Each row becomes one WARC record with fresh headers, a revisit
-   without the payload, and Spark's text writer writes the archives (gzip, a bounded number of
-   records per file) with its own commit of whole tasks: a lost executor leaves no half archive.
+   without the payload, and Spark's text writer writes the archives (a gzip member per record, a bounded
+   number of records per file) with its own commit of whole tasks: a lost executor leaves no half archive.
 4. Reading takes one archive per task and follows Content-Length, so payloads may hold anything.
 
 A NULL payload is empty. Payloads below `MIN_REVISIT` bytes are always responses. Rows that repeat
@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.llm.common import batches, id_text, salted_lookup, table
+from mercato.llm.shingles import text_groups
 from mercato.session import work_dir
 
 MIN_REVISIT = 1000
@@ -37,17 +38,17 @@ HTTP_HEAD = f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}C
 
 
 def revisits(pages: DataFrame) -> DataFrame:
-    """(_key, _digest, refers_to) of the pages whose payload another page stores."""
-    headers = pages.filter(F.col("_bytes") >= MIN_REVISIT).select("page_id", "_key", "_digest")
+    """(_key, _digest, refers_to, _refers_uri) of the pages whose payload another page stores."""
+    headers = pages.filter(F.col("_bytes") >= MIN_REVISIT).select("page_id", "url", "_key", "_digest")
     originals = (
         headers.groupBy("_digest")
-        .agg(F.max("page_id").alias("refers_to"), F.count("*").alias("_records"))
+        .agg(F.max(F.struct("page_id", "url")).alias("_original"), F.count("*").alias("_records"))
         .filter("_records > 1")
-        .drop("_records")
+        .select("_digest", F.col("_original.page_id").alias("refers_to"), F.col("_original.url").alias("_refers_uri"))
     )
     found = salted_lookup(headers, originals, "_digest", F.col("_key"))
     later = found.filter("refers_to is not null and not (page_id <=> refers_to)")
-    return later.select("_key", "_digest", "refers_to").distinct()
+    return later.select("_key", "_digest", "refers_to", "_refers_uri").distinct()
 
 
 def _uuid(digest: Column) -> Column:
@@ -71,6 +72,11 @@ def _record_id(page_id: Column, digest: Column) -> Column:
     return _uuid(F.md5(F.concat_ws("|", F.lit("record"), page_id.cast("string"), digest)))
 
 
+def _uri(url: Column) -> Column:
+    """A header ends at the line end, so control characters of a URL are left out."""
+    return F.regexp_replace(url, r"[\x00-\x20\x7F]", "")
+
+
 def records(pages: DataFrame, written_at: str) -> DataFrame:
     """One record per row as text, without the final blank lines."""
     original = F.col("refers_to")
@@ -81,14 +87,15 @@ def records(pages: DataFrame, written_at: str) -> DataFrame:
         ("WARC-Type", F.when(is_revisit, F.lit("revisit")).otherwise(F.lit("response"))),
         ("WARC-Record-ID", F.concat(F.lit("<urn:uuid:"), _record_id(F.col("page_id"), F.col("_digest")), F.lit(">"))),
         ("WARC-Date", F.lit(written_at)),
-        # A header ends at the line end, so control characters of a URL are left out.
-        ("WARC-Target-URI", F.regexp_replace(F.coalesce("url", F.lit("")), r"[\x00-\x20\x7F]", "")),
+        ("WARC-Target-URI", _uri(F.coalesce("url", F.lit("")))),
         ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), _base32(F.col("_digest")))),
         ("WARC-Profile", F.when(is_revisit, F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))),
         (
             "WARC-Refers-To",
             F.when(is_revisit, F.concat(F.lit("<urn:uuid:"), _record_id(original, F.col("_digest")), F.lit(">"))),
         ),
+        ("WARC-Refers-To-Target-URI", F.when(is_revisit, _uri(F.col("_refers_uri")))),
+        ("WARC-Refers-To-Date", F.when(is_revisit, F.lit(written_at))),
         ("X-Page-ID", F.col("page_id").cast("string")),
         ("X-Refers-To-Page-ID", original.cast("string")),
         ("Content-Type", F.lit("application/http;msgtype=response")),
@@ -98,6 +105,27 @@ def records(pages: DataFrame, written_at: str) -> DataFrame:
     return pages.select(F.concat(F.concat_ws(CRLF, F.lit("WARC/1.1"), *lines), F.lit(RECORD_END), block).alias("value"))
 
 
+def member(record: bytes) -> bytes:
+    """A record as a gzip member whose last byte is 0, without that byte.
+
+    A member ends with its size in four bytes, the highest last. From 16 MB on that isn't 0, and an empty member
+    follows.
+    """
+    out = gzip.compress(record, 6, mtime=0)
+    if out[-1]:
+        out += gzip.compress(b"", mtime=0)
+    return out[:-1]
+
+
+def _members(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    end = RECORD_END.encode()
+    for part in parts:
+        # Some records at a time, as they may be long.
+        for _, texts in text_groups(part.column("value")):
+            packed = [member(t.encode() + end) for t in texts]
+            yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary())], names=["value"])
+
+
 def write_archives(pages: DataFrame, path: str, written_at: str = "2024-01-01T00:00:00Z") -> None:
     """Write `pages` (page_id, url, html) as WARC archives into the new folder `path`."""
     payload = F.coalesce(F.col("html"), F.lit(""))
@@ -109,8 +137,10 @@ def write_archives(pages: DataFrame, path: str, written_at: str = "2024-01-01T00
         F.octet_length(payload).alias("_bytes"),
         F.sha1(payload.cast("binary")).alias("_digest"),
     )
-    records(full.join(revisits(full), ["_key", "_digest"], "left"), written_at).write.options(
-        lineSep=RECORD_END, compression="gzip", maxRecordsPerFile=RECORDS_PER_FILE
+    found = records(full.join(revisits(full), ["_key", "_digest"], "left"), written_at)
+    # The writer ends each row with the byte that members lack.
+    found.mapInArrow(_members, "value binary").select(F.col("value").cast("string")).write.options(
+        lineSep="\0", compression="none", maxRecordsPerFile=RECORDS_PER_FILE
     ).text(path)
 
 

@@ -4,11 +4,12 @@ import base64
 import glob
 import gzip
 import hashlib
+import zlib
 from collections import Counter
 
 import pytest
 
-from mercato.llm.op9_warc import parse, read_archives, write_archives
+from mercato.llm.op9_warc import member, parse, read_archives, write_archives
 
 BIG = "<p>" + "x" * 1200 + "\r\n\r\nWARC/1.1\r\n\r\n</p>"
 
@@ -79,3 +80,28 @@ def test_odd_rows(result, odd_dir, spark):
     rows = result("op9", odd_dir)
     assert Counter(r["page_id"] for r in rows) == pages
     assert {r["record_type"] for r in rows} == {"response"}
+
+
+def test_a_member_per_record(archives):
+    """Archives can be read at any record's offset, as WARC readers do."""
+    uris, referred = [], []
+    for f in glob.glob(f"{archives}/part-*"):
+        with open(f, "rb") as file:
+            rest = file.read()
+        while rest:
+            one = zlib.decompressobj(wbits=31)
+            ((headers, _),) = parse(one.decompress(rest))
+            assert one.eof
+            rest = one.unused_data
+            uris.append(headers["warc-target-uri"])
+            if headers["warc-type"] == "revisit":
+                referred.append((headers.get("warc-refers-to-target-uri"), headers["warc-refers-to-date"]))
+    assert len(uris) == len(ROWS)
+    # The original of the long payload has no URL.
+    assert Counter(referred) == Counter({(None, "2024-01-01T00:00:00Z"): 2, ("http://a/9", "2024-01-01T00:00:00Z"): 2})
+
+
+@pytest.mark.parametrize("size", [0, 1, 2**24 - 1, 2**24, 2**24 + 5])
+def test_members_of_any_size(size):
+    record = b"x" * size
+    assert gzip.decompress(member(record) + b"\0" + member(b"next") + b"\0") == record + b"next"
