@@ -47,6 +47,7 @@ class Search:
     reach: float = 0.78
     bucket_rows: int = 128
     chunk_rows: int = 4096
+    probing_tasks: int = 0  # that work out the buckets of queries; 0: as many as the cluster has cores
     sample_rows: int = 20_000
     sample_queries: int = 200
     sample_numbers: int = 4_000_000  # rows times components
@@ -335,7 +336,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, search: Search | None = None
     named = F.col("_class").alias("class")
     placed = PLACED + kind
     indexed = classes.select(named, "ids", "vec").mapInArrow(_placed(index, INDEXED), placed)
-    questions = asked.groupBy("_class").agg(F.any_value("vec").alias("vec"))
+    # A few questions are little data but much work, so their partitions are not left to be merged by size.
+    tasks = search.probing_tasks or spark.sparkContext.defaultParallelism
+    questions = asked.repartition(tasks, "_class").groupBy("_class").agg(F.any_value("vec").alias("vec"))
     no_ids = F.array().cast("array<bigint>").alias("ids")
     probing = questions.select(named, no_ids, "vec").mapInArrow(_placed(index, ASKED), placed)
 

@@ -104,3 +104,12 @@ def test_recall_with_groups_of_near_copies(spark, cosine):
     own = np.array([len(set(want[q]) & {i for i, _ in got.get(q, [])}) / 5 for q in range(120)])
     alone = near.max(axis=1) < 0.7
     assert own.mean() >= 0.9 and own[alone].mean() >= 0.9
+
+
+def test_probing_is_spread_over_tasks(spark):
+    """Few questions take long, so their partitions aren't merged by size."""
+    rows = [(i, [float(i % 7), float(i % 11), 1.0 + i]) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id bigint, vec array<double>")
+    for tasks in (3, 5):
+        plan = nearest(df, df, Search(probing_tasks=tasks))._jdf.queryExecution().executedPlan().toString()
+        assert f", {tasks}), REPARTITION_BY_NUM" in plan
