@@ -58,6 +58,7 @@ def upsert(
     search: Iterable[str] | None = None,
     settings: Settings | None = None,
     run: dict | None = None,
+    arranged: bool = False,
 ) -> Version:
     """Publish a version in which the rows of `batch` replace those of `base` with the same key.
 
@@ -66,7 +67,8 @@ def upsert(
     table only partitions that hold replaced rows are rewritten. They are found
     by looking for the batch's keys in the whole table's key column, as a row may
     have moved to another partition. `search` names the partitions to look in,
-    where it is known that others cannot hold any. The version keeps `run`.
+    where it is known that others cannot hold any. The version keeps `run`. A batch that is `arranged`
+    by the table's partitions is written as it is.
 
     The keys of a batch of up to `broadcast_max_ids` rows are broadcast, so that the old table
     is only scanned. Of a larger batch, a Bloom filter of at most `upsert_filter_bits` is. Rows of the
@@ -76,7 +78,7 @@ def upsert(
     """
     column = table.partition_column
     settings = settings or Settings()
-    staged = table.stage(batch)
+    staged = table.stage(batch, arranged)
     new_rows = staged.read()
     require_unique(new_rows, key)
     if base is None:
@@ -91,6 +93,8 @@ def upsert(
     keys = F.broadcast(keys) if few else keys
     sizes = None if few else size_for(count(), settings.upsert_filter_bits)
     known = bloom_filter(keys, key, *sizes) if sizes else None
+    if known:  # it serves the search and the rewriting
+        known.frame.persist()
     if column and not retyped:
         candidates = base.read(search, with_partition=True).select(key, column)
         touched = {r[0] for r in replaced_rows(candidates, keys, key, few, known).select(column).distinct().collect()}
@@ -101,6 +105,8 @@ def upsert(
     if touched:
         rest = kept_rows(base.read(touched, with_partition=True), keys, key, known)
         batches.append(table.stage(sync_schema(rest, batch.schema)))
+    if known:
+        known.frame.unpersist()
     return table.commit(
         base, batches, staged.schema, keep=[p for p in everything if p not in touched], run=run
     )

@@ -11,13 +11,17 @@ from pyspark.sql import functions as F
 
 from mercato.config import Settings
 from mercato.functions import ntz, surrogate_key
-from mercato.operators.joins import Lookup, enrich, fits_broadcast, only_keys_of
+from mercato.operators.bloom import bloom_filter, size_for
+from mercato.operators.joins import Lookup, enrich, fits_broadcast, id_exceptions, only_keys_of
 from mercato.plans import dimensions, intermediate, staging
 from mercato.plans.intermediate import DELIVERY_METRICS, ORDER_TIMES, PAYMENT_METRICS, SLA_METRICS
 from mercato.sources.raw import Sources
 
 FCT_ORDERS_KEY = "order_item_key"
 
+# An update filters items and payments by its orders if these are at most this share of all.
+_FILTERED_SHARE = 0.75
+
 # Names and order of output columns, here and below.
 FCT_ORDERS_COLUMNS = [
     "order_item_key",
@@ -71,6 +75,7 @@ def fct_orders(
     settings: Settings,
     since: dt.datetime | None = None,
     columns: Collection[str] = tuple(FCT_ORDERS_COLUMNS),
+    arrange: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Order items with keys, money, payment and delivery metrics.
 
@@ -85,6 +90,13 @@ def fct_orders(
     These steps rely on one row per order_id, customer_id, product_id and
     seller_id, which the quality suite checks.
 
+    `arrange` may shuffle the rows and add columns, which are kept. It gets them while they
+    are narrow, before keys are hashed.
+
+    Sellers and products too large to broadcast are not joined if the ids that they lack or
+    repeat are few: then these are broadcast instead. An update drops the items and payments of other orders in the
+    scan, by the ids of its orders or, if these are many but no more than three quarters, by a Bloom filter of them.
+
     Where items are shuffled to their orders anyway and no order is hot, the order's deadline is
     taken from the same exchange, so that items are read and shuffled once. Otherwise deadlines are
     reduced map-side in a scan of their own and joined at order grain.
@@ -105,6 +117,11 @@ def fct_orders(
     ):
         few_orders = placed
 
+    keys = None
+    if since and few_orders is None and not _broadcasts(placed, placed_size, settings):
+        if placed_size() <= _FILTERED_SHARE * src.size("orders")():
+            sizes = size_for(placed_size(), settings.upsert_filter_bits)
+            keys = bloom_filter(placed, "order_id", *sizes) if sizes else None
     orders = placed
     if "customer_key" in want:
         people = staging.customers(src).select("customer_id", "customer_unique_id")
@@ -112,33 +129,47 @@ def fct_orders(
         if few_orders is not None:
             people, people_size = only_keys_of(people, few_orders, "customer_id"), placed_size
         by_customer = Lookup(people, "customer_id", size=people_size)
-        orders = enrich(orders, [by_customer], settings, size=placed_size).withColumn(
-            "customer_key",
-            F.when(F.col("customer_unique_id").isNotNull(), surrogate_key("customer_unique_id")),
-        )
+        orders = enrich(orders, [by_customer], settings, size=placed_size)
     if want & set(PAYMENT_METRICS):
         orders = orders.join(
-            intermediate.order_payments_summary(src, few_orders), "order_id", "left"
+            intermediate.order_payments_summary(src, few_orders, keys), "order_id", "left"
         )
     items_size = src.size("order_items")
-    sla_of_items = bool(want & set(SLA_METRICS)) and not since and _one_exchange(src, orders, want, settings)
+    sla_of_items = bool(want & set(SLA_METRICS)) and _one_exchange(src, orders, want, placed_size, settings)
     if want & set(SLA_METRICS) and not sla_of_items:
         orders = orders.join(intermediate.shipping_deadlines(src, few_orders), "order_id", "left")
     of_order = want - set(SLA_METRICS) if sla_of_items else want
     orders = intermediate.with_delivery_metrics(orders, of_order)
 
     needed = of_order | {"order_id"} | ({"ordered_at"} if "order_date_key" in want else set())
+    needed |= {"customer_unique_id"} if "customer_key" in want else set()
     needed |= {"shipped_at"} if sla_of_items else set()
     orders = orders.select(*[c for c in orders.columns if c in needed])
 
+    items, known_hot = staging.order_items(src), (src.hot_keys, "order_items")
+    asked_ids = items
+    if not _broadcasts(orders, placed_size, settings):
+        if few_orders is not None:
+            asked_ids = items = only_keys_of(items, few_orders, "order_id")
+            known_hot = None
+        elif keys:
+            items, known_hot = keys.maybe(items, "order_id"), None
+
     by_order = Lookup(orders, "order_id", how="inner", size=placed_size)
-    lookups = []
+    lookups, exceptions = [], {}
     for name, ids in (("seller", staging.sellers(src)), ("product", staging.products(src))):
         if f"{name}_key" in want:
             known = ids.select(f"{name}_id", F.lit(True).alias(f"{name}_known"))
-            lookups.append(Lookup(known, f"{name}_id", size=src.size(f"{name}s"), only_ids=True))
+            lookup = Lookup(known, f"{name}_id", size=src.size(f"{name}s"), only_ids=True)
+            if not fits_broadcast(lookup.size, settings.broadcast_max_ids, known, settings.broadcast_max_bytes):
+                flag = f"__{name}_flag"
+                found = id_exceptions(asked_ids, ids.select(f"{name}_id"), f"{name}_id", flag, settings)
+                if found is not None:
+                    exceptions[name] = found
+                    by_ids = settings.broadcast_max_ids > settings.broadcast_max_rows
+                    lookup = Lookup(found, f"{name}_id", size=lambda: 0, only_ids=by_ids)
+            lookups.append(lookup)
 
-    items, known_hot = staging.order_items(src), (src.hot_keys, "order_items")
     if sla_of_items:
         items = enrich(items, lookups, settings, size=items_size, known_hot=known_hot)
         items = items.withColumn(
@@ -149,29 +180,37 @@ def fct_orders(
         # A full build shuffles narrow item rows by seller and product before they
         # get their order columns; an incremental one cuts the items down first.
         lookups = [by_order, *lookups] if since else [*lookups, by_order]
-        if few_orders is not None and not _broadcasts(orders, placed_size, settings):
-            items, known_hot = only_keys_of(items, few_orders, "order_id"), None
         items = enrich(items, lookups, settings, size=items_size, known_hot=known_hot)
+    for name in exceptions:
+        is_known = F.coalesce(F.col(f"__{name}_flag"), F.col(f"{name}_id").isNotNull())
+        items = items.withColumn(f"{name}_known", is_known).drop(f"__{name}_flag")
+    added = []
+    if arrange is not None:
+        narrow, items = items, arrange(items)
+        added = [c for c in items.columns if c not in narrow.columns]
     if "order_date_key" in want:
         items = _with_date_key(items, src, settings, "ordered_at", "order_date_key")
     # Keys are hashed last, so that their 32 characters are not shuffled.
     derived = {
         "order_item_key": surrogate_key("order_id", "order_item_id"),
+        "customer_key": F.when(F.col("customer_unique_id").isNotNull(), surrogate_key("customer_unique_id")),
         "seller_key": F.when(F.col("seller_known"), surrogate_key("seller_id")),
         "product_key": F.when(F.col("product_known"), surrogate_key("product_id")),
         "item_total_value": F.col("price") + F.col("freight_value"),
     }
-    return items.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in columns])
+    return items.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in columns], *added)
 
 
 def _broadcasts(orders: DataFrame, size: Callable[[], int], settings: Settings) -> bool:
     return fits_broadcast(size, settings.broadcast_max_rows, orders, settings.broadcast_max_bytes)
 
 
-def _one_exchange(src: Sources, orders: DataFrame, want: set[str], settings: Settings) -> bool:
+def _one_exchange(
+    src: Sources, orders: DataFrame, want: set[str], placed_size: Callable[[], int], settings: Settings
+) -> bool:
     """Whether the exchange that brings all items to their orders can give the deadlines too."""
     kept = [c for c in orders.columns if c in want | {"order_id", "shipped_at"}]
-    if _broadcasts(orders.select(*kept), src.size("orders"), settings):
+    if _broadcasts(orders.select(*kept), placed_size, settings):
         return False
     rows = src.size("order_items")()
     if rows < settings.hot_key_min_rows:

@@ -114,17 +114,20 @@ def load_orders(
         if not rebuild:
             log.warning("the order fact is empty, so there is no watermark and nothing is loaded")
 
+    def by_period(rows: DataFrame) -> DataFrame:
+        return table.arrange(partition_by_period(rows, settings))
+
     if rebuild:
-        staged = table.stage(partition_by_period(facts.fct_orders(src, settings), settings))
+        staged = table.stage(facts.fct_orders(src, settings, arrange=by_period), arranged=True)
         require_unique(staged.read(), facts.FCT_ORDERS_KEY)
         version = table.commit(version, [staged], staged.schema, run=run.as_manifest())
     elif since is not None:
         if only_orders is not None:
             src = src.replace(orders=conform(only_orders.withColumn("_loaded_at", F.lit(None)), ORDERS, "orders"))
-        fact = partition_by_period(facts.fct_orders(src, settings, since=since), settings)
+        fact = facts.fct_orders(src, settings, since=since, arrange=by_period)
         recent = [p for p in version.partitions() if p >= since.strftime(_PERIOD[settings.fact_partition])]
         search = recent if settings.fixed_order_times and only_orders is None else None
-        version = upsert(table, version, fact, facts.FCT_ORDERS_KEY, search, settings, run.as_manifest())
+        version = upsert(table, version, fact, facts.FCT_ORDERS_KEY, search, settings, run.as_manifest(), arranged=True)
     if run_log_path:
         audit.log_run(run, version, run_log_path)
 
