@@ -122,3 +122,27 @@ def test_relationships_need_no_join(spark):
     assert sorted(r.failures for r in result.collect()) == sorted(alone)
     assert "SortMergeJoin" not in text and text.count("BroadcastHashJoin") == 1
     assert text.count("Exchange hashpartitioning(id") == 2  # values, then the sums of 51 checks or fewer
+
+
+def test_a_column_that_many_checks_ask_for_adds_each_value_once(spark):
+    """Unique, and referred to by two columns: one value per row is shuffled, not three."""
+    parents = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "k string")
+    left = spark.createDataFrame([("a",), ("x",), ("x",), (None,)], "k string")
+    right = spark.createDataFrame([("b",), ("y",)], "k string")
+    models = {"parent": parents, "left": left, "right": right}
+    checks = [
+        Check("left", "k", "relationships", to="parent", field="k"),
+        Check("right", "k", "relationships", to="parent", field="k"),
+        Check("parent", "k", "unique"),
+        Check("parent", "k", "not_null"),
+    ]
+    numbered = list(enumerate(checks))
+    values = [*quality._values(numbered, models).values()]
+    assert quality._findings("parent", parents, values, numbered, None).count() == 3 + 1
+    result = {r.check: r.failures for r in quality.run_checks(checks, models).collect()}
+    assert result == {
+        "relationships_left_k": 2,
+        "relationships_right_k": 1,
+        "unique_parent_k": 1,
+        "not_null_parent_k": 1,
+    }
