@@ -19,9 +19,13 @@ from mercato.sources.raw import Sources
 
 FCT_ORDERS_KEY = "order_item_key"
 
-# An update filters items and payments by its orders if these are at most this share of all.
+# An update filters items and payments by its orders if these are at most this share of all, and a
+# load of the whole fact if they are at most this share of those that items name.
 _FILTERED_SHARE = 0.75
 
+# Columns in which items of an order differ, as they are shuffled to their place in the table.
+_OF_ITEM = ("order_item_id", "product_id", "seller_id", "price", "freight_value")
+
 # Names and order of output columns, here and below.
 FCT_ORDERS_COLUMNS = [
     "order_item_key",
@@ -91,11 +95,12 @@ def fct_orders(
     seller_id, which the quality suite checks.
 
     `arrange` may shuffle the rows and add columns, which are kept. It gets them while they
-    are narrow, before keys are hashed.
+    are narrow, before keys are hashed and delivery metrics are derived.
 
     Sellers and products too large to broadcast are not joined if the ids that they lack or
     repeat are few: then these are broadcast instead. An update drops the items and payments of other orders in the
-    scan, by the ids of its orders or, if these are many but no more than three quarters, by a Bloom filter of them.
+    scan, by the ids of its orders or, if these are many but no more than three quarters, by a Bloom filter of them. So does
+    a full build that is arranged, if items name orders that aren't there in such numbers.
 
     Where items are shuffled to their orders anyway and no order is hot, the order's deadline is
     taken from the same exchange, so that items are read and shuffled once. Otherwise deadlines are
@@ -118,8 +123,9 @@ def fct_orders(
         few_orders = placed
 
     keys = None
-    if since and few_orders is None and not _broadcasts(placed, placed_size, settings):
-        if placed_size() <= _FILTERED_SHARE * src.size("orders")():
+    if (since or arrange is not None) and few_orders is None and not _broadcasts(placed, placed_size, settings):
+        named = src.size("orders") if since else lambda: _orders_named(src)
+        if placed_size() <= _FILTERED_SHARE * named():
             sizes = size_for(placed_size(), settings.upsert_filter_bits)
             keys = bloom_filter(placed, "order_id", *sizes) if sizes else None
     orders = placed
@@ -139,9 +145,12 @@ def fct_orders(
     if want & set(SLA_METRICS) and not sla_of_items:
         orders = orders.join(intermediate.shipping_deadlines(src, few_orders), "order_id", "left")
     of_order = want - set(SLA_METRICS) if sla_of_items else want
-    orders = intermediate.with_delivery_metrics(orders, of_order)
+    metrics_of = set() if arrange is not None else of_order
+    orders = intermediate.with_delivery_metrics(orders, metrics_of)
 
     needed = of_order | {"order_id"} | ({"ordered_at"} if "order_date_key" in want else set())
+    if arrange is not None and want & set(DELIVERY_METRICS):
+        needed |= {*ORDER_TIMES, "shipping_deadline"}
     needed |= {"customer_unique_id"} if "customer_key" in want else set()
     needed |= {"shipped_at"} if sla_of_items else set()
     orders = orders.select(*[c for c in orders.columns if c in needed])
@@ -175,32 +184,52 @@ def fct_orders(
         items = items.withColumn(
             "shipping_deadline", F.min("shipping_limit_at").over(Window.partitionBy("order_id"))
         ).drop("shipping_limit_at")
-        items = intermediate.with_delivery_metrics(items.join(orders, "order_id"), want & set(SLA_METRICS))
+        items = _of_known_ids(items, lookups, exceptions).join(orders, "order_id")
+        if arrange is None:
+            items = intermediate.with_delivery_metrics(items, want & set(SLA_METRICS))
     else:
         # A full build shuffles narrow item rows by seller and product before they
         # get their order columns; an incremental one cuts the items down first.
-        lookups = [by_order, *lookups] if since else [*lookups, by_order]
-        items = enrich(items, lookups, settings, size=items_size, known_hot=known_hot)
-    for name in exceptions:
-        is_known = F.coalesce(F.col(f"__{name}_flag"), F.col(f"{name}_id").isNotNull())
-        items = items.withColumn(f"{name}_known", is_known).drop(f"__{name}_flag")
+        ordered = [by_order, *lookups] if since else [*lookups, by_order]
+        items = enrich(items, ordered, settings, size=items_size, known_hot=known_hot)
+        items = _of_known_ids(items, lookups, exceptions)
     added = []
     if arrange is not None:
-        narrow, items = items, arrange(items)
+        # What the items of an order share lies together, as rows that differ in one place only compress best.
+        shared = [c for c in items.columns if c not in _OF_ITEM]
+        narrow = items.select(*shared, *[c for c in items.columns if c in _OF_ITEM])
+        items = arrange(narrow)
         added = [c for c in items.columns if c not in narrow.columns]
+        items = intermediate.with_delivery_metrics(items, want)
     if "order_date_key" in want:
         items = _with_date_key(items, src, settings, "ordered_at", "order_date_key")
     # Keys are hashed last, so that their 32 characters are not shuffled.
     derived = {
         "order_item_key": surrogate_key("order_id", "order_item_id"),
         "customer_key": F.when(F.col("customer_unique_id").isNotNull(), surrogate_key("customer_unique_id")),
-        "seller_key": F.when(F.col("seller_known"), surrogate_key("seller_id")),
-        "product_key": F.when(F.col("product_known"), surrogate_key("product_id")),
+        "seller_key": F.when(F.col("seller_id").isNotNull(), surrogate_key("seller_id")),
+        "product_key": F.when(F.col("product_id").isNotNull(), surrogate_key("product_id")),
         "item_total_value": F.col("price") + F.col("freight_value"),
     }
     return items.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in columns], *added)
 
 
+def _of_known_ids(items: DataFrame, lookups: Collection[Lookup], exceptions: Collection[str]) -> DataFrame:
+    """`items` with NULL for the seller and product ids that are not known, instead of flags beside them."""
+    for column in [x.on for x in lookups]:
+        name = column.removesuffix("_id")
+        flag = f"__{name}_flag" if name in exceptions else f"{name}_known"
+        # An id without an exception is known; one that a join hasn't found is not.
+        is_known = F.coalesce(flag, F.lit(True)) if name in exceptions else F.col(flag)
+        items = items.withColumn(column, F.when(is_known, F.col(column))).drop(flag)
+    return items
+
+
+def _orders_named(src: Sources) -> int:
+    """About how many orders the items name. No row is shuffled for it."""
+    return staging.order_items(src).agg(F.approx_count_distinct("order_id", 0.02)).first()[0]
+
+
 def _broadcasts(orders: DataFrame, size: Callable[[], int], settings: Settings) -> bool:
     return fits_broadcast(size, settings.broadcast_max_rows, orders, settings.broadcast_max_bytes)
 

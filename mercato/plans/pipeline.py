@@ -67,7 +67,7 @@ class Warehouse:
 def partition_by_period(orders: DataFrame, settings: Settings) -> DataFrame:
     """Add the partition column, whose values sort by time. It is not a column of the model."""
     period = F.date_format("ordered_at", _SPARK_PERIOD[settings.fact_partition])
-    return orders.withColumn(ORDER_PARTITION, period)
+    return orders.select(period.alias(ORDER_PARTITION), "*")
 
 
 def watermark(version: Version, settings: Settings) -> dt.datetime | None:

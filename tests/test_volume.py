@@ -100,3 +100,32 @@ def test_large_update_filters_items_and_payments(src, settings, no_auto_broadcas
     df = facts.fct_orders(src, replace(settings, broadcast_max_rows=4, broadcast_max_ids=0), since=SINCE)
     assert plan(df).count("__bloom_block") >= 4 and "Window " in plan(df)
     assert df.select(F.min("ordered_at")).first()[0] >= SINCE
+
+
+def arranged_plan(src, settings, arrange=lambda df: df.repartition("ordered_at")):
+    df = facts.fct_orders(src, settings, arrange=arrange)
+    return df, plan(df)
+
+
+def test_load_filters_items_of_orders_that_are_not_there(src, settings, no_auto_broadcast):
+    """Items name 32 orders. Where ten of them are there, other orders' items and payments pass no shuffle."""
+    few = replace(settings, broadcast_max_rows=4, broadcast_max_ids=0)
+    whole, text = arranged_plan(src, few)
+    assert "__bloom_block" not in text
+    some = src.replace(orders=src.orders.filter("order_id like 'o1%'"))
+    df, text = arranged_plan(some, few)
+    assert text.count("__bloom_block") >= 4 and "Window " in text
+    assert content(df) == content(facts.fct_orders(some, settings))
+    assert content(whole) == content(facts.fct_orders(src, settings))
+
+
+@pytest.mark.parametrize("limits", [(100, 100), (3, 0), (0, 0)])
+def test_metrics_and_flags_are_not_shuffled_to_periods(src, settings, no_auto_broadcast, limits):
+    rows, ids = limits
+    seen = []
+    df, _ = arranged_plan(
+        src, replace(settings, broadcast_max_rows=rows, broadcast_max_ids=ids), lambda rows: seen.append(rows) or rows
+    )
+    derived = {"delivery_delay_days", "is_on_time_delivery", "is_seller_sla_breach", "seller_processing_days"}
+    assert not [c for c in seen[0].columns if c in derived or c.endswith(("_known", "_flag"))]
+    assert content(df) == content(facts.fct_orders(src, settings))
