@@ -73,7 +73,8 @@ def upsert(
     The keys of a batch of up to `broadcast_max_ids` rows are broadcast, so that the old table
     is only scanned. Of a larger batch, a Bloom filter of at most `upsert_filter_bits` is. Rows of the
     old table that it rules out are never shuffled, neither in the search for touched partitions, where
-    8-byte hashes of the others' keys are, nor in rewriting them. A batch with too many keys for a filter
+    8-byte hashes of the others' keys are, nor in rewriting them. If few rows pass, a filter of their keys keeps the
+    batch's other keys, which are new, from being shuffled too. A batch with too many keys for a filter
     of that size goes without.
     """
     column = table.partition_column
@@ -93,8 +94,15 @@ def upsert(
     keys = F.broadcast(keys) if few else keys
     sizes = None if few else size_for(count(), settings.upsert_filter_bits)
     known = bloom_filter(keys, key, *sizes) if sizes else None
+    found = None
     if known:  # it serves the search and the rewriting
         known.frame.persist()
+        if not retyped:
+            old = base.read(search if column else None).select(key)
+            found = found_filter(old, key, known, count(), settings)
+        if found:
+            found.frame.persist()
+            keys = found.maybe(keys, key)
     if column and not retyped:
         candidates = base.read(search, with_partition=True).select(key, column)
         touched = {r[0] for r in replaced_rows(candidates, keys, key, few, known).select(column).distinct().collect()}
@@ -105,13 +113,27 @@ def upsert(
     if touched:
         rest = kept_rows(base.read(touched, with_partition=True), keys, key, known)
         batches.append(table.stage(sync_schema(rest, batch.schema)))
-    if known:
-        known.frame.unpersist()
+    for filtered in (known, found):
+        if filtered:
+            filtered.frame.unpersist()
     return table.commit(
         base, batches, staged.schema, keep=[p for p in everything if p not in touched], run=run
     )
 
 
+def found_filter(
+    old: DataFrame, key: str, known: BloomFilter, batch_size: int, settings: Settings
+) -> BloomFilter | None:
+    """A filter of the old keys that the batch may replace, if these are no more than half of the batch's.
+
+    Of the batch, only keys that pass it need be compared with the old table.
+    """
+    passed = known.maybe(old, key)
+    number = passed.count()
+    sizes = size_for(number, settings.upsert_filter_bits) if number <= batch_size // 2 else None
+    return bloom_filter(passed, key, *sizes) if sizes else None
+
+
 def replaced_rows(
     rows: DataFrame, keys: DataFrame, key: str, few: bool, known: BloomFilter | None
 ) -> DataFrame:

@@ -10,6 +10,7 @@ from hypothesis import HealthCheck, given, settings as hypothesis_settings
 from hypothesis import strategies as st
 
 from mercato.config import Settings
+from mercato.operators import upsert as upsert_module
 from mercato.operators.bloom import BLOCK_BITS, bloom_filter, size_for
 from mercato.operators.upsert import kept_rows, replaced_rows, upsert
 from mercato.sources.published import PublishedTable
@@ -121,3 +122,20 @@ def test_only_rows_that_pass_are_shuffled(spark, table):
         assert 50 <= passed < 60
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_new_keys_of_a_large_batch_are_not_shuffled(spark, table, monkeypatch):
+    """Fifty of a thousand keys are in the old table: hardly more of the batch are compared with it."""
+    compared = []
+    kept = upsert_module.kept_rows
+    monkeypatch.setattr(upsert_module, "kept_rows", lambda r, keys, *a: compared.append(keys.count()) or kept(r, keys, *a))
+    first = upsert(table, None, numbers(spark, 0, 1000, 1), "k")
+    second = upsert(table, first, numbers(spark, 950, 1950, 2), "k", settings=NO_BROADCAST)
+    assert {r.k: r.v for r in second.read().collect()} == {f"k{i}": 1 + (i >= 950) for i in range(1950)}
+    # all keys are there already: no second filter, and every key is compared
+    third = upsert(table, second, numbers(spark, 0, 1950, 3), "k", settings=NO_BROADCAST)
+    assert {r.k: r.v for r in third.read().collect()} == {f"k{i}": 3 for i in range(1950)}
+    # no key is there: nothing is rewritten
+    fourth = upsert(table, third, numbers(spark, 5000, 5100, 4), "k", settings=NO_BROADCAST)
+    assert fourth.read().count() == 2050
+    assert 50 <= compared[0] < 60 and compared[1:] == [1950]
