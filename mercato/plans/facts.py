@@ -80,6 +80,7 @@ def fct_orders(
     since: dt.datetime | None = None,
     columns: Collection[str] = tuple(FCT_ORDERS_COLUMNS),
     arrange: Callable[[DataFrame], DataFrame] | None = None,
+    arrange_large: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Order items with keys, money, payment and delivery metrics.
 
@@ -95,7 +96,8 @@ def fct_orders(
     seller_id, which the quality suite checks.
 
     `arrange` may shuffle the rows and add columns, which are kept. It gets them while they
-    are narrow, before keys are hashed and delivery metrics are derived.
+    are narrow, before keys are hashed and delivery metrics are derived. `arrange_large` takes its place, if given,
+    where more than `gather_max_orders` orders are loaded and their items were shuffled to them, evenly.
 
     Sellers and products too large to broadcast are not joined if the ids that they lack or
     repeat are few: then these are broadcast instead. An update drops the items and payments of other orders in the
@@ -198,7 +200,8 @@ def fct_orders(
         # What the items of an order share lies together, as rows that differ in one place only compress best.
         shared = [c for c in items.columns if c not in _OF_ITEM]
         narrow = items.select(*shared, *[c for c in items.columns if c in _OF_ITEM])
-        items = arrange(narrow)
+        is_large = sla_of_items and placed_size() > settings.gather_max_orders
+        items = (arrange_large if is_large and arrange_large is not None else arrange)(narrow)
         added = [c for c in items.columns if c not in narrow.columns]
         items = intermediate.with_delivery_metrics(items, want)
     if "order_date_key" in want:

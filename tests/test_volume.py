@@ -129,3 +129,22 @@ def test_metrics_and_flags_are_not_shuffled_to_periods(src, settings, no_auto_br
     derived = {"delivery_delay_days", "is_on_time_delivery", "is_seller_sla_breach", "seller_processing_days"}
     assert not [c for c in seen[0].columns if c in derived or c.endswith(("_known", "_flag"))]
     assert content(df) == content(facts.fct_orders(src, settings))
+
+
+@pytest.mark.parametrize("period", ["month", "day"])
+def test_large_load_is_not_shuffled_to_months(spark, src, settings, no_auto_broadcast, tmp_path, monkeypatch, period):
+    """Items that were shuffled to their orders are written from there, with the same rows in the same partitions."""
+    staged, stage = [], PublishedTable.stage
+    monkeypatch.setattr(PublishedTable, "stage", lambda self, df, *a, **k: staged.append(plan(df)) or stage(self, df, *a, **k))
+    one_each = src.replace(products=src.products.distinct())
+    few = replace(settings, broadcast_max_rows=0, broadcast_max_ids=100, fact_partition=period)
+    earlier = one_each.replace(orders=src.orders.filter(F.col("order_purchase_timestamp") < F.lit(SINCE)))
+    states = []
+    for name, limit in (("gathered", 30), ("in_tasks", 0)):
+        table = pipeline.Warehouse(spark, str(tmp_path / name)).fct_orders
+        for load in (earlier, one_each):
+            pipeline.load_orders(load, table, replace(few, gather_max_orders=limit))
+        states.append(content(table.latest().read(with_partition=True)))
+    assert states[0] == states[1] and len(states[0]) > 40
+    shuffled = ["REBALANCE_PARTITIONS_BY_COL" in text for text in staged if "Window " in text]
+    assert shuffled == [True, True, period == "day", period == "day"]
