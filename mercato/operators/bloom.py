@@ -1,9 +1,9 @@
 """A Bloom filter of keys, to tell rows that may match a large key set from rows that cannot.
 
 The filter is a table of blocks. A key's hash names its block and the few bits that it sets there, so
-a row meets one block, by a broadcast join, and tests its bits with built-in functions. Blocks
-are built map-side first and merged by one small shuffle; how large they get together is fixed
-by their number, whatever the number of keys.
+a row meets one block, by a broadcast join, and tests its bits with built-in functions. Keys
+are shuffled to their blocks as hashes of 8 bytes, so that what is shuffled grows with the keys and not with
+the number of tasks that read them; how large the blocks get together is fixed by their number.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ BLOCK_BITS = 32_768  # of a bitmap aggregate
 _WORD_BITS = 32  # kept in a bigint each, so a block takes twice its bits' bytes
 _POSITION_BITS = 15
 _PER_HASH = 4  # positions in 64 bits
-_BLOCK, _WORDS = "__bloom_block", "__bloom_words"
+_BLOCK, _WORDS, _HASH = "__bloom_block", "__bloom_words", "__bloom_hash"
 
 
 @dataclass(frozen=True)
@@ -40,11 +40,11 @@ class BloomFilter:
         return self._probed(rows, key, "left").filter(~hit).select(*rows.columns)
 
     def _probed(self, rows: DataFrame, key: str, how: str) -> DataFrame:
-        return rows.withColumn(_BLOCK, _block(key, self.blocks)).join(F.broadcast(self.frame), _BLOCK, how)
+        return rows.withColumn(_BLOCK, _block(_hash(key), self.blocks)).join(F.broadcast(self.frame), _BLOCK, how)
 
     def _hit(self, key: str) -> Column:
         bits = []
-        for at in _positions(key, self.hashes):
+        for at in _positions(_hash(key), self.hashes):
             # The bitmap's byte, within a word that has the first byte highest, and the byte's bit.
             shift = F.lit(24) - (at.bitwiseAND(24)) + at.bitwiseAND(7)
             word = F.get(F.col(_WORDS), F.shiftright(at, 5))
@@ -52,14 +52,19 @@ class BloomFilter:
         return F.col(key).isNotNull() & reduce(Column.__and__, bits)
 
 
-def _block(key: str, blocks: int) -> Column:
-    return F.pmod(F.xxhash64(F.lit("block"), key), F.lit(blocks)).cast("int")
+def _hash(key: str) -> Column:
+    """What stands for a key; its block and bits follow from it."""
+    return F.xxhash64(key)
 
 
-def _positions(key: str, hashes: int) -> list[Column]:
+def _block(hashed: Column, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit("block"), hashed), F.lit(blocks)).cast("int")
+
+
+def _positions(hashed: Column, hashes: int) -> list[Column]:
     found = []
     for i in range(hashes):
-        bits = F.xxhash64(F.lit(f"bits {i // _PER_HASH}"), key)
+        bits = F.xxhash64(F.lit(f"bits {i // _PER_HASH}"), hashed)
         moved = F.shiftrightunsigned(bits, _POSITION_BITS * (i % _PER_HASH))
         found.append(moved.bitwiseAND(BLOCK_BITS - 1).cast("int"))
     return found
@@ -76,10 +81,11 @@ def size_for(keys: int, max_bits: int, bits_per_key: int = 16) -> tuple[int, int
 
 def bloom_filter(keys: DataFrame, key: str, blocks: int, hashes: int) -> BloomFilter:
     """The filter of the non-NULL values of `key`."""
-    positions = F.explode(F.array(*_positions(key, hashes))).alias("position")
+    hashed = keys.filter(F.col(key).isNotNull()).select(_hash(key).alias(_HASH))
+    positions = F.explode(F.array(*_positions(F.col(_HASH), hashes))).alias("position")
     maps = (
-        keys.filter(F.col(key).isNotNull())
-        .select(_block(key, blocks).alias(_BLOCK), positions)
+        hashed.repartition(_block(F.col(_HASH), blocks))
+        .select(_block(F.col(_HASH), blocks).alias(_BLOCK), positions)
         .groupBy(_BLOCK)
         .agg(F.bitmap_construct_agg(F.col("position")).alias("bitmap"))
     )

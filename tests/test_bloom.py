@@ -47,6 +47,14 @@ def test_few_false_positives(spark):
     assert known.maybe(spark.range(10**6, 10**6 + 100_000), "id").count() < 500
 
 
+def test_keys_are_shuffled_as_hashes(spark):
+    """Each task that reads keys would shuffle a bitmap per block, so that many small files cost more than their keys."""
+    text = plan(bloom_filter(spark.range(5000).selectExpr("concat('k', id) k"), "k", 3, 4).frame)
+    above, below = re.split(r"Exchange hashpartitioning[^\n]*", text)
+    assert "bitmap_construct_agg" in above and "bitmap_construct_agg" not in below
+    assert "Exchange" not in above + below
+
+
 def test_sizes():
     assert size_for(0, 2**27) == (1, 8)
     assert size_for(10**6, 2**27)[0] * BLOCK_BITS <= 16 * 10**6
