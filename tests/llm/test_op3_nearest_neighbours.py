@@ -1,10 +1,14 @@
 from __future__ import annotations
 
+import itertools
+import math
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from mercato.llm.op3_nearest_neighbours import Index, Search, nearest, unit
+from mercato.llm.op3_nearest_neighbours import Index, Search, _asked, _Chunk, _limit, nearest, unit
 
 
 def brute(rows, queries, k=5):
@@ -113,3 +117,58 @@ def test_probing_is_spread_over_tasks(spark):
     for tasks in (3, 5):
         plan = nearest(df, df, Search(probing_tasks=tasks))._jdf.queryExecution().executedPlan().toString()
         assert f", {tasks}), REPARTITION_BY_NUM" in plan
+
+
+def test_a_query_is_one_row_for_each_chunk():
+    """However many buckets it visits: here some 6000 in each table, each of which took a row with the vector."""
+    index = Index(Search(), 64, 9, 0.4)
+    vectors = unit(np.random.default_rng(1).standard_normal((3, 64)))
+    assert min(len(index.visits(v, 0)) for v in vectors) > 3000
+    rows = pa.RecordBatch.from_pydict(
+        {"class": ["a", "b", "c"], "ids": pa.array([[]] * 3, pa.list_(pa.int64())), "vec": vectors.tolist()}
+    )
+    sent = pa.Table.from_batches(_asked(index, 4)(iter([rows]))).to_pylist()
+    assert sorted((r["table"], r["chunk"], r["class"]) for r in sent) == sorted(
+        itertools.product(range(2), range(4), "abc")
+    )
+
+
+def test_no_join_before_the_ranking(spark):
+    """Buckets that queries visit were broadcast to the driver, by an estimate of their size from the queries'."""
+    df = spark.createDataFrame([(i, [float(i % 7), 1.0 + i]) for i in range(300)], "vec_id bigint, vec array<double>")
+    plan = nearest(df, df.filter("vec_id < 9"))._jdf.queryExecution().executedPlan().toString().splitlines()
+    ranked = [i for i, x in enumerate(plan) if "MapInArrow run" in x][0]
+    assert not [x for x in plan[ranked:] if "Join" in x]
+
+
+@pytest.mark.parametrize("reach", [0.05, 0.5, 0.78, 0.999, 1.1])
+def test_limit_is_the_last_cost_needed(reach):
+    rng = np.random.default_rng(4)
+    for dims in (2, 5):
+        chances = rng.dirichlet([0.4] * 5, dims)
+        chances[chances < 1e-4] = 0
+        costs = np.where(chances > 0, -np.log(np.where(chances > 0, chances, 1)), np.inf)
+        sums = sorted(s for s in map(sum, itertools.product(*costs)) if s < math.inf)
+        total = np.cumsum(np.exp(-np.array(sums)))
+        limit = _limit(costs, reach)
+        if total[-1] < reach:
+            assert limit == math.inf
+        else:
+            assert limit == pytest.approx(sums[int((total >= reach).argmax())], abs=1e-8)
+
+
+def test_chunk_compares_rows_of_visited_buckets_only():
+    rng = np.random.default_rng(6)
+    rows, asked = unit(rng.standard_normal((5000, 12))), unit(rng.standard_normal((7, 12)))
+    index = Index(Search(k=3, reach=0.4), 12, 5, 0.7)
+    for number in range(2):
+        chunk = _Chunk(index, number, rows, [[i] for i in range(len(rows))])
+        at, row, score = chunk.best(asked, index.limits(asked, number), 3)
+        buckets = index.buckets(rows, number)
+        for q, v in enumerate(asked):
+            seen = np.flatnonzero(np.isin(buckets, index.visits(v, number)))
+            assert 100 < len(seen) < 4900
+            want = seen[np.argsort(-(rows[seen] @ v))][:4]
+            got = sorted(zip(-score[at == q], row[at == q], strict=True))
+            assert [chunk.ids[r][0] for _, r in got] == want.tolist()
+            assert -got[0][0] == pytest.approx(rows[want[0]] @ v)
